@@ -1,14 +1,17 @@
 """Latest-wins deduplication: one row per business key, newest by a total order.
 
-Two plans with identical results:
+Two plans with identical results, both bounded when one key holds a third of all rows:
 
-* ``method="aggregate"`` (default): ``max(struct(order..., tiebreak...))`` per key.
-  ``Max`` is a combinable aggregate, so Spark pre-aggregates map-side: a key that
-  holds a third of all rows is reduced to one row per map task before the shuffle,
-  and no task ever sorts a hot group.
+* ``method="aggregate"`` (default): ``max(struct(order..., tiebreak..., payload...))``
+  per key. ``Max`` is combinable, so Spark runs a partial aggregate before the
+  shuffle: a hot key leaves each map task as one row. (A struct buffer is not
+  fixed-width, so Spark picks a sort-based aggregate; it spills like any sort.)
 * ``method="window"``: ``row_number() over (partition by key order by ... desc) = 1``.
-  Spark adds a ``WindowGroupLimit`` before the shuffle, but the final window still
-  sorts each key's surviving rows in one task. Kept for parity with the classic form.
+  Spark inserts a partial ``WindowGroupLimit`` before the shuffle (and a final one
+  after), so the final window also sees at most one row per key per map task.
+
+Project away columns you do not need before calling: every payload column rides
+through the shuffle.
 
 Ties on the recency columns are broken by ``tiebreak`` (default: every other column)
 so the result is deterministic on re-runs and retries.

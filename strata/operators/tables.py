@@ -28,6 +28,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.latest import latest_by_key
 from strata.session import conf_override, unique_name, workspace
 
 MAX_LITERAL_PARTITIONS = 1_000
@@ -155,8 +156,13 @@ def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[str] = (),
-           location: str | None = None) -> int:
-    """Insert new keys, replace existing ones; never deletes. Returns partitions rewritten."""
+           location: str | None = None, order: Sequence[str] | None = None) -> int:
+    """Insert new keys, replace existing ones; never deletes. Returns partitions rewritten.
+
+    Without ``order`` a batch row always replaces the stored row (MERGE semantics).
+    With ``order`` (recency columns stored in the table) the newer row wins, so
+    batches that arrive out of order cannot roll a key back.
+    """
     spark = df.sparkSession
     keys = list(keys)
     check_keys(df, keys)
@@ -190,7 +196,10 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
         else:
             target = target.join(touched, parts, "left_semi")
 
-    merged = batch.unionByName(target.join(batch.select(*keys), keys, "left_anti"))
+    if order:
+        merged = latest_by_key(batch.unionByName(target), keys, list(order))
+    else:
+        merged = batch.unionByName(target.join(batch.select(*keys), keys, "left_anti"))
     staged = workspace(spark, "upsert-stage")
     w = merged.write.mode("errorifexists")
     if parts:

@@ -182,4 +182,11 @@ SELECT 'uf' AS column_name, count(uf) > 0 AS has_data FROM m
 UNION ALL SELECT 'year', count(year) > 0 FROM m
 UNION ALL SELECT 'exports', count(exports) > 0 FROM m
 UNION ALL SELECT 'avg_rate', count(avg_rate) > 0 FROM m""",
+    "backfill_years": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus AS flow, count(*) AS n_rows
+FROM orders GROUP BY ALL""",
+    "incremental_silver": """
+SELECT event_type AS series, CAST(ts AS DATE) AS date, event_id, CAST(event_id AS DOUBLE) AS value
+FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1""",
 }

@@ -52,9 +52,12 @@ def land_json_arrays(df: DataFrame, path: str, keys: Sequence[str], fields: Sequ
     return path
 
 
-def land_lines(df: DataFrame, path: str, payload: Column, partitions: Sequence[str] = ()) -> str:
+def land_lines(df: DataFrame, path: str, payload: Column, partitions: Sequence[str] = (),
+               mode: str = "errorifexists") -> str:
+    """One payload per line; ``mode="append"`` adds a new delivery's files next to
+    earlier ones (what a file-source stream picks up)."""
     out = df.select(*partitions, payload.alias("value"))
-    w = out.write.mode("errorifexists")
+    w = out.write.mode(mode)
     if partitions:
         w = w.partitionBy(*partitions)
     w.text(path)
