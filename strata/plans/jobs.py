@@ -96,3 +96,11 @@ def exit_code(job: Callable[[], object], log: Callable[[str], None] = print) ->
     except Exception as exc:  # noqa: BLE001
         log("".join(traceback.format_exception_only(type(exc), exc)).strip())
         return int(Outcome.of(exc))
+
+
+def write_read_probe(spark) -> bool:
+    """Environment check: write a one-row table under the shared folder, read it back.
+    Proves the session can write where staging and checkpoints will go."""
+    path = workspace(spark, "probe")
+    spark.range(1).withColumn("ok", F.lit(True)).write.parquet(path)
+    return spark.read.parquet(path).filter("ok").count() == 1

@@ -88,3 +88,7 @@ def test_incremental_processes_each_file_once_and_latest_wins(spark, scratch):
     got = sorted((str(r["date"]), r["value"]) for r in spark.table(name).collect())
     assert got == [("2024-01-02", 5.5), ("2024-01-03", 6.0)]
     assert spark.read.parquet(bronze).count() == 4
+
+
+def test_write_read_probe(spark):
+    assert jobs.write_read_probe(spark)
