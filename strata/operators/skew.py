@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import hash_salt, money_sum
+from strata.operators.tables import stage
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
@@ -59,8 +60,12 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
 
 def dim_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str = "inner",
              strategy: str = "auto", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Join ``fact`` to ``dim``. For ``broadcast`` the dimension is staged once (so the
+    size check and the join do not both recompute it) and broadcast only when its
+    staged row count is within ``max_broadcast_rows``."""
     on = [on] if isinstance(on, str) else list(on)
     if strategy == "broadcast":
+        dim = stage(dim, "dim-stage")
         if bounded_rows(dim, max_broadcast_rows):
             dim = F.broadcast(dim)
         else:   # too big to copy to every executor: shuffle both sides instead

@@ -25,7 +25,7 @@ import itertools
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.latest import latest_by_key
@@ -82,6 +82,33 @@ def _match(spec: Mapping[str, object]):
     return pred
 
 
+# ---------------------------------------------------------------- staging
+def stage(df: DataFrame, label: str = "stage", partitions: Sequence[str] = ()) -> DataFrame:
+    """Materialise ``df`` once as parquet under the shared work folder and read it back.
+
+    Use it when a plan would otherwise be evaluated several times (checks, then the
+    write): the upstream work runs once, and the lineage is cut, so a lost executor
+    re-reads the staged files instead of recomputing the whole upstream plan."""
+    return stage_observed(df, label, (), partitions)[0]
+
+
+def stage_observed(df: DataFrame, label: str, metrics: Sequence, partitions: Sequence[str] = ()):
+    """``stage`` that also returns aggregate ``metrics`` computed in the same pass."""
+    spark = df.sparkSession
+    path = workspace(spark, label)
+    obs = None
+    src = df
+    if metrics:
+        obs = Observation(unique_name(label.replace("-", "_")))
+        src = df.observe(obs, *metrics)
+    w = src.write.mode("errorifexists")
+    if partitions:
+        w = w.partitionBy(*partitions)
+    w.parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return staged, (obs.get if obs is not None else {})
+
+
 # ---------------------------------------------------------------- append
 def append(df: DataFrame, name: str, partitions: Sequence[str] = (),
            location: str | None = None) -> None:
@@ -111,18 +138,17 @@ def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
     if set(where) != set(fixed):
         raise ValueError(f"slice columns {sorted(where)} must be a prefix of partition columns {parts}")
 
-    outside = df.filter(~F.coalesce(_match(where), F.lit(False))).limit(1).count()
-    if outside:
-        raise ValueError(f"batch has rows outside the replaced slice {dict(where)}; refusing to write")
+    # One pass over the batch: stage it (partitioned like the slice, so each statement
+    # below reads only its own part) and count rows outside the slice on the way.
+    outside = ~F.coalesce(_match(where), F.lit(False))
+    source, m = stage_observed(df, "slice-stage", [F.count_if(outside).alias("outside")], fixed)
+    if m["outside"]:
+        raise ValueError(f"batch has {m['outside']} row(s) outside the replaced slice {dict(where)}; "
+                         "refusing to write")
 
     values = [list(where[c]) if isinstance(where[c], (list, tuple, set, frozenset)) else [where[c]]
               for c in fixed]
     combos = list(itertools.product(*values))
-    source = df
-    if len(combos) > 1:   # evaluate the batch once, not once per statement
-        staged = workspace(spark, "slice-stage")
-        df.write.parquet(staged)
-        source = spark.read.parquet(staged)
     view = unique_name("slice_batch")
     source.createOrReplaceTempView(view)
     cols = _table_columns(spark, name)
@@ -165,6 +191,14 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
     """
     spark = df.sparkSession
     keys = list(keys)
+    # Evaluate the batch once: stage it, counting NULL keys in the same pass; the
+    # duplicate check, the touched partitions and the merge all read the staged copy.
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+    df, m = stage_observed(df, "upsert-batch", [F.count_if(any_null).alias("nulls")])
+    if m["nulls"]:
+        raise ValueError(f"{m['nulls']} batch row(s) have a NULL in key {keys}")
     check_keys(df, keys)
     if not table_exists(spark, name):
         create_table(df, name, partitions, location)
@@ -227,14 +261,16 @@ def publish(df: DataFrame, database: str, table: str, export_path: str,
             database_location: str | None = None, max_rows: int = 1_000_000) -> str:
     """Export ``df`` as one parquet file, then (re)create ``database.table`` over it.
 
-    One file means one writing task, so the frame must be a small mart: its size is
-    checked first (``max_rows``). ``repartition(1)`` (not ``coalesce(1)``) keeps the
-    upstream stages fully parallel; only the final rows move to one task.
+    One file means one writing task, so the frame must be a small mart: it is staged
+    in parallel first, its size checked on the staged copy (``max_rows``), and only
+    then are the staged rows moved to one task (``repartition(1)``, never a
+    ``coalesce(1)`` that would pull the upstream plan into a single task).
     """
     spark = df.sparkSession
-    if df.limit(max_rows + 1).count() > max_rows:
+    staged = stage(df, "publish-stage")          # computed once, in parallel
+    if staged.limit(max_rows + 1).count() > max_rows:
         raise ValueError(f"publish is for small marts: more than {max_rows} rows")
-    df.repartition(1).write.mode("overwrite").parquet(export_path)
+    staged.repartition(1).write.mode("overwrite").parquet(export_path)
     loc = f" LOCATION {sql_literal(database_location)}" if database_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
     full = f"`{database}`.`{table}`"

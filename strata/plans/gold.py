@@ -86,8 +86,10 @@ def gold_rules() -> list[quality.Rule]:
 
 def build_gold(spark: SparkSession, sf_dir: str, table: str, location: str | None = None,
                log=print) -> DataFrame:
-    """Gate the mart in one aggregate pass, then fully overwrite it, partitioned by year."""
-    mart = gold_mart(spark, sf_dir)
+    """Compute the mart once (staged), gate the staged copy in one aggregate pass, then
+    fully overwrite the gold table from it, partitioned by year. The expensive
+    upstream scans and joins run once, not once for the gate and again for the write."""
+    mart = tables.stage(gold_mart(spark, sf_dir), "gold-stage")
     quality.gate(mart, gold_rules(), stage="gold", log=log)
     tables.overwrite(mart, table, partitions=["year"], location=location)
     return spark.table(table)
