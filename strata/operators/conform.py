@@ -64,6 +64,7 @@ def conform(df: DataFrame, contract: Contract, keep: Sequence[str] = (),
     aggs = [F.count(F.lit(1)).alias("total")]
     aggs += [F.count_if(F.col(_FLAG.format(r))).alias(f"bad_{r}") for r in reasons]
     aggs += [F.count_if(dropped).alias("dropped")]
+    # ``dropped`` covers both unparseable and missing (NULL / null-marker) required values
     grouped = flagged.groupBy(*ledger_by) if ledger_by else flagged
     ledger = grouped.agg(*aggs)
     return Conformed(rows, ledger, flagged, reasons, required)

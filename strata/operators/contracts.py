@@ -30,13 +30,20 @@ class Field:
     type: str = "string"
     format: str | None = None
     required: bool = False
+    null_markers: tuple[str, ...] = ()   # source texts meaning "no value" (e.g. "-", "..")
 
     @property
     def name(self) -> str:
         return self.target or self.source
 
-    def typed(self) -> Column:
+    def _raw(self) -> Column:
         raw = F.col(f"`{self.source}`")
+        if self.null_markers:
+            raw = F.when(F.trim(raw).isin(list(self.null_markers)), F.lit(None).cast("string")).otherwise(raw)
+        return raw
+
+    def typed(self) -> Column:
+        raw = self._raw()
         if self.type == "string":
             return raw
         if self.type == "date":
@@ -46,8 +53,12 @@ class Field:
         return tolerant(raw, self.type)
 
     def conversion_failed(self) -> Column:
-        """Source text present but typed value NULL."""
-        return F.col(f"`{self.source}`").isNotNull() & self.typed().isNull()
+        """Source text present (and not a null marker) but typed value NULL."""
+        return self._raw().isNotNull() & self.typed().isNull()
+
+    def missing(self) -> Column:
+        """No value: NULL in the source or one of the declared null markers."""
+        return self._raw().isNull()
 
 
 @dataclass(frozen=True)

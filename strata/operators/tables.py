@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import itertools
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -122,18 +122,19 @@ def append(df: DataFrame, name: str, partitions: Sequence[str] = (),
 
 # ---------------------------------------------------------------- replace slice
 def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
-                  partitions: Sequence[str] = (), location: str | None = None) -> int:
+                  partitions: Sequence[str] = (), location: str | None = None,
+                  before_write: Callable[[DataFrame], object] | None = None) -> int:
     """Replace the slice ``where`` (equality or IN per partition column) by ``df``.
 
-    ``where`` must cover a prefix of the table's partition columns. Returns the
-    number of static partition combinations rewritten.
+    ``where`` must cover a prefix of the table's partition columns. ``before_write``
+    (e.g. a quality gate) runs on the staged batch and may raise to stop the write.
+    Returns the number of static partition combinations rewritten.
     """
     spark = df.sparkSession
     if not where:
         raise ValueError("replace_slice needs a non-empty slice; use overwrite() for the whole table")
-    if not table_exists(spark, name):
-        create_table(df.limit(0), name, partitions, location)
-    parts = partition_columns(spark, name)
+    exists = table_exists(spark, name)
+    parts = partition_columns(spark, name) if exists else list(partitions)
     fixed = parts[: len(where)]
     if set(where) != set(fixed):
         raise ValueError(f"slice columns {sorted(where)} must be a prefix of partition columns {parts}")
@@ -145,6 +146,10 @@ def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
     if m["outside"]:
         raise ValueError(f"batch has {m['outside']} row(s) outside the replaced slice {dict(where)}; "
                          "refusing to write")
+    if not exists:   # created from the staged copy: the caller's plan runs only once
+        create_table(source.limit(0), name, parts, location)
+    if before_write is not None:
+        before_write(source)
 
     values = [list(where[c]) if isinstance(where[c], (list, tuple, set, frozenset)) else [where[c]]
               for c in fixed]
@@ -182,12 +187,14 @@ def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[str] = (),
-           location: str | None = None, order: Sequence[str] | None = None) -> int:
+           location: str | None = None, order: Sequence[str] | None = None,
+           before_write: Callable[[DataFrame], object] | None = None) -> int:
     """Insert new keys, replace existing ones; never deletes. Returns partitions rewritten.
 
     Without ``order`` a batch row always replaces the stored row (MERGE semantics).
     With ``order`` (recency columns stored in the table) the newer row wins, so
-    batches that arrive out of order cannot roll a key back.
+    batches that arrive out of order cannot roll a key back. ``before_write`` (e.g. a
+    quality gate) runs on the staged batch and may raise to stop the write.
     """
     spark = df.sparkSession
     keys = list(keys)
@@ -200,6 +207,8 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
     if m["nulls"]:
         raise ValueError(f"{m['nulls']} batch row(s) have a NULL in key {keys}")
     check_keys(df, keys)
+    if before_write is not None:
+        before_write(df)
     if not table_exists(spark, name):
         create_table(df, name, partitions, location)
         return -1

@@ -189,4 +189,17 @@ FROM orders GROUP BY ALL""",
 SELECT event_type AS series, CAST(ts AS DATE) AS date, event_id, CAST(event_id AS DOUBLE) AS value
 FROM events
 QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1""",
+    "silver_series_upsert": """
+SELECT event_type AS series, CAST(ts AS DATE) AS date, event_id,
+       CASE WHEN event_id % 37 = 0 THEN NULL ELSE CAST(event_id AS DOUBLE) END AS value
+FROM events WHERE event_id % 50 <> 0
+QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1""",
+    "silver_trade_replace": """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag AS flag, count(*) AS n_rows, sum(l_quantity) AS qty
+FROM lineitem WHERE year(l_shipdate) IN (1997, 1998) AND l_orderkey % 11 <> 0 GROUP BY ALL""",
+    "silver_municipal_upsert": f"""
+SELECT 'orders_per_year' AS dataset, {_PLACE} AS place_id, CAST(year(o_orderdate) AS INTEGER) AS year,
+       CAST(count(*) AS DOUBLE) AS value, 'N' || CAST(c_nationkey AS VARCHAR) AS uf
+FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE c_custkey % 13 <> 0 AND c_custkey % 17 <> 0 GROUP BY ALL""",
 }

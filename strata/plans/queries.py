@@ -23,7 +23,7 @@ from strata.operators import insight, quality, skew, tables
 from strata.operators.conform import conform, domain_filter, with_code_lookup
 from strata.operators.contracts import Contract, Field
 from strata.operators.latest import latest_by_key
-from strata.plans import gold, jobs
+from strata.plans import gold, jobs, layers
 from strata.plans.gold import load
 from strata.streaming import incremental
 from strata.session import unique_name, workspace
@@ -69,16 +69,18 @@ TRADE_COLUMNS = ["ORDER_KEY", "LINE_NO", "FLAG", "SHIP_YEAR", "SHIP_MONTH", "QTY
 TRADE_RAW = T.StructType([T.StructField(c, STRING) for c in TRADE_COLUMNS])
 
 
-def _series_delivery(events: DataFrame, defects: bool = True) -> DataFrame:
-    """Events as the source would deliver them: all strings, dd/MM/yyyy dates."""
+def _series_delivery(events: DataFrame, defects: bool = True, with_time: bool = False) -> DataFrame:
+    """Events as the source would deliver them: all strings, dd/MM/yyyy dates
+    (plus ``at``, the revision time as fixed-width ISO text, when ``with_time``)."""
     date_text = F.date_format("ts", "dd/MM/yyyy")
     value_text = F.col("event_id").cast("string")
     if defects:
         date_text = F.when(F.col("event_id") % 50 == 0, F.lit("31/02/2024")).otherwise(date_text)
         value_text = F.when(F.col("event_id") % 37 == 0, F.lit("-")).otherwise(value_text)
+    extra = [F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("at")] if with_time else []
     return events.select(F.col("event_type").alias("series"),
                          F.col("event_id").cast("string").alias("id"),
-                         date_text.alias("date"), value_text.alias("value"))
+                         date_text.alias("date"), value_text.alias("value"), *extra)
 
 
 # ------------------------------------------------------------------ scans / sources
@@ -541,3 +543,121 @@ def incremental_silver(spark: SparkSession, sf: str) -> DataFrame:
                                      order=["at", "event_id"], checkpoint=f"{root}/ckpt-silver",
                                      location=f"{root}/silver", max_files_per_trigger=4)
     return spark.table(name).select("series", "date", "event_id", "value")
+
+
+# ------------------------------------------------------------------ bronze -> silver stages
+def _quiet(_):
+    return None
+
+
+@query
+def silver_series_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily-series stage: bad dates dropped, bad values kept NULL (gated at 10%),
+    latest revision per (series, date), upserted into a series-partitioned table."""
+    bronze = _series_delivery(load(spark, sf, "events"), with_time=True)
+    name, loc = _table(spark, "silver_series")
+    rules = [quality.not_null("value", 0.10), quality.unique("series", "date")]
+    layers.silver_upsert(bronze, STREAM_CONTRACT, name, rules, keep=["series"],
+                         order=["at", "event_id"], location=loc, log=_quiet)
+    return spark.table(name).select("series", "date", "event_id", "value")
+
+
+TRADE_CONTRACT = Contract(
+    name="trade",
+    fields=(
+        Field("ORDER_KEY", "order_key", "long", required=True),
+        Field("LINE_NO", "line_no", "int"),
+        Field("FLAG", "flag"),
+        Field("SHIP_MONTH", "month", "int"),
+        Field("QTY", "qty", "double"),
+        Field("PRICE", "price", "double"),
+    ),
+    partitions=("year", "flow"),
+    extra=("year", "flow"),
+)
+
+
+@query
+def silver_trade_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """Trade stage for two years: ';' Latin-1 files landed per year, bronze slice
+    replaced by (year, flow), then silver typed, domain-filtered (month 1..12,
+    price >= 0; bad months injected), gated and slice-replaced by year."""
+    li = load(spark, sf, "lineitem")
+    years = [1997, 1998]
+    root = workspace(spark, "trade")
+    bronze_name = unique_name("bronze_trade")
+    month = F.when(F.col("l_orderkey") % 11 == 0, F.lit("13")).otherwise(F.month("l_shipdate").cast("string"))
+    for y in years:
+        raw = f"{root}/raw/EXP/{y}"
+        sources.land_delimited(li.filter(_year_slice("l_shipdate", y)).select(
+            F.col("l_orderkey").alias("ORDER_KEY"), F.col("l_linenumber").alias("LINE_NO"),
+            F.col("l_returnflag").alias("FLAG"), F.year("l_shipdate").alias("SHIP_YEAR"),
+            month.alias("SHIP_MONTH"), F.col("l_quantity").alias("QTY"),
+            F.col("l_extendedprice").alias("PRICE")), raw)
+        landed = sources.read_delimited(spark, raw, TRADE_RAW)
+        bronze = landed.withColumns({"flow": F.lit("EXP"), "year": F.col("SHIP_YEAR").try_cast("int")})
+        tables.replace_slice(bronze, bronze_name, {"year": y, "flow": "EXP"},
+                             partitions=["year", "flow"], location=f"{root}/bronze")
+    silver_name = unique_name("silver_trade")
+    slice_ = spark.table(bronze_name).filter(F.col("year").isin(years))      # partition pruning
+    rules = [quality.not_null("price"), quality.between("price", 0),
+             quality.between("month", 1, 12)]
+    layers.silver_replace(slice_, TRADE_CONTRACT, silver_name, rules, {"year": years},
+                          keep=["year", "flow"],
+                          domain=F.col("month").between(1, 12) & (F.col("price") >= 0),
+                          location=f"{root}/silver", log=_quiet)
+    return (spark.table(silver_name).groupBy("year", "flag")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("qty").alias("qty")))
+
+
+# Fixed null markers used by statistical tables for "no value": dash, two dots, X.
+NULL_MARKERS = ("-", "..", "X")
+
+MUNICIPAL_CONTRACT = Contract(
+    name="municipal",
+    fields=(
+        Field("place_id", "place_id", required=True),
+        Field("period", "year", "int", required=True),
+        Field("value_text", "value", "double", required=True, null_markers=NULL_MARKERS),
+    ),
+    keys=("dataset", "place_id", "year"),
+    partitions=("dataset",),
+    extra=("dataset", "_ingested_at"),
+)
+
+
+@query
+def silver_municipal_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Municipal stage: nested documents exploded to bronze (slice dataset + year
+    list), then silver with null markers dropped, state derived from the code prefix,
+    latest per (dataset, place, year), gated and upserted."""
+    orders, customer = load(spark, sf, "orders"), load(spark, sf, "customer")
+    per_year = (orders.groupBy("o_custkey", F.year("o_orderdate").alias("year"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    places = per_year.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    value = (F.when(F.col("c_custkey") % 13 == 0, F.lit("-"))
+             .when(F.col("c_custkey") % 17 == 0, F.lit(".."))
+             .otherwise(F.col("n").cast("string")))
+    root = workspace(spark, "municipal")
+    sources.land_documents(places, f"{root}/raw", place_id=_place_code("c_nationkey", "c_custkey"),
+                           place_name=F.col("c_name"), period=F.col("year"), value=value,
+                           unit="orders", variable="orders_per_year")
+    docs = sources.stamp_lineage(sources.read_documents(spark, f"{root}/raw"), run_id="run-1")
+    flat = sources.explode_series(docs, keep=["unit", "_ingested_at"]) \
+        .withColumn("dataset", F.lit("orders_per_year"))
+    years = [int(y) for y in sources.in_list(
+        sources.period_list(flat.select(F.col("period").try_cast("int").alias("y")), "y").first()["period"])]
+    bronze_name = unique_name("bronze_municipal")
+    tables.replace_slice(flat.withColumn("year", F.col("period").try_cast("int")), bronze_name,
+                         {"dataset": "orders_per_year", "year": years},
+                         partitions=["dataset", "year"], location=f"{root}/bronze")
+    states = {f"{k + 11:02d}": f"N{k}" for k in range(25)}
+    silver_name = unique_name("silver_municipal")
+    rules = [quality.not_null("value"), quality.not_null("uf"),
+             quality.unique("dataset", "place_id", "year"), quality.between("value", 0)]
+    layers.silver_upsert(
+        spark.table(bronze_name).filter(F.col("dataset") == "orders_per_year"), MUNICIPAL_CONTRACT,
+        silver_name, rules, keep=["dataset", "_ingested_at"], order=["_ingested_at"],
+        derive=lambda df: with_code_lookup(df, "place_id", states, "uf", prefix_len=2),
+        location=f"{root}/silver", log=_quiet)
+    return spark.table(silver_name).select("dataset", "place_id", "year", "value", "uf")

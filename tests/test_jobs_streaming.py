@@ -92,3 +92,23 @@ def test_incremental_processes_each_file_once_and_latest_wins(spark, scratch):
 
 def test_write_read_probe(spark):
     assert jobs.write_read_probe(spark)
+
+
+def test_silver_stage_gate_stops_before_writing(spark, sf_small):
+    from strata.operators import quality
+    from strata.plans import layers
+    from strata.plans.gold import load
+    from strata.plans.queries import STREAM_CONTRACT, _series_delivery
+    bronze = _series_delivery(load(spark, sf_small, "events"), with_time=True)
+    name = unique_name("silver_gate")
+    strict = [quality.not_null("value"), quality.unique("series", "date")]
+    with pytest.raises(DataQualityError) as exc:
+        layers.silver_upsert(bronze, STREAM_CONTRACT, name, strict, keep=["series"],
+                             order=["at", "event_id"], log=lambda _: None)
+    assert [r["name"] for r in exc.value.failures] == ["not_null(value)"]
+    assert not spark.catalog.tableExists(name)          # nothing was written
+    report = layers.silver_upsert(bronze, STREAM_CONTRACT, name,
+                                  [quality.not_null("value", 0.2)], keep=["series"],
+                                  order=["at", "event_id"], log=lambda _: None)
+    assert report.rejects["total"] == 1000 and report.rejects["bad_date"] == 20
+    assert report.rejects["bad_value"] == 28 and len(report.quality) == 1
