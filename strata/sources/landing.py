@@ -6,9 +6,10 @@ exercised on real tables at any size:
 
 * ``land_delimited`` — header + separator + charset text, every value a string.
 * ``land_json_arrays`` — each document is one JSON array in its own file, under
-  ``<key>=<value>/doc=<n>/``. Documents are bounded: rows are spread over ``n``
-  documents by a hash of row content, ``n`` sized from the row count so no document
-  (and no task) holds an unbounded group, even when one key holds a third of all rows.
+  ``<key>=<value>/doc=<n>/``. Documents are bounded: each key's rows are spread over
+  ``ceil(rows_of_key / rows_per_doc)`` documents by a hash of row content, so no
+  document (and no task) holds an unbounded group, even when one key holds a third
+  of all rows, and small keys do not explode into many tiny files.
 * ``land_lines`` — one payload per line (JSON or not), partitioned by key folders.
 * ``land_documents`` — nested ``results[].series[].{place, serie map}`` documents.
 """
@@ -36,16 +37,24 @@ def land_delimited(df: DataFrame, path: str, sep: str = ";", encoding: str = "IS
     return path
 
 
-def _doc_count(df: DataFrame, rows_per_doc: int) -> int:
-    return max(1, math.ceil(df.count() / rows_per_doc))
-
-
 def land_json_arrays(df: DataFrame, path: str, keys: Sequence[str], fields: Sequence[str],
                      rows_per_doc: int = 50_000, salt_cols: Sequence[str] | None = None) -> str:
-    """One JSON array of ``fields`` objects per (keys, doc) file."""
+    """One JSON array of ``fields`` objects per (keys, doc) file.
+
+    Each key gets ``ceil(rows_of_key / rows_per_doc)`` documents: the per-key row
+    counts are a small aggregate joined back (broadcast only under a checked size),
+    and rows are spread over their key's documents by a content hash. A hot key gets
+    many bounded documents; a small key gets one file, not one per global bucket.
+    """
+    from strata.operators.skew import dim_join   # local import: operators build on sources
+
     keys = list(keys)
-    n_docs = _doc_count(df, rows_per_doc)
-    salted = df.withColumn(DOC, hash_salt(n_docs, *(salt_cols or df.columns)))
+    sizes = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+             .select(*keys, F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(rows_per_doc)))
+                     .cast("int").alias("__docs")))
+    sized = dim_join(df, sizes, keys, strategy="broadcast")
+    salt = F.xxhash64(*[F.col(c) for c in (salt_cols or df.columns)])
+    salted = sized.withColumn(DOC, F.pmod(salt, F.col("__docs")).cast("int"))
     docs = (salted.groupBy(*keys, DOC)
             .agg(F.to_json(F.collect_list(F.struct(*fields))).alias("value")))
     _write_one_file_per_doc(docs, path, keys + [DOC])
