@@ -288,6 +288,19 @@ def publish(df: DataFrame, database: str, table: str, export_path: str,
     return full
 
 
+def publish_if_configured(df: DataFrame, target: Mapping[str, str] | None,
+                          log: Callable[[str], None] = print) -> str | None:
+    """Publish only when a target is configured; otherwise skip (a success, not an error).
+
+    ``target`` holds ``database``, ``table``, ``export_path`` and optionally
+    ``database_location``."""
+    if not target or not target.get("database"):
+        log("[publish] no target configured: skipped")
+        return None
+    return publish(df, target["database"], target["table"], target["export_path"],
+                   target.get("database_location"))
+
+
 def inventory(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
     """Row count per expected table; a missing one is reported, not raised.
 

@@ -35,15 +35,18 @@ def test_replace_eq_slice_is_idempotent(spark, trade_table):
 
 def test_replace_prefix_removes_flows_absent_from_batch(spark, trade_table):
     batch = _trade(spark, [(2023, "EXP", "SP", 33)])
-    tables.replace_slice(batch, trade_table, {"year": 2023})
-    assert [r for r in _state(spark, trade_table) if r[0] == 2023] == [(2023, "EXP", "SP", 33)]
+    for _ in range(2):
+        tables.replace_slice(batch, trade_table, {"year": 2023})
+        assert [r for r in _state(spark, trade_table) if r[0] == 2023] == [(2023, "EXP", "SP", 33)]
+        assert len(_state(spark, trade_table)) == 4
 
 
 def test_replace_in_list(spark, trade_table):
     batch = _trade(spark, [(2022, "EXP", "MG", 7)])
-    tables.replace_slice(batch, trade_table, {"year": [2022, 2024], "flow": "EXP"})
-    assert _state(spark, trade_table) == [
-        (2022, "EXP", "MG", 7), (2022, "IMP", "SP", 2), (2023, "EXP", "SP", 3), (2023, "IMP", "RJ", 4)]
+    for _ in range(2):
+        tables.replace_slice(batch, trade_table, {"year": [2022, 2024], "flow": "EXP"})
+        assert _state(spark, trade_table) == [
+            (2022, "EXP", "MG", 7), (2022, "IMP", "SP", 2), (2023, "EXP", "SP", 3), (2023, "IMP", "RJ", 4)]
 
 
 def test_empty_batch_clears_the_slice(spark, trade_table):
@@ -137,3 +140,10 @@ def test_sql_literal_escaping():
     assert tables.sql_literal("d'Oeste") == "'d\\'Oeste'"
     assert tables.sql_literal(2023) == "2023"
     assert tables.sql_literal(True) == "TRUE"
+
+
+def test_publish_is_skipped_without_a_target(spark):
+    logs = []
+    assert tables.publish_if_configured(spark.range(1), None, log=logs.append) is None
+    assert tables.publish_if_configured(spark.range(1), {"database": ""}, log=logs.append) is None
+    assert len(logs) == 2 and "skipped" in logs[0]
