@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# Two-digit state prefix of a Brazilian municipality code (IBGE) -> state
+# Two-digit state prefix of an official Brazilian municipality code -> state
 # abbreviation, in code order. A municipality code's first two digits are its state code.
 BRAZIL_STATE_CODES: dict[str, str] = {
     "11": "RO", "12": "AC", "13": "AM", "14": "RR", "15": "PA", "16": "AP", "17": "TO",
