@@ -112,3 +112,20 @@ def test_silver_stage_gate_stops_before_writing(spark, sf_small):
                                   order=["at", "event_id"], log=lambda _: None)
     assert report.rejects["total"] == 1000 and report.rejects["bad_date"] == 20
     assert report.rejects["bad_value"] == 28 and len(report.quality) == 1
+
+
+def test_cli_contract(spark, sf_small, capsys):
+    from strata.__main__ import main
+    assert main(["gold", "--source", " ", "--table", "x"]) == 2          # rejected before any work
+    assert main(["inventory", "--source", sf_small, "--tables", "orders,absent"]) == 0
+    out = capsys.readouterr().out
+    assert "absent" in out and "missing" in out
+    assert main(["probe"]) == 0
+
+
+def test_cli_gate_failure_exits_3(spark, sf_small, monkeypatch):
+    from strata.__main__ import main
+    from strata.operators import quality
+    from strata.plans import gold
+    monkeypatch.setattr(gold, "gold_rules", lambda: [quality.between("exports", max_value=0)])
+    assert main(["gold", "--source", sf_small, "--table", unique_name("g")]) == 3
