@@ -84,18 +84,24 @@ def _series_delivery(events: DataFrame, defects: bool = True, with_time: bool =
 
 
 # ------------------------------------------------------------------ scans / sources
+def _trade_file_columns(li: DataFrame, month=None) -> list:
+    return [F.col("l_orderkey").alias("ORDER_KEY"), F.col("l_linenumber").alias("LINE_NO"),
+            F.col("l_returnflag").alias("FLAG"), F.year("l_shipdate").alias("SHIP_YEAR"),
+            (month if month is not None else F.month("l_shipdate")).alias("SHIP_MONTH"),
+            F.col("l_quantity").alias("QTY"), F.col("l_extendedprice").alias("PRICE")]
+
+
 @query
 def bronze_delimited_scan(spark: SparkSession, sf: str) -> DataFrame:
-    li = load(spark, sf, "lineitem").filter(_year_slice("l_shipdate", 1997))
-    raw = workspace(spark, "raw-trade") + "/EXP/1997"
-    sources.land_delimited(li.select(
-        F.col("l_orderkey").alias("ORDER_KEY"), F.col("l_linenumber").alias("LINE_NO"),
-        F.col("l_returnflag").alias("FLAG"), F.year("l_shipdate").alias("SHIP_YEAR"),
-        F.month("l_shipdate").alias("SHIP_MONTH"), F.col("l_quantity").alias("QTY"),
-        F.col("l_extendedprice").alias("PRICE")), raw)
-    bronze = sources.stamp_lineage(sources.read_delimited(spark, raw, TRADE_RAW), run_id="run-1")
-    bronze = bronze.withColumns({"flow": F.lit("EXP"),
-                                 "year": F.col("SHIP_YEAR").try_cast("int")})
+    """All line items landed as one ';' Latin-1 file folder per year (``EXP/year=Y``),
+    read back all-string; flow and year derived at bronze (year from the content)."""
+    li = load(spark, sf, "lineitem")
+    raw = workspace(spark, "raw-trade") + "/EXP"
+    sources.land_delimited(li.select(*_trade_file_columns(li), F.year("l_shipdate").alias("year")),
+                           raw, partitions=["year"])
+    landed = sources.read_delimited(spark, raw, TRADE_RAW, partitions={"year": INT})
+    bronze = sources.stamp_lineage(landed, run_id="run-1")
+    bronze = bronze.withColumns({"flow": F.lit("EXP"), "year": F.col("SHIP_YEAR").try_cast("int")})
     return bronze.select(F.col("ORDER_KEY").alias("order_key"), F.col("LINE_NO").alias("line_no"),
                          F.col("FLAG").alias("flag"), "flow", "year")
 
@@ -579,25 +585,23 @@ TRADE_CONTRACT = Contract(
 
 @query
 def silver_trade_replace(spark: SparkSession, sf: str) -> DataFrame:
-    """Trade stage for two years: ';' Latin-1 files landed per year, bronze slice
-    replaced by (year, flow), then silver typed, domain-filtered (month 1..12,
-    price >= 0; bad months injected), gated and slice-replaced by year."""
+    """Trade stage over every year in the data: one ';' Latin-1 file folder landed per
+    year, bronze replaced by (year IN all, flow), then silver typed, domain-filtered
+    (month 1..12, price >= 0; bad months injected), gated and replaced by year."""
     li = load(spark, sf, "lineitem")
-    years = [1997, 1998]
+    years = [int(y) for y in sources.in_list(
+        sources.period_list(li.select(F.year("l_shipdate").alias("y")), "y").first()["period"])]
     root = workspace(spark, "trade")
-    bronze_name = unique_name("bronze_trade")
     month = F.when(F.col("l_orderkey") % 11 == 0, F.lit("13")).otherwise(F.month("l_shipdate").cast("string"))
-    for y in years:
-        raw = f"{root}/raw/EXP/{y}"
-        sources.land_delimited(li.filter(_year_slice("l_shipdate", y)).select(
-            F.col("l_orderkey").alias("ORDER_KEY"), F.col("l_linenumber").alias("LINE_NO"),
-            F.col("l_returnflag").alias("FLAG"), F.year("l_shipdate").alias("SHIP_YEAR"),
-            month.alias("SHIP_MONTH"), F.col("l_quantity").alias("QTY"),
-            F.col("l_extendedprice").alias("PRICE")), raw)
-        landed = sources.read_delimited(spark, raw, TRADE_RAW)
-        bronze = landed.withColumns({"flow": F.lit("EXP"), "year": F.col("SHIP_YEAR").try_cast("int")})
-        tables.replace_slice(bronze, bronze_name, {"year": y, "flow": "EXP"},
-                             partitions=["year", "flow"], location=f"{root}/bronze")
+    raw = f"{root}/raw/EXP"
+    sources.land_delimited(li.select(*_trade_file_columns(li, month), F.year("l_shipdate").alias("file_year")),
+                           raw, partitions=["file_year"])
+    landed = sources.read_delimited(spark, raw, TRADE_RAW, partitions={"file_year": INT})
+    bronze = landed.withColumns({"flow": F.lit("EXP"), "year": F.col("SHIP_YEAR").try_cast("int")}) \
+        .drop("file_year")
+    bronze_name = unique_name("bronze_trade")
+    tables.replace_slice(bronze, bronze_name, {"year": years, "flow": "EXP"},
+                         partitions=["year", "flow"], location=f"{root}/bronze")
     silver_name = unique_name("silver_trade")
     slice_ = spark.table(bronze_name).filter(F.col("year").isin(years))      # partition pruning
     rules = [quality.not_null("price"), quality.between("price", 0),
