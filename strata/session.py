@@ -92,3 +92,37 @@ class conf_override:
             else:
                 self.spark.conf.set(k, old)
         return False
+
+
+MB = 1024 * 1024
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               target_partition_bytes: int = 256 * MB, shuffle_fraction: float = 0.25,
+               max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+    """Session settings sized for the data, to pass to the cluster's session builder.
+
+    * scan splits of ``2 x target`` bytes (fewer, larger read tasks over huge inputs;
+      parquet row groups still bound memory per task);
+    * initial shuffle partitions from the *shuffled* volume (``shuffle_fraction`` of
+      the input: projections and partial aggregates shrink it), at least 2 waves of
+      the cluster's cores and at most ``max_shuffle_partitions`` (map x reduce segment
+      counts grow quadratically); AQE then coalesces to ``target`` sized partitions;
+    * AQE skew-join splitting on, with a threshold of ``target``;
+    * broadcast only for measured sides under 64 MB.
+    """
+    slots = max(1, executors * cores_per_executor)
+    wanted = -(-int(input_bytes * shuffle_fraction) // target_partition_bytes)
+    shuffle_parts = max(2 * slots, min(max_shuffle_partitions, wanted))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.files.maxPartitionBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+    }

@@ -129,3 +129,12 @@ def test_cli_gate_failure_exits_3(spark, sf_small, monkeypatch):
     from strata.plans import gold
     monkeypatch.setattr(gold, "gold_rules", lambda: [quality.between("exports", max_value=0)])
     assert main(["gold", "--source", sf_small, "--table", unique_name("g")]) == 3
+
+
+def test_scale_conf_sizes_partitions_from_volume():
+    from strata.session import scale_conf
+    big = scale_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 50_000           # capped; AQE coalesces
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = scale_conf(10 * 1024 ** 3, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80             # two waves of 40 cores
