@@ -22,17 +22,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _PICK = "__latest"
 
 
+def _orderable(dt: T.DataType) -> bool:
+    if isinstance(dt, T.MapType):
+        return False
+    if isinstance(dt, T.ArrayType):
+        return _orderable(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    return True
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   tiebreak: Sequence[str] | None = None, method: str = "aggregate") -> DataFrame:
     keys, order = list(keys), list(order)
     if not keys or not order:
         raise ValueError("latest_by_key needs at least one key and one order column")
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    tiebreak = [c for c in (rest if tiebreak is None else tiebreak) if c not in order]
+    if tiebreak is None:   # every orderable column; maps can only ride along as payload
+        tiebreak = [c for c in rest if _orderable(types[c])]
+    tiebreak = [c for c in tiebreak if c not in order]
     ranked = order + tiebreak
     payload = [c for c in rest if c not in ranked]
 
@@ -45,6 +59,10 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     # Struct ordering compares fields left to right with NULL lowest, which matches
     # ORDER BY ... DESC NULLS LAST picking the first row.
-    picked = df.groupBy(*keys).agg(F.max(F.struct(*ranked, *payload)).alias(_PICK))
+    if all(_orderable(types[c]) for c in payload):
+        picked = df.groupBy(*keys).agg(F.max(F.struct(*ranked, *payload)).alias(_PICK))
+    else:   # unorderable payload: pick it by the ranked struct (also combinable map-side)
+        picked = df.groupBy(*keys).agg(
+            F.max_by(F.struct(*ranked, *payload), F.struct(*ranked)).alias(_PICK))
     return picked.select(*keys, *[F.col(f"{_PICK}.{c}").alias(c) for c in ranked + payload]) \
                  .select(*df.columns)

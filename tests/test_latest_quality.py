@@ -97,3 +97,11 @@ def test_all_rules_run_as_one_job(spark):
     plan = quality.evaluate(df, rules)._jdf.queryExecution().executedPlan().toString()
     # a single aggregate over a single scan: one Range leaf feeds every rule
     assert plan.count("Range (") == 1
+
+
+def test_latest_with_map_payload(spark):
+    df = spark.createDataFrame([(1, 1, {"a": "x"}), (1, 2, {"a": "y"}), (2, 5, {"b": "z"})],
+                               "k int, ts int, props map<string,string>")
+    for method in ("aggregate", "window"):
+        got = sorted((r["k"], r["ts"], r["props"]) for r in latest_by_key(df, ["k"], ["ts"], method=method).collect())
+        assert got == [(1, 2, {"a": "y"}), (2, 5, {"b": "z"})]
