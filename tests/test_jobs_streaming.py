@@ -1,6 +1,5 @@
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.operators import tables
 from strata.operators.quality import DataQualityError, Outcome

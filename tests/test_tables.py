@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from strata.operators import tables
 from strata.session import unique_name
