@@ -137,3 +137,37 @@ def test_scale_conf_sizes_partitions_from_volume():
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = scale_conf(10 * 1024 ** 3, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 80             # two waves of 40 cores
+
+
+def test_incremental_replays_a_failed_micro_batch(spark, scratch, monkeypatch):
+    from strata.sources import land_lines
+    raw, bronze, name = f"{scratch}/raw", f"{scratch}/bronze", unique_name("stream_retry")
+    rows, p = _payloads(spark, [("s1", str(i), f"0{1 + i % 5}/01/2024", str(i), f"2024-01-0{1 + i % 5}T0{i % 10}:00:00")
+                                for i in range(20)])
+    land_lines(rows, raw, p, mode="append")
+    incremental.land_to_bronze(spark, raw, STREAM_RAW, bronze, f"{scratch}/c1")
+
+    real_upsert = tables.upsert
+    calls = {"n": 0}
+
+    def flaky(*args, **kwargs):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise RuntimeError("executor lost")
+        return real_upsert(*args, **kwargs)
+
+    def run():
+        incremental.bronze_to_silver(spark, bronze, STREAM_RAW, STREAM_CONTRACT, ["series"], name,
+                                     order=["at", "event_id"], checkpoint=f"{scratch}/c2",
+                                     location=f"{scratch}/silver")
+
+    monkeypatch.setattr(tables, "upsert", flaky)
+    with pytest.raises(Exception):
+        run()                      # the micro-batch fails; its offsets are not committed
+    run()                          # restart: the same micro-batch is replayed from the checkpoint
+    got = sorted((str(r["date"]), r["event_id"]) for r in spark.table(name).collect())
+    # latest per date: the highest hour wins, ties broken by event_id
+    assert got == [("2024-01-01", 15), ("2024-01-02", 16), ("2024-01-03", 17),
+                   ("2024-01-04", 18), ("2024-01-05", 19)]
+    run()                          # nothing new
+    assert spark.table(name).count() == 5
