@@ -101,3 +101,9 @@ def test_join_strategies_show_in_plan(spark, skewed):
     too_big = skew.dim_join(skewed, dim, "k", strategy="broadcast", max_broadcast_rows=10)
     assert "BroadcastHashJoin" not in _plan(too_big)
     assert with_bc.count() == merge.count() == too_big.count() == 3000
+
+
+def test_to_pandas_is_bounded(spark):
+    assert len(insight.to_pandas_bounded(spark.range(5), max_rows=5)) == 5
+    with pytest.raises(ValueError, match="more than"):
+        insight.to_pandas_bounded(spark.range(6), max_rows=5)
