@@ -288,21 +288,32 @@ def replace_partition_prefix(spark: SparkSession, sf: str) -> DataFrame:
 SILVER_COLUMNS = ["series", "date", "event_id", "value"]
 
 
+# Daily series are partitioned by (series, month): month is a function of the key
+# (date), so it is part of the key without changing uniqueness, and an upsert batch
+# rewrites only the months it touches instead of whole series.
+SERIES_KEYS = ["series", "month", "date"]
+SERIES_PARTS = ["series", "month"]
+
+
+def _with_month(df: DataFrame) -> DataFrame:
+    return df.withColumn("month", F.trunc("date", "MM"))
+
+
 def _silver_rows(events: DataFrame, bump: float = 0.0) -> DataFrame:
     rows = events.select(F.col("event_type").alias("series"), F.to_date("ts").alias("date"),
                          "ts", "event_id", (F.col("event_id").cast("double") + F.lit(bump)).alias("value"))
     latest = latest_by_key(rows, ["series", "date"], ["ts"], tiebreak=["event_id"])
-    return latest.select(*SILVER_COLUMNS)
+    return _with_month(latest.select(*SILVER_COLUMNS))
 
 
 def _upserted(spark: SparkSession, sf: str, applications: int) -> DataFrame:
     events = load(spark, sf, "events")
     name, loc = _table(spark, "silver_series")
     target = _silver_rows(events.filter(F.col("ts") < _ts("2024-01-20")))
-    tables.upsert(target, name, ["series", "date"], partitions=["series"], location=loc)
+    tables.upsert(target, name, SERIES_KEYS, partitions=SERIES_PARTS, location=loc)
     batch = _silver_rows(events.filter(F.col("ts") >= _ts("2024-01-10")), bump=1000.0)
     for _ in range(applications):
-        tables.upsert(batch, name, ["series", "date"])
+        tables.upsert(batch, name, SERIES_KEYS)
     return spark.table(name).select(*SILVER_COLUMNS)
 
 
@@ -520,9 +531,9 @@ STREAM_CONTRACT = Contract(
         Field("value", "value", "double"),
         Field("at", "at"),
     ),
-    keys=("series", "date"),
-    partitions=("series",),
-    extra=("series",),
+    keys=("series", "month", "date"),
+    partitions=("series", "month"),
+    extra=("series", "month"),
 )
 STREAM_RAW = T.StructType([T.StructField(c, STRING) for c in ("series", "id", "date", "value", "at")])
 
@@ -547,7 +558,8 @@ def incremental_silver(spark: SparkSession, sf: str) -> DataFrame:
                                    max_files_per_trigger=4)
         incremental.bronze_to_silver(spark, bronze, STREAM_RAW, STREAM_CONTRACT, ["series"], name,
                                      order=["at", "event_id"], checkpoint=f"{root}/ckpt-silver",
-                                     location=f"{root}/silver", max_files_per_trigger=4)
+                                     location=f"{root}/silver", max_files_per_trigger=4,
+                                     derive=_with_month)
     return spark.table(name).select("series", "date", "event_id", "value")
 
 
@@ -559,12 +571,12 @@ def _quiet(_):
 @query
 def silver_series_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Daily-series stage: bad dates dropped, bad values kept NULL (gated at 10%),
-    latest revision per (series, date), upserted into a series-partitioned table."""
+    latest revision per (series, date), upserted into a (series, month)-partitioned table."""
     bronze = _series_delivery(load(spark, sf, "events"), with_time=True)
     name, loc = _table(spark, "silver_series")
     rules = [quality.not_null("value", 0.10), quality.unique("series", "date")]
     layers.silver_upsert(bronze, STREAM_CONTRACT, name, rules, keep=["series"],
-                         order=["at", "event_id"], location=loc, log=_quiet)
+                         order=["at", "event_id"], derive=_with_month, location=loc, log=_quiet)
     return spark.table(name).select("series", "date", "event_id", "value")
 
 

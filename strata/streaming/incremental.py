@@ -14,7 +14,7 @@ Checkpoints live under the shared work folder, never on a machine-local disk.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -45,12 +45,15 @@ def land_to_bronze(spark: SparkSession, raw_path: str, schema: T.StructType, bro
 def bronze_to_silver(spark: SparkSession, bronze_path: str, bronze_schema: T.StructType,
                      contract: Contract, keep: Sequence[str], table: str, order: Sequence[str],
                      checkpoint: str, location: str | None = None,
-                     max_files_per_trigger: int | None = None) -> int:
-    """Conform + latest-per-key + order-aware upsert for every new bronze file."""
+                     max_files_per_trigger: int | None = None,
+                     derive: Callable[[DataFrame], DataFrame] | None = None) -> int:
+    """Conform (+ ``derive``) + latest-per-key + order-aware upsert for every new bronze file."""
     keys, parts = list(contract.keys), list(contract.partitions)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         rows = conform(batch, contract, keep=keep).rows
+        if derive is not None:
+            rows = derive(rows)
         latest = latest_by_key(rows, keys, list(order))
         tables.upsert(latest, table, keys, partitions=parts, location=location, order=order)
 

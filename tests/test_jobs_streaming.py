@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from strata.operators import tables
 from strata.operators.quality import DataQualityError, Outcome
 from strata.plans import jobs
-from strata.plans.queries import STREAM_CONTRACT, STREAM_RAW
+from strata.plans.queries import STREAM_CONTRACT, STREAM_RAW, _with_month
 from strata.session import unique_name
 from strata.streaming import incremental
 
@@ -71,7 +71,7 @@ def test_incremental_processes_each_file_once_and_latest_wins(spark, scratch):
         incremental.land_to_bronze(spark, raw, STREAM_RAW, bronze, f"{scratch}/c1")
         incremental.bronze_to_silver(spark, bronze, STREAM_RAW, STREAM_CONTRACT, ["series"], name,
                                      order=["at", "event_id"], checkpoint=f"{scratch}/c2",
-                                     location=f"{scratch}/silver")
+                                     location=f"{scratch}/silver", derive=_with_month)
 
     from strata.sources import land_lines
     first, p = _payloads(spark, [("s1", "1", "02/01/2024", "5.0", "2024-01-02T10:00:00"),
@@ -103,12 +103,12 @@ def test_silver_stage_gate_stops_before_writing(spark, sf_small):
     strict = [quality.not_null("value"), quality.unique("series", "date")]
     with pytest.raises(DataQualityError) as exc:
         layers.silver_upsert(bronze, STREAM_CONTRACT, name, strict, keep=["series"],
-                             order=["at", "event_id"], log=lambda _: None)
+                             order=["at", "event_id"], derive=_with_month, log=lambda _: None)
     assert [r["name"] for r in exc.value.failures] == ["not_null(value)"]
     assert not spark.catalog.tableExists(name)          # nothing was written
     report = layers.silver_upsert(bronze, STREAM_CONTRACT, name,
                                   [quality.not_null("value", 0.2)], keep=["series"],
-                                  order=["at", "event_id"], log=lambda _: None)
+                                  order=["at", "event_id"], derive=_with_month, log=lambda _: None)
     assert report.rejects["total"] == 1000 and report.rejects["bad_date"] == 20
     assert report.rejects["bad_value"] == 28 and len(report.quality) == 1
 
@@ -159,7 +159,7 @@ def test_incremental_replays_a_failed_micro_batch(spark, scratch, monkeypatch):
     def run():
         incremental.bronze_to_silver(spark, bronze, STREAM_RAW, STREAM_CONTRACT, ["series"], name,
                                      order=["at", "event_id"], checkpoint=f"{scratch}/c2",
-                                     location=f"{scratch}/silver")
+                                     location=f"{scratch}/silver", derive=_with_month)
 
     monkeypatch.setattr(tables, "upsert", flaky)
     with pytest.raises(Exception):
