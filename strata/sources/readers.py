@@ -41,9 +41,17 @@ NESTED_DOCUMENT = T.StructType([
 ])
 
 
-def _with_partitions(schema: T.StructType, partitions: Mapping[str, T.DataType] | None) -> T.StructType:
+_TYPE_NAMES = {"string": T.StringType(), "int": T.IntegerType(), "integer": T.IntegerType(),
+               "long": T.LongType(), "bigint": T.LongType(), "date": T.DateType(),
+               "double": T.DoubleType(), "boolean": T.BooleanType()}
+
+
+def _with_partitions(schema: T.StructType,
+                     partitions: Mapping[str, T.DataType | str] | None) -> T.StructType:
     fields = list(schema.fields)
     for name, dtype in (partitions or {}).items():
+        if isinstance(dtype, str):
+            dtype = _TYPE_NAMES[dtype.lower()]
         fields.append(T.StructField(name, dtype, True))
     return T.StructType(fields)
 
