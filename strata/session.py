@@ -8,6 +8,7 @@ that setting gets a private folder, so tests run anywhere.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -72,25 +73,36 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_CONF_LOCK = threading.RLock()
+
+
 class conf_override:
     """Temporarily set session SQL confs; the previous values are restored on exit,
-    also when the body raises."""
+    also when the body raises.
+
+    Some write semantics exist only as session confs (``insertInto`` ignores a
+    writer-level ``partitionOverwriteMode``), so the body runs under a process-wide
+    lock: two threads using one session cannot interleave their settings."""
 
     def __init__(self, spark: SparkSession, settings: dict[str, str]):
         self.spark, self.settings, self.saved = spark, settings, {}
 
     def __enter__(self):
+        _CONF_LOCK.acquire()
         for k, v in self.settings.items():
             self.saved[k] = self.spark.conf.get(k, None)
             self.spark.conf.set(k, str(v))
         return self.spark
 
     def __exit__(self, *exc):
-        for k, old in self.saved.items():
-            if old is None:
-                self.spark.conf.unset(k)
-            else:
-                self.spark.conf.set(k, old)
+        try:
+            for k, old in self.saved.items():
+                if old is None:
+                    self.spark.conf.unset(k)
+                else:
+                    self.spark.conf.set(k, old)
+        finally:
+            _CONF_LOCK.release()
         return False
 
 
