@@ -64,3 +64,65 @@ def test_contract_rejects_unknown_key():
     import pytest
     with pytest.raises(ValueError):
         Contract(fields=(Field("a"),), keys=("b",))
+
+
+MUNICIPAL = Contract(
+    name="municipal_fixture",
+    fields=(Field("code", "place_id", required=True),
+            Field("year_text", "year", "int", required=True),
+            Field("value_text", "value", "double", required=True, null_markers=("-", "..", "X"))),
+    keys=("dataset", "place_id", "year"),
+    partitions=("dataset",),
+    extra=("dataset", "at"),
+)
+
+
+def _muni(spark, rows):
+    return spark.createDataFrame(rows, "dataset string, code string, year_text string, value_text string, at string")
+
+
+def test_municipal_marker_dropped_state_derived_and_revision_wins(spark, scratch):
+    from strata.operators import quality
+    from strata.plans import layers
+    from strata.session import unique_name
+    name = unique_name("muni")
+    rules = [quality.not_null("value"), quality.not_null("uf"), quality.unique("dataset", "place_id", "year")]
+
+    def derive(df):
+        return with_code_lookup(df, "place_id", BRAZIL_STATE_CODES, "uf", prefix_len=2)
+
+    first = _muni(spark, [("pop", "3550308", "2021", "12396372", "t1"), ("pop", "1100015", "2021", "-", "t1")])
+    rep = layers.silver_upsert(first, MUNICIPAL, name, rules, keep=["dataset", "at"], order=["at"],
+                               derive=derive, location=f"{scratch}/s", log=lambda _: None)
+    assert rep.rejects["bad_value"] == 0          # a marker is "no value", not a parse failure
+    rows = [tuple(r) for r in spark.table(name).select("place_id", "uf", "value").collect()]
+    assert rows == [("3550308", "SP", 12396372.0)]
+    revised = _muni(spark, [("pop", "3550308", "2021", "12400000", "t2")])
+    layers.silver_upsert(revised, MUNICIPAL, name, rules, keep=["dataset", "at"], order=["at"],
+                         derive=derive, log=lambda _: None)
+    assert [tuple(r) for r in spark.table(name).select("place_id", "value").collect()] == [("3550308", 12400000.0)]
+
+
+def test_conf_override_restores_and_releases_on_error(spark):
+    import pytest
+    from strata.session import _CONF_LOCK, conf_override
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    with pytest.raises(RuntimeError):
+        with conf_override(spark, {key: "dynamic"}):
+            assert spark.conf.get(key) == "dynamic"
+            raise RuntimeError("boom")
+    assert spark.conf.get(key) == before
+    import threading
+    got = []
+
+    def other():   # another thread can take the lock: it was released
+        ok = _CONF_LOCK.acquire(blocking=False)
+        got.append(ok)
+        if ok:
+            _CONF_LOCK.release()
+
+    t = threading.Thread(target=other)
+    t.start()
+    t.join()
+    assert got == [True]
