@@ -1,6 +1,6 @@
 """Skew probe: does any single task receive a hot key's rows?
 
-    python tools/skew_probe.py [sf_dir]
+    python tools/skew_probe.py [sf_dir] [--json]
 
 Builds skewed variants of the driver tables in which ONE key holds a third of all
 rows (hot order key, hot supplier, hot customer), runs the operators that group or
@@ -30,7 +30,8 @@ from strata.session import local_session  # noqa: E402
 
 
 def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    sf = args[0] if args else "/root/testdata/sf0.1"
     logdir = tempfile.mkdtemp(prefix="strata-eventlog-")
     # coalescing off: each task's count then shows its own share, not merged partitions
     spark = local_session(8, shuffle_partitions=64, app="strata-skew-probe",
@@ -87,9 +88,13 @@ def main() -> None:
                     group = stage_group.get(ev.get("Stage ID"))
                     if group:
                         max_read[group] = max(max_read[group], read)
-    print(f"{'operator':32s} {'rows':>9s} {'hot key rows':>12s} {'max shuffle rows in one task':>29s}")
+    if "--json" in sys.argv:
+        print(json.dumps({name: {"rows": n, "hot_rows": n // 3, "max_task_rows": max_read.get(name, 0)}
+                          for name, (n, _) in cases.items()}))
+        return
+    print(f"{'operator':34s} {'rows':>9s} {'hot key rows':>12s} {'max shuffle rows in one task':>29s}")
     for name, (n, _) in cases.items():
-        print(f"{name:32s} {n:9d} {n // 3:12d} {max_read.get(name, 0):29d}")
+        print(f"{name:34s} {n:9d} {n // 3:12d} {max_read.get(name, 0):29d}")
 
 
 if __name__ == "__main__":
