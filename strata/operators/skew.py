@@ -62,16 +62,21 @@ def dim_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str
              strategy: str = "auto", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Join ``fact`` to ``dim``. For ``broadcast`` the dimension is staged once (so the
     size check and the join do not both recompute it) and broadcast only when its
-    staged row count is within ``max_broadcast_rows``."""
+    staged row count is within ``max_broadcast_rows``; above it, and for ``merge``, a
+    sort-merge join over a staged dimension, which AQE's skew-join handling can split
+    when one key holds a large share of the fact."""
     on = [on] if isinstance(on, str) else list(on)
     if strategy == "broadcast":
         dim = stage(dim, "dim-stage")
         if bounded_rows(dim, max_broadcast_rows):
             dim = F.broadcast(dim)
         else:   # too big to copy to every executor: shuffle both sides instead
-            dim = dim.hint("merge")
+            dim = dim.hint("merge")   # already staged: AQE skew-join applies
     elif strategy == "merge":
-        dim = dim.hint("merge")
+        # Staged, the dimension is a plain scan, so both join sides get an ordinary
+        # shuffle; AQE can then split a hot key's partition (skew join). With the dim
+        # still an aggregate whose partitioning the join reuses, AQE cannot split it.
+        dim = stage(dim, "dim-stage").hint("merge")
     elif strategy != "auto":
         raise ValueError(f"unknown join strategy {strategy!r}")
     return fact.join(dim, on=on, how=how)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from strata.operators import quality, skew  # noqa: E402
 from strata.operators.latest import latest_by_key  # noqa: E402
+from strata.operators.tables import stage  # noqa: E402
 from strata.plans import gold  # noqa: E402
 from strata.session import local_session  # noqa: E402
 
@@ -37,12 +38,21 @@ def main() -> None:
     spark = local_session(8, shuffle_partitions=64, app="strata-skew-probe",
                           extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": logdir,
                                  "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                                 # skew-join thresholds scaled down to the test data (on a
+                                 # cluster: 256 MB, see session.scale_conf)
+                                 "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+                                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
                                  "spark.eventLog.compress": "false",
                                  "spark.eventLog.rolling.enabled": "false"})
     hot = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(3)) == 0
     li = gold.load(spark, sf, "lineitem")
     li = li.withColumns({"l_orderkey": F.when(hot, F.lit(0)).otherwise(F.col("l_orderkey")),
                          "l_suppkey": F.when(hot, F.lit(0)).otherwise(F.col("l_suppkey"))})
+    # Written as 32 files, like any large table: a skewed shuffle partition can only be
+    # split (AQE skew join) at map-output boundaries, and a single small file with 3 row
+    # groups would give just 3 map tasks.
+    li = stage(li.repartition(32), "skewed-lineitem")
     orders = gold.load(spark, sf, "orders")
     orders = orders.withColumn("o_custkey", F.when(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == 0,
                                                    F.lit(0)).otherwise(F.col("o_custkey")))
@@ -61,6 +71,10 @@ def main() -> None:
         "hot_keys(hot supplier)": (n_li, lambda: skew.hot_keys(li, "l_suppkey")),
         "quality.unique(hot key)": (n_li, lambda: quality.evaluate(
             li, [quality.unique("l_orderkey", "l_linenumber")])),
+        "dim_join(merge, hot supplier)": (n_li, lambda: skew.dim_join(
+            li.select("l_suppkey", "l_extendedprice"),
+            skew.derived_dim(li, "l_suppkey", F.col("l_suppkey") % 5, "region"),
+            "l_suppkey", strategy="merge")),
         "gold.exports(hot customer)": (n_o, lambda: gold.exports(orders, customer)),
         "gold.measures(hot order+customer)": (n_li, lambda: gold.measures(li, orders, customer)),
     }
