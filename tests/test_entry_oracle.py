@@ -43,6 +43,8 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, sf_small, name):
     df = E.queries()[name](spark, sf_small)
     rows, cols = df.collect(), df.columns
+    # JVM-side only: no Python evaluation in the (final, adaptive) plan
+    assert "EvalPython" not in df._jdf.queryExecution().executedPlan().toString()
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(cols) == sorted(rel.columns)
     idx = [rel.columns.index(c) for c in cols]
