@@ -123,11 +123,14 @@ def append(df: DataFrame, name: str, partitions: Sequence[str] = (),
 # ---------------------------------------------------------------- replace slice
 def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
                   partitions: Sequence[str] = (), location: str | None = None,
-                  before_write: Callable[[DataFrame], object] | None = None) -> int:
+                  before_write: Callable[[DataFrame], object] | None = None,
+                  staged: bool = False) -> int:
     """Replace the slice ``where`` (equality or IN per partition column) by ``df``.
 
     ``where`` must cover a prefix of the table's partition columns. ``before_write``
     (e.g. a quality gate) runs on the staged batch and may raise to stop the write.
+    ``staged=True`` declares ``df`` already materialised (a read of staged files): it
+    is then not copied again, and containment is one aggregate over it.
     Returns the number of static partition combinations rewritten.
     """
     spark = df.sparkSession
@@ -142,7 +145,10 @@ def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
     # One pass over the batch: stage it (partitioned like the slice, so each statement
     # below reads only its own part) and count rows outside the slice on the way.
     outside = ~F.coalesce(_match(where), F.lit(False))
-    source, m = stage_observed(df, "slice-stage", [F.count_if(outside).alias("outside")], fixed)
+    if staged:
+        source, m = df, df.agg(F.count_if(outside).alias("outside")).first().asDict()
+    else:
+        source, m = stage_observed(df, "slice-stage", [F.count_if(outside).alias("outside")], fixed)
     if m["outside"]:
         raise ValueError(f"batch has {m['outside']} row(s) outside the replaced slice {dict(where)}; "
                          "refusing to write")

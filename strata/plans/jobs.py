@@ -78,9 +78,11 @@ def backfill(batch: DataFrame, table: str, column: str, values: Sequence,
     staged = workspace(spark, "backfill-stage")
     batch.filter(F.col(column).isin(list(values))).write.partitionBy(column).parquet(staged)
     source = spark.read.schema(batch.schema).parquet(staged).select(*batch.columns)
+    # each slice reads only its own staged folder (partition pruning) and is not
+    # copied a second time
     slices = [(f"{column}={v}",
                lambda v=v: tables.replace_slice(source.filter(F.col(column) == F.lit(v)), table,
-                                                {column: v}, partitions, location))
+                                                {column: v}, partitions, location, staged=True))
               for v in values]
     return run_slices(slices, log)
 
