@@ -195,7 +195,8 @@ def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
 def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[str] = (),
            location: str | None = None, order: Sequence[str] | None = None,
            before_write: Callable[[DataFrame], object] | None = None) -> int:
-    """Insert new keys, replace existing ones; never deletes. Returns partitions rewritten.
+    """Insert new keys, replace existing ones; never deletes. Returns the number of
+    partitions rewritten (-1 when the table was created, 0 for an empty batch).
 
     Without ``order`` a batch row always replaces the stored row (MERGE semantics).
     With ``order`` (recency columns stored in the table) the newer row wins, so
@@ -209,7 +210,8 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    df, m = stage_observed(df, "upsert-batch", [F.count_if(any_null).alias("nulls")])
+    df, m = stage_observed(df, "upsert-batch", [F.count(F.lit(1)).alias("rows"),
+                                                F.count_if(any_null).alias("nulls")])
     if m["nulls"]:
         raise ValueError(f"{m['nulls']} batch row(s) have a NULL in key {keys}")
     check_keys(df, keys)
@@ -218,6 +220,8 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
     if not table_exists(spark, name):
         create_table(df, name, partitions, location)
         return -1
+    if m["rows"] == 0:
+        return 0
     parts = partition_columns(spark, name)
     if not set(parts) <= set(keys):
         raise ValueError(f"partition columns {parts} must be part of the key {keys}: "
@@ -226,7 +230,7 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
     batch = df.select(*cols)
     target = spark.table(name)
 
-    n_touched = -1
+    n_touched = 1   # a non-partitioned table is rewritten as a whole
     if parts:
         touched = batch.select(*parts).distinct()
         found = touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()
@@ -256,7 +260,9 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
     w.parquet(staged)
     settings = {"spark.sql.sources.partitionOverwriteMode": "dynamic" if parts else "static"}
     with conf_override(spark, settings):
-        spark.read.parquet(staged).select(*cols).write.insertInto(name, overwrite=True)
+        # explicit schema: partition column types must not be re-inferred from folder names
+        (spark.read.schema(merged.schema).parquet(staged).select(*cols)
+         .write.insertInto(name, overwrite=True))
     return n_touched
 
 

@@ -146,3 +146,23 @@ def test_publish_is_skipped_without_a_target(spark):
     assert tables.publish_if_configured(spark.range(1), None, log=logs.append) is None
     assert tables.publish_if_configured(spark.range(1), {"database": ""}, log=logs.append) is None
     assert len(logs) == 2 and "skipped" in logs[0]
+
+
+def test_upsert_keeps_string_partition_values_that_look_numeric(spark, scratch):
+    name = unique_name("codes")
+    first = spark.createDataFrame([("0817600", "a", 1.0), ("0417300", "b", 2.0)],
+                                  "dataset string, k string, v double")
+    tables.upsert(first, name, ["dataset", "k"], ["dataset"], f"{scratch}/c")
+    tables.upsert(spark.createDataFrame([("0817600", "a", 9.0)], "dataset string, k string, v double"),
+                  name, ["dataset", "k"])
+    assert dict(spark.table(name).dtypes)["dataset"] == "string"
+    assert sorted(tuple(r) for r in spark.table(name).select("dataset", "k", "v").collect()) == \
+        [("0417300", "b", 2.0), ("0817600", "a", 9.0)]
+
+
+def test_upsert_unpartitioned_table(spark, scratch):
+    name = unique_name("flat")
+    tables.upsert(spark.createDataFrame([("a", 1)], "k string, v int"), name, ["k"], location=f"{scratch}/f")
+    assert tables.upsert(spark.createDataFrame([("a", 2), ("b", 3)], "k string, v int"), name, ["k"]) == 1
+    assert tables.upsert(spark.createDataFrame([], "k string, v int"), name, ["k"]) == 0
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == [("a", 2), ("b", 3)]
