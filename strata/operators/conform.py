@@ -47,6 +47,9 @@ def conform(df: DataFrame, contract: Contract, keep: Sequence[str] = (),
     ``ledger_by`` groups the reject ledger (e.g. per series) — still one aggregate job.
     """
     keep = list(keep)
+    clash = sorted(set(keep) & {f.name for f in contract.fields})
+    if clash:
+        raise ValueError(f"kept columns {clash} collide with contract targets; rename one side")
     flags = [f.conversion_failed().alias(_FLAG.format(f.name)) for f in contract.fields
              if f.type != "string"]
     reasons = [f.name for f in contract.fields if f.type != "string"]

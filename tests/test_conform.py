@@ -126,3 +126,10 @@ def test_conf_override_restores_and_releases_on_error(spark):
     t.start()
     t.join()
     assert got == [True]
+
+
+def test_keep_column_clashing_with_target_is_refused(spark):
+    import pytest
+    df = spark.createDataFrame([("01/01/2024", "1")], "d string, v string").withColumn("date", F.lit("x"))
+    with pytest.raises(ValueError, match="collide"):
+        conform(df, CONTRACT, keep=["date"])
