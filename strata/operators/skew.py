@@ -5,6 +5,9 @@
   (``partial_sum``), so a hot key costs one row per map task, not all its rows.
 * ``salted_sum`` — two-level aggregate with a deterministic hash salt: the shape to
   use for aggregates that do not combine well, or to spread a hot key's final merge.
+* ``salted_join`` — equi-join that spreads detected hot keys over buckets (hash salt
+  on the fact, replicated dimension rows for the hot keys only), for joins where
+  AQE's skew split cannot apply.
 * ``derived_dim`` + ``dim_join`` — fact x dimension with an explicit strategy:
   ``broadcast`` only after the dimension's row count is proven under a bound (else
   falls back to a shuffle join), ``merge`` forces a sort-merge join by hint, ``auto``
@@ -80,3 +83,41 @@ def dim_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str
     elif strategy != "auto":
         raise ValueError(f"unknown join strategy {strategy!r}")
     return fact.join(dim, on=on, how=how)
+
+
+def detect_hot_keys(fact: DataFrame, key: str, min_share: float = 0.01, max_keys: int = 100) -> list:
+    """Keys holding at least ``min_share`` of the rows (at most ``max_keys`` of them).
+
+    Counting is a partial+final aggregate; only the bounded top list reaches the
+    driver (a share threshold of s admits at most 1/s keys anyway)."""
+    total = fact.count()
+    if total == 0:
+        return []
+    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    top = (counts.filter(F.col("__n") >= F.lit(max(1, int(total * min_share))))
+           .orderBy(F.col("__n").desc()).limit(max_keys).collect())
+    return [r[key] for r in top]
+
+
+def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", buckets: int = 16,
+                hot: Sequence | None = None, salt_cols: Sequence[str] | None = None,
+                min_share: float = 0.01, max_keys: int = 100) -> DataFrame:
+    """Equi-join on one key, spreading hot keys over ``buckets`` tasks.
+
+    Fact rows of a hot key get a deterministic hash salt in ``[0, buckets)``; the
+    dimension rows of hot keys (only those) are replicated once per bucket; everything
+    else joins with salt 0. The result equals ``fact.join(dim, key, how)`` for
+    ``inner`` and ``left`` joins; the replicated dimension grows by
+    ``len(hot) * (buckets - 1)`` rows, bounded by ``max_keys``.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    hot = list(detect_hot_keys(fact, key, min_share, max_keys) if hot is None else hot)
+    if not hot:
+        return fact.join(dim, key, how)
+    is_hot = F.col(key).isin(hot)
+    cols = list(salt_cols or fact.columns)
+    salted_fact = fact.withColumn("__salt", F.when(is_hot, hash_salt(buckets, *cols)).otherwise(F.lit(0)))
+    spread = F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    salted_dim = dim.withColumn("__salt", F.explode(spread))
+    return salted_fact.join(salted_dim, [key, "__salt"], how).drop("__salt")

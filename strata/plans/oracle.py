@@ -150,6 +150,7 @@ SELECT l_suppkey AS hot_key, count(*) AS n_rows FROM lineitem GROUP BY 1 ORDER B
     "salted_group_sum": _SUPP_SUM,
     "broadcast_dim_join": _REGION_SUM,
     "sort_merge_dim_join": _REGION_SUM,
+    "salted_dim_join": _REGION_SUM,
     "wide_group_sum": """
 SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag AS flag, l_partkey AS part,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total

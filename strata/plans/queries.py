@@ -452,6 +452,18 @@ def sort_merge_dim_join(spark: SparkSession, sf: str) -> DataFrame:
     return _region_join(spark, sf, "merge")
 
 
+@query
+def salted_dim_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Fact x derived dimension with hot suppliers spread over 16 salted buckets."""
+    li = load(spark, sf, "lineitem")
+    label = F.concat(F.lit("region_"), (F.col("l_suppkey") % 5).cast("string"))
+    dim = skew.derived_dim(li, "l_suppkey", label, "region")
+    fact = li.select("l_suppkey", "l_extendedprice", "l_orderkey", "l_linenumber")
+    joined = skew.salted_join(fact, dim, "l_suppkey", buckets=16, min_share=0.001,
+                              salt_cols=["l_orderkey", "l_linenumber"])
+    return joined.groupBy("region").agg(money_sum("l_extendedprice").alias("total"))
+
+
 @query
 def wide_group_sum(spark: SparkSession, sf: str) -> DataFrame:
     li = load(spark, sf, "lineitem")

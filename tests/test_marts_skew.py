@@ -107,3 +107,15 @@ def test_to_pandas_is_bounded(spark):
     assert len(insight.to_pandas_bounded(spark.range(5), max_rows=5)) == 5
     with pytest.raises(ValueError, match="more than"):
         insight.to_pandas_bounded(spark.range(6), max_rows=5)
+
+
+def test_salted_join_equals_plain_join_and_detects_the_hot_key(spark, skewed):
+    dim = spark.range(60).select(F.col("id").alias("k"), (F.col("id") % 5).alias("region"))
+    assert skew.detect_hot_keys(skewed, "k", min_share=0.1) == [7]
+    for how in ("inner", "left"):
+        plain = sorted(tuple(r) for r in skewed.join(dim, "k", how).collect())
+        salted = sorted(tuple(r) for r in skew.salted_join(skewed, dim, "k", how, buckets=8,
+                                                           min_share=0.1, salt_cols=["id"]).collect())
+        assert salted == plain
+    with pytest.raises(ValueError):
+        skew.salted_join(skewed, dim, "k", "full")

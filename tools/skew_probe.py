@@ -38,6 +38,10 @@ def main() -> None:
     spark = local_session(8, shuffle_partitions=64, app="strata-skew-probe",
                           extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": logdir,
                                  "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                                 # no broadcasts: at 100 TB dimensions are big, so every
+                                 # join is measured as a shuffle join (the worst case)
+                                 "spark.sql.autoBroadcastJoinThreshold": "-1",
+                                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
                                  # skew-join thresholds scaled down to the test data (on a
                                  # cluster: 256 MB, see session.scale_conf)
                                  "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
@@ -75,6 +79,10 @@ def main() -> None:
             li.select("l_suppkey", "l_extendedprice"),
             skew.derived_dim(li, "l_suppkey", F.col("l_suppkey") % 5, "region"),
             "l_suppkey", strategy="merge")),
+        "salted_join(hot supplier)": (n_li, lambda: skew.salted_join(
+            li.select("l_suppkey", "l_extendedprice", "l_orderkey", "l_linenumber"),
+            skew.derived_dim(li, "l_suppkey", F.col("l_suppkey") % 5, "region"), "l_suppkey",
+            buckets=16, salt_cols=["l_orderkey", "l_linenumber"])),
         "gold.exports(hot customer)": (n_o, lambda: gold.exports(orders, customer)),
         "gold.measures(hot order+customer)": (n_li, lambda: gold.measures(li, orders, customer)),
     }
