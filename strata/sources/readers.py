@@ -59,9 +59,14 @@ def _with_partitions(schema: T.StructType,
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";",
                    encoding: str = "ISO-8859-1", header: bool = True,
                    partitions: Mapping[str, T.DataType] | None = None) -> DataFrame:
-    """All-string delimited read. ``latin1`` is not a JVM charset name; use ISO-8859-1."""
+    """All-string delimited read. ``latin1`` is not a JVM charset name; use ISO-8859-1.
+
+    With a header, the header names are checked against the schema
+    (``enforceSchema=false``): a file whose columns were reordered or renamed fails
+    loudly instead of having its values silently shifted into the wrong columns."""
     return (spark.read.schema(_with_partitions(schema, partitions))
             .option("header", header).option("sep", sep).option("encoding", encoding)
+            .option("enforceSchema", not header)
             .option("mode", "PERMISSIVE").csv(path))
 
 

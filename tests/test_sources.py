@@ -125,3 +125,10 @@ def test_lookback_restricts_only_windowed_keys(spark):
 def test_lookback_leap_day_does_not_fail(spark):
     df = spark.createDataFrame([("d", "2024-02-29")], "k string, d string").withColumn("d", F.to_date("d"))
     assert readers.lookback(df, "d", "k", {"d": 12}).count() == 1
+
+
+def test_delimited_header_mismatch_fails_instead_of_shifting(spark, scratch):
+    _write(scratch, "swapped.csv", "STATE;YEAR\nSP;2022\n".encode("iso-8859-1"))
+    schema = T.StructType([T.StructField("YEAR", S), T.StructField("STATE", S)])
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        sources.read_delimited(spark, scratch, schema).collect()
