@@ -57,6 +57,10 @@ FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL""",
     "json_payload_quarantine": """
 SELECT event_type, count(*) FILTER (WHERE event_id % 20 <> 0) AS valid_docs,
        count(*) FILTER (WHERE event_id % 20 = 0) AS quarantined_docs
+FROM events GROUP BY 1""",
+    "json_document_quarantine": """
+SELECT event_type, count(*) FILTER (WHERE day(ts) % 7 <> 0) AS parsed_rows,
+       count(DISTINCT day(ts)) FILTER (WHERE day(ts) % 7 = 0) AS quarantined_days
 FROM events GROUP BY 1""",
     "lineage_stamp": """
 SELECT event_type, 'run-1' AS run_id, count(*) AS n_rows FROM events GROUP BY 1""",

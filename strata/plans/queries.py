@@ -69,7 +69,8 @@ TRADE_COLUMNS = ["ORDER_KEY", "LINE_NO", "FLAG", "SHIP_YEAR", "SHIP_MONTH", "QTY
 TRADE_RAW = T.StructType([T.StructField(c, STRING) for c in TRADE_COLUMNS])
 
 
-def _series_delivery(events: DataFrame, defects: bool = True, with_time: bool = False) -> DataFrame:
+def _series_delivery(events: DataFrame, defects: bool = True, with_time: bool = False,
+                     keep: tuple[str, ...] = ()) -> DataFrame:
     """Events as the source would deliver them: all strings, dd/MM/yyyy dates
     (plus ``at``, the revision time as fixed-width ISO text, when ``with_time``)."""
     date_text = F.date_format("ts", "dd/MM/yyyy")
@@ -80,7 +81,7 @@ def _series_delivery(events: DataFrame, defects: bool = True, with_time: bool =
     extra = [F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("at")] if with_time else []
     return events.select(F.col("event_type").alias("series"),
                          F.col("event_id").cast("string").alias("id"),
-                         date_text.alias("date"), value_text.alias("value"), *extra)
+                         date_text.alias("date"), value_text.alias("value"), *extra, *keep)
 
 
 # ------------------------------------------------------------------ scans / sources
@@ -151,6 +152,31 @@ def json_payload_quarantine(spark: SparkSession, sf: str) -> DataFrame:
         F.count_if("valid").alias("valid_docs"), F.count_if(~F.col("valid")).alias("quarantined_docs"))
 
 
+@query
+def json_document_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Bounded JSON-array documents per (series, day); the documents of days where
+    day-of-month % 7 = 0 arrive as an HTML error page. Parsed rows are counted, the
+    HTML documents are quarantined (counted as days), none become NULL rows."""
+    events = load(spark, sf, "events").withColumn("day", F.dayofmonth("ts"))
+    raw = workspace(spark, "raw-series-docs")
+    good_days = events.filter(F.col("day") % 7 != 0)
+    sources.land_json_arrays(_series_delivery(good_days, defects=False, keep=("day",)),
+                             raw, keys=["series", "day"], fields=["date", "value"], salt_cols=["id"])
+    bad_days = (events.filter(F.col("day") % 7 == 0)
+                .select(F.col("event_type").alias("series"), "day").distinct().withColumn("doc", F.lit(0)))
+    sources.land_lines(bad_days, raw, F.lit("<html><body><h1>503 Service Unavailable</h1></body></html>"),
+                       ["series", "day", "doc"], mode="append")
+    docs = sources.read_json_array(spark, raw, T.StructType([T.StructField("date", STRING),
+                                                             T.StructField("value", STRING)]),
+                                   partitions={"series": STRING, "day": INT, "doc": INT}, keep_corrupt=True)
+    good, bad = sources.split_documents(docs, ["date", "value"])
+    parsed = good.groupBy("series").agg(F.count(F.lit(1)).alias("parsed_rows"))
+    quarantined = bad.groupBy("series").agg(F.count_distinct("day").alias("quarantined_days"))
+    return parsed.join(quarantined, "series", "full").select(
+        F.col("series").alias("event_type"), F.coalesce("parsed_rows", F.lit(0)).alias("parsed_rows"),
+        F.coalesce("quarantined_days", F.lit(0)).alias("quarantined_days"))
+
+
 @query
 def lineage_stamp(spark: SparkSession, sf: str) -> DataFrame:
     events = load(spark, sf, "events")

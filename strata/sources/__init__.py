@@ -10,6 +10,7 @@ from strata.sources.readers import (
     read_delimited,
     read_documents,
     read_json_array,
+    split_documents,
     split_payloads,
     stamp_lineage,
 )
@@ -17,5 +18,5 @@ from strata.sources.readers import (
 __all__ = [
     "NESTED_DOCUMENT", "classify_payloads", "explode_series", "in_list", "land_delimited", "land_documents",
     "land_json_arrays", "land_lines", "lookback", "period_list", "read_delimited",
-    "read_documents", "read_json_array", "split_payloads", "stamp_lineage",
+    "read_documents", "read_json_array", "split_documents", "split_payloads", "stamp_lineage",
 ]

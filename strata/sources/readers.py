@@ -1,7 +1,8 @@
 """Readers for landed raw files, always with an explicit schema (never inference).
 
 * ``read_delimited`` — header + separator + charset text files, every column a string.
-* ``read_json_array`` — one JSON array document per file (``multiLine``), flat rows.
+* ``read_json_array`` / ``split_documents`` — one JSON array document per file
+  (``multiLine``), flat rows; files that are not JSON can be quarantined.
 * ``read_documents`` / ``explode_series`` — nested documents:
   ``results[] -> series[] -> {place{id,name}, serie map<period, value>}`` flattened
   with two array explodes and one map explode (the map's key set is open-ended, so it
@@ -71,10 +72,32 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType,
-                    partitions: Mapping[str, T.DataType] | None = None) -> DataFrame:
-    """One JSON array (or object) per file -> one row per element."""
-    return (spark.read.schema(_with_partitions(schema, partitions))
-            .option("multiLine", True).json(path))
+                    partitions: Mapping[str, T.DataType | str] | None = None,
+                    keep_corrupt: bool = False) -> DataFrame:
+    """One JSON array (or object) per file -> one row per element.
+
+    In PERMISSIVE mode a file that is not JSON (say an HTML error page served with a
+    200) becomes one all-NULL row. ``keep_corrupt=True`` adds ``_corrupt_record`` with
+    the file's text on such rows, so ``split_documents`` can quarantine them."""
+    full = _with_partitions(schema, partitions)
+    reader = spark.read.option("multiLine", True)
+    if keep_corrupt:
+        full = T.StructType(list(full.fields) + [T.StructField(CORRUPT, T.StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.schema(full).json(path)
+
+
+def split_documents(docs: DataFrame, fields: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``read_json_array(..., keep_corrupt=True)`` -> ``(parsed rows, quarantined docs)``.
+
+    A quarantined document has its text in ``_corrupt_record`` and every data field
+    NULL. Testing the data ``fields`` too keeps them in the scan: Spark refuses a raw
+    file query that references only the corrupt-record column."""
+    no_fields = F.lit(True)
+    for f in fields:
+        no_fields = no_fields & F.col(f).isNull()
+    bad = F.col(CORRUPT).isNotNull() & no_fields
+    return docs.filter(~bad).drop(CORRUPT), docs.filter(bad)
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType = NESTED_DOCUMENT,

@@ -132,3 +132,16 @@ def test_delimited_header_mismatch_fails_instead_of_shifting(spark, scratch):
     schema = T.StructType([T.StructField("YEAR", S), T.StructField("STATE", S)])
     with pytest.raises(Exception, match="(?i)header|schema"):
         sources.read_delimited(spark, scratch, schema).collect()
+
+
+def test_non_json_document_is_quarantined(spark, scratch):
+    _write(f"{scratch}/series=1", "ok.json", json.dumps([{"date": "02/01/2024", "value": "4.9"},
+                                                        {"date": "03/01/2024", "value": "4.8"}]).encode())
+    _write(f"{scratch}/series=2", "bad.json", b"<html><body>Service Unavailable</body></html>")
+    schema = T.StructType([T.StructField("date", S), T.StructField("value", S)])
+    docs = sources.read_json_array(spark, scratch, schema, partitions={"series": "int"}, keep_corrupt=True)
+    good, bad = sources.split_documents(docs, ["date", "value"])
+    assert sorted((r["series"], r["value"]) for r in good.collect()) == [(1, "4.8"), (1, "4.9")]
+    quarantined = bad.collect()
+    assert [r["series"] for r in quarantined] == [2] and "html" in quarantined[0]["_corrupt_record"]
+    assert [r["series"] for r in bad.select("series").collect()] == [2]   # partition-only select works
