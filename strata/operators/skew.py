@@ -10,8 +10,9 @@
   AQE's skew split cannot apply.
 * ``derived_dim`` + ``dim_join`` — fact x dimension with an explicit strategy:
   ``broadcast`` only after the dimension's row count is proven under a bound (else
-  falls back to a shuffle join), ``merge`` forces a sort-merge join by hint, ``auto``
-  leaves the choice to AQE, which re-plans from runtime sizes.
+  falls back to a shuffle join), ``merge`` forces a sort-merge join over a staged
+  dimension (so AQE's skew-join split can apply), ``auto`` leaves the choice to AQE,
+  which re-plans from runtime sizes.
 """
 from __future__ import annotations
 
