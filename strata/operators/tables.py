@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.latest import latest_by_key
-from strata.session import conf_override, unique_name, workspace
+from strata.session import conf_override, discard, unique_name, workspace
 
 MAX_LITERAL_PARTITIONS = 1_000
 
@@ -94,6 +94,13 @@ def stage(df: DataFrame, label: str = "stage", partitions: Sequence[str] = ()) -
 
 def stage_observed(df: DataFrame, label: str, metrics: Sequence, partitions: Sequence[str] = ()):
     """``stage`` that also returns aggregate ``metrics`` computed in the same pass."""
+    staged, values, _ = staged_at(df, label, metrics, partitions)
+    return staged, values
+
+
+def staged_at(df: DataFrame, label: str, metrics: Sequence = (), partitions: Sequence[str] = ()):
+    """``stage_observed`` that also returns the staging path, for ``discard`` once the
+    staged copy has been fully consumed."""
     spark = df.sparkSession
     path = workspace(spark, label)
     obs = None
@@ -106,7 +113,7 @@ def stage_observed(df: DataFrame, label: str, metrics: Sequence, partitions: Seq
         w = w.partitionBy(*partitions)
     w.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path).select(*df.columns)
-    return staged, (obs.get if obs is not None else {})
+    return staged, (obs.get if obs is not None else {}), path
 
 
 # ---------------------------------------------------------------- append
@@ -145,10 +152,11 @@ def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
     # One pass over the batch: stage it (partitioned like the slice, so each statement
     # below reads only its own part) and count rows outside the slice on the way.
     outside = ~F.coalesce(_match(where), F.lit(False))
+    stage_path = None
     if staged:
         source, m = df, df.agg(F.count_if(outside).alias("outside")).first().asDict()
     else:
-        source, m = stage_observed(df, "slice-stage", [F.count_if(outside).alias("outside")], fixed)
+        source, m, stage_path = staged_at(df, "slice-stage", [F.count_if(outside).alias("outside")], fixed)
     if m["outside"]:
         raise ValueError(f"batch has {m['outside']} row(s) outside the replaced slice {dict(where)}; "
                          "refusing to write")
@@ -174,6 +182,8 @@ def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
                           f"SELECT {select_cols} FROM {view} WHERE {cond}")
     finally:
         spark.catalog.dropTempView(view)
+    if stage_path:   # reached only when every statement succeeded
+        discard(spark, stage_path)
     return len(combos)
 
 
@@ -210,8 +220,8 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    df, m = stage_observed(df, "upsert-batch", [F.count(F.lit(1)).alias("rows"),
-                                                F.count_if(any_null).alias("nulls")])
+    df, m, batch_path = staged_at(df, "upsert-batch", [F.count(F.lit(1)).alias("rows"),
+                                                       F.count_if(any_null).alias("nulls")])
     if m["nulls"]:
         raise ValueError(f"{m['nulls']} batch row(s) have a NULL in key {keys}")
     check_keys(df, keys)
@@ -219,8 +229,10 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
         before_write(df)
     if not table_exists(spark, name):
         create_table(df, name, partitions, location)
+        discard(spark, batch_path)
         return -1
     if m["rows"] == 0:
+        discard(spark, batch_path)
         return 0
     parts = partition_columns(spark, name)
     if not set(parts) <= set(keys):
@@ -236,6 +248,7 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
         found = touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()
         n_touched = len(found)
         if n_touched == 0:
+            discard(spark, batch_path)
             return 0
         if n_touched <= MAX_LITERAL_PARTITIONS:
             # literal predicate on partition columns -> pruned at planning time
@@ -263,6 +276,10 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
         # explicit schema: partition column types must not be re-inferred from folder names
         (spark.read.schema(merged.schema).parquet(staged).select(*cols)
          .write.insertInto(name, overwrite=True))
+    # the swap succeeded: both staged copies are consumed (on failure they are kept,
+    # and the merged copy can be swapped in again)
+    discard(spark, staged)
+    discard(spark, batch_path)
     return n_touched
 
 
@@ -288,10 +305,11 @@ def publish(df: DataFrame, database: str, table: str, export_path: str,
     ``coalesce(1)`` that would pull the upstream plan into a single task).
     """
     spark = df.sparkSession
-    staged = stage(df, "publish-stage")          # computed once, in parallel
+    staged, _, stage_path = staged_at(df, "publish-stage")   # computed once, in parallel
     if staged.limit(max_rows + 1).count() > max_rows:
         raise ValueError(f"publish is for small marts: more than {max_rows} rows")
     staged.repartition(1).write.mode("overwrite").parquet(export_path)
+    discard(spark, stage_path)
     loc = f" LOCATION {sql_literal(database_location)}" if database_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
     full = f"`{database}`.`{table}`"

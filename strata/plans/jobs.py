@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import tables
 from strata.operators.quality import Outcome
-from strata.session import workspace
+from strata.session import discard, workspace
 
 
 def new_run_id(prefix: str = "run") -> str:
@@ -84,7 +84,9 @@ def backfill(batch: DataFrame, table: str, column: str, values: Sequence,
                lambda v=v: tables.replace_slice(source.filter(F.col(column) == F.lit(v)), table,
                                                 {column: v}, partitions, location, staged=True))
               for v in values]
-    return run_slices(slices, log)
+    results = run_slices(slices, log)     # raises (keeping the staged copy) if a slice failed
+    discard(spark, staged)
+    return results
 
 
 def exit_code(job: Callable[[], object], log: Callable[[str], None] = print) -> int:

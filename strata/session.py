@@ -138,3 +138,18 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
     }
+
+
+def discard(spark: SparkSession, path: str) -> bool:
+    """Delete a staging folder this package created (``workspace`` paths only).
+
+    Called after an operation has fully consumed its staged copy; on failure the
+    copy is kept for inspection or recovery. Uses the Hadoop FileSystem of the path,
+    so it works on HDFS and object stores as well as local disks."""
+    root = f"{shared_root(spark)}/strata/"
+    if not path.startswith(root) or "/.." in path:
+        raise ValueError(f"refusing to delete {path!r}: not a strata staging folder")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))

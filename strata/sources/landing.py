@@ -79,13 +79,14 @@ def land_documents(df: DataFrame, path: str, place_id: Column, place_name: Colum
     """Nested documents: each place's ``period -> value`` map inside ``results[0].series``.
 
     ``df`` must hold one row per (place, period)."""
-    from strata.operators.tables import stage   # local import: operators build on sources
+    from strata.operators.tables import staged_at   # local import: operators build on sources
+    from strata.session import discard
 
     per_place = (df.select(place_id.alias("pid"), place_name.alias("pname"),
                            period.cast("string").alias("k"), value.cast("string").alias("v"))
                  .groupBy("pid", "pname")
                  .agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("serie")))
-    per_place = stage(per_place, "landing-places")   # computed once: counted, then nested
+    per_place, _, places_path = staged_at(per_place, "landing-places")   # computed once: counted, then nested
     n_docs = max(1, math.ceil(per_place.count() / places_per_doc))
     entries = per_place.select(
         hash_salt(n_docs, "pid").alias(DOC),
@@ -98,6 +99,7 @@ def land_documents(df: DataFrame, path: str, place_id: Column, place_name: Colum
         F.array(F.struct(F.collect_list("entry").alias("series"))).alias("results"),
     )).alias("value"))
     _write_one_file_per_doc(docs, path, [DOC])
+    discard(df.sparkSession, places_path)
     return path
 
 

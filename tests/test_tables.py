@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from strata.operators import tables
 from strata.session import unique_name
@@ -166,3 +167,27 @@ def test_upsert_unpartitioned_table(spark, scratch):
     assert tables.upsert(spark.createDataFrame([("a", 2), ("b", 3)], "k string, v int"), name, ["k"]) == 1
     assert tables.upsert(spark.createDataFrame([], "k string, v int"), name, ["k"]) == 0
     assert sorted(tuple(r) for r in spark.table(name).collect()) == [("a", 2), ("b", 3)]
+
+
+def test_staging_folders_are_removed_after_success(spark, scratch, sf_small):
+    import os
+    from strata.plans import gold
+    from strata.session import discard, shared_root
+
+    area = f"{shared_root(spark)}/strata"
+    prefixes = ("upsert-batch", "upsert-stage", "slice-stage", "publish-stage", "gold-stage")
+
+    def staging():
+        return {d for d in os.listdir(area) if d.startswith(prefixes)}
+
+    before = staging()
+    name = unique_name("clean")
+    df = spark.createDataFrame([(2023, "EXP", "SP", 1)], TRADE)
+    tables.upsert(df, name, ["year", "flow", "state"], ["year"], f"{scratch}/u")
+    tables.upsert(df.withColumn("fob", F.lit(2)), name, ["year", "flow", "state"])
+    tables.replace_slice(df, name, {"year": 2023})
+    tables.publish(df, unique_name("pub"), "t", f"{scratch}/export", f"{scratch}/db")
+    gold.build_gold(spark, sf_small, unique_name("g"), f"{scratch}/g", log=lambda _: None)
+    assert staging() == before
+    with pytest.raises(ValueError, match="refusing"):
+        discard(spark, scratch.rsplit("/strata/", 1)[0] + "/elsewhere")
