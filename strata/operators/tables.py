@@ -271,18 +271,30 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
     if parts:
         w = w.partitionBy(*parts)
     w.parquet(staged)
-    settings = {"spark.sql.sources.partitionOverwriteMode": "dynamic" if parts else "static"}
-    with conf_override(spark, settings):
-        # explicit schema: partition column types must not be re-inferred from folder names
-        (spark.read.schema(merged.schema).parquet(staged).select(*cols)
-         .write.insertInto(name, overwrite=True))
-    # the swap succeeded: both staged copies are consumed (on failure they are kept,
-    # and the merged copy can be swapped in again)
+    try:
+        swap_in(spark, name, staged)
+    except Exception as exc:
+        raise RuntimeError(f"upsert into {name}: swapping in the merged rows failed; they are kept "
+                           f"at {staged!r}: finish with tables.swap_in(spark, {name!r}, {staged!r}) "
+                           "or re-run the upsert") from exc
+    # the swap succeeded: both staged copies are consumed
     discard(spark, staged)
     discard(spark, batch_path)
     return n_touched
 
 
+def swap_in(spark: SparkSession, name: str, staged_path: str) -> None:
+    """Replace the partitions present in ``staged_path`` (merged rows of an upsert) in
+    table ``name`` by a dynamic partition overwrite; the whole table if unpartitioned."""
+    parts = partition_columns(spark, name)
+    target = spark.table(name)
+    settings = {"spark.sql.sources.partitionOverwriteMode": "dynamic" if parts else "static"}
+    with conf_override(spark, settings):
+        # the table's schema: partition types must not be re-inferred from folder names
+        (spark.read.schema(target.schema).parquet(staged_path).select(*target.columns)
+         .write.insertInto(name, overwrite=True))
+
+
 # ---------------------------------------------------------------- overwrite / publish
 def overwrite(df: DataFrame, name: str, partitions: Sequence[str] = (),
               location: str | None = None) -> None:

@@ -191,3 +191,25 @@ def test_staging_folders_are_removed_after_success(spark, scratch, sf_small):
     assert staging() == before
     with pytest.raises(ValueError, match="refusing"):
         discard(spark, scratch.rsplit("/strata/", 1)[0] + "/elsewhere")
+
+
+def test_failed_swap_keeps_merged_rows_and_swap_in_finishes(spark, silver, monkeypatch):
+    import re
+    from pyspark.sql import DataFrameWriter
+    batch = spark.createDataFrame([("pop", "3550308", 2021, 7.0)], SILVER)
+    real = DataFrameWriter.insertInto
+    calls = {"n": 0}
+
+    def flaky(self, *a, **k):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise RuntimeError("lost the cluster mid-swap")
+        return real(self, *a, **k)
+
+    monkeypatch.setattr(DataFrameWriter, "insertInto", flaky)
+    with pytest.raises(RuntimeError, match="kept at") as exc:
+        tables.upsert(batch, silver, ["dataset", "place", "year"])
+    staged = re.search(r"kept at '([^']+)'", str(exc.value)).group(1)
+    tables.swap_in(spark, silver, staged)
+    assert _silver_state(spark, silver) == [
+        ("gdp", "3550308", 2021, 1.0), ("pop", "3304557", 2021, 6775561.0), ("pop", "3550308", 2021, 7.0)]
