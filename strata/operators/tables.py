@@ -180,6 +180,13 @@ def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
                 cond = " AND ".join(f"`{c}` = {sql_literal(v)}" for c, v in zip(fixed, combo))
                 spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({static}{dynamic}) "
                           f"SELECT {select_cols} FROM {view} WHERE {cond}")
+    except Exception as exc:
+        if stage_path:
+            raise RuntimeError(
+                f"replace_slice into {name} failed part-way; the batch is kept at {stage_path!r}: "
+                f"finish with replace_slice(spark.read.schema(schema).parquet({stage_path!r}), "
+                f"{name!r}, {dict(where)!r}, staged=True) or re-run") from exc
+        raise
     finally:
         spark.catalog.dropTempView(view)
     if stage_path:   # reached only when every statement succeeded
