@@ -17,6 +17,7 @@ from strata.functions import pearson
 def select_slice(mart: DataFrame, years: Sequence[int] | None = None,
                  states: Sequence | None = None, year_col: str = "year",
                  state_col: str = "uf") -> DataFrame:
+    """Rows of the selected years and states (``isin`` filters; ``None`` keeps all)."""
     out = mart
     if years is not None:
         out = out.filter(F.col(year_col).isin(list(years)))
@@ -57,6 +58,7 @@ def complete_rows(mart: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def sorted_table(mart: DataFrame, asc: Sequence[str], desc: Sequence[str]) -> DataFrame:
+    """Sorted by ``asc`` columns ascending, then ``desc`` columns descending."""
     return mart.orderBy(*[F.col(c).asc() for c in asc], *[F.col(c).desc() for c in desc])
 
 

@@ -39,6 +39,8 @@ def _orderable(dt: T.DataType) -> bool:
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   tiebreak: Sequence[str] | None = None, method: str = "aggregate") -> DataFrame:
+    """One row per ``keys``: the greatest by ``order`` then ``tiebreak`` (default: every
+    other orderable column). Same columns as ``df``."""
     keys, order = list(keys), list(order)
     if not keys or not order:
         raise ValueError("latest_by_key needs at least one key and one order column")

@@ -28,12 +28,14 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def hot_keys(df: DataFrame, key: str, n: int = 5, alias: str = "hot_key") -> DataFrame:
+    """The ``n`` keys with most rows, ties broken by key (``hot_key``, ``n_rows``)."""
     counts = df.groupBy(F.col(key).alias(alias)).agg(F.count(F.lit(1)).alias("n_rows"))
     return counts.orderBy(F.col("n_rows").desc(), F.col(alias)).limit(n)
 
 
 def direct_sum(df: DataFrame, key: str, measure: str, key_alias: str = "k",
                alias: str = "total") -> DataFrame:
+    """Exact money sum per key in one partial + final aggregate."""
     return df.groupBy(F.col(key).alias(key_alias)).agg(money_sum(measure).alias(alias))
 
 

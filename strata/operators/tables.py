@@ -36,6 +36,7 @@ MAX_LITERAL_PARTITIONS = 1_000
 
 # ---------------------------------------------------------------- helpers
 def sql_literal(v) -> str:
+    """A SQL literal for a partition value (strings escaped)."""
     if v is None:
         return "NULL"
     if isinstance(v, bool):
@@ -51,10 +52,12 @@ def sql_literal(v) -> str:
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
+    """Catalog lookup; no data is read."""
     return spark.catalog.tableExists(name)
 
 
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    """Partition columns of a catalog table, in order."""
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
@@ -64,6 +67,7 @@ def _table_columns(spark: SparkSession, name: str) -> list[str]:
 
 def create_table(df: DataFrame, name: str, partitions: Sequence[str] = (),
                  location: str | None = None) -> None:
+    """Create a parquet catalog table from ``df`` (external when ``location`` is given)."""
     w = df.write.format("parquet").mode("errorifexists")
     if partitions:
         w = w.partitionBy(*partitions)

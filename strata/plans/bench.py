@@ -32,6 +32,7 @@ class Case:
 
 
 def timed(spark: SparkSession, build: Callable[[], DataFrame], runs: int = 2, warmup: int = 1) -> float:
+    """Best wall time of ``runs`` noop-sink executions after ``warmup``, fresh plan each."""
     best = float("inf")
     for i in range(warmup + runs):
         spark.catalog.clearCache()
@@ -95,6 +96,7 @@ CASES = [
 
 def run(spark: SparkSession, sf_dir: str, cases=None, runs: int = 2, warmup: int = 1,
         extra: Mapping[str, Callable[[SparkSession, str], DataFrame]] | None = None) -> dict[str, float]:
+    """Time every case under its own session confs (restored afterwards)."""
     n = load(spark, sf_dir, "lineitem").count()
     if n < MIN_ROWS_FOR_SIGNAL:
         print(f"[bench] note: {n} fact rows (< {MIN_ROWS_FOR_SIGNAL}); differences between "

@@ -31,6 +31,7 @@ MEASURE_VALUES = {"A": "population", "R": "gdp"}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table by name from ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -71,6 +72,7 @@ def measures(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> Dat
 
 
 def with_per_capita(m: DataFrame) -> DataFrame:
+    """``per_capita = round(gdp * 1000 / population, 2)``, NULL on zero population."""
     return marts.with_ratio(m, "gdp", "population", "per_capita", scale=1000.0, digits=2)
 
 

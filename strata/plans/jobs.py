@@ -26,6 +26,7 @@ from strata.session import discard, workspace
 
 
 def new_run_id(prefix: str = "run") -> str:
+    """Unique, sortable run id shared by every slice of one execution."""
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
     return f"{prefix}-{stamp}-{uuid.uuid4().hex[:8]}"
 
@@ -56,6 +57,7 @@ class SlicesFailed(Exception):
 
 def run_slices(slices: Sequence[tuple[str, Callable[[], object]]],
                log: Callable[[str], None] = print) -> list[SliceResult]:
+    """Run every slice; record failures and continue; raise ``SlicesFailed`` at the end."""
     results = []
     for name, fn in slices:
         try:

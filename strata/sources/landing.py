@@ -28,6 +28,7 @@ DOC = "doc"
 
 def land_delimited(df: DataFrame, path: str, sep: str = ";", encoding: str = "ISO-8859-1",
                    header: bool = True, partitions: Sequence[str] = ()) -> str:
+    """Every column as text, written as header + separator + charset files."""
     strings = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     w = (strings.write.mode("errorifexists").option("header", header).option("sep", sep)
          .option("encoding", encoding))

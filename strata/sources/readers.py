@@ -102,6 +102,7 @@ def split_documents(docs: DataFrame, fields: Sequence[str]) -> tuple[DataFrame,
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType = NESTED_DOCUMENT,
                    partitions: Mapping[str, T.DataType] | None = None) -> DataFrame:
+    """One nested JSON document per file, read with an explicit nested schema."""
     return (spark.read.schema(_with_partitions(schema, partitions))
             .option("multiLine", True).json(path))
 
