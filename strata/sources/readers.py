@@ -162,13 +162,20 @@ def stamp_lineage(df: DataFrame, run_id: str, source: str | None = None,
     )
 
 
-def lookback(df: DataFrame, date_col: str, key_col: str, windows: Mapping[str, int]) -> DataFrame:
-    """Keep rows of key ``k`` only within ``windows[k]`` months before the data's max date;
-    keys not in ``windows`` are unrestricted. The max is a scalar subquery (one small job
-    whose value is inlined), not a join."""
+def lookback(df: DataFrame, date_col: str, key_col: str, windows: Mapping[str, int],
+             anchor=None) -> DataFrame:
+    """Keep rows of key ``k`` only within ``windows[k]`` months before ``anchor``; keys
+    not in ``windows`` are unrestricted.
+
+    ``anchor`` is a date (e.g. the run date) or, by default, the data's own max date:
+    a scalar subquery (one small job whose value is inlined), not a join, which makes
+    re-runs on the same data give the same rows."""
     if not windows:
         return df
-    latest = df.agg(F.max(F.to_date(date_col))).scalar()
+    if anchor is not None:
+        latest = F.lit(anchor).cast("date")
+    else:
+        latest = df.agg(F.max(F.to_date(date_col))).scalar()
     keep = F.lit(True)
     for key, months in windows.items():
         keep = keep & ((F.col(key_col) != F.lit(key))

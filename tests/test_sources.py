@@ -145,3 +145,11 @@ def test_non_json_document_is_quarantined(spark, scratch):
     quarantined = bad.collect()
     assert [r["series"] for r in quarantined] == [2] and "html" in quarantined[0]["_corrupt_record"]
     assert [r["series"] for r in bad.select("series").collect()] == [2]   # partition-only select works
+
+
+def test_lookback_with_explicit_run_date(spark):
+    import datetime as dt
+    df = spark.createDataFrame([("d", "2013-01-01"), ("d", "2016-01-01")], "k string, d string") \
+        .withColumn("d", F.to_date("d"))
+    out = readers.lookback(df, "d", "k", {"d": 120}, anchor=dt.date(2025, 6, 1))
+    assert [str(r["d"]) for r in out.collect()] == ["2016-01-01"]
