@@ -217,7 +217,8 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
            location: str | None = None, order: Sequence[str] | None = None,
            before_write: Callable[[DataFrame], object] | None = None) -> int:
     """Insert new keys, replace existing ones; never deletes. Returns the number of
-    partitions rewritten (-1 when the table was created, 0 for an empty batch).
+    partitions rewritten (-1 when the table was created, 0 for an empty batch; capped
+    at ``MAX_LITERAL_PARTITIONS + 1`` when more were touched).
 
     Without ``order`` a batch row always replaces the stored row (MERGE semantics).
     With ``order`` (recency columns stored in the table) the newer row wins, so

@@ -213,3 +213,13 @@ def test_failed_swap_keeps_merged_rows_and_swap_in_finishes(spark, silver, monke
     tables.swap_in(spark, silver, staged)
     assert _silver_state(spark, silver) == [
         ("gdp", "3550308", 2021, 1.0), ("pop", "3304557", 2021, 6775561.0), ("pop", "3550308", 2021, 7.0)]
+
+
+def test_upsert_many_touched_partitions_uses_semi_join(spark, silver, monkeypatch):
+    monkeypatch.setattr(tables, "MAX_LITERAL_PARTITIONS", 1)
+    batch = spark.createDataFrame([("pop", "3304557", 2021, 1.0), ("gdp", "3550308", 2021, 2.0),
+                                   ("area", "3550308", 2021, 3.0)], SILVER)
+    assert tables.upsert(batch, silver, ["dataset", "place", "year"]) == 2   # more than the bound
+    assert _silver_state(spark, silver) == [
+        ("area", "3550308", 2021, 3.0), ("gdp", "3550308", 2021, 2.0),
+        ("pop", "3304557", 2021, 1.0), ("pop", "3550308", 2021, 12396372.0)]
