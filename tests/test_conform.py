@@ -54,9 +54,9 @@ def test_domain_filter_null_counts_as_dropped(spark):
 
 
 def test_state_from_municipality_code_prefix(spark):
-    df = spark.createDataFrame([("3550308",), ("1100015",), ("9900001",)], "code string")
+    df = spark.createDataFrame([("4106902",), ("1721000",), ("9900001",)], "code string")
     out = {r["code"]: r["uf"] for r in with_code_lookup(df, "code", BRAZIL_STATE_CODES, "uf", 2).collect()}
-    assert out == {"3550308": "SP", "1100015": "RO", "9900001": None}
+    assert out == {"4106902": "PR", "1721000": "TO", "9900001": None}
     assert len(BRAZIL_STATE_CODES) == 27
 
 
@@ -91,16 +91,16 @@ def test_municipal_marker_dropped_state_derived_and_revision_wins(spark, scratch
     def derive(df):
         return with_code_lookup(df, "place_id", BRAZIL_STATE_CODES, "uf", prefix_len=2)
 
-    first = _muni(spark, [("pop", "3550308", "2021", "12396372", "t1"), ("pop", "1100015", "2021", "-", "t1")])
+    first = _muni(spark, [("pop", "4106902", "2021", "1963726", "t1"), ("pop", "1721000", "2021", "-", "t1")])
     rep = layers.silver_upsert(first, MUNICIPAL, name, rules, keep=["dataset", "at"], order=["at"],
                                derive=derive, location=f"{scratch}/s", log=lambda _: None)
     assert rep.rejects["bad_value"] == 0          # a marker is "no value", not a parse failure
     rows = [tuple(r) for r in spark.table(name).select("place_id", "uf", "value").collect()]
-    assert rows == [("3550308", "SP", 12396372.0)]
-    revised = _muni(spark, [("pop", "3550308", "2021", "12400000", "t2")])
+    assert rows == [("4106902", "PR", 1963726.0)]
+    revised = _muni(spark, [("pop", "4106902", "2021", "1971234", "t2")])
     layers.silver_upsert(revised, MUNICIPAL, name, rules, keep=["dataset", "at"], order=["at"],
                          derive=derive, log=lambda _: None)
-    assert [tuple(r) for r in spark.table(name).select("place_id", "value").collect()] == [("3550308", 12400000.0)]
+    assert [tuple(r) for r in spark.table(name).select("place_id", "value").collect()] == [("4106902", 1971234.0)]
 
 
 def test_conf_override_restores_and_releases_on_error(spark):

@@ -10,13 +10,13 @@ def _plan(df):
 
 @pytest.fixture()
 def gold_parts(spark):
-    trade = spark.createDataFrame([("SP", 2023, "EXP", 60), ("SP", 2023, "EXP", 40), ("SP", 2023, "IMP", 999),
-                                   ("RJ", 2023, "EXP", 50), ("MG", 2024, "EXP", 10)],
+    trade = spark.createDataFrame([("SP", 2023, "EXP", 70), ("SP", 2023, "EXP", 50), ("SP", 2023, "IMP", 777),
+                                   ("RJ", 2023, "EXP", 45), ("MG", 2024, "EXP", 10)],
                                   "uf string, year int, flow string, fob long")
-    fx = spark.createDataFrame([(1, "2023-01-02", 5.0), (1, "2023-01-03", 5.2), (1, "2023-01-04", 5.4),
-                                (432, "2023-01-02", 13.75)], "series int, d string, value double")
-    muni = spark.createDataFrame([("pop", "SP", 2023, 600.0), ("pop", "SP", 2023, 400.0),
-                                  ("gdp", "SP", 2023, 50000.0), ("pop", "RJ", 2023, 1250.0),
+    fx = spark.createDataFrame([(1, "2023-01-02", 4.0), (1, "2023-01-03", 4.4), (1, "2023-01-04", 4.6),
+                                (99, "2023-01-02", 9.9)], "series int, d string, value double")
+    muni = spark.createDataFrame([("pop", "SP", 2023, 800.0), ("pop", "SP", 2023, 400.0),
+                                  ("gdp", "SP", 2023, 36000.0), ("pop", "RJ", 2023, 2000.0),
                                   ("gdp", "RJ", 2023, 50000.0), ("pop", "MG", 2024, 0.0),
                                   ("gdp", "MG", 2024, 10.0)],
                                  "dataset string, uf string, year int, value double")
@@ -33,10 +33,10 @@ def test_star_join_mart(gold_parts):
     mart = marts.star_join(exports, [(rate, ["year"]), (pg, ["uf", "year"])],
                            ["uf", "year", "exports", "avg_rate", "population", "gdp", "per_capita"])
     rows = {r["uf"]: r for r in mart.collect()}
-    assert rows["SP"]["exports"] == 100.0
-    assert rows["SP"]["avg_rate"] == pytest.approx(5.2)
-    assert rows["SP"]["population"] == 1000.0 and rows["SP"]["per_capita"] == 50000.0
-    assert rows["RJ"]["exports"] == 50.0 and rows["RJ"]["per_capita"] == 40000.0
+    assert rows["SP"]["exports"] == 120.0            # the import flow is not summed
+    assert rows["SP"]["avg_rate"] == pytest.approx(13.0 / 3)   # only series 1 averaged
+    assert rows["SP"]["population"] == 1200.0 and rows["SP"]["per_capita"] == 30000.0
+    assert rows["RJ"]["exports"] == 45.0 and rows["RJ"]["per_capita"] == 25000.0
     assert rows["MG"]["avg_rate"] is None            # year without FX stays, as NULL
     assert rows["MG"]["per_capita"] is None          # zero population -> NULL, not an error
 

@@ -43,12 +43,12 @@ def test_appending_a_delivery_twice_keeps_both(spark, scratch):
 
 
 def test_delimited_latin1_keeps_text_and_leading_zeros(spark, scratch):
-    body = "YEAR;MONTH;PORT;STATE;NAME;FOB\n2022;3;0417300;PR;Paranaguá;31000\n2022;4;0817600;SP;São Vicente;9000\n"
+    body = "YEAR;MONTH;PORT;STATE;NAME;FOB\n2022;3;0417300;PR;Paranaguá;31000\n2022;4;0927800;SP;São Vicente;9000\n"
     _write(scratch, "trade.csv", body.encode("iso-8859-1"))
     schema = T.StructType([T.StructField(c, S) for c in ["YEAR", "MONTH", "PORT", "STATE", "NAME", "FOB"]])
     df = sources.read_delimited(spark, scratch, schema)
     rows = sorted(df.collect(), key=lambda r: r["STATE"])
-    assert [r["PORT"] for r in rows] == ["0417300", "0817600"]
+    assert [r["PORT"] for r in rows] == ["0417300", "0927800"]
     assert [r["NAME"] for r in rows] == ["Paranaguá", "São Vicente"]
     bronze = df.withColumns({"flow": F.lit("EXP"), "year": F.col("YEAR").try_cast("int")})
     assert sorted((r["year"], r["flow"], r["STATE"], r["FOB"]) for r in bronze.collect()) == \

@@ -81,8 +81,8 @@ SILVER = "dataset string, place string, year int, value double"
 @pytest.fixture()
 def silver(spark, scratch):
     name = unique_name("silver")
-    first = spark.createDataFrame([("pop", "3550308", 2021, 12396372.0), ("pop", "3304557", 2021, 6775561.0),
-                                   ("gdp", "3550308", 2021, 1.0)], SILVER)
+    first = spark.createDataFrame([("pop", "4106902", 2021, 1963726.0), ("pop", "2304400", 2021, 2703391.0),
+                                   ("gdp", "4106902", 2021, 1.0)], SILVER)
     assert tables.upsert(first, name, ["dataset", "place", "year"], ["dataset"], f"{scratch}/s") == -1
     return name
 
@@ -92,12 +92,12 @@ def _silver_state(spark, name):
 
 
 def test_upsert_revision_replaces_and_new_key_inserts(spark, silver):
-    batch = spark.createDataFrame([("pop", "3550308", 2021, 12400000.0), ("pop", "3550308", 2022, 1.5)], SILVER)
+    batch = spark.createDataFrame([("pop", "4106902", 2021, 1971234.0), ("pop", "4106902", 2022, 1.5)], SILVER)
     for _ in range(3):   # idempotent
         tables.upsert(batch, silver, ["dataset", "place", "year"])
         assert _silver_state(spark, silver) == [
-            ("gdp", "3550308", 2021, 1.0), ("pop", "3304557", 2021, 6775561.0),
-            ("pop", "3550308", 2021, 12400000.0), ("pop", "3550308", 2022, 1.5)]
+            ("gdp", "4106902", 2021, 1.0), ("pop", "2304400", 2021, 2703391.0),
+            ("pop", "4106902", 2021, 1971234.0), ("pop", "4106902", 2022, 1.5)]
 
 
 def test_upsert_rejects_null_and_duplicate_keys(spark, silver):
@@ -151,14 +151,14 @@ def test_publish_is_skipped_without_a_target(spark):
 
 def test_upsert_keeps_string_partition_values_that_look_numeric(spark, scratch):
     name = unique_name("codes")
-    first = spark.createDataFrame([("0817600", "a", 1.0), ("0417300", "b", 2.0)],
+    first = spark.createDataFrame([("0927800", "a", 1.0), ("0417300", "b", 2.0)],
                                   "dataset string, k string, v double")
     tables.upsert(first, name, ["dataset", "k"], ["dataset"], f"{scratch}/c")
-    tables.upsert(spark.createDataFrame([("0817600", "a", 9.0)], "dataset string, k string, v double"),
+    tables.upsert(spark.createDataFrame([("0927800", "a", 9.0)], "dataset string, k string, v double"),
                   name, ["dataset", "k"])
     assert dict(spark.table(name).dtypes)["dataset"] == "string"
     assert sorted(tuple(r) for r in spark.table(name).select("dataset", "k", "v").collect()) == \
-        [("0417300", "b", 2.0), ("0817600", "a", 9.0)]
+        [("0417300", "b", 2.0), ("0927800", "a", 9.0)]
 
 
 def test_upsert_unpartitioned_table(spark, scratch):
@@ -196,7 +196,7 @@ def test_staging_folders_are_removed_after_success(spark, scratch, sf_small):
 def test_failed_swap_keeps_merged_rows_and_swap_in_finishes(spark, silver, monkeypatch):
     import re
     from pyspark.sql import DataFrameWriter
-    batch = spark.createDataFrame([("pop", "3550308", 2021, 7.0)], SILVER)
+    batch = spark.createDataFrame([("pop", "4106902", 2021, 7.0)], SILVER)
     real = DataFrameWriter.insertInto
     calls = {"n": 0}
 
@@ -212,14 +212,14 @@ def test_failed_swap_keeps_merged_rows_and_swap_in_finishes(spark, silver, monke
     staged = re.search(r"kept at '([^']+)'", str(exc.value)).group(1)
     tables.swap_in(spark, silver, staged)
     assert _silver_state(spark, silver) == [
-        ("gdp", "3550308", 2021, 1.0), ("pop", "3304557", 2021, 6775561.0), ("pop", "3550308", 2021, 7.0)]
+        ("gdp", "4106902", 2021, 1.0), ("pop", "2304400", 2021, 2703391.0), ("pop", "4106902", 2021, 7.0)]
 
 
 def test_upsert_many_touched_partitions_uses_semi_join(spark, silver, monkeypatch):
     monkeypatch.setattr(tables, "MAX_LITERAL_PARTITIONS", 1)
-    batch = spark.createDataFrame([("pop", "3304557", 2021, 1.0), ("gdp", "3550308", 2021, 2.0),
-                                   ("area", "3550308", 2021, 3.0)], SILVER)
+    batch = spark.createDataFrame([("pop", "2304400", 2021, 1.0), ("gdp", "4106902", 2021, 2.0),
+                                   ("area", "4106902", 2021, 3.0)], SILVER)
     assert tables.upsert(batch, silver, ["dataset", "place", "year"]) == 2   # more than the bound
     assert _silver_state(spark, silver) == [
-        ("area", "3550308", 2021, 3.0), ("gdp", "3550308", 2021, 2.0),
-        ("pop", "3304557", 2021, 1.0), ("pop", "3550308", 2021, 12396372.0)]
+        ("area", "4106902", 2021, 3.0), ("gdp", "4106902", 2021, 2.0),
+        ("pop", "2304400", 2021, 1.0), ("pop", "4106902", 2021, 1963726.0)]
