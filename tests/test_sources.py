@@ -105,11 +105,11 @@ def test_html_body_is_quarantined_not_loaded(spark, scratch):
     assert [r["payload"] for r in bad.collect()] == ["<html><body>maintenance</body></html>"]
 
 
-@pytest.mark.parametrize("years,expected", [([2022, 2020, 2021], "2020|2021|2022"), ([2021], "2021")])
+@pytest.mark.parametrize("years,expected", [([2019, 2017, 2018, 2017], "2017|2018|2019"), ([2016], "2016")])
 def test_period_list(spark, years, expected):
     df = spark.createDataFrame([(y,) for y in years], "y int")
     assert sources.period_list(df, "y").first()["period"] == expected
-    assert sources.in_list(expected) == [str(y) for y in sorted(years)]
+    assert sources.in_list(expected) == [str(y) for y in sorted(set(years))]
 
 
 def test_lookback_restricts_only_windowed_keys(spark):
