@@ -597,7 +597,7 @@ def incremental_silver(spark: SparkSession, sf: str) -> DataFrame:
         incremental.bronze_to_silver(spark, bronze, STREAM_RAW, STREAM_CONTRACT, ["series"], name,
                                      order=["at", "event_id"], checkpoint=f"{root}/ckpt-silver",
                                      location=f"{root}/silver", max_files_per_trigger=4,
-                                     derive=_with_month)
+                                     derive=_with_month, rules=[quality.unique("series", "date")])
     return spark.table(name).select("series", "date", "event_id", "value")
 
 

@@ -19,7 +19,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from strata.operators import tables
+from strata.operators import quality, tables
 from strata.operators.conform import conform
 from strata.operators.contracts import Contract
 from strata.operators.latest import latest_by_key
@@ -46,8 +46,13 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, bronze_schema: T.Str
                      contract: Contract, keep: Sequence[str], table: str, order: Sequence[str],
                      checkpoint: str, location: str | None = None,
                      max_files_per_trigger: int | None = None,
-                     derive: Callable[[DataFrame], DataFrame] | None = None) -> int:
-    """Conform (+ ``derive``) + latest-per-key + order-aware upsert for every new bronze file."""
+                     derive: Callable[[DataFrame], DataFrame] | None = None,
+                     rules: Sequence[quality.Rule] = (),
+                     log: Callable[[str], None] = lambda _: None) -> int:
+    """Conform (+ ``derive``) + latest-per-key + order-aware upsert for every new bronze
+    file. With ``rules``, each micro-batch is gated before it is written: a failing
+    gate stops the stream with its offsets uncommitted, so the same files are retried
+    on the next run (once the data is fixed), never half-applied."""
     keys, parts = list(contract.keys), list(contract.partitions)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
@@ -55,7 +60,10 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, bronze_schema: T.Str
         if derive is not None:
             rows = derive(rows)
         latest = latest_by_key(rows, keys, list(order))
-        tables.upsert(latest, table, keys, partitions=parts, location=location, order=order)
+        gate = (lambda staged: quality.gate(staged, rules, stage=f"{table}#{epoch_id}", log=log)) \
+            if rules else None
+        tables.upsert(latest, table, keys, partitions=parts, location=location, order=order,
+                      before_write=gate)
 
     reader = spark.readStream.schema(bronze_schema)
     if max_files_per_trigger:

@@ -171,3 +171,27 @@ def test_incremental_replays_a_failed_micro_batch(spark, scratch, monkeypatch):
                    ("2024-01-04", 18), ("2024-01-05", 19)]
     run()                          # nothing new
     assert spark.table(name).count() == 5
+
+
+def test_streaming_gate_stops_a_bad_micro_batch(spark, scratch):
+    from strata.operators import quality
+    from strata.sources import land_lines
+    raw, bronze, name = f"{scratch}/raw", f"{scratch}/bronze", unique_name("stream_gate")
+    rules = [quality.not_null("value")]
+
+    def run():
+        incremental.land_to_bronze(spark, raw, STREAM_RAW, bronze, f"{scratch}/c1")
+        incremental.bronze_to_silver(spark, bronze, STREAM_RAW, STREAM_CONTRACT, ["series"], name,
+                                     order=["at", "event_id"], checkpoint=f"{scratch}/c2",
+                                     location=f"{scratch}/silver", derive=_with_month, rules=rules)
+
+    good, p = _payloads(spark, [("s1", "1", "02/01/2024", "5.0", "2024-01-02T10:00:00")])
+    land_lines(good, raw, p, mode="append")
+    run()
+    bad, p = _payloads(spark, [("s1", "2", "03/01/2024", "n/a", "2024-01-03T10:00:00")])
+    land_lines(bad, raw, p, mode="append")
+    with pytest.raises(Exception, match="not_null"):
+        run()
+    assert spark.table(name).count() == 1          # the bad batch was not applied
+    with pytest.raises(Exception, match="not_null"):
+        run()                                      # still pending: retried, still refused
