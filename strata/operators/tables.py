@@ -4,11 +4,13 @@ Write modes (all re-runnable: applying the same batch once or N times gives the
 table, except ``append`` which keeps every delivery on purpose):
 
 * ``append`` — history-keeping landing zone.
-* ``replace_slice`` — delete everything matching ``col = v AND col IN (...)`` on a
-  prefix of the partition columns, then write the batch. Expressed as one
-  ``INSERT OVERWRITE ... PARTITION (static..., dynamic...)`` per static combination,
-  forced to static overwrite mode so that an empty batch still clears the slice. Batch
-  rows outside the slice are refused before anything is written.
+* ``replace_slice`` — make the slice ``col = v AND col IN (...)`` (on a prefix of the
+  partition columns) hold exactly the batch. The batch is staged once; one
+  dynamic-overwrite job swaps in every partition it holds (each replaced by a rename
+  at commit), then the slice's partitions the batch lacks are cleared with fully
+  static empty overwrites, so an empty batch still clears the slice. Past 1,000
+  partitions it falls back to one static ``INSERT OVERWRITE ... PARTITION`` per
+  combination. Batch rows outside the slice are refused before anything is written.
 * ``upsert`` — insert-or-replace by business key. Only partitions the batch touches
   are read, merged (anti-join + union, both shuffled on the key) and staged under the
   shared work folder, then swapped in with a dynamic partition overwrite.
@@ -142,7 +144,8 @@ def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
     (e.g. a quality gate) runs on the staged batch and may raise to stop the write.
     ``staged=True`` declares ``df`` already materialised (a read of staged files): it
     is then not copied again, and containment is one aggregate over it.
-    Returns the number of static partition combinations rewritten.
+    Returns the number of partitions swapped in or cleared (or, past the literal
+    bound, of static combinations rewritten).
     """
     spark = df.sparkSession
     if not where:
@@ -169,12 +172,72 @@ def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
     if before_write is not None:
         before_write(source)
 
+    cols = _table_columns(spark, name)
+    try:
+        layout = _slice_partitions(spark, name, source, parts, where)
+        if layout is None:   # too many partitions (or NULL ones) to name: one statement per combo
+            n = _replace_by_static_combos(spark, name, source, parts, fixed, where, cols)
+        else:
+            n = _swap_partitions(spark, name, source, parts, cols, *layout)
+    except Exception as exc:
+        if stage_path:
+            raise RuntimeError(
+                f"replace_slice into {name} failed part-way; the batch is kept at {stage_path!r}: "
+                f"finish with replace_slice(spark.read.schema(schema).parquet({stage_path!r}), "
+                f"{name!r}, {dict(where)!r}, staged=True) or re-run") from exc
+        raise
+    if stage_path:   # reached only when every statement succeeded
+        discard(spark, stage_path)
+    return n
+
+
+def _slice_partitions(spark: SparkSession, name: str, source: DataFrame, parts: Sequence[str],
+                      where: Mapping[str, object]):
+    """``(present, absent)`` partition tuples: in the batch, and in the table's slice but
+    not in the batch. ``None`` when either list exceeds the literal bound or holds NULL.
+    Both reads touch only partition columns (the batch is staged; the table is pruned)."""
+    bound = MAX_LITERAL_PARTITIONS
+    present = [tuple(r) for r in source.select(*parts).distinct().limit(bound + 1).collect()]
+    existing = [tuple(r) for r in spark.table(name).filter(_match(where)).select(*parts)
+                .distinct().limit(bound + 1).collect()]
+    if len(present) > bound or len(existing) > bound:
+        return None
+    if any(v is None for t in present + existing for v in t):
+        return None
+    return present, sorted(set(existing) - set(present))
+
+
+def _swap_partitions(spark: SparkSession, name: str, source: DataFrame, parts: Sequence[str],
+                     cols: Sequence[str], present: list, absent: list) -> int:
+    """One dynamic-overwrite job swaps in every partition present in the batch (each
+    replaced by a rename at commit, so readers never see it empty); then the slice's
+    partitions the batch lacks are cleared by fully static, empty overwrites."""
+    if present:
+        with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+            source.select(*cols).write.insertInto(name, overwrite=True)
+    if absent:
+        view = unique_name("slice_empty")
+        source.limit(0).createOrReplaceTempView(view)
+        data_cols = ", ".join(f"`{c}`" for c in cols if c not in parts)
+        try:
+            with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
+                for values in absent:
+                    spec = ", ".join(f"`{c}` = {sql_literal(v)}" for c, v in zip(parts, values))
+                    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT {data_cols} FROM {view}")
+        finally:
+            spark.catalog.dropTempView(view)
+    return len(present) + len(absent)
+
+
+def _replace_by_static_combos(spark: SparkSession, name: str, source: DataFrame, parts: Sequence[str],
+                              fixed: Sequence[str], where: Mapping[str, object], cols: Sequence[str]) -> int:
+    """One ``INSERT OVERWRITE ... PARTITION (static..., dynamic...)`` per static
+    combination, under static mode: each deletes its whole sub-slice, then writes."""
     values = [list(where[c]) if isinstance(where[c], (list, tuple, set, frozenset)) else [where[c]]
               for c in fixed]
     combos = list(itertools.product(*values))
     view = unique_name("slice_batch")
     source.createOrReplaceTempView(view)
-    cols = _table_columns(spark, name)
     select_cols = ", ".join(f"`{c}`" for c in cols if c not in fixed)
     try:
         with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
@@ -184,17 +247,8 @@ def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
                 cond = " AND ".join(f"`{c}` = {sql_literal(v)}" for c, v in zip(fixed, combo))
                 spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({static}{dynamic}) "
                           f"SELECT {select_cols} FROM {view} WHERE {cond}")
-    except Exception as exc:
-        if stage_path:
-            raise RuntimeError(
-                f"replace_slice into {name} failed part-way; the batch is kept at {stage_path!r}: "
-                f"finish with replace_slice(spark.read.schema(schema).parquet({stage_path!r}), "
-                f"{name!r}, {dict(where)!r}, staged=True) or re-run") from exc
-        raise
     finally:
         spark.catalog.dropTempView(view)
-    if stage_path:   # reached only when every statement succeeded
-        discard(spark, stage_path)
     return len(combos)
 
 

@@ -223,3 +223,23 @@ def test_upsert_many_touched_partitions_uses_semi_join(spark, silver, monkeypatc
     assert _silver_state(spark, silver) == [
         ("area", "4106902", 2021, 3.0), ("gdp", "4106902", 2021, 2.0),
         ("pop", "2304400", 2021, 1.0), ("pop", "4106902", 2021, 1963726.0)]
+
+
+def test_replace_slice_fallback_path_matches(spark, trade_table, monkeypatch):
+    """Past the literal bound, the per-combination static path gives the same table."""
+    monkeypatch.setattr(tables, "MAX_LITERAL_PARTITIONS", 0)
+    batch = _trade(spark, [(2023, "EXP", "SP", 33)])
+    tables.replace_slice(batch, trade_table, {"year": 2023})
+    assert [r for r in _state(spark, trade_table) if r[0] == 2023] == [(2023, "EXP", "SP", 33)]
+    tables.replace_slice(_trade(spark, [(2022, "EXP", "MG", 7)]), trade_table,
+                         {"year": [2022, 2024], "flow": "EXP"})
+    assert _state(spark, trade_table) == [(2022, "EXP", "MG", 7), (2022, "IMP", "SP", 2),
+                                          (2023, "EXP", "SP", 33)]
+
+
+def test_replace_slice_swaps_present_partitions_in_one_job(spark, trade_table):
+    batch = _trade(spark, [(2022, "EXP", "SP", 8), (2022, "IMP", "SP", 9), (2024, "EXP", "RJ", 6)])
+    # present: (2022,EXP), (2022,IMP), (2024,EXP); nothing absent in the slice
+    assert tables.replace_slice(batch, trade_table, {"year": [2022, 2024]}) == 3
+    assert _state(spark, trade_table) == [(2022, "EXP", "SP", 8), (2022, "IMP", "SP", 9),
+                                          (2023, "EXP", "SP", 3), (2023, "IMP", "RJ", 4), (2024, "EXP", "RJ", 6)]
