@@ -47,6 +47,10 @@ def test_query_matches_oracle(spark, duck, sf_small, name):
     assert "EvalPython" not in df._jdf.queryExecution().executedPlan().toString()
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(cols) == sorted(rel.columns)
+    spark_to_duck = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                     "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+    assert {c: spark_to_duck.get(t, t) for c, t in df.dtypes} == \
+        {c: str(t) for c, t in zip(rel.columns, rel.types)}
     idx = [rel.columns.index(c) for c in cols]
     expected = Counter(tuple(_norm(r[i]) for i in idx) for r in rel.fetchall())
     assert Counter(tuple(_norm(x) for x in r) for r in rows) == expected
