@@ -22,9 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import hash_salt, money_sum
-from strata.operators.tables import stage
+from strata.operators.tables import stage, staged_at
+from strata.session import path_bytes
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024   # compressed parquet bytes of the staged dimension
 
 
 def hot_keys(df: DataFrame, key: str, n: int = 5, alias: str = "hot_key") -> DataFrame:
@@ -65,16 +67,19 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
 
 
 def dim_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str = "inner",
-             strategy: str = "auto", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+             strategy: str = "auto", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+             max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Join ``fact`` to ``dim``. For ``broadcast`` the dimension is staged once (so the
     size check and the join do not both recompute it) and broadcast only when its
-    staged row count is within ``max_broadcast_rows``; above it, and for ``merge``, a
-    sort-merge join over a staged dimension, which AQE's skew-join handling can split
-    when one key holds a large share of the fact."""
+    staged copy is within ``max_broadcast_rows`` rows AND ``max_broadcast_bytes`` bytes
+    on disk (both measured, not estimated); otherwise, and for ``merge``, a sort-merge
+    join over a staged dimension, which AQE's skew-join handling can split when one
+    key holds a large share of the fact. The staged dimension stays referenced by the
+    returned (lazy) join, so it is left to the checkpoint folder's retention."""
     on = [on] if isinstance(on, str) else list(on)
     if strategy == "broadcast":
-        dim = stage(dim, "dim-stage")
-        if bounded_rows(dim, max_broadcast_rows):
+        dim, _, path = staged_at(dim, "dim-stage")
+        if path_bytes(dim.sparkSession, path) <= max_broadcast_bytes and bounded_rows(dim, max_broadcast_rows):
             dim = F.broadcast(dim)
         else:   # too big to copy to every executor: shuffle both sides instead
             dim = dim.hint("merge")   # already staged: AQE skew-join applies

@@ -153,3 +153,12 @@ def discard(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.delete(p, True))
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored under ``path`` (compressed, as written), from the FileSystem's
+    content summary: a measured size, e.g. for a broadcast decision."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())

@@ -119,3 +119,10 @@ def test_salted_join_equals_plain_join_and_detects_the_hot_key(spark, skewed):
         assert salted == plain
     with pytest.raises(ValueError):
         skew.salted_join(skewed, dim, "k", "full")
+
+
+def test_broadcast_also_bounded_by_bytes(spark, skewed):
+    dim = skew.derived_dim(skewed, "k", F.concat(F.lit("r"), (F.col("k") % 5).cast("string")), "region")
+    tiny_bytes = skew.dim_join(skewed, dim, "k", strategy="broadcast", max_broadcast_bytes=10)
+    assert "BroadcastHashJoin" not in _plan(tiny_bytes)
+    assert tiny_bytes.count() == 3000
