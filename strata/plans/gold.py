@@ -22,9 +22,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import marts, quality, tables
+from strata.operators import marts, quality
 from strata.operators.marts import pivot_sum, star_join
-from strata.session import discard
+from strata.plans.layers import gold_overwrite
 
 MART_COLUMNS = ["uf", "year", "exports", "avg_rate", "population", "gdp", "per_capita"]
 MEASURE_VALUES = {"A": "population", "R": "gdp"}
@@ -96,8 +96,5 @@ def build_gold(spark: SparkSession, sf_dir: str, table: str, location: str | Non
     """Compute the mart once (staged), gate the staged copy in one aggregate pass, then
     fully overwrite the gold table from it, partitioned by year. The expensive
     upstream scans and joins run once, not once for the gate and again for the write."""
-    mart, _, path = tables.staged_at(gold_mart(spark, sf_dir), "gold-stage")
-    quality.gate(mart, gold_rules(), stage="gold", log=log)
-    tables.overwrite(mart, table, partitions=["year"], location=location)
-    discard(spark, path)
+    gold_overwrite(gold_mart(spark, sf_dir), table, gold_rules(), ["year"], location, log=log)
     return spark.table(table)

@@ -22,7 +22,7 @@ from strata.operators import quality, tables
 from strata.operators.conform import conform
 from strata.operators.contracts import Contract
 from strata.operators.latest import latest_by_key
-from strata.session import unique_name
+from strata.session import discard, unique_name
 
 
 @dataclass
@@ -30,7 +30,7 @@ class StageReport:
     table: str
     rejects: dict = field(default_factory=dict)     # observed during the staging pass
     quality: list[Row] = field(default_factory=list)
-    rewritten: int = 0                              # partitions / slices rewritten
+    rewritten: int = 0                              # partitions / slices rewritten (-1: whole table)
 
 
 def _prepare(bronze: DataFrame, contract: Contract, keep: Sequence[str],
@@ -86,3 +86,18 @@ def silver_replace(bronze: DataFrame, contract: Contract, table: str, rules: Seq
                                  quality.gate(staged, rules, stage=table, log=log)))
     report.rejects, report.rewritten = _collect(observations), n
     return report
+
+
+def gold_overwrite(mart: DataFrame, table: str, rules: Sequence[quality.Rule],
+                   partitions: Sequence[str] = (), location: str | None = None,
+                   log: Callable[[str], None] = print) -> StageReport:
+    """Derived (gold) table: compute ``mart`` once (staged), gate the staged copy in one
+    aggregate, then fully overwrite ``table`` from it. Nothing is written when a rule
+    fails. The upstream scans and joins run once, not once per check and again for
+    the write."""
+    staged, _, path = tables.staged_at(mart, "gold-stage")
+    report = StageReport(table, quality=quality.gate(staged, rules, stage=table, log=log))
+    tables.overwrite(staged, table, partitions=list(partitions), location=location)
+    discard(mart.sparkSession, path)
+    report.rewritten = -1
+    return report
