@@ -195,3 +195,18 @@ def test_streaming_gate_stops_a_bad_micro_batch(spark, scratch):
     assert spark.table(name).count() == 1          # the bad batch was not applied
     with pytest.raises(Exception, match="not_null"):
         run()                                      # still pending: retried, still refused
+
+
+def test_gold_overwrite_gates_before_writing(spark, scratch):
+    from strata.operators import quality
+    from strata.plans import layers
+    mart = spark.createDataFrame([("SP", 2023, 10.0), ("RJ", 2023, -1.0)], "uf string, year int, exports double")
+    name = unique_name("gold_gate")
+    with pytest.raises(DataQualityError):
+        layers.gold_overwrite(mart, name, [quality.between("exports", min_value=0)], ["year"],
+                              f"{scratch}/g", log=lambda _: None)
+    assert not spark.catalog.tableExists(name)
+    ok = mart.filter("exports >= 0")
+    rep = layers.gold_overwrite(ok, name, [quality.unique("uf", "year")], ["year"], f"{scratch}/g",
+                                log=lambda _: None)
+    assert rep.quality[0]["passed"] and spark.table(name).count() == 1
