@@ -51,7 +51,7 @@ def main(argv: list[str] | None = None) -> int:
 
     def run():
         if args.cmd == "gold":
-            out = gold.build_gold(spark, args.source, args.table, args.location)
+            out = gold.refresh_gold(spark, args.source, args.table, args.location)
             print(f"[gold] {args.table}: {out.count()} rows")
         elif args.cmd == "inventory":
             names = [t.strip() for t in args.tables.split(",") if t.strip()]

@@ -91,7 +91,7 @@ def gold_rules() -> list[quality.Rule]:
             quality.between("exports", min_value=0), quality.between("avg_rate", min_value=0)]
 
 
-def build_gold(spark: SparkSession, sf_dir: str, table: str, location: str | None = None,
+def refresh_gold(spark: SparkSession, sf_dir: str, table: str, location: str | None = None,
                log=print) -> DataFrame:
     """Compute the mart once (staged), gate the staged copy in one aggregate pass, then
     fully overwrite the gold table from it, partitioned by year. The expensive

@@ -8,7 +8,7 @@ Each runner composes the operators in the same order:
 
 The reject counters are observed during the staging pass (no extra job), the gate is
 one aggregate over the staged copy, and the table is touched only when every rule
-passes. A gate failure raises ``DataQualityError`` (exit code 3: do not retry).
+passes. A gate failure raises ``GateFailed`` (exit code 3: do not retry).
 """
 from __future__ import annotations
 

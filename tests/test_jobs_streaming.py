@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import tables
-from strata.operators.quality import DataQualityError, Outcome
+from strata.operators.quality import GateFailed, Outcome
 from strata.plans import jobs
 from strata.plans.queries import STREAM_CONTRACT, STREAM_RAW, _with_month
 from strata.session import unique_name
@@ -27,7 +27,7 @@ def test_failing_slice_does_not_stop_the_others():
 
 def test_exit_codes():
     assert jobs.exit_code(lambda: None) == 0
-    assert jobs.exit_code(lambda: (_ for _ in ()).throw(DataQualityError("gold", [])), log=lambda _: None) == 3
+    assert jobs.exit_code(lambda: (_ for _ in ()).throw(GateFailed("gold", [])), log=lambda _: None) == 3
     assert jobs.exit_code(lambda: 1 / 0, log=lambda _: None) == 1
 
 
@@ -101,7 +101,7 @@ def test_silver_stage_gate_stops_before_writing(spark, sf_small):
     bronze = _series_delivery(load(spark, sf_small, "events"), with_time=True)
     name = unique_name("silver_gate")
     strict = [quality.not_null("value"), quality.unique("series", "date")]
-    with pytest.raises(DataQualityError) as exc:
+    with pytest.raises(GateFailed) as exc:
         layers.silver_upsert(bronze, STREAM_CONTRACT, name, strict, keep=["series"],
                              order=["at", "event_id"], derive=_with_month, log=lambda _: None)
     assert [r["name"] for r in exc.value.failures] == ["not_null(value)"]
@@ -202,7 +202,7 @@ def test_gold_overwrite_gates_before_writing(spark, scratch):
     from strata.plans import layers
     mart = spark.createDataFrame([("SP", 2023, 10.0), ("RJ", 2023, -1.0)], "uf string, year int, exports double")
     name = unique_name("gold_gate")
-    with pytest.raises(DataQualityError):
+    with pytest.raises(GateFailed):
         layers.gold_overwrite(mart, name, [quality.between("exports", min_value=0)], ["year"],
                               f"{scratch}/g", log=lambda _: None)
     assert not spark.catalog.tableExists(name)

@@ -70,6 +70,6 @@ def test_gold_table_is_partitioned_by_year(spark, sf_small):
     from strata.operators import tables
     from strata.session import unique_name
     name = unique_name("gold")
-    out = gold.build_gold(spark, sf_small, name, workspace(spark, "gold"), log=lambda _: None)
+    out = gold.refresh_gold(spark, sf_small, name, workspace(spark, "gold"), log=lambda _: None)
     assert tables.partition_columns(spark, name) == ["year"]
     assert out.count() == out.select("uf", "year").distinct().count()

@@ -187,7 +187,7 @@ def test_staging_folders_are_removed_after_success(spark, scratch, sf_small):
     tables.upsert(df.withColumn("fob", F.lit(2)), name, ["year", "flow", "state"])
     tables.replace_slice(df, name, {"year": 2023})
     tables.publish(df, unique_name("pub"), "t", f"{scratch}/export", f"{scratch}/db")
-    gold.build_gold(spark, sf_small, unique_name("g"), f"{scratch}/g", log=lambda _: None)
+    gold.refresh_gold(spark, sf_small, unique_name("g"), f"{scratch}/g", log=lambda _: None)
     assert staging() == before
     with pytest.raises(ValueError, match="refusing"):
         discard(spark, scratch.rsplit("/strata/", 1)[0] + "/elsewhere")
