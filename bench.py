@@ -28,7 +28,7 @@ def main() -> None:
     t0 = time.perf_counter()
     results = bench.run(spark, sf_dir)
     # Headline queries include their writes (landing, upsert, gated overwrite), so they
-    # are timed end to end: plan + all jobs + collecting the (small) result.
+    # are timed end to end: building the plan, every job, and the noop write of the result.
     for name in HEADLINE:
         best = float("inf")
         for i in range(3):

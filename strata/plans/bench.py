@@ -31,7 +31,7 @@ class Case:
     conf: Mapping[str, str] = field(default_factory=dict)
 
 
-def timed(spark: SparkSession, build: Callable[[], DataFrame], runs: int = 2, warmup: int = 1) -> float:
+def best_time(spark: SparkSession, build: Callable[[], DataFrame], runs: int = 2, warmup: int = 1) -> float:
     """Best wall time of ``runs`` noop-sink executions after ``warmup``, fresh plan each.
 
     The clock includes ``build()``: operators that materialise something eagerly while
@@ -107,9 +107,9 @@ def run(spark: SparkSession, sf_dir: str, cases=None, runs: int = 2, warmup: int
     out: dict[str, float] = {}
     for case in cases or CASES:
         with conf_override(spark, dict(case.conf)):
-            out[case.name] = round(timed(spark, lambda c=case: c.build(spark, sf_dir), runs, warmup), 4)
+            out[case.name] = round(best_time(spark, lambda c=case: c.build(spark, sf_dir), runs, warmup), 4)
     for name, build in (extra or {}).items():
-        out[name] = round(timed(spark, lambda b=build: b(spark, sf_dir), runs, warmup), 4)
+        out[name] = round(best_time(spark, lambda b=build: b(spark, sf_dir), runs, warmup), 4)
     return out
 
 
