@@ -133,3 +133,16 @@ def test_keep_column_clashing_with_target_is_refused(spark):
     df = spark.createDataFrame([("01/01/2024", "1")], "d string, v string").withColumn("date", F.lit("x"))
     with pytest.raises(ValueError, match="collide"):
         conform(df, CONTRACT, keep=["date"])
+
+
+def test_timestamp_and_decimal_fields(spark):
+    import decimal
+    contract = Contract(fields=(Field("t", "at", "timestamp", format="yyyy-MM-dd HH:mm"),
+                                Field("m", "amount", "decimal(12,2)")))
+    df = spark.createDataFrame([("2024-01-02 10:30", "12.50"), ("yesterday", "1,5")], "t string, m string")
+    c = conform(df, contract)
+    rows = c.rows.orderBy(F.col("at").asc_nulls_last()).collect()
+    assert rows[0]["at"] == dt.datetime(2024, 1, 2, 10, 30) and rows[0]["amount"] == decimal.Decimal("12.50")
+    assert rows[1]["at"] is None and rows[1]["amount"] is None
+    led = c.ledger.first()
+    assert (led["bad_at"], led["bad_amount"]) == (1, 1)
