@@ -70,3 +70,39 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]],
     for dim, keys in dims:
         out = out.join(dim, on=list(keys), how="left")
     return out.select(*columns) if columns else out
+
+
+MAX_WIDE_PERIODS = 200
+
+
+def rolled_up_join(facts: DataFrame, key: str, period: str, measures: Sequence[str],
+                   dim: DataFrame, dim_key: str, dim_cols: Sequence[str]) -> DataFrame:
+    """Sums of ``measures`` per (``key``, ``period``), joined to ``dim`` on the key:
+    rows ``(dim_cols..., period, measures...)``, one per key and period that has facts.
+
+    Plan: aggregate by ``key`` alone, one conditional sum (and row count) per period.
+    The partial aggregate collapses a hot key map-side, and the join to ``dim`` reuses
+    the aggregate's hash partitioning on the key, so the facts are shuffled once. Periods
+    are then turned back into rows. The period list is a small distinct query; past
+    ``MAX_WIDE_PERIODS`` periods it falls back to grouping by (key, period) first, which
+    costs one more shuffle.
+    """
+    found = [r[0] for r in facts.select(period).distinct().limit(MAX_WIDE_PERIODS + 1).collect()]
+    dim = dim.select(dim_key, *dim_cols)
+    if len(found) > MAX_WIDE_PERIODS:
+        per_key = facts.groupBy(key, period).agg(*[F.sum(m).alias(m) for m in measures])
+        return per_key.join(dim, F.col(key) == F.col(dim_key)).select(*dim_cols, period, *measures)
+    periods = sorted(found, key=lambda v: (v is None, v))
+    aggs = []
+    for i, p in enumerate(periods):
+        hit = F.col(period).eqNullSafe(F.lit(p))
+        aggs.append(F.count_if(hit).alias(f"__n{i}"))
+        aggs += [F.sum(F.when(hit, F.col(m))).alias(f"__{m}{i}") for m in measures]
+    wide = facts.groupBy(key).agg(*aggs)
+    joined = wide.join(dim, F.col(key) == F.col(dim_key))
+    period_type = facts.schema[period].dataType
+    entries = [F.struct(F.lit(p).cast(period_type).alias(period), F.col(f"__n{i}").alias("__n"),
+                        *[F.col(f"__{m}{i}").alias(m) for m in measures])
+               for i, p in enumerate(periods)]
+    return (joined.select(*dim_cols, F.inline(F.array(*entries)))
+            .filter(F.col("__n") > 0).drop("__n"))

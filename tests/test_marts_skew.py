@@ -126,3 +126,18 @@ def test_broadcast_also_bounded_by_bytes(spark, skewed):
     tiny_bytes = skew.dim_join(skewed, dim, "k", strategy="broadcast", max_broadcast_bytes=10)
     assert "BroadcastHashJoin" not in _plan(tiny_bytes)
     assert tiny_bytes.count() == 3000
+
+
+def test_rolled_up_join_matches_plain_group_and_keeps_null_periods(spark, monkeypatch):
+    facts = spark.createDataFrame([(1, 2020, 10.0), (1, 2020, 5.0), (1, 2021, None), (2, None, 7.0),
+                                   (3, 2021, 1.0)], "k int, p int, v double")
+    dim = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "dk int, g string")
+    from collections import Counter
+    expected = Counter(tuple(r) for r in facts.groupBy("k", "p").agg(F.sum("v").alias("v"))
+                       .join(dim, F.col("k") == F.col("dk")).select("g", "p", "v").collect())
+    wide = Counter(tuple(r) for r in marts.rolled_up_join(facts, "k", "p", ["v"], dim, "dk", ["g"]).collect())
+    assert wide == expected                      # includes (a, 2021, None) and (b, None, 7.0)
+    assert ("b", None, 7.0) in wide and ("a", 2021, None) in wide
+    monkeypatch.setattr(marts, "MAX_WIDE_PERIODS", 0)
+    fallback = Counter(tuple(r) for r in marts.rolled_up_join(facts, "k", "p", ["v"], dim, "dk", ["g"]).collect())
+    assert fallback == expected
