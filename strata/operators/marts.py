@@ -93,16 +93,17 @@ def rolled_up_join(facts: DataFrame, key: str, period: str, measures: Sequence[s
         per_key = facts.groupBy(key, period).agg(*[F.sum(m).alias(m) for m in measures])
         return per_key.join(dim, F.col(key) == F.col(dim_key)).select(*dim_cols, period, *measures)
     periods = sorted(found, key=lambda v: (v is None, v))
+    # internal column names are positional, so no measure name can collide with them
     aggs = []
     for i, p in enumerate(periods):
         hit = F.col(period).eqNullSafe(F.lit(p))
-        aggs.append(F.count_if(hit).alias(f"__n{i}"))
-        aggs += [F.sum(F.when(hit, F.col(m))).alias(f"__{m}{i}") for m in measures]
+        aggs.append(F.count_if(hit).alias(f"__rows_{i}"))
+        aggs += [F.sum(F.when(hit, F.col(m))).alias(f"__sum_{i}_{j}") for j, m in enumerate(measures)]
     wide = facts.groupBy(key).agg(*aggs)
     joined = wide.join(dim, F.col(key) == F.col(dim_key))
     period_type = facts.schema[period].dataType
-    entries = [F.struct(F.lit(p).cast(period_type).alias(period), F.col(f"__n{i}").alias("__n"),
-                        *[F.col(f"__{m}{i}").alias(m) for m in measures])
+    entries = [F.struct(F.lit(p).cast(period_type).alias(period), F.col(f"__rows_{i}").alias("__rows"),
+                        *[F.col(f"__sum_{i}_{j}").alias(m) for j, m in enumerate(measures)])
                for i, p in enumerate(periods)]
     return (joined.select(*dim_cols, F.inline(F.array(*entries)))
-            .filter(F.col("__n") > 0).drop("__n"))
+            .filter(F.col("__rows") > 0).drop("__rows"))
