@@ -76,7 +76,8 @@ MAX_WIDE_PERIODS = 200
 
 
 def rolled_up_join(facts: DataFrame, key: str, period: str, measures: Sequence[str],
-                   dim: DataFrame, dim_key: str, dim_cols: Sequence[str]) -> DataFrame:
+                   dim: DataFrame, dim_key: str, dim_cols: Sequence[str],
+                   periods: Sequence | None = None) -> DataFrame:
     """Sums of ``measures`` per (``key``, ``period``), joined to ``dim`` on the key:
     rows ``(dim_cols..., period, measures...)``, one per key and period that has facts.
 
@@ -86,8 +87,15 @@ def rolled_up_join(facts: DataFrame, key: str, period: str, measures: Sequence[s
     are then turned back into rows. The period list is a small distinct query; past
     ``MAX_WIDE_PERIODS`` periods it falls back to grouping by (key, period) first, which
     costs one more shuffle.
+
+    ``periods`` skips that query. It must contain every period present in ``facts``
+    (rows of other periods would be dropped), so take it from a cheap source that is
+    a superset by construction, such as the table the period column comes from. When
+    ``facts`` is itself an expensive plan, this keeps the period query from re-running
+    it.
     """
-    found = [r[0] for r in facts.select(period).distinct().limit(MAX_WIDE_PERIODS + 1).collect()]
+    found = list(periods) if periods is not None else \
+        [r[0] for r in facts.select(period).distinct().limit(MAX_WIDE_PERIODS + 1).collect()]
     dim = dim.select(dim_key, *dim_cols)
     if len(found) > MAX_WIDE_PERIODS:
         per_key = facts.groupBy(key, period).agg(*[F.sum(m).alias(m) for m in measures])

@@ -124,9 +124,9 @@ def _place_code(nation: str, key: str):
 def _orders_per_customer_year(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """``(c_custkey, c_name, c_nationkey, year, n)``: order counts rolled up per customer
     before the customer join, which reuses the rollup's partitioning (one shuffle)."""
-    facts = orders.select("o_custkey", F.year("o_orderdate").alias("year"), F.lit(1).alias("n"))
+    facts = orders.select("o_custkey", F.year("o_orderdate").cast("int").alias("year"), F.lit(1).alias("n"))
     return marts.rolled_up_join(facts, "o_custkey", "year", ["n"], customer, "c_custkey",
-                                ["c_custkey", "c_name", "c_nationkey"])
+                                ["c_custkey", "c_name", "c_nationkey"], periods=gold.order_years(orders))
 
 
 @query
