@@ -73,3 +73,18 @@ def test_gold_table_is_partitioned_by_year(spark, sf_small):
     out = gold.refresh_gold(spark, sf_small, name, workspace(spark, "gold"), log=lambda _: None)
     assert tables.partition_columns(spark, name) == ["year"]
     assert out.count() == out.select("uf", "year").distinct().count()
+
+
+def test_customer_join_reuses_the_rollup_partitioning(spark, sf_small):
+    import re
+    from strata.session import conf_override
+    no_broadcast = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    with conf_override(spark, no_broadcast):
+        e = gold.exports(gold.load(spark, sf_small, "orders"), gold.load(spark, sf_small, "customer"))
+        e.collect()
+        plan = e._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    keys = re.findall(r"Exchange hashpartitioning\(([a-z_]+)", plan)
+    # orders shuffled once (by customer, for the rollup, reused by the join), customers
+    # once, plus the tiny final (nation, year) aggregate: no (customer, year) exchange
+    assert sorted(keys) == ["c_custkey", "c_nationkey", "o_custkey"]
