@@ -97,7 +97,7 @@ def rolled_up_join(facts: DataFrame, key: str, period: str, measures: Sequence[s
     found = list(periods) if periods is not None else \
         [r[0] for r in facts.select(period).distinct().limit(MAX_WIDE_PERIODS + 1).collect()]
     dim = dim.select(dim_key, *dim_cols)
-    if len(found) > MAX_WIDE_PERIODS:
+    if not found or len(found) > MAX_WIDE_PERIODS:   # no facts at all, or too many periods
         per_key = facts.groupBy(key, period).agg(*[F.sum(m).alias(m) for m in measures])
         return per_key.join(dim, F.col(key) == F.col(dim_key)).select(*dim_cols, period, *measures)
     periods = sorted(found, key=lambda v: (v is None, v))

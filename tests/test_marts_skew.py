@@ -141,3 +141,10 @@ def test_rolled_up_join_matches_plain_group_and_keeps_null_periods(spark, monkey
     monkeypatch.setattr(marts, "MAX_WIDE_PERIODS", 0)
     fallback = Counter(tuple(r) for r in marts.rolled_up_join(facts, "k", "p", ["v"], dim, "dk", ["g"]).collect())
     assert fallback == expected
+
+
+def test_rolled_up_join_on_empty_facts(spark):
+    facts = spark.createDataFrame([], "k int, p int, v double")
+    dim = spark.createDataFrame([(1, "a")], "dk int, g string")
+    out = marts.rolled_up_join(facts, "k", "p", ["v"], dim, "dk", ["g"])
+    assert out.count() == 0 and out.columns == ["g", "p", "v"]
