@@ -109,6 +109,7 @@ def bronze_delimited_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def bronze_json_array_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Events landed as bounded JSON-array documents per series, read multiLine."""
     raw = workspace(spark, "raw-series")
     sources.land_json_arrays(_series_delivery(load(spark, sf, "events"), defects=False),
                              raw, keys=["series"], fields=["date", "value"], salt_cols=["id"])
@@ -131,6 +132,7 @@ def _orders_per_customer_year(orders: DataFrame, customer: DataFrame) -> DataFra
 
 @query
 def nested_document_explode(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested documents landed from order counts, exploded back to rows."""
     orders, customer = load(spark, sf, "orders"), load(spark, sf, "customer")
     places = _orders_per_customer_year(orders, customer)
     raw = workspace(spark, "raw-municipal")
@@ -144,6 +146,7 @@ def nested_document_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def json_payload_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """One payload per line; HTML bodies are quarantined, not parsed into NULL rows."""
     events = load(spark, sf, "events")
     body = F.to_json(F.struct(F.date_format("ts", "dd/MM/yyyy").alias("date"),
                               F.col("event_id").cast("string").alias("value")))
@@ -185,6 +188,7 @@ def json_document_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def lineage_stamp(spark: SparkSession, sf: str) -> DataFrame:
+    """Two deliveries read with run id and raw file path on every row."""
     events = load(spark, sf, "events")
     raw = workspace(spark, "raw-deliveries")
     delivery = F.when(F.dayofmonth("ts") <= 15, F.lit("first")).otherwise(F.lit("second"))
@@ -199,6 +203,7 @@ def lineage_stamp(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def lookback_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Flow F limited to 24 months before the data's max date; other flows unrestricted."""
     orders = load(spark, sf, "orders").select(F.col("o_orderstatus").alias("flow"), "o_orderdate")
     recent = sources.lookback(orders, "o_orderdate", "flow", {"F": 24})
     return recent.groupBy("flow").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -206,6 +211,7 @@ def lookback_window(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def period_list(spark: SparkSession, sf: str) -> DataFrame:
+    """Sorted distinct order years joined by '|'."""
     years = load(spark, sf, "orders").select(F.year("o_orderdate").alias("y"))
     return sources.period_list(years, "y", "|", "period")
 
@@ -218,6 +224,7 @@ def _orders_bronze(orders: DataFrame) -> DataFrame:
 
 @query
 def partition_pruned_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """One year read from a (year, flow)-partitioned copy (PartitionFilters)."""
     path = workspace(spark, "bronze-orders")
     _orders_bronze(load(spark, sf, "orders")).write.partitionBy("year", "flow").parquet(path)
     one_year = spark.read.parquet(path).filter(F.col("year") == 1998)   # PartitionFilters
@@ -228,6 +235,7 @@ def partition_pruned_scan(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ conform / filters
 @query
 def typed_conform(spark: SparkSession, sf: str) -> DataFrame:
+    """Typed conformance; bad dates dropped, bad values kept as NULL."""
     bronze = _series_delivery(load(spark, sf, "events"))
     typed = conform(bronze, SERIES_CONTRACT, keep=["series"]).rows
     return typed.select("event_id", "series", "date", "value")
@@ -235,6 +243,7 @@ def typed_conform(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def reject_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Reject counts per reason and series, one aggregate."""
     bronze = _series_delivery(load(spark, sf, "events"))
     ledger = conform(bronze, SERIES_CONTRACT, keep=["series"], ledger_by=["series"]).ledger
     return ledger.select("series", "total", "bad_date", "bad_value")
@@ -242,6 +251,7 @@ def reject_ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def domain_filter_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Month 3..9 and tax >= 0.02 with NULL months counted as dropped."""
     li = load(spark, sf, "lineitem")
     month = F.when(F.col("l_orderkey") % 11 == 0, F.lit(None)).otherwise(F.month("l_shipdate"))
     rows = li.select(F.col("l_returnflag").alias("flag"), month.alias("month"), "l_tax")
@@ -252,6 +262,7 @@ def domain_filter_query(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def code_map_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Code -> state through a literal map on the 2-digit prefix; unmapped codes give NULL."""
     customer = load(spark, sf, "customer").withColumn("code", _place_code("c_nationkey", "c_custkey"))
     # code prefix -> state label, by rule: nations 7 and 13 deliberately unmapped
     prefixes = {f"{k + 11:02d}": f"N{k}" for k in range(25) if k not in (7, 13)}
@@ -260,6 +271,7 @@ def code_map_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest row per (order, line) by ship date with a total tie-break."""
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey",
                                             "l_suppkey", "l_extendedprice")
     latest = latest_by_key(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"],
@@ -274,6 +286,7 @@ def _table(spark: SparkSession, prefix: str) -> tuple[str, str]:
 
 @query
 def append_keeps_history(spark: SparkSession, sf: str) -> DataFrame:
+    """K1: the same delivery appended twice is kept twice."""
     delivery = _series_delivery(load(spark, sf, "events"), defects=False)
     name, loc = _table(spark, "bronze_series")
     for _ in range(2):   # the same delivery landed twice: both are kept
@@ -294,6 +307,7 @@ def _slice_counts(spark: SparkSession, name: str) -> DataFrame:
 
 @query
 def replace_partition_eq(spark: SparkSession, sf: str) -> DataFrame:
+    """K2: slice (year = 1997, flow = F) replaced by the even-key orders."""
     bronze, name = _orders_slices(spark, sf)
     batch = bronze.filter((F.col("year") == 1997) & (F.col("flow") == "F") & (F.col("o_orderkey") % 2 == 0))
     tables.replace_slice(batch, name, {"year": 1997, "flow": "F"})
@@ -302,6 +316,7 @@ def replace_partition_eq(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def replace_partition_in_list(spark: SparkSession, sf: str) -> DataFrame:
+    """K3: slice (flow = P, year IN (1996, 1998)) replaced by the even-key orders."""
     bronze, name = _orders_slices(spark, sf)
     years = [1996, 1998]
     batch = bronze.filter(F.col("year").isin(years) & (F.col("flow") == "P") & (F.col("o_orderkey") % 2 == 0))
@@ -311,6 +326,7 @@ def replace_partition_in_list(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def replace_partition_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    """K4: slice (year = 1999) replaced by flow F only; flows O and P of 1999 go away."""
     bronze, name = _orders_slices(spark, sf)
     batch = bronze.filter((F.col("year") == 1999) & (F.col("flow") == "F"))
     tables.replace_slice(batch, name, {"year": 1999})   # flows O, P of 1999 disappear
@@ -351,16 +367,19 @@ def _upserted(spark: SparkSession, sf: str, applications: int) -> DataFrame:
 
 @query
 def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Target of latest rows before Jan 20, upserted with a batch from Jan 10 on."""
     return _upserted(spark, sf, 1)
 
 
 @query
 def upsert_idempotent(spark: SparkSession, sf: str) -> DataFrame:
+    """The same upsert batch applied three times."""
     return _upserted(spark, sf, 3)
 
 
 @query
 def catalog_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """Single-file export of a small mart, registered twice as a catalog table."""
     mart = load(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("segment")) \
         .agg(F.count(F.lit(1)).alias("n_rows"))
     db, root = unique_name("analytics"), workspace(spark, "publish")
@@ -372,6 +391,7 @@ def catalog_publish(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def layer_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Row count per expected table; a missing table is reported, not raised."""
     sf = sf.rstrip("/")
     return tables.inventory(spark, {"orders": f"{sf}/orders.parquet", "events": f"{sf}/events.parquet",
                                     "absent_table": f"{sf}/absent_table.parquet"})
@@ -384,23 +404,27 @@ def _sources(spark: SparkSession, sf: str):
 
 @query
 def export_by_uf_year(spark: SparkSession, sf: str) -> DataFrame:
+    """A1: exports per (nation, year), pre-aggregated per customer before the join."""
     o, c, _ = _sources(spark, sf)
     return gold.exports(o, c)
 
 
 @query
 def avg_rate_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    """A2: yearly average rate of open line items."""
     return gold.rates(load(spark, sf, "lineitem"))
 
 
 @query
 def pivot_measures(spark: SparkSession, sf: str) -> DataFrame:
+    """A3: explicit-value pivot of returned quantities per (nation, year)."""
     o, c, li = _sources(spark, sf)
     return gold.measures(li, o, c)
 
 
 @query
 def per_capita_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    """A4: gdp * 1000 / population, NULL where population is 0."""
     o, c, li = _sources(spark, sf)
     m = gold.measures(li, o, c)
     m = m.withColumn("population", F.when(F.col("uf") == 3, F.col("population") * 0)
@@ -410,6 +434,7 @@ def per_capita_ratio(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def star_join_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """The gold mart computed once, gated, overwritten by year."""
     name, loc = _table(spark, "gold_mart")
     return gold.refresh_gold(spark, sf, name, loc, log=lambda _: None).select(*gold.MART_COLUMNS)
 
@@ -417,6 +442,7 @@ def star_join_gold(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ quality
 @query
 def quality_not_null(spark: SparkSession, sf: str) -> DataFrame:
+    """Q1: not-null ratio with a 5% tolerance."""
     ev = load(spark, sf, "events")
     ev = ev.withColumn("value", F.when(F.col("event_id") % 37 == 0, F.lit(None))
                        .otherwise(F.col("event_id").cast("double")))
@@ -426,6 +452,7 @@ def quality_not_null(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def quality_unique(spark: SparkSession, sf: str) -> DataFrame:
+    """Duplicates on (order, line)."""
     li = load(spark, sf, "lineitem")
     return quality.evaluate(li, [quality.unique("l_orderkey", "l_linenumber")], "bronze_lines") \
         .select("name", "failing", "total", "passed")
@@ -433,6 +460,7 @@ def quality_unique(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def quality_between(spark: SparkSession, sf: str) -> DataFrame:
+    """Q3: inclusive range on tax with NULLs ignored."""
     li = load(spark, sf, "lineitem")
     li = li.withColumn("l_tax", F.when(F.col("l_orderkey") % 11 == 0, F.lit(None)).otherwise(F.col("l_tax")))
     return quality.evaluate(li, [quality.between("l_tax", 0.01, 0.06)], "bronze_lines") \
@@ -441,6 +469,7 @@ def quality_between(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def quality_gate_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Q4: four rules evaluated in one aggregate job."""
     li = load(spark, sf, "lineitem")
     rules = [quality.not_null("l_tax"), quality.unique("l_orderkey", "l_linenumber"),
              quality.between("l_quantity", 1, 50), quality.between("l_discount", max_value=0.05)]
@@ -450,16 +479,19 @@ def quality_gate_report(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ skew / join strategy
 @query
 def hot_keys_top5(spark: SparkSession, sf: str) -> DataFrame:
+    """The five suppliers with most rows."""
     return skew.hot_keys(load(spark, sf, "lineitem"), "l_suppkey", 5)
 
 
 @query
 def direct_group_sum(spark: SparkSession, sf: str) -> DataFrame:
+    """A10: exact sum per supplier, combined map-side."""
     return skew.direct_sum(load(spark, sf, "lineitem"), "l_suppkey", "l_extendedprice")
 
 
 @query
 def salted_group_sum(spark: SparkSession, sf: str) -> DataFrame:
+    """The same sum in two levels with a deterministic hash salt."""
     li = load(spark, sf, "lineitem")
     return skew.salted_sum(li, "l_suppkey", "l_extendedprice", buckets=16,
                            salt_cols=["l_orderkey", "l_linenumber", "l_partkey"])
@@ -476,11 +508,13 @@ def _region_join(spark: SparkSession, sf: str, strategy: str) -> DataFrame:
 
 @query
 def broadcast_dim_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Fact x derived dimension, broadcast under a measured bound."""
     return _region_join(spark, sf, "broadcast")
 
 
 @query
 def sort_merge_dim_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The same join forced to sort-merge over a staged dimension."""
     return _region_join(spark, sf, "merge")
 
 
@@ -498,6 +532,7 @@ def salted_dim_join(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def wide_group_sum(spark: SparkSession, sf: str) -> DataFrame:
+    """A5: sum by (year, flag, part)."""
     li = load(spark, sf, "lineitem")
     return li.groupBy(F.year("l_shipdate").cast("int").alias("year"), F.col("l_returnflag").alias("flag"),
                       F.col("l_partkey").alias("part")).agg(money_sum("l_extendedprice").alias("total"))
@@ -505,6 +540,7 @@ def wide_group_sum(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def multi_measure_group(spark: SparkSession, sf: str) -> DataFrame:
+    """Two measures by (year, supplier, flag)."""
     li = load(spark, sf, "lineitem")
     return li.groupBy(F.year("l_shipdate").cast("int").alias("year"), F.col("l_suppkey").alias("supp"),
                       F.col("l_returnflag").alias("flag")) \
@@ -523,34 +559,40 @@ def _mart(spark: SparkSession, sf: str, null_population_for: int | None = None)
 
 @query
 def dash_export_by_uf(spark: SparkSession, sf: str) -> DataFrame:
+    """Exports re-aggregated per state, largest first."""
     m = _mart(spark, sf).withColumn("exports", F.col("exports").cast("decimal(18,2)"))
     return insight.total_by(m, "uf", "exports").withColumn("exports", F.col("exports").cast("double"))
 
 
 @query
 def dash_rate_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    """T4: one rate per year from the mart."""
     return insight.one_per_key(_mart(spark, sf), "year", "avg_rate")
 
 
 @query
 def dash_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    """Pearson(rate, exports) guarded by at least two years."""
     return insight.correlation(_mart(spark, sf), "avg_rate", "exports", guard_col="year")
 
 
 @query
 def dash_per_capita_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Mart rows whose per-capita value is present."""
     m = _mart(spark, sf, null_population_for=3)
     return insight.complete_rows(m, ["per_capita"]).select("uf", "year", "per_capita")
 
 
 @query
 def dash_raw_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Selected years and states, year ascending, exports descending."""
     m = insight.select_slice(_mart(spark, sf), years=[1996, 1998], states=[1, 2, 5])
     return insight.sorted_table(m, asc=["year"], desc=["exports"]).select("uf", "year", "exports")
 
 
 @query
 def non_empty_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Which mart columns have any value in 2001."""
     m = insight.select_slice(_mart(spark, sf), years=[2001]).select("uf", "year", "exports", "avg_rate")
     return insight.non_empty_columns(m)
 
