@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import quality_rules, token_counts
+from strata.llm import quality_rules, shards, token_counts
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the piece model."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op8_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards of near equal bytes."""
+    rows = shards.shard(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "size", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"))
