@@ -1,6 +1,8 @@
 """Helpers shared by the text operators: table reads, shared-folder tables, words."""
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given parquet tables."""
+    # where no package is installed, Python workers look where the driver found this one
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

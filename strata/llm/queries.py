@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import quality_rules, shards, token_counts
+from strata.llm import byte_bpe, quality_rules, shards, token_counts, token_store
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,19 @@ def op8_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
         F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every document by merge replay, decode its ids, and digest both."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.digests(byte_bpe.decode(ids, ranks, public_tokenizers.PATTERN))
+
+
+@query
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all ids to directly addressable code segments and read the documents back."""
+    store = token_store.write_tokens(table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return token_store.read_tokens(store)
