@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, quality_rules, shards, token_counts, token_store
+from strata.llm import byte_bpe, quality_rules, rule_classifier, shards, token_counts, token_store
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,9 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = token_store.write_tokens(table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     return token_store.read_tokens(store)
+
+
+@query
+def op3_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document from weighted rules over its statistics."""
+    return rule_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
