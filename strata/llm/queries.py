@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, quality_rules, rule_classifier, shards, token_counts, token_store
+from strata.llm import ann, byte_bpe, quality_rules, rule_classifier, shards, token_counts, token_store
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,10 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document from weighted rules over its statistics."""
     return rule_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every vector whose id is divisible by 100."""
+    base = table(spark, sf_dir, "embeddings")
+    return ann.nearest(base, base.where(F.col("vec_id") % 100 == 0))
