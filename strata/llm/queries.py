@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, byte_bpe, quality_rules, rule_classifier, shards, token_counts, token_store
+from strata.llm import ann, byte_bpe, packing, quality_rules, rule_classifier, shards, token_counts, token_store
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,10 @@ def op2_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors of every vector whose id is divisible by 100."""
     base = table(spark, sf_dir, "embeddings")
     return ann.nearest(base, base.where(F.col("vec_id") % 100 == 0))
+
+
+@query
+def op4_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 4096 tokens with their BM25 neighbours."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
