@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, byte_bpe, packing, quality_rules, rule_classifier, shards, token_counts, token_store
+from strata.llm import ann, byte_bpe, line_dedup, packing, quality_rules, rule_classifier, shards, token_counts, token_store
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,11 @@ def op4_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 4096 tokens with their BM25 neighbours."""
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that stand in an earlier one."""
+    docs = table(spark, sf_dir, "documents")
+    cleaned = line_dedup.dedup_lines(docs.withColumn("n_chars", F.length("text").cast("long")), count_col="n_cut_chunks")
+    return cleaned.select("doc_id", "text", "n_cut_chunks", (F.col("n_chars") - F.length("text")).alias("cut_chars"))
