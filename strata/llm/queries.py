@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, byte_bpe, line_dedup, packing, quality_rules, rule_classifier, shards, token_counts, token_store
+from strata.llm import ann, byte_bpe, jaccard_join, line_dedup, packing, quality_rules, rule_classifier, shards, token_counts, token_store
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,9 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     cleaned = line_dedup.dedup_lines(docs.withColumn("n_chars", F.length("text").cast("long")), count_col="n_cut_chunks")
     return cleaned.select("doc_id", "text", "n_cut_chunks", (F.col("n_chars") - F.length("text")).alias("cut_chars"))
+
+
+@query
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 5-word shingles, Jaccard 0.8."""
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
