@@ -37,6 +37,14 @@ def bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def with_passing(df: DataFrame, name: str, value: Column, test) -> DataFrame:
+    """The rows whose ``value`` passes ``test``, with that value as column ``name``.
+
+    A plain filter would be pushed below the projection and copy a costly expression into
+    the condition as often as it is named there; a generator computes it once."""
+    return df.withColumn(name, F.explode(F.filter(F.array(value), test)))
+
+
 def words(text: Column) -> Column:
     """Array of the maximal runs of non-space characters (empty for null text)."""
     empty = F.array().cast("array<string>")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import input_partitions, stored
+from strata.llm.common import SPACE, input_partitions, stored
 
 WORDS = 5
 #: Jaccard threshold as a fraction.
@@ -364,10 +364,9 @@ def _bucket_pairs(col: dict[str, np.ndarray], points: np.ndarray) -> tuple[np.nd
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest id reachable by
-    links), class_id (its set's class, null without shingles), class_links (the links
-    between its class and others that were verified)."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(features, named, links): rows with their class, every class with its component and
+    smallest id, and the verified links between classes."""
     rows = _rows(docs, id_col, text_col)
     hot = docs.sparkSession.sparkContext.broadcast(_hot_shingles(rows))
     features = stored(_features(rows, hot), "join-features")
@@ -377,14 +376,38 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     comps = components(first)
     second = stored(_verified(_tree_pairs(suspects, comps, sets), sets), "join-links")
     links = first.union(second).distinct()
-    comps = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("class_links"))
-    # classes first, so that copies are summed up before they are shuffled by component
+    # classes first, so that copies are summed up before anything is shuffled by component
     classes = features.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("least"))
-    named = classes.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    named = classes.join(components(links), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    return features, named, links
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the smallest id reachable by
+    links), class_id (its set's class, null without shingles), class_links (the links
+    between its class and others that were verified)."""
+    features, named, links = _grouped(docs, id_col, text_col)
+    degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("class_links"))
     smallest = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     known = named.join(smallest, "comp").join(degree, "cls", "left").select("cls", "component_id", "class_links")
     out = features.select("doc_id", "n", "cls").join(known, "cls", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
                       F.col("cls").alias("class_id"), F.coalesce("class_links", F.lit(0).cast("long")).alias("class_links"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the smallest id's (rows without an id last;
+    then by the text's hash). Rows without a word are linked with nothing and stay."""
+    features, named, _ = _grouped(docs, id_col, text_col)
+    place = {"__no_id": F.col(id_col).isNull(), "__id": F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")),
+             "__th": F.xxhash64(text_col)}
+    placed = features.where(F.col("cls").isNotNull()).select(
+        "cls", F.struct(F.col("doc_id").isNull().alias("__no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("__id"),
+                        F.col("th").alias("__th")).alias("at"))
+    first = placed.groupBy("cls").agg(F.min("at").alias("at")).join(named.select("cls", "comp"), "cls").groupBy("comp").agg(
+        F.min("at").alias("at")).select("at.*")
+    worded = F.coalesce(F.col(text_col).rlike(f"[^{SPACE}]"), F.lit(False))
+    keyed = docs.withColumns(place)
+    kept = keyed.where(worded).join(first, list(place), "left_semi").dropDuplicates(list(place)).drop(*place)
+    return kept.unionByName(docs.where(~worded))

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE, SPACE_CHARS, bind, stored
+from strata.llm.common import SPACE, SPACE_CHARS, bind, stored, with_passing
 
 AVERAGE = 3
 MIN_CHARS = 60
@@ -124,4 +124,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def with_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that still hold a word."""
-    return docs.where(F.col(text_col).rlike(f"[^{SPACE}]"))
+    return with_passing(docs, text_col, F.col(text_col), lambda t: t.rlike(f"[^{SPACE}]"))

@@ -26,7 +26,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE, bind, stored, words
+from strata.llm.common import SPACE, bind, stored, with_passing, words
 
 MAX_TRAINING_ROWS = 20_000
 THRESHOLD = 0.3
@@ -136,15 +136,15 @@ def fit(rows: DataFrame) -> RuleModel:
         rows.unpersist()
 
 
-def train(stats: DataFrame, labels: DataFrame, max_training_rows: int = MAX_TRAINING_ROWS) -> RuleModel:
-    """Fit on the labelled rows that aren't held out; ``stats``: doc_id and the statistics."""
+def training_labels(labels: DataFrame, max_training_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
+    """(doc_id, label) of about ``max_training_rows`` labelled rows at most, none held out."""
     marks = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("label"))
     marks = marks.where(~is_held_out(F.col("doc_id")))
     n = marks.count()
     step = 1 << 20
     if n > max_training_rows:
         marks = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) < max_training_rows * step // n)
-    return fit(stats.join(marks, "doc_id"))
+    return marks
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -152,16 +152,19 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """One row per document: doc_id, held_out, score, predicted."""
     stats = stored(docs.select(F.col(id_col).alias("doc_id"), statistics(F.col(text_col)).alias("s"))
                    .select("doc_id", "s.*"), "text-statistics")
-    model = train(stats, labels)
+    model = fit(stats.join(training_labels(labels), "doc_id"))
     return stats.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), model.score(F.col).alias("score")).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              threshold: float = THRESHOLD) -> DataFrame:
-    """The documents whose score reaches the threshold, their columns unchanged."""
+def keep_good(docs: DataFrame, corpus: DataFrame, labels: DataFrame, id_col: str = "doc_id",
+              text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents whose score reaches the threshold, their columns unchanged. Rules are
+    learnt from the labelled rows of ``corpus``, which may hold more than ``docs``."""
+    # bounded by max_training_rows, so it may be broadcast
+    marks = F.broadcast(training_labels(labels))
+    rows = corpus.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(marks, "doc_id")
+    model = fit(stored(rows.select(statistics(F.col("text")).alias("s"), "label").select("s.*", "label"), "training-statistics"))
     out = "__statistics"
-    marked = docs.withColumn(out, statistics(F.col(text_col)))
-    stats = stored(marked.select(F.col(id_col).alias("doc_id"), f"{out}.*"), "text-statistics")
-    model = train(stats, labels)
-    return marked.where(model.score(lambda name: F.col(out)[name]) >= threshold).drop(out)
+    return with_passing(docs, out, statistics(F.col(text_col)),
+                        lambda s: model.score(lambda name: s[name]) >= threshold).drop(out)
