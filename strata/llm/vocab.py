@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import array
 import os
+import re
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -41,9 +42,33 @@ def _library(path: str):
     return Tokenizer.from_file(path)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others
+    for the code points from 256 on, in order."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
+def _model_ids(tok) -> Callable[[str], list[int]]:
+    """Ids of one pre-tokenized piece by the library's model alone."""
+    tokenize = tok.model.tokenize
+
+    def ids(piece: str) -> list[int]:
+        if not piece.isalpha() or not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(_LETTERS)
+        return [t.id for t in tokenize(piece)]
+
+    return ids
+
+
 class ByteLevelIds:
     """A byte-level BPE file of the tokenizers library: each match of its split pattern is
-    encoded by itself. A text that holds an added token's string goes to the library whole."""
+    encoded by the library's model. A text that holds an added token's string goes to the
+    library whole."""
 
     def __init__(self, path: str, pattern: str):
         import regex
@@ -52,7 +77,8 @@ class ByteLevelIds:
         self.added = [t.content for t in tok.get_added_tokens_decoder().values()]
         self.find = regex.compile(pattern).findall
         self.whole = lambda t: array.array("I", tok.encode(t, add_special_tokens=False).ids).tobytes()
-        self.table = PieceTable(lambda batch: [e.ids for e in tok.encode_batch(batch, add_special_tokens=False)])
+        ids = _model_ids(tok)
+        self.table = PieceTable(lambda batch: [ids(p) for p in batch])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         odd = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
@@ -64,11 +90,22 @@ class ByteLevelIds:
 
 class SpacedWordIds:
     """A BPE file whose normalizer folds white space and whose pre-tokenizer drops it:
-    what a space or line feed separates is encoded by itself."""
+    what a space or line feed separates is encoded by itself. Plain words, Latin letters
+    and then plain marks, are two pieces that normalizing only lower-cases: the library's
+    model encodes them. All else goes through the whole library."""
+
+    plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
 
     def __init__(self, path: str):
-        tok = _library(path)
-        self.table = PieceTable(lambda batch: [e.ids for e in tok.encode_batch(batch, add_special_tokens=False)])
+        self.tok = _library(path)
+        self.word = _model_ids(self.tok)
+        self.marks = lru_cache(maxsize=4096)(self.word)
+        self.table = PieceTable(self._encode)
+
+    def _encode(self, batch: list[str]) -> list[list[int]]:
+        found = [self.plain(w) for w in batch]
+        others = iter(self.tok.encode_batch([w for w, m in zip(batch, found) if not m], add_special_tokens=False))
+        return [self.word(m[1].lower()) + self.marks(m[2]) if m else next(others).ids for m in found]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         return self.table.ids([t.replace("\n", " ").split(" ") for t in texts])
