@@ -1,7 +1,7 @@
-"""Bench: the nine tuning measurements plus the headline queries.
+"""Bench: the nine tuning measurements plus the headline queries, interleaved in rounds.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
-Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf"}.
+Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf"}; ``queries`` holds medians.
 """
 from __future__ import annotations
 
@@ -26,22 +26,13 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="strata-bench")
     t0 = time.perf_counter()
-    results = bench.run(spark, sf_dir)
-    # Headline queries include their writes (landing, upsert, gated overwrite), so they
-    # are timed end to end: building the plan, every job, and the noop write of the result.
-    for name in HEADLINE:
-        best = float("inf")
-        for i in range(3):
-            spark.catalog.clearCache()
-            s = time.perf_counter()
-            REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:
-                best = min(best, time.perf_counter() - s)
-        results[name] = round(best, 4)
+    # headline queries include their writes (landing, upsert, gated overwrite)
+    found = bench.compare(spark, sf_dir, bench.variants() | {name: ({}, REGISTRY[name]) for name in HEADLINE})
+    results = {name: f["median"] for name, f in found.items()}
     total = round(sum(results.values()), 4)
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "sum_of_best_times", "value": total, "unit": "sec",
-                      "queries": results, "sf": float(m.group(1)) if m else sf_dir,
+    print(json.dumps({"metric": "sum_of_medians", "value": total, "unit": "sec",
+                      "queries": results, "spread": {n: f["spread"] for n, f in found.items()}, "sf": float(m.group(1)) if m else sf_dir,
                       "wall_sec": round(time.perf_counter() - t0, 2), "cpus": cpus}))
     spark.stop()
 

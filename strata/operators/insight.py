@@ -82,10 +82,7 @@ def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
-def to_pandas_bounded(df: DataFrame, max_rows: int = 100_000):
-    """Final edge only (e.g. a chart): materialise ``df`` in the driver, but refuse
-    anything above ``max_rows`` instead of pulling an unbounded result through it."""
-    limited = df.limit(max_rows + 1).toPandas()
-    if len(limited) > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; aggregate it further first")
-    return limited
+def to_pandas(aggregated: DataFrame):
+    """Final edge only (e.g. a chart): the rows of an already aggregated frame in the
+    driver. The frame's size is its caller's choice; Spark's ``maxResultSize`` guards it."""
+    return aggregated.toPandas()

@@ -15,21 +15,19 @@ from strata.functions import money_sum, safe_ratio
 
 
 def sum_by(df: DataFrame, keys: Sequence[str | Column], measure: str, alias: str,
-           exact_money: bool = True) -> DataFrame:
-    """``sum(measure)`` per key; money sums are exact decimals returned as double."""
+           exact_money: bool = False) -> DataFrame:
+    """``sum(measure)`` per key; with ``exact_money`` the measure is an amount of two
+    decimals, summed as such and returned as double."""
     agg = money_sum(measure) if exact_money else F.sum(measure)
     return df.groupBy(*keys).agg(agg.alias(alias))
 
 
 def avg_by_year(df: DataFrame, date_col: str, value_col: str, alias: str,
-                year_alias: str = "year", digits: int | None = 6,
+                year_alias: str = "year",
                 keys: Sequence[str] = ()) -> DataFrame:
     """Average of ``value_col`` per calendar year of ``date_col`` (and optional keys)."""
-    avg = F.avg(value_col)
-    if digits is not None:
-        avg = F.round(avg, digits)
     return (df.groupBy(*keys, F.year(date_col).cast("int").alias(year_alias))
-            .agg(avg.alias(alias)))
+            .agg(F.avg(value_col).alias(alias)))
 
 
 def pivot_sum(df: DataFrame, keys: Sequence[str], pivot_col: str,
@@ -72,46 +70,12 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]],
     return out.select(*columns) if columns else out
 
 
-MAX_WIDE_PERIODS = 200
-
-
-def rolled_up_join(facts: DataFrame, key: str, period: str, measures: Sequence[str],
-                   dim: DataFrame, dim_key: str, dim_cols: Sequence[str],
-                   periods: Sequence | None = None) -> DataFrame:
-    """Sums of ``measures`` per (``key``, ``period``), joined to ``dim`` on the key:
-    rows ``(dim_cols..., period, measures...)``, one per key and period that has facts.
-
-    Plan: aggregate by ``key`` alone, one conditional sum (and row count) per period.
-    The partial aggregate collapses a hot key map-side, and the join to ``dim`` reuses
-    the aggregate's hash partitioning on the key, so the facts are shuffled once. Periods
-    are then turned back into rows. The period list is a small distinct query; past
-    ``MAX_WIDE_PERIODS`` periods it falls back to grouping by (key, period) first, which
-    costs one more shuffle.
-
-    ``periods`` skips that query. It must contain every period present in ``facts``
-    (rows of other periods would be dropped), so take it from a cheap source that is
-    a superset by construction, such as the table the period column comes from. When
-    ``facts`` is itself an expensive plan, this keeps the period query from re-running
-    it.
-    """
-    found = list(periods) if periods is not None else \
-        [r[0] for r in facts.select(period).distinct().limit(MAX_WIDE_PERIODS + 1).collect()]
-    dim = dim.select(dim_key, *dim_cols)
-    if not found or len(found) > MAX_WIDE_PERIODS:   # no facts at all, or too many periods
-        per_key = facts.groupBy(key, period).agg(*[F.sum(m).alias(m) for m in measures])
-        return per_key.join(dim, F.col(key) == F.col(dim_key)).select(*dim_cols, period, *measures)
-    periods = sorted(found, key=lambda v: (v is None, v))
-    # internal column names are positional, so no measure name can collide with them
-    aggs = []
-    for i, p in enumerate(periods):
-        hit = F.col(period).eqNullSafe(F.lit(p))
-        aggs.append(F.count_if(hit).alias(f"__rows_{i}"))
-        aggs += [F.sum(F.when(hit, F.col(m))).alias(f"__sum_{i}_{j}") for j, m in enumerate(measures)]
-    wide = facts.groupBy(key).agg(*aggs)
-    joined = wide.join(dim, F.col(key) == F.col(dim_key))
-    period_type = facts.schema[period].dataType
-    entries = [F.struct(F.lit(p).cast(period_type).alias(period), F.col(f"__rows_{i}").alias("__rows"),
-                        *[F.col(f"__sum_{i}_{j}").alias(m) for j, m in enumerate(measures)])
-               for i, p in enumerate(periods)]
-    return (joined.select(*dim_cols, F.inline(F.array(*entries)))
-            .filter(F.col("__rows") > 0).drop("__rows"))
+def summed_then_joined(facts: DataFrame, keys: Sequence[str], measures: Sequence[str], dim: DataFrame,
+                       key: str, dim_key: str, dim_cols: Sequence[str]) -> DataFrame:
+    """Sums of ``measures`` per ``keys``, then an inner join of those sums to ``dim`` on one
+    of the keys: the join sees one row per group, however many facts a key holds. All keys
+    but the join key stay in the result, NULLs among them."""
+    sums = facts.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+    rest = [k for k in keys if k != key]
+    return (sums.join(dim.select(dim_key, *dim_cols), F.col(key) == F.col(dim_key))
+            .select(*dim_cols, *rest, *measures))

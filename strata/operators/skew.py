@@ -18,10 +18,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions import hash_salt, money_sum
+from strata.functions import hash_salt
 from strata.operators.tables import stage, staged_at
 from strata.session import path_bytes
 
@@ -37,8 +37,8 @@ def hot_keys(df: DataFrame, key: str, n: int = 5, alias: str = "hot_key") -> Dat
 
 def direct_sum(df: DataFrame, key: str, measure: str, key_alias: str = "k",
                alias: str = "total") -> DataFrame:
-    """Exact money sum per key in one partial + final aggregate."""
-    return df.groupBy(F.col(key).alias(key_alias)).agg(money_sum(measure).alias(alias))
+    """Sum per key, in the measure's own type, by one partial + final aggregate."""
+    return df.groupBy(F.col(key).alias(key_alias)).agg(F.sum(measure).alias(alias))
 
 
 def salted_sum(df: DataFrame, key: str, measure: str, buckets: int = 16,
@@ -47,18 +47,20 @@ def salted_sum(df: DataFrame, key: str, measure: str, buckets: int = 16,
     """Sum per key in two levels: (key, salt) partials, then per key.
 
     The salt hashes row content (``salt_cols``, default all columns), so recomputing
-    a lost task reproduces the same buckets. Decimal partials keep the sum exact.
+    a lost task reproduces the same buckets. The sum is in the measure's own type: pass
+    decimals where the last digit of a double must not depend on the order.
     """
     cols = list(salt_cols or df.columns)
     partial = (df.withColumn("__salt", hash_salt(buckets, *cols))
                .groupBy(F.col(key).alias(key_alias), "__salt")
-               .agg(F.sum(F.col(measure).cast("decimal(18,2)")).alias("__part")))
-    return partial.groupBy(key_alias).agg(F.sum("__part").cast("double").alias(alias))
+               .agg(F.sum(measure).alias("__part")))
+    return partial.groupBy(key_alias).agg(F.sum("__part").alias(alias))
 
 
-def derived_dim(df: DataFrame, key: str, label: Column, label_alias: str) -> DataFrame:
-    """Distinct keys of ``df`` with a computed label (a dimension derived from a fact)."""
-    return df.select(key).distinct().withColumn(label_alias, label)
+def derived_dim(df: DataFrame, key: str, described: DataFrame) -> DataFrame:
+    """The distinct keys of ``df`` with what ``described`` (one row per key) says of them:
+    a dimension cut down to the keys that a fact uses."""
+    return df.select(key).distinct().join(described, key)
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
@@ -93,39 +95,40 @@ def dim_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str
     return fact.join(dim, on=on, how=how)
 
 
-def detect_hot_keys(fact: DataFrame, key: str, min_share: float = 0.01, max_keys: int = 100) -> list:
-    """Keys holding at least ``min_share`` of the rows (at most ``max_keys`` of them).
+def detect_hot_keys(fact: DataFrame, key: str, min_share: float = 0.01) -> list:
+    """Every key holding at least ``min_share`` of the rows, largest first, ties by key.
 
-    Counting is a partial+final aggregate; only the bounded top list reaches the
-    driver (a share threshold of s admits at most 1/s keys anyway)."""
+    Counting is a partial+final aggregate; at most ``1 / min_share`` keys can reach the
+    driver. NULL is never listed: no equi-join matches it."""
     total = fact.count()
     if total == 0:
         return []
     counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    top = (counts.filter(F.col("__n") >= F.lit(max(1, int(total * min_share))))
-           .orderBy(F.col("__n").desc()).limit(max_keys).collect())
+    top = (counts.filter(F.col(key).isNotNull() & (F.col("__n") >= F.lit(total * min_share)))
+           .orderBy(F.col("__n").desc(), key).collect())
     return [r[key] for r in top]
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", buckets: int = 16,
                 hot: Sequence | None = None, salt_cols: Sequence[str] | None = None,
-                min_share: float = 0.01, max_keys: int = 100) -> DataFrame:
+                min_share: float = 0.01) -> DataFrame:
     """Equi-join on one key, spreading hot keys over ``buckets`` tasks.
 
     Fact rows of a hot key get a deterministic hash salt in ``[0, buckets)``; the
     dimension rows of hot keys (only those) are replicated once per bucket; everything
     else joins with salt 0. The result equals ``fact.join(dim, key, how)`` for
     ``inner`` and ``left`` joins; the replicated dimension grows by
-    ``len(hot) * (buckets - 1)`` rows, bounded by ``max_keys``.
+    ``len(hot) * (buckets - 1)`` rows, at most ``(buckets - 1) / min_share``. Rows of a
+    ``left`` join whose key is NULL match nothing and are spread over the buckets too.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    hot = list(detect_hot_keys(fact, key, min_share, max_keys) if hot is None else hot)
-    if not hot:
+    hot = list(detect_hot_keys(fact, key, min_share) if hot is None else hot)
+    if not hot and how == "inner":
         return fact.join(dim, key, how)
-    is_hot = F.col(key).isin(hot)
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
     cols = list(salt_cols or fact.columns)
-    salted_fact = fact.withColumn("__salt", F.when(is_hot, hash_salt(buckets, *cols)).otherwise(F.lit(0)))
+    salted_fact = fact.withColumn("__salt", F.when(is_hot | F.col(key).isNull(), hash_salt(buckets, *cols)).otherwise(F.lit(0)))
     spread = F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
     salted_dim = dim.withColumn("__salt", F.explode(spread))
     return salted_fact.join(salted_dim, [key, "__salt"], how).drop("__salt")

@@ -7,15 +7,15 @@ table, except ``append`` which keeps every delivery on purpose):
 * ``replace_slice`` — make the slice ``col = v AND col IN (...)`` (on a prefix of the
   partition columns) hold exactly the batch. The batch is staged once; one
   dynamic-overwrite job swaps in every partition it holds (each replaced by a rename
-  at commit), then the slice's partitions the batch lacks are cleared with fully
-  static empty overwrites, so an empty batch still clears the slice. Past 1,000
-  partitions it falls back to one static ``INSERT OVERWRITE ... PARTITION`` per
-  combination. Batch rows outside the slice are refused before anything is written.
+  at commit), then the slice's partitions the batch lacks, listed from the catalog, are
+  cleared with static empty overwrites, so an empty batch still clears the slice. These
+  are separate commits: a reader in between sees new partitions beside stale ones. Batch
+  rows outside the slice are refused before anything is written.
 * ``upsert`` — insert-or-replace by business key. Only partitions the batch touches
   are read, merged (anti-join + union, both shuffled on the key) and staged under the
   shared work folder, then swapped in with a dynamic partition overwrite.
 * ``overwrite`` — full rebuild of a derived table.
-* ``publish`` — single-file export of a small mart plus a catalog table over it.
+* ``publish`` — parquet export plus a catalog table over it, switched without a gap.
 
 ``replaceWhere`` is deliberately not used: on non-Delta sinks Spark ignores it and
 overwrites the whole table.
@@ -23,19 +23,18 @@ overwrites the whole table.
 from __future__ import annotations
 
 import datetime as _dt
-import itertools
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.latest import latest_by_key
 from strata.session import conf_override, discard, unique_name, workspace
 
-MAX_LITERAL_PARTITIONS = 1_000
-
-
 # ---------------------------------------------------------------- helpers
 def sql_literal(v) -> str:
     """A SQL literal for a partition value (strings escaped)."""
@@ -144,8 +143,8 @@ def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
     (e.g. a quality gate) runs on the staged batch and may raise to stop the write.
     ``staged=True`` declares ``df`` already materialised (a read of staged files): it
     is then not copied again, and containment is one aggregate over it.
-    Returns the number of partitions swapped in or cleared (or, past the literal
-    bound, of static combinations rewritten).
+    A refused batch leaves no table and no staged copy behind. Returns the number of
+    partitions swapped in or cleared.
     """
     spark = df.sparkSession
     if not where:
@@ -163,22 +162,29 @@ def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
     if staged:
         source, m = df, df.agg(F.count_if(outside).alias("outside")).first().asDict()
     else:
-        source, m, stage_path = staged_at(df, "slice-stage", [F.count_if(outside).alias("outside")], fixed)
-    if m["outside"]:
-        raise ValueError(f"batch has {m['outside']} row(s) outside the replaced slice {dict(where)}; "
-                         "refusing to write")
+        source, m, stage_path = staged_at(df.hint("rebalance", *parts), "slice-stage",
+                                          [F.count_if(outside).alias("outside")], fixed)
+    try:
+        if m["outside"]:
+            raise ValueError(f"batch has {m['outside']} row(s) outside the replaced slice {dict(where)}; "
+                             "refusing to write")
+        if before_write is not None:
+            before_write(source)
+    except Exception:
+        if stage_path:
+            discard(spark, stage_path)
+        raise
     if not exists:   # created from the staged copy: the caller's plan runs only once
         create_table(source.limit(0), name, parts, location)
-    if before_write is not None:
-        before_write(source)
 
     cols = _table_columns(spark, name)
     try:
-        layout = _slice_partitions(spark, name, source, parts, where)
-        if layout is None:   # too many partitions (or NULL ones) to name: one statement per combo
-            n = _replace_by_static_combos(spark, name, source, parts, fixed, where, cols)
-        else:
-            n = _swap_partitions(spark, name, source, parts, cols, *layout)
+        present = {tuple(r) for r in source.select(*parts).distinct().collect()}   # partition values only
+        if present:
+            with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+                source.select(*cols).hint("rebalance", *parts).write.insertInto(name, overwrite=True)
+        stale = [v for v in listed_partitions(spark, name, where) if v not in present] if exists else []
+        _clear(spark, name, parts, stale)
     except Exception as exc:
         if stage_path:
             raise RuntimeError(
@@ -188,68 +194,38 @@ def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
         raise
     if stage_path:   # reached only when every statement succeeded
         discard(spark, stage_path)
-    return n
-
-
-def _slice_partitions(spark: SparkSession, name: str, source: DataFrame, parts: Sequence[str],
-                      where: Mapping[str, object]):
-    """``(present, absent)`` partition tuples: in the batch, and in the table's slice but
-    not in the batch. ``None`` when either list exceeds the literal bound or holds NULL.
-    Both reads touch only partition columns (the batch is staged; the table is pruned)."""
-    bound = MAX_LITERAL_PARTITIONS
-    present = [tuple(r) for r in source.select(*parts).distinct().limit(bound + 1).collect()]
-    existing = [tuple(r) for r in spark.table(name).filter(_match(where)).select(*parts)
-                .distinct().limit(bound + 1).collect()]
-    if len(present) > bound or len(existing) > bound:
-        return None
-    if any(v is None for t in present + existing for v in t):
-        return None
-    return present, sorted(set(existing) - set(present))
-
-
-def _swap_partitions(spark: SparkSession, name: str, source: DataFrame, parts: Sequence[str],
-                     cols: Sequence[str], present: list, absent: list) -> int:
-    """One dynamic-overwrite job swaps in every partition present in the batch (each
-    replaced by a rename at commit, so readers never see it empty); then the slice's
-    partitions the batch lacks are cleared by fully static, empty overwrites."""
-    if present:
-        with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-            source.select(*cols).write.insertInto(name, overwrite=True)
-    if absent:
-        view = unique_name("slice_empty")
-        source.limit(0).createOrReplaceTempView(view)
-        data_cols = ", ".join(f"`{c}`" for c in cols if c not in parts)
-        try:
-            with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
-                for values in absent:
-                    spec = ", ".join(f"`{c}` = {sql_literal(v)}" for c, v in zip(parts, values))
-                    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT {data_cols} FROM {view}")
-        finally:
-            spark.catalog.dropTempView(view)
-    return len(present) + len(absent)
-
-
-def _replace_by_static_combos(spark: SparkSession, name: str, source: DataFrame, parts: Sequence[str],
-                              fixed: Sequence[str], where: Mapping[str, object], cols: Sequence[str]) -> int:
-    """One ``INSERT OVERWRITE ... PARTITION (static..., dynamic...)`` per static
-    combination, under static mode: each deletes its whole sub-slice, then writes."""
-    values = [list(where[c]) if isinstance(where[c], (list, tuple, set, frozenset)) else [where[c]]
-              for c in fixed]
-    combos = list(itertools.product(*values))
-    view = unique_name("slice_batch")
-    source.createOrReplaceTempView(view)
-    select_cols = ", ".join(f"`{c}`" for c in cols if c not in fixed)
+    return len(present) + len(stale)
+
+
+def listed_partitions(spark: SparkSession, name: str, where: Mapping[str, object]) -> list[tuple]:
+    """The partition values in the slice ``where``, from the catalog: no file is read."""
+    parts = partition_columns(spark, name)
+    types = {f.name: f.dataType for f in spark.table(name).schema}
+    rows = []
+    for r in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        values = [unquote(p.split("=", 1)[1]) for p in r[0].split("/")]
+        rows.append(tuple(None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in values))
+    if not rows:
+        return []
+    text = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in parts))
+    typed = text.select(*[F.col(c).cast(types[c]).alias(c) for c in parts])
+    return [tuple(r) for r in typed.filter(_match(where)).collect()]
+
+
+def _clear(spark: SparkSession, name: str, parts: Sequence[str], values: Sequence[tuple]) -> None:
+    """Empty the given partitions, each by a static overwrite without rows."""
+    if not values:
+        return
+    schema = T.StructType([f for f in spark.table(name).schema if f.name not in parts])
+    view = unique_name("no_rows")
+    spark.createDataFrame([], schema).createOrReplaceTempView(view)
     try:
         with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
-            for combo in combos:
-                static = ", ".join(f"`{c}` = {sql_literal(v)}" for c, v in zip(fixed, combo))
-                dynamic = "".join(f", `{c}`" for c in parts[len(fixed):])
-                cond = " AND ".join(f"`{c}` = {sql_literal(v)}" for c, v in zip(fixed, combo))
-                spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({static}{dynamic}) "
-                          f"SELECT {select_cols} FROM {view} WHERE {cond}")
+            for v in values:
+                spec = ", ".join(f"`{c}` = {sql_literal(x)}" for c, x in zip(parts, v))
+                spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT * FROM {view}")
     finally:
         spark.catalog.dropTempView(view)
-    return len(combos)
 
 
 # ---------------------------------------------------------------- upsert
@@ -269,15 +245,16 @@ def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
 
 def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[str] = (),
            location: str | None = None, order: Sequence[str] | None = None,
-           before_write: Callable[[DataFrame], object] | None = None) -> int:
+           before_write: Callable[[DataFrame], object] | None = None, unique_keys: bool = False) -> int:
     """Insert new keys, replace existing ones; never deletes. Returns the number of
-    partitions rewritten (-1 when the table was created, 0 for an empty batch; capped
-    at ``MAX_LITERAL_PARTITIONS + 1`` when more were touched).
+    partitions rewritten (-1 when the table was created, 0 for an empty batch).
 
     Without ``order`` a batch row always replaces the stored row (MERGE semantics).
     With ``order`` (recency columns stored in the table) the newer row wins, so
     batches that arrive out of order cannot roll a key back. ``before_write`` (e.g. a
-    quality gate) runs on the staged batch and may raise to stop the write.
+    quality gate) runs on the staged batch and may raise to stop the write; a refused
+    batch leaves no staged copy. ``unique_keys`` declares the batch deduplicated on its
+    keys (by ``latest_by_key``), which saves the check's shuffle.
     """
     spark = df.sparkSession
     keys = list(keys)
@@ -288,13 +265,18 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
         any_null = any_null | F.col(k).isNull()
     df, m, batch_path = staged_at(df, "upsert-batch", [F.count(F.lit(1)).alias("rows"),
                                                        F.count_if(any_null).alias("nulls")])
-    if m["nulls"]:
-        raise ValueError(f"{m['nulls']} batch row(s) have a NULL in key {keys}")
-    check_keys(df, keys)
-    if before_write is not None:
-        before_write(df)
+    try:
+        if m["nulls"]:
+            raise ValueError(f"{m['nulls']} batch row(s) have a NULL in key {keys}")
+        if not unique_keys:
+            check_keys(df, keys)
+        if before_write is not None:
+            before_write(df)
+    except Exception:
+        discard(spark, batch_path)
+        raise
     if not table_exists(spark, name):
-        create_table(df, name, partitions, location)
+        create_table(df.hint("rebalance", *partitions) if partitions else df, name, partitions, location)
         discard(spark, batch_path)
         return -1
     if m["rows"] == 0:
@@ -310,30 +292,25 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
 
     n_touched = 1   # a non-partitioned table is rewritten as a whole
     if parts:
-        touched = batch.select(*parts).distinct()
-        found = touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()
+        found = batch.select(*parts).distinct().collect()   # partition values only
         n_touched = len(found)
-        if n_touched == 0:
-            discard(spark, batch_path)
-            return 0
-        if n_touched <= MAX_LITERAL_PARTITIONS:
-            # literal predicate on partition columns -> pruned at planning time
-            if len(parts) == 1:
-                pred = F.col(parts[0]).isin([r[0] for r in found])
-            else:
-                pred = F.lit(False)
-                for r in found:
-                    pred = pred | _match({c: r[c] for c in parts})
-            target = target.filter(pred)
+        # a literal predicate on the partition columns is pruned at planning time
+        if len(parts) == 1:
+            target = target.filter(F.col(parts[0]).isin([r[0] for r in found]))
         else:
-            target = target.join(touched, parts, "left_semi")
+            # one IN list per last column: the predicate stays as wide as the prefixes
+            by_prefix: dict[tuple, list] = {}
+            for r in found:
+                by_prefix.setdefault(tuple(r)[:-1], []).append(r[-1])
+            target = target.filter(reduce(lambda a, b: a | b, [
+                _match({**dict(zip(parts, p)), parts[-1]: v}) for p, v in by_prefix.items()]))
 
     if order:
         merged = latest_by_key(batch.unionByName(target), keys, list(order))
     else:
         merged = batch.unionByName(target.join(batch.select(*keys), keys, "left_anti"))
     staged = workspace(spark, "upsert-stage")
-    w = merged.write.mode("errorifexists")
+    w = (merged.hint("rebalance", *parts) if parts else merged).write.mode("errorifexists")
     if parts:
         w = w.partitionBy(*parts)
     w.parquet(staged)
@@ -374,25 +351,27 @@ def overwrite(df: DataFrame, name: str, partitions: Sequence[str] = (),
 
 
 def publish(df: DataFrame, database: str, table: str, export_path: str,
-            database_location: str | None = None, max_rows: int = 1_000_000) -> str:
-    """Export ``df`` as one parquet file, then (re)create ``database.table`` over it.
+            database_location: str | None = None, single_file: bool = False) -> str:
+    """Export ``df`` as parquet and make ``database.table`` its table.
 
-    One file means one writing task, so the frame must be a small mart: it is staged
-    in parallel first, its size checked on the staged copy (``max_rows``), and only
-    then are the staged rows moved to one task (``repartition(1)``, never a
-    ``coalesce(1)`` that would pull the upstream plan into a single task).
+    The export is written in parallel; ``single_file`` asks for one file (one writing
+    task, for a mart that a person downloads). Readers never miss the table: a first
+    publish creates it, later ones overwrite its rows from the finished export.
     """
     spark = df.sparkSession
     staged, _, stage_path = staged_at(df, "publish-stage")   # computed once, in parallel
-    if staged.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"publish is for small marts: more than {max_rows} rows")
-    staged.repartition(1).write.mode("overwrite").parquet(export_path)
+    (staged.repartition(1) if single_file else staged).write.mode("overwrite").parquet(export_path)
     discard(spark, stage_path)
     loc = f" LOCATION {sql_literal(database_location)}" if database_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
     full = f"`{database}`.`{table}`"
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
-    spark.sql(f"CREATE TABLE {full} USING parquet AS SELECT * FROM parquet.`{export_path}`")
+    exported = spark.read.schema(df.schema).parquet(export_path)
+    same = table_exists(spark, full) and [(f.name, f.dataType) for f in spark.table(full).schema] == \
+        [(f.name, f.dataType) for f in exported.schema]
+    if same:
+        exported.write.insertInto(full, overwrite=True)
+    else:   # new, or of another shape
+        exported.write.mode("overwrite").format("parquet").saveAsTable(full)
     return full
 
 

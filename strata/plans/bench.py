@@ -1,117 +1,82 @@
-"""Timed measurement of physical-tuning experiments.
-
-Method: for each case, build a fresh plan, clear the cache, run once to warm up, then
-take the best of ``runs`` timed executions into the ``noop`` sink (forces the whole
-plan, writes nothing, so column pruning cannot hide work that a real write would do).
-Per-case session confs are applied with ``conf_override`` and restored even when a
-run raises.
+"""Physical-tuning experiments, compared fairly on one machine.
+
+An experiment is a set of *variants* of one query: the same result under other session
+settings or another join strategy. Variants are not timed one after the other but in
+rounds: each round runs every variant once, in an order that rotates from round to round,
+so drift of the machine (heat, neighbours, page cache) falls on all alike. The first round
+warms up and isn't counted. A variant's figure is the median of its rounds; the spread
+(highest minus lowest) tells whether two medians differ at all.
 """
 from __future__ import annotations
 
-import sys
+import statistics
 import time
-from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions import money_sum
 from strata.operators import skew
-from strata.plans import gold
 from strata.plans.gold import load
 from strata.session import conf_override
 
-MIN_ROWS_FOR_SIGNAL = 1_000_000
-
-
-@dataclass
-class Case:
-    name: str
-    build: Callable[[SparkSession, str], DataFrame]
-    conf: Mapping[str, str] = field(default_factory=dict)
-
-
-def best_time(spark: SparkSession, build: Callable[[], DataFrame], runs: int = 2, warmup: int = 1) -> float:
-    """Best wall time of ``runs`` noop-sink executions after ``warmup``, fresh plan each.
-
-    The clock includes ``build()``: operators that materialise something eagerly while
-    the plan is built (a staged dimension, a size check) are charged for it."""
-    best = float("inf")
-    for i in range(warmup + runs):
-        spark.catalog.clearCache()
-        t0 = time.perf_counter()
-        df = build()
-        df.write.format("noop").mode("overwrite").save()
-        dt = time.perf_counter() - t0
-        if i >= warmup:
-            best = min(best, dt)
-    return best
-
-
-def _wide(spark, sf):
-    li = load(spark, sf, "lineitem")
-    return li.groupBy(F.year("l_shipdate").alias("year"), "l_returnflag", "l_partkey") \
-        .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("total"))
-
-
-def _multi(spark, sf):
-    li = load(spark, sf, "lineitem")
-    return li.groupBy(F.year("l_shipdate").alias("year"), "l_suppkey", "l_returnflag") \
-        .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("total"),
-             F.sum("l_quantity").alias("qty"))
-
-
-def _region(strategy):
-    def build(spark, sf):
-        li = load(spark, sf, "lineitem")
-        dim = skew.derived_dim(li, "l_suppkey",
-                               F.concat(F.lit("region_"), (F.col("l_suppkey") % 5).cast("string")), "region")
-        joined = skew.dim_join(li.select("l_suppkey", "l_extendedprice"), dim, "l_suppkey", strategy=strategy)
-        return joined.groupBy("region").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("t"))
-    return build
-
-
-def _direct(spark, sf):
-    return skew.direct_sum(load(spark, sf, "lineitem"), "l_suppkey", "l_extendedprice")
-
-
-def _salted(spark, sf):
-    return skew.salted_sum(load(spark, sf, "lineitem"), "l_suppkey", "l_extendedprice", buckets=16,
-                           salt_cols=["l_orderkey", "l_linenumber", "l_partkey"])
-
-
-AQE_OFF = {"spark.sql.adaptive.enabled": "false"}
-
-CASES = [
-    Case("wide_group_sum_aqe_off", _wide, AQE_OFF),
-    Case("wide_group_sum_aqe_on", _wide, {"spark.sql.adaptive.enabled": "true"}),
-    Case("multi_measure_p8", _multi, {**AQE_OFF, "spark.sql.shuffle.partitions": "8"}),
-    Case("multi_measure_p64", _multi, {**AQE_OFF, "spark.sql.shuffle.partitions": "64"}),
-    Case("multi_measure_p200", _multi, {**AQE_OFF, "spark.sql.shuffle.partitions": "200"}),
-    Case("dim_join_sort_merge", _region("merge"),
-         {"spark.sql.adaptive.enabled": "true", "spark.sql.autoBroadcastJoinThreshold": "-1"}),
-    Case("dim_join_broadcast", _region("broadcast"),
-         {"spark.sql.adaptive.enabled": "true", "spark.sql.autoBroadcastJoinThreshold": "10485760"}),
-    Case("direct_group_sum_aqe_off", _direct, AQE_OFF),
-    Case("salted_group_sum_aqe_off", _salted, AQE_OFF),
-]
-
-
-def run(spark: SparkSession, sf_dir: str, cases=None, runs: int = 2, warmup: int = 1,
-        extra: Mapping[str, Callable[[SparkSession, str], DataFrame]] | None = None) -> dict[str, float]:
-    """Time every case under its own session confs (restored afterwards)."""
-    n = load(spark, sf_dir, "lineitem").count()
-    if n < MIN_ROWS_FOR_SIGNAL:
-        print(f"[bench] note: {n} fact rows (< {MIN_ROWS_FOR_SIGNAL}); differences between "
-              "strategies are dominated by fixed overheads at this size", file=sys.stderr)
-    out: dict[str, float] = {}
-    for case in cases or CASES:
-        with conf_override(spark, dict(case.conf)):
-            out[case.name] = round(best_time(spark, lambda c=case: c.build(spark, sf_dir), runs, warmup), 4)
-    for name, build in (extra or {}).items():
-        out[name] = round(best_time(spark, lambda b=build: b(spark, sf_dir), runs, warmup), 4)
+Variant = tuple[Mapping[str, str], Callable[[SparkSession, str], DataFrame]]
+
+
+def _by(*keys, **sums) -> Callable[[SparkSession, str], DataFrame]:
+    """Line items grouped by the year and some columns; ``sums``: name -> column to sum."""
+    return lambda spark, sf: load(spark, sf, "lineitem").groupBy(F.year("l_shipdate").alias("year"), *keys).agg(
+        *[money_sum(c).alias(k) for k, c in sums.items()])
+
+
+def _regions(strategy: str) -> Callable[[SparkSession, str], DataFrame]:
+    from strata.plans.queries import _region_join
+
+    return lambda spark, sf: _region_join(spark, sf, strategy)
+
+
+def _supplier_sums(salted: bool) -> Callable[[SparkSession, str], DataFrame]:
+    from strata.plans.queries import REGISTRY
+
+    return REGISTRY["salted_group_sum" if salted else "direct_group_sum"]
+
+
+def variants() -> dict[str, Variant]:
+    """Adaptive execution on and off; shuffle widths; join strategies; salting."""
+    fixed, adaptive = ({"spark.sql.adaptive.enabled": v} for v in ("false", "true"))
+    wide = _by("l_returnflag", "l_partkey", total="l_extendedprice")
+    multi = _by("l_suppkey", "l_returnflag", total="l_extendedprice", qty="l_quantity")
+    out: dict[str, Variant] = {"wide_group_sum_aqe_off": (fixed, wide), "wide_group_sum_aqe_on": (adaptive, wide)}
+    for width in ("8", "64", "200"):
+        out[f"multi_measure_p{width}"] = (fixed | {"spark.sql.shuffle.partitions": width}, multi)
+    out["dim_join_sort_merge"] = (adaptive | {"spark.sql.autoBroadcastJoinThreshold": "-1"}, _regions("merge"))
+    out["dim_join_broadcast"] = (adaptive, _regions("broadcast"))
+    out["direct_group_sum_aqe_off"] = (fixed, _supplier_sums(False))
+    out["salted_group_sum_aqe_off"] = (fixed, _supplier_sums(True))
     return out
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.gold_mart(spark, sf_dir)
+def _once(spark: SparkSession, sf_dir: str, variant: Variant) -> float:
+    """Seconds to build and run a variant, jobs of the building included."""
+    settings, build = variant
+    with conf_override(spark, dict(settings)):
+        start = time.perf_counter()
+        build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+
+def compare(spark: SparkSession, sf_dir: str, chosen: Mapping[str, Variant], rounds: int = 3) -> dict[str, dict[str, float]]:
+    """name -> median and spread over ``rounds`` counted rounds."""
+    names, seen = list(chosen), {n: [] for n in chosen}
+    for r in range(rounds + 1):
+        for name in _rotated(names, r):
+            took = _once(spark, sf_dir, chosen[name])
+            if r:
+                seen[name].append(took)
+    return {n: {"median": round(statistics.median(s), 4), "spread": round(max(s) - min(s), 4)} for n, s in seen.items()}
+
+
+def _rotated(names: list[str], by: int) -> Iterable[str]:
+    k = by % len(names) if names else 0
+    return names[k:] + names[:k]

@@ -75,11 +75,18 @@ def run_slices(slices: Sequence[tuple[str, Callable[[], object]]],
 def backfill(batch: DataFrame, table: str, column: str, values: Sequence,
              partitions: Sequence[str] = (), location: str | None = None,
              log: Callable[[str], None] = print) -> list[SliceResult]:
-    """Replace slice ``column = v`` for every ``v`` from one staged read of ``batch``."""
+    """Replace slice ``column = v`` for every ``v`` from one staged read of ``batch``.
+
+    Rows whose slice isn't listed, or is NULL, are counted while staging, and their
+    presence refuses the whole backfill before any slice is touched."""
     spark = batch.sparkSession
-    staged = workspace(spark, "backfill-stage")
-    batch.filter(F.col(column).isin(list(values))).write.partitionBy(column).parquet(staged)
-    source = spark.read.schema(batch.schema).parquet(staged).select(*batch.columns)
+    unlisted = ~F.coalesce(F.col(column).isin(list(values)), F.lit(False))
+    # one task per slice value and piece, instead of a file from every task in every slice
+    source, m, staged = tables.staged_at(batch.hint("rebalance", column), "backfill-stage",
+                                         [F.count_if(unlisted).alias("unlisted")], [column])
+    if m["unlisted"]:
+        discard(spark, staged)
+        raise ValueError(f"{m['unlisted']} row(s) of the batch lie in no listed slice of {column}")
     # each slice reads only its own staged folder (partition pruning) and is not
     # copied a second time
     slices = [(f"{column}={v}",

@@ -8,7 +8,7 @@ Each runner composes the operators in the same order:
 
 The reject counters are observed during the staging pass (no extra job), the gate is
 one aggregate over the staged copy, and the table is touched only when every rule
-passes. A gate failure raises ``GateFailed`` (exit code 3: do not retry).
+passes. A gate failure raises ``RulesBroken`` (exit code 3: do not retry).
 """
 from __future__ import annotations
 
@@ -58,14 +58,17 @@ def silver_upsert(bronze: DataFrame, contract: Contract, table: str, rules: Sequ
                   derive: Callable[[DataFrame], DataFrame] | None = None,
                   domain: Column | None = None, location: str | None = None,
                   log: Callable[[str], None] = print) -> StageReport:
-    """Conform, keep the latest row per ``contract.keys``, gate, upsert."""
+    """Conform, keep the latest row per ``contract.keys``, gate, upsert. Where the ``order``
+    columns are stored, the newest row wins over the table's as well: a batch that comes
+    late can't roll a key back."""
     rows, observations = _prepare(bronze, contract, keep, derive, domain)
     if order:
         rows = latest_by_key(rows, list(contract.keys), list(order))
     report = StageReport(table)
     n = tables.upsert(rows, table, list(contract.keys), list(contract.partitions), location,
-                      before_write=lambda staged: report.quality.extend(
-                          quality.gate(staged, rules, stage=table, log=log)))
+                      order=list(order) if order and set(order) <= set(rows.columns) else None,
+                      unique_keys=bool(order), before_write=lambda staged: report.quality.extend(
+                          quality.enforce(staged, rules, stage=table, log=log)))
     report.rejects, report.rewritten = _collect(observations), n
     return report
 
@@ -83,7 +86,7 @@ def silver_replace(bronze: DataFrame, contract: Contract, table: str, rules: Seq
     report = StageReport(table)
     n = tables.replace_slice(rows, table, where, list(contract.partitions), location,
                              before_write=lambda staged: report.quality.extend(
-                                 quality.gate(staged, rules, stage=table, log=log)))
+                                 quality.enforce(staged, rules, stage=table, log=log)))
     report.rejects, report.rewritten = _collect(observations), n
     return report
 
@@ -96,7 +99,7 @@ def gold_overwrite(mart: DataFrame, table: str, rules: Sequence[quality.Rule],
     fails. The upstream scans and joins run once, not once per check and again for
     the write."""
     staged, _, path = tables.staged_at(mart, "gold-stage")
-    report = StageReport(table, quality=quality.gate(staged, rules, stage=table, log=log))
+    report = StageReport(table, quality=quality.enforce(staged, rules, stage=table, log=log))
     tables.overwrite(staged, table, partitions=list(partitions), location=location)
     discard(mart.sparkSession, path)
     report.rewritten = -1

@@ -9,8 +9,8 @@ _EXPORTS = """SELECT c_nationkey AS uf, CAST(year(o_orderdate) AS INTEGER) AS ye
          CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS exports
   FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' GROUP BY ALL"""
 
-_RATES_BEFORE_2001 = """SELECT CAST(year(l_shipdate) AS INTEGER) AS year, round(avg(l_tax), 6) AS avg_rate
-  FROM lineitem WHERE l_linestatus = 'O' AND l_shipdate < TIMESTAMP '2001-01-01' GROUP BY 1"""
+_RATES = """SELECT CAST(year(l_shipdate) AS INTEGER) AS year, avg(l_tax) AS avg_rate
+  FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1"""
 
 _MEASURES = """SELECT c_nationkey AS uf, CAST(year(o_orderdate) AS INTEGER) AS year,
          sum(CASE WHEN l_returnflag = 'A' THEN l_quantity END) AS population,
@@ -18,13 +18,14 @@ _MEASURES = """SELECT c_nationkey AS uf, CAST(year(o_orderdate) AS INTEGER) AS y
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY ALL"""
 
 _MART = f"""ex AS ({_EXPORTS}),
-fx AS ({_RATES_BEFORE_2001}),
+fx AS ({_RATES}),
 pg AS ({_MEASURES}),
 mart AS (SELECT ex.uf, ex.year, exports, avg_rate, population, gdp,
                 round(gdp * 1000 / nullif(population, 0), 2) AS per_capita
          FROM ex LEFT JOIN fx ON ex.year = fx.year LEFT JOIN pg ON ex.uf = pg.uf AND ex.year = pg.year)"""
 
-_ORDERS_SLICES = """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus AS flow, count(*) AS n_rows
+_ORDERS_SLICES = """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus AS flow, count(*) AS n_rows,
+       CAST(sum(o_orderkey) AS BIGINT) AS key_sum, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
 FROM orders WHERE {keep} GROUP BY ALL"""
 
 _UPSERT = """SELECT event_type AS series, CAST(ts AS DATE) AS date, event_id,
@@ -32,9 +33,9 @@ _UPSERT = """SELECT event_type AS series, CAST(ts AS DATE) AS date, event_id,
 FROM events
 QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1"""
 
-_REGION_SUM = """SELECT 'region_' || CAST(l_suppkey % 5 AS VARCHAR) AS region,
-       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
-FROM lineitem GROUP BY 1"""
+_REGION_SUM = """SELECT r_name AS region, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+     JOIN region ON n_regionkey = r_regionkey GROUP BY 1"""
 
 _SUPP_SUM = """SELECT l_suppkey AS k, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
 FROM lineitem GROUP BY 1"""
@@ -126,35 +127,42 @@ FROM (SELECT c_nationkey AS uf, CAST(year(o_orderdate) AS INTEGER) AS year,
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY ALL)""",
     "star_join_gold": f"""
 WITH {_MART}
-SELECT uf, year, exports, avg_rate, population, gdp, per_capita FROM mart""",
+SELECT uf, year, exports, round(avg_rate, 6) AS avg_rate, population, gdp, per_capita FROM mart""",
     "quality_not_null": """
-SELECT 'not_null(value)' AS name, count(*) FILTER (WHERE event_id % 37 = 0) AS failing, count(*) AS total,
-       count(*) = 0 OR count(*) FILTER (WHERE event_id % 37 = 0) <= 0.05 * count(*) AS passed
+SELECT 'present' AS kind, 'value' AS columns, count(*) FILTER (WHERE event_id % 37 = 0) AS breaches,
+       CAST(floor(count(*) * 0.05) AS BIGINT) AS allowed, count(*) AS total,
+       count(*) FILTER (WHERE event_id % 37 = 0) <= floor(count(*) * 0.05) AS passed
 FROM events""",
     "quality_unique": """
-SELECT 'unique(l_orderkey,l_linenumber)' AS name,
-       count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS failing, count(*) AS total,
+SELECT 'one_row_per' AS kind, 'l_orderkey,l_linenumber' AS columns,
+       count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS breaches, CAST(0 AS BIGINT) AS allowed, count(*) AS total,
        count(*) = count(DISTINCT (l_orderkey, l_linenumber)) AS passed
 FROM lineitem""",
     "quality_between": """
-SELECT 'range(l_tax)' AS name,
-       count(*) FILTER (WHERE l_orderkey % 11 <> 0 AND (l_tax < 0.01 OR l_tax > 0.06)) AS failing,
-       count(*) AS total,
+SELECT 'within' AS kind, 'l_tax' AS columns,
+       count(*) FILTER (WHERE l_orderkey % 11 <> 0 AND (l_tax < 0.01 OR l_tax > 0.06)) AS breaches,
+       CAST(0 AS BIGINT) AS allowed, count(*) AS total,
        count(*) FILTER (WHERE l_orderkey % 11 <> 0 AND (l_tax < 0.01 OR l_tax > 0.06)) = 0 AS passed
 FROM lineitem""",
     "quality_gate_report": """
-SELECT name, failing, total, failing = 0 AS passed FROM (
-  SELECT 'not_null(l_tax)' AS name, count(*) FILTER (WHERE l_tax IS NULL) AS failing, count(*) AS total FROM lineitem
-  UNION ALL SELECT 'unique(l_orderkey,l_linenumber)', count(*) - count(DISTINCT (l_orderkey, l_linenumber)), count(*) FROM lineitem
-  UNION ALL SELECT 'range(l_quantity)', count(*) FILTER (WHERE l_quantity < 1 OR l_quantity > 50), count(*) FROM lineitem
-  UNION ALL SELECT 'range(l_discount)', count(*) FILTER (WHERE l_discount > 0.05), count(*) FROM lineitem)""",
+SELECT kind, columns, breaches, allowed, total, breaches <= allowed AS passed FROM (
+  SELECT 'present' AS kind, 'l_tax' AS columns, count(*) FILTER (WHERE l_tax IS NULL) AS breaches,
+         CAST(0 AS BIGINT) AS allowed, count(*) AS total FROM lineitem
+  UNION ALL SELECT 'one_row_per', 'l_orderkey,l_linenumber', count(*) - count(DISTINCT (l_orderkey, l_linenumber)), 0, count(*) FROM lineitem
+  UNION ALL SELECT 'within', 'l_quantity', count(*) FILTER (WHERE l_quantity < 1 OR l_quantity > 50), 0, count(*) FROM lineitem
+  UNION ALL SELECT 'within', 'l_discount', count(*) FILTER (WHERE l_discount > 0.05), 0, count(*) FROM lineitem
+  UNION ALL SELECT 'one_row_per', 'l_partkey,l_suppkey', count(*) - count(DISTINCT (l_partkey, l_suppkey)), 0, count(*) FROM lineitem
+  UNION ALL SELECT 'counted', 'lines beyond the quantity', count(*) FILTER (WHERE l_linenumber > l_quantity), 10, count(*) FROM lineitem)""",
     "hot_keys_top5": """
 SELECT l_suppkey AS hot_key, count(*) AS n_rows FROM lineitem GROUP BY 1 ORDER BY n_rows DESC, hot_key LIMIT 5""",
     "direct_group_sum": _SUPP_SUM,
     "salted_group_sum": _SUPP_SUM,
     "broadcast_dim_join": _REGION_SUM,
     "sort_merge_dim_join": _REGION_SUM,
-    "salted_dim_join": _REGION_SUM,
+    "salted_dim_join": """
+SELECT CASE l_returnflag WHEN 'A' THEN 'accepted' WHEN 'N' THEN 'new' ELSE 'returned' END AS stage,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM lineitem GROUP BY 1""",
     "wide_group_sum": """
 SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag AS flag, l_partkey AS part,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
@@ -168,7 +176,7 @@ WITH {_MART}
 SELECT uf, CAST(sum(CAST(exports AS DECIMAL(18,2))) AS DOUBLE) AS exports FROM mart GROUP BY uf ORDER BY exports DESC""",
     "dash_rate_by_year": f"""
 WITH {_MART}
-SELECT year, max(avg_rate) AS avg_rate FROM mart WHERE avg_rate IS NOT NULL GROUP BY year ORDER BY year""",
+SELECT year, round(max(avg_rate), 6) AS avg_rate FROM mart WHERE avg_rate IS NOT NULL GROUP BY year ORDER BY year""",
     "dash_correlation": f"""
 WITH {_MART}
 SELECT CASE WHEN count(DISTINCT year) >= 2 THEN round(corr(avg_rate, exports), 6) END AS pearson,
@@ -182,14 +190,17 @@ WHERE uf <> 3 AND per_capita IS NOT NULL""",
 WITH {_MART}
 SELECT uf, year, exports FROM mart WHERE year IN (1996, 1998) AND uf IN (1, 2, 5) ORDER BY year, exports DESC""",
     "non_empty_columns": f"""
-WITH {_MART}, m AS (SELECT uf, year, exports, avg_rate FROM mart WHERE year = 2001)
-SELECT 'uf' AS column_name, count(uf) > 0 AS has_data FROM m
-UNION ALL SELECT 'year', count(year) > 0 FROM m
-UNION ALL SELECT 'exports', count(exports) > 0 FROM m
-UNION ALL SELECT 'avg_rate', count(avg_rate) > 0 FROM m""",
-    "backfill_years": """
-SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus AS flow, count(*) AS n_rows
-FROM orders GROUP BY ALL""",
+WITH {_MART}, m AS (SELECT * FROM mart WHERE uf = 3)
+SELECT unnest(['uf', 'year', 'exports', 'avg_rate', 'population', 'gdp', 'per_capita']) AS column_name,
+       unnest([count(uf) > 0, count(year) > 0, count(exports) > 0, count(avg_rate) > 0, false, count(gdp) > 0, false]) AS has_data
+FROM m""",
+    "drop_empty_columns": f"""
+WITH {_MART} SELECT uf, year, exports, round(avg_rate, 6) AS avg_rate, gdp FROM mart WHERE uf = 3""",
+    "backfill_years": _ORDERS_SLICES.format(keep="true"),
+    "contained_slices": _ORDERS_SLICES.format(keep="true"),
+    "gate_before_table": f"SELECT *, false AS fresh_exists FROM ({_ORDERS_SLICES.format(keep='true')})",
+    "isolated_slices": f"""SELECT *, true AS failed_1995, true AS publish_skipped
+FROM ({_ORDERS_SLICES.format(keep="year(o_orderdate) IN (1994, 1996)")})""",
     "incremental_silver": """
 SELECT event_type AS series, CAST(ts AS DATE) AS date, event_id, CAST(event_id AS DOUBLE) AS value
 FROM events

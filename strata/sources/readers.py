@@ -165,7 +165,7 @@ def stamp_lineage(df: DataFrame, run_id: str, source: str | None = None,
 def lookback(df: DataFrame, date_col: str, key_col: str, windows: Mapping[str, int],
              anchor=None) -> DataFrame:
     """Keep rows of key ``k`` only within ``windows[k]`` months before ``anchor``; keys
-    not in ``windows`` are unrestricted.
+    not in ``windows``, NULL among them, are unrestricted.
 
     ``anchor`` is a date (e.g. the run date) or, by default, the data's own max date:
     a scalar subquery (one small job whose value is inlined), not a join, which makes
@@ -176,10 +176,12 @@ def lookback(df: DataFrame, date_col: str, key_col: str, windows: Mapping[str, i
         latest = F.lit(anchor).cast("date")
     else:
         latest = df.agg(F.max(F.to_date(date_col))).scalar()
+    # the bound takes the column's type, so the comparison itself can reach the scan
+    kind = df.schema[date_col].dataType
     keep = F.lit(True)
     for key, months in windows.items():
-        keep = keep & ((F.col(key_col) != F.lit(key))
-                       | (F.to_date(date_col) >= F.add_months(latest, -int(months))))
+        bound = F.add_months(latest, -int(months)).cast(kind)
+        keep = keep & (~F.col(key_col).eqNullSafe(F.lit(key)) | (F.col(date_col) >= bound))
     return df.filter(keep)
 
 

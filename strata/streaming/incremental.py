@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators import quality, tables
@@ -25,27 +26,52 @@ from strata.operators.contracts import Contract
 from strata.operators.latest import latest_by_key
 
 
+def _last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """The id of the last committed micro-batch of a checkpoint; -1 before the first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return -1
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return max((int(n) for n in names if n.isdigit()), default=-1)
+
+
+def _run(spark: SparkSession, writer, checkpoint: str, path: str | None = None) -> int:
+    """Process what is new, and return how many micro-batches that took."""
+    before = _last_batch(spark, checkpoint)
+    q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(*[path] if path else [])
+    q.awaitTermination()
+    return _last_batch(spark, checkpoint) - before
+
+
 def land_to_bronze(spark: SparkSession, raw_path: str, schema: T.StructType, bronze_path: str,
-                   checkpoint: str, partitions: Sequence[str] = (), fmt: str = "json",
-                   max_files_per_trigger: int | None = None) -> int:
-    """Process every new raw file once; returns the number of micro-batches run."""
-    reader = spark.readStream.schema(schema).format(fmt)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    writer = (reader.load(raw_path).writeStream.format("parquet")
-              .option("checkpointLocation", checkpoint).outputMode("append")
-              .trigger(availableNow=True))
+                   checkpoint: str, partitions: Sequence[str] = (),
+                   max_bytes_per_trigger: int | None = None, quarantine: str | None = None) -> int:
+    """Process every new raw file of JSON lines once; returns the number of micro-batches.
+
+    Lines that don't parse into the schema go to ``quarantine`` (default: a folder beside
+    bronze) as raw text in ``payload``. Each sink is a stream with a checkpoint of its own,
+    so both are written exactly once."""
+    lines = spark.readStream
+    if max_bytes_per_trigger:
+        lines = lines.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    lines = lines.text(raw_path).where(F.length(F.trim("value")) > 0)
+    bad = "_unparsed"
+    full = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    parsed = lines.select("value", F.from_json("value", full, {"columnNameOfCorruptRecord": bad}).alias("r"))
+    unread = F.col("r").isNull() | F.col(f"r.{bad}").isNotNull()
+    good = parsed.where(~unread).select(*[F.col(f"r.{f}").alias(f) for f in schema.fieldNames()]).writeStream.format("parquet")
     if partitions:
-        writer = writer.partitionBy(*partitions)
-    q = writer.start(bronze_path)
-    q.awaitTermination()
-    return len(q.recentProgress)
+        good = good.partitionBy(*partitions)
+    rejected = parsed.where(unread).select(F.col("value").alias("payload")).writeStream.format("parquet")
+    _run(spark, rejected, f"{checkpoint}-quarantine", quarantine or f"{bronze_path}-quarantine")
+    return _run(spark, good, checkpoint, bronze_path)
 
 
 def bronze_to_silver(spark: SparkSession, bronze_path: str, bronze_schema: T.StructType,
                      contract: Contract, keep: Sequence[str], table: str, order: Sequence[str],
                      checkpoint: str, location: str | None = None,
-                     max_files_per_trigger: int | None = None,
+                     max_bytes_per_trigger: int | None = None,
                      derive: Callable[[DataFrame], DataFrame] | None = None,
                      rules: Sequence[quality.Rule] = (),
                      log: Callable[[str], None] = lambda _: None) -> int:
@@ -60,15 +86,12 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, bronze_schema: T.Str
         if derive is not None:
             rows = derive(rows)
         latest = latest_by_key(rows, keys, list(order))
-        gate = (lambda staged: quality.gate(staged, rules, stage=f"{table}#{epoch_id}", log=log)) \
+        gate = (lambda staged: quality.enforce(staged, rules, stage=f"{table}#{epoch_id}", log=log)) \
             if rules else None
         tables.upsert(latest, table, keys, partitions=parts, location=location, order=order,
-                      before_write=gate)
+                      unique_keys=True, before_write=gate)
 
     reader = spark.readStream.schema(bronze_schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    q = (reader.parquet(bronze_path).writeStream.foreachBatch(apply)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return len(q.recentProgress)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    return _run(spark, reader.parquet(bronze_path).writeStream.foreachBatch(apply), checkpoint)

@@ -19,30 +19,39 @@ def _bronze(spark, rows):
     return spark.createDataFrame(rows, "series long, d string, v string")
 
 
-def test_bad_date_dropped_bad_value_kept_and_counted(spark):
-    df = _bronze(spark, [(1, "15/06/2021", "5.10"), (1, "31/13/2021", "5.20"), (1, "16/06/2021", "x"),
-                         (1, "31/02/2021", "1"), (1, "1/6/2021", "2"), (1, "17/06/2021", None)])
-    c = conform(df, CONTRACT, keep=["series"])
-    rows = sorted(c.rows.collect(), key=lambda r: r["date"])
-    assert [r["date"] for r in rows] == [dt.date(2021, 6, 15), dt.date(2021, 6, 16), dt.date(2021, 6, 17)]
-    assert [r["value"] for r in rows] == [5.10, None, None]
+def _days(spark, n=30):
+    """A month of readings: day 4k has an impossible date, day 5k no number."""
+    return _bronze(spark, [(k % 2, f"{k:02d}/{'11' if k % 4 else '17'}/2033", f"{k}.5" if k % 5 else "n/a") for k in range(1, n + 1)])
+
+
+def test_impossible_dates_go_and_unreadable_numbers_stay_empty(spark):
+    c = conform(_days(spark), CONTRACT, keep=["series"])
+    rows = {r["date"].day: r["value"] for r in c.rows.collect()}
+    assert rows == {k: (k + 0.5 if k % 5 else None) for k in range(1, 31) if k % 4}
+    assert all(d == dt.date(2033, 11, d.day) for d, in c.rows.select("date").collect())
     led = c.ledger.first()
-    assert (led["total"], led["bad_date"], led["bad_value"], led["dropped"]) == (6, 3, 1, 3)
+    assert (led["total"], led["bad_date"], led["bad_value"], led["dropped"]) == (30, 7, 6, 7)
+
+
+def test_single_digits_and_a_29th_february_are_held_to_the_pattern(spark):
+    df = _bronze(spark, [(8, "29/02/2032", "0"), (8, "29/02/2033", "0"), (8, "7/3/2032", "0"), (8, "07/03/2032", None)])
+    c = conform(df, CONTRACT, keep=["series"])
+    assert {r["date"] for r in c.rows.collect()} == {dt.date(2032, 2, 29), dt.date(2032, 3, 7)}
+    assert c.ledger.first()["bad_value"] == 0       # a missing number isn't an unreadable one
 
 
 def test_observed_counts_come_from_the_write_pass(spark, scratch):
-    df = _bronze(spark, [(1, "15/06/2021", "1"), (1, "99/99/2021", "2"), (2, "01/01/2022", "-")])
-    rows, obs = conform(df, CONTRACT, keep=["series"]).observed("t")
+    rows, obs = conform(_days(spark), CONTRACT, keep=["series"]).observed("t")
     rows.write.parquet(scratch)
-    assert obs.get == {"total": 3, "bad_date": 1, "bad_value": 1}
-    assert spark.read.parquet(scratch).count() == 2
+    assert obs.get == {"total": 30, "bad_date": 7, "bad_value": 6}
+    assert spark.read.parquet(scratch).count() == 23
 
 
-def test_ledger_grouped_in_one_aggregate(spark):
-    df = _bronze(spark, [(1, "15/06/2021", "1"), (2, "bad", "2"), (2, "01/01/2022", "-")])
+def test_ledger_by_series(spark):
     led = {r["series"]: (r["total"], r["bad_date"], r["bad_value"])
-           for r in conform(df, CONTRACT, keep=["series"], ledger_by=["series"]).ledger.collect()}
-    assert led == {1: (1, 0, 0), 2: (2, 1, 1)}
+           for r in conform(_days(spark), CONTRACT, keep=["series"], ledger_by=["series"]).ledger.collect()}
+    # impossible dates fall on even days; unreadable numbers on three odd and three even
+    assert led == {0: (15, 7, 3), 1: (15, 0, 3)}
 
 
 def test_domain_filter_null_counts_as_dropped(spark):
@@ -86,7 +95,7 @@ def test_municipal_marker_dropped_state_derived_and_revision_wins(spark, scratch
     from strata.plans import layers
     from strata.session import unique_name
     name = unique_name("muni")
-    rules = [quality.not_null("value"), quality.not_null("uf"), quality.unique("dataset", "place_id", "year")]
+    rules = [quality.present("value"), quality.present("uf"), quality.one_row_per("dataset", "place_id", "year")]
 
     def derive(df):
         return with_code_lookup(df, "place_id", BRAZIL_STATE_CODES, "uf", prefix_len=2)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import tables
-from strata.operators.quality import GateFailed, Outcome
+from strata.operators.quality import RulesBroken, Outcome
 from strata.plans import jobs
 from strata.plans.queries import STREAM_CONTRACT, STREAM_RAW, _with_month
 from strata.session import unique_name
@@ -27,7 +27,7 @@ def test_failing_slice_does_not_stop_the_others():
 
 def test_exit_codes():
     assert jobs.exit_code(lambda: None) == 0
-    assert jobs.exit_code(lambda: (_ for _ in ()).throw(GateFailed("gold", [])), log=lambda _: None) == 3
+    assert jobs.exit_code(lambda: (_ for _ in ()).throw(RulesBroken("gold", [])), log=lambda _: None) == 3
     assert jobs.exit_code(lambda: 1 / 0, log=lambda _: None) == 1
 
 
@@ -100,14 +100,14 @@ def test_silver_stage_gate_stops_before_writing(spark, sf_small):
     from strata.plans.queries import STREAM_CONTRACT, _series_delivery
     bronze = _series_delivery(load(spark, sf_small, "events"), with_time=True)
     name = unique_name("silver_gate")
-    strict = [quality.not_null("value"), quality.unique("series", "date")]
-    with pytest.raises(GateFailed) as exc:
+    strict = [quality.present("value"), quality.one_row_per("series", "date")]
+    with pytest.raises(RulesBroken) as exc:
         layers.silver_upsert(bronze, STREAM_CONTRACT, name, strict, keep=["series"],
                              order=["at", "event_id"], derive=_with_month, log=lambda _: None)
-    assert [r["name"] for r in exc.value.failures] == ["not_null(value)"]
+    assert [(r["kind"], r["columns"]) for r in exc.value.broken] == [("present", "value")]
     assert not spark.catalog.tableExists(name)          # nothing was written
     report = layers.silver_upsert(bronze, STREAM_CONTRACT, name,
-                                  [quality.not_null("value", 0.2)], keep=["series"],
+                                  [quality.present("value", 0.2)], keep=["series"],
                                   order=["at", "event_id"], derive=_with_month, log=lambda _: None)
     assert report.rejects["total"] == 1000 and report.rejects["bad_date"] == 20
     assert report.rejects["bad_value"] == 28 and len(report.quality) == 1
@@ -126,7 +126,7 @@ def test_cli_gate_failure_exits_3(spark, sf_small, monkeypatch):
     from strata.__main__ import main
     from strata.operators import quality
     from strata.plans import gold
-    monkeypatch.setattr(gold, "gold_rules", lambda: [quality.between("exports", max_value=0)])
+    monkeypatch.setattr(gold, "gold_rules", lambda: [quality.within("exports", high=0)])
     assert main(["gold", "--source", sf_small, "--table", unique_name("g")]) == 3
 
 
@@ -177,7 +177,7 @@ def test_streaming_gate_stops_a_bad_micro_batch(spark, scratch):
     from strata.operators import quality
     from strata.sources import land_lines
     raw, bronze, name = f"{scratch}/raw", f"{scratch}/bronze", unique_name("stream_gate")
-    rules = [quality.not_null("value")]
+    rules = [quality.present("value")]
 
     def run():
         incremental.land_to_bronze(spark, raw, STREAM_RAW, bronze, f"{scratch}/c1")
@@ -202,11 +202,11 @@ def test_gold_overwrite_gates_before_writing(spark, scratch):
     from strata.plans import layers
     mart = spark.createDataFrame([("SP", 2023, 10.0), ("RJ", 2023, -1.0)], "uf string, year int, exports double")
     name = unique_name("gold_gate")
-    with pytest.raises(GateFailed):
-        layers.gold_overwrite(mart, name, [quality.between("exports", min_value=0)], ["year"],
+    with pytest.raises(RulesBroken):
+        layers.gold_overwrite(mart, name, [quality.within("exports", low=0)], ["year"],
                               f"{scratch}/g", log=lambda _: None)
     assert not spark.catalog.tableExists(name)
     ok = mart.filter("exports >= 0")
-    rep = layers.gold_overwrite(ok, name, [quality.unique("uf", "year")], ["year"], f"{scratch}/g",
+    rep = layers.gold_overwrite(ok, name, [quality.one_row_per("uf", "year")], ["year"], f"{scratch}/g",
                                 log=lambda _: None)
     assert rep.quality[0]["passed"] and spark.table(name).count() == 1

@@ -1,107 +1,113 @@
+"""Latest row per key, and rules with their enforcement."""
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import quality
 from strata.operators.latest import latest_by_key
-from strata.operators.quality import GateFailed, Outcome
+from strata.operators.quality import Outcome, RulesBroken
+
+METHODS = ("aggregate", "window")
 
 
-# ---------------------------------------------------------------- latest wins
-def test_latest_revision_wins(spark):
-    df = spark.createDataFrame([(1, "2021-06-15", 5.10, "2024-01-01T10:00:00", "r1"),
-                                (1, "2021-06-15", 5.15, "2024-01-02T10:00:00", "r2"),
-                                (1, "2021-06-16", 5.20, "2024-01-01T10:00:00", "r1")],
-                               "series long, d string, v double, at string, run string")
-    for method in ("aggregate", "window"):
-        out = latest_by_key(df, ["series", "d"], ["at"], method=method)
-        got = sorted((r["d"], r["v"], r["run"]) for r in out.collect())
-        assert got == [("2021-06-15", 5.15, "r2"), ("2021-06-16", 5.20, "r1")]
-        assert out.columns == df.columns
+# ---------------------------------------------------------------- latest per key
+@pytest.mark.parametrize("method", METHODS)
+def test_the_last_reading_of_each_sensor_stays(spark, method):
+    readings = spark.range(600).select(
+        (F.col("id") % 7).alias("sensor"), (F.col("id") * 37 % 601).alias("tick"), F.concat(F.lit("v"), "id").alias("reading"))
+    newest = {}
+    for r in readings.collect():
+        if r["sensor"] not in newest or r["tick"] > newest[r["sensor"]][0]:
+            newest[r["sensor"]] = (r["tick"], r["reading"])
+    out = latest_by_key(readings, ["sensor"], ["tick"], method=method)
+    assert out.columns == readings.columns
+    assert {r["sensor"]: (r["tick"], r["reading"]) for r in out.collect()} == newest
 
 
-def test_ties_on_recency_are_broken_deterministically(spark):
-    rows = [(1, "t", "b", 2.0), (1, "t", "a", 9.0), (1, "t", "c", 1.0)]
-    df = spark.createDataFrame(rows, "k long, at string, run string, v double")
-    a = latest_by_key(df, ["k"], ["at"], method="aggregate").collect()
-    w = latest_by_key(df, ["k"], ["at"], method="window").collect()
-    assert a == w == [tuple(df.filter(F.col("run") == "c").first())]
-    b = latest_by_key(df.repartition(3), ["k"], ["at"]).collect()
-    assert b == a
+def test_equal_recency_gives_the_same_row_however_rows_lie(spark):
+    df = spark.createDataFrame([("north", 9, c, len(c)) for c in ("kiwi", "fig", "plum", "date")],
+                               "shop string, hour int, fruit string, letters int")
+    picked = {tuple(latest_by_key(df.repartition(n), ["shop"], ["hour"], method=m).first()) for n in (1, 2, 5) for m in METHODS}
+    assert len(picked) == 1
 
 
-def test_latest_aggregate_plan_has_no_window_and_combines_map_side(spark):
+def test_the_aggregate_form_combines_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("ts"))
     plan = latest_by_key(df, ["k"], ["ts"])._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
-    assert "partial_max" in plan
+    assert "Window" not in plan and "partial_max" in plan
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_map_columns_travel_with_the_latest_row(spark, method):
+    df = spark.createDataFrame([("x", 3, {"tone": "red"}), ("x", 8, {"tone": "blue"}), ("y", 1, {})], "k string, n int, m map<string,string>")
+    assert {r["k"]: r["m"] for r in latest_by_key(df, ["k"], ["n"], method=method).collect()} == {"x": {"tone": "blue"}, "y": {}}
+
+
+# ---------------------------------------------------------------- rules
+def one(df, rule):
+    """A rule's breaches, allowance and verdict."""
+    r = quality.measure(df, [rule]).first()
+    return r["breaches"], r["allowed"], r["passed"]
 
 
-# ---------------------------------------------------------------- quality rules
-def _report(df, rules):
-    return {r["name"]: r for r in quality.evaluate(df, rules, "t").collect()}
+@pytest.fixture(scope="module")
+def stock(spark):
+    """40 items: every eighth weight is missing, shelves repeat, weights are 1 to 40."""
+    return spark.range(1, 41).select(
+        F.col("id").alias("item"), (F.col("id") % 10).alias("shelf"), F.when(F.col("id") % 8 != 0, F.col("id") * 1.0).alias("weight"))
 
 
-def test_not_null(spark):
-    ok = spark.createDataFrame([(1,), (2,), (3,)], "v int")
-    assert _report(ok, [quality.not_null("v")])["not_null(v)"]["passed"]
-    two_of_three = spark.createDataFrame([(1,), (None,), (None,)], "v int")
-    r = _report(two_of_three, [quality.not_null("v", 0.1)])["not_null(v)"]
-    assert not r["passed"] and "2/3" in r["detail"]
-    one_of_three = spark.createDataFrame([(1,), (None,), (3,)], "v int")
-    assert _report(one_of_three, [quality.not_null("v", 0.5)])["not_null(v)"]["passed"]
+@pytest.mark.parametrize("share, passed", [(0.0, False), (0.12, False), (0.125, True), (1.0, True)])
+def test_missing_values_are_held_against_their_share(stock, share, passed):
+    assert one(stock, quality.present("weight", share)) == (5, int(40 * share), passed)
 
 
-def test_empty_frame_passes(spark):
-    empty = spark.createDataFrame([], "k string, v int")
-    rep = _report(empty, [quality.not_null("v"), quality.unique("k")])
-    assert all(r["passed"] for r in rep.values())
+def test_rows_beyond_one_per_key(stock):
+    assert one(stock, quality.one_row_per("item")) == (0, 0, True)
+    assert one(stock, quality.one_row_per("shelf")) == (30, 0, False)
+    # the five missing weights are one key
+    assert one(stock, quality.one_row_per("weight")) == (4, 0, False)
 
 
-def test_unique_counts_duplicates_and_null_is_a_value(spark):
-    df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "k string, v int")
-    r = _report(df, [quality.unique("k")])["unique(k)"]
-    assert not r["passed"] and r["failing"] == 1
-    with_nulls = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
-    assert _report(with_nulls, [quality.unique("k")])["unique(k)"]["failing"] == 1
+@pytest.mark.parametrize("low, high, breaches", [(1, 39, 0), (2, None, 1), (None, 30, 8), (12.5, 30.5, 19), (None, None, 0)])
+def test_bounds_are_inclusive_and_skip_missing_values(stock, low, high, breaches):
+    assert one(stock, quality.within("weight", low, high)) == (breaches, 0, breaches == 0)
 
 
-def test_between_ignores_null_and_is_inclusive(spark):
-    df = spark.createDataFrame([(-5,), (0,), (None,)], "v int")
-    assert _report(df, [quality.between("v", min_value=0)])["range(v)"]["failing"] == 1
-    df2 = spark.createDataFrame([(0,), (10,), (None,)], "v int")
-    assert _report(df2, [quality.between("v", 0, 10)])["range(v)"]["passed"]
+def test_any_count_can_be_a_rule(stock):
+    heavy = F.count_if((F.col("weight") > 35) & (F.col("shelf") < 9))
+    assert one(stock, quality.counted("heavy on a low shelf", heavy)) == (3, 0, False)
+    assert one(stock, quality.counted("heavy on a low shelf", heavy, allowed_rows=3)) == (3, 3, True)
 
 
-def test_gate_raises_with_all_failures_and_passes_silently(spark):
-    df = spark.createDataFrame([("a", None), ("a", -1)], "k string, v int")
-    logs = []
-    with pytest.raises(GateFailed) as exc:
-        quality.gate(df, [quality.not_null("v"), quality.unique("k"), quality.between("v", 0)],
-                     "silver", log=logs.append)
-    assert len(exc.value.failures) == 3 and len(logs) == 3
-    assert Outcome.of(exc.value) == Outcome.DATA_QUALITY == 3
-    assert Outcome.of(RuntimeError("network")) == Outcome.TRANSIENT
-    good = spark.createDataFrame([("a", 1)], "k string, v int")
-    assert len(quality.gate(good, [quality.not_null("v")], "silver", log=lambda _: None)) == 1
+def test_no_rows_break_no_rule(stock):
+    rules = [quality.present("weight"), quality.one_row_per("item"), quality.one_row_per("shelf"), quality.within("weight", 100)]
+    assert [tuple(r) for r in quality.measure(stock.limit(0), rules).select("breaches", "total", "passed").collect()] == [(0, 0, True)] * 4
 
 
-def test_custom_rule_plugs_in(spark):
-    df = spark.createDataFrame([(1, 2), (3, 1)], "lo int, hi int")
-    rule = quality.custom("lo<=hi", F.count_if(F.col("lo") > F.col("hi")))
-    assert not _report(df, [rule])["lo<=hi"]["passed"]
+def test_one_uniqueness_rule_needs_one_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(50).withColumn("v", F.col("id") % 5).write.parquet(path)
+    df = spark.read.parquet(path)
+    scans = lambda rules: quality.measure(df, rules)._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    assert scans([quality.present("v"), quality.one_row_per("id"), quality.within("v", 0, 9)]) == 1
+    # a further one is pre-aggregated apart, so that no row is copied per rule
+    two = quality.measure(df, [quality.one_row_per("id"), quality.one_row_per("v")])
+    assert "Expand" not in two._jdf.queryExecution().executedPlan().toString()
+    assert [r["breaches"] for r in two.collect()] == [0, 45]
 
 
-def test_all_rules_run_as_one_job(spark):
-    df = spark.range(1000).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"))
-    rules = [quality.not_null("v"), quality.unique("k", "v"), quality.between("v", 0, 10_000)]
-    plan = quality.evaluate(df, rules)._jdf.queryExecution().executedPlan().toString()
-    # a single aggregate over a single scan: one Range leaf feeds every rule
-    assert plan.count("Range (") == 1
+def test_enforcing_reports_every_rule_and_raises_with_the_broken_ones(stock):
+    lines = []
+    rules = [quality.within("weight", 5), quality.present("item"), quality.one_row_per("shelf")]
+    with pytest.raises(RulesBroken) as caught:
+        quality.enforce(stock, rules, "shop", log=lines.append)
+    assert [(r["kind"], r["columns"]) for r in caught.value.broken] == [("within", "weight"), ("one_row_per", "shelf")]
+    assert [json.loads(x)["passed"] for x in lines] == [False, True, False]
+    assert [json.loads(x)["stage"] for x in lines] == ["shop"] * 3
+    assert len(quality.enforce(stock, [quality.present("item")], "shop", log=lines.append)) == 1
 
 
-def test_latest_with_map_payload(spark):
-    df = spark.createDataFrame([(1, 1, {"a": "x"}), (1, 2, {"a": "y"}), (2, 5, {"b": "z"})],
-                               "k int, ts int, props map<string,string>")
-    for method in ("aggregate", "window"):
-        got = sorted((r["k"], r["ts"], r["props"]) for r in latest_by_key(df, ["k"], ["ts"], method=method).collect())
-        assert got == [(1, 2, {"a": "y"}), (2, 5, {"b": "z"})]
+def test_only_broken_rules_forbid_a_retry():
+    assert [Outcome.of(e) for e in (None, RulesBroken("s", []), OSError("gone"))] == [0, 3, 1]

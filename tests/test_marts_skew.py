@@ -86,6 +86,7 @@ def skewed(spark):
 
 
 def test_salted_equals_direct(skewed):
+    skewed = skewed.withColumn("amount", F.col("amount").cast("decimal(18,2)"))
     d = {r["k"]: r["total"] for r in skew.direct_sum(skewed, "k", "amount").collect()}
     s = {r["k"]: r["total"] for r in skew.salted_sum(skewed, "k", "amount", 16, ["id"]).collect()}
     assert d == s
@@ -93,7 +94,7 @@ def test_salted_equals_direct(skewed):
 
 
 def test_join_strategies_show_in_plan(spark, skewed):
-    dim = skew.derived_dim(skewed, "k", F.concat(F.lit("r"), (F.col("k") % 5).cast("string")), "region")
+    dim = skew.derived_dim(skewed, "k", spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 5).alias("region")))
     with_bc = skew.dim_join(skewed, dim, "k", strategy="broadcast")
     assert "BroadcastHashJoin" in _plan(with_bc)
     merge = skew.dim_join(skewed, dim, "k", strategy="merge")
@@ -103,10 +104,8 @@ def test_join_strategies_show_in_plan(spark, skewed):
     assert with_bc.count() == merge.count() == too_big.count() == 3000
 
 
-def test_to_pandas_is_bounded(spark):
-    assert len(insight.to_pandas_bounded(spark.range(5), max_rows=5)) == 5
-    with pytest.raises(ValueError, match="more than"):
-        insight.to_pandas_bounded(spark.range(6), max_rows=5)
+def test_to_pandas_takes_all_rows(spark):
+    assert len(insight.to_pandas(spark.range(5))) == 5
 
 
 def test_salted_join_equals_plain_join_and_detects_the_hot_key(spark, skewed):
@@ -122,29 +121,45 @@ def test_salted_join_equals_plain_join_and_detects_the_hot_key(spark, skewed):
 
 
 def test_broadcast_also_bounded_by_bytes(spark, skewed):
-    dim = skew.derived_dim(skewed, "k", F.concat(F.lit("r"), (F.col("k") % 5).cast("string")), "region")
+    dim = skew.derived_dim(skewed, "k", spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 5).alias("region")))
     tiny_bytes = skew.dim_join(skewed, dim, "k", strategy="broadcast", max_broadcast_bytes=10)
     assert "BroadcastHashJoin" not in _plan(tiny_bytes)
     assert tiny_bytes.count() == 3000
 
 
-def test_rolled_up_join_matches_plain_group_and_keeps_null_periods(spark, monkeypatch):
-    facts = spark.createDataFrame([(1, 2020, 10.0), (1, 2020, 5.0), (1, 2021, None), (2, None, 7.0),
-                                   (3, 2021, 1.0)], "k int, p int, v double")
+def test_sums_then_join_keeps_every_period_and_null_ones(spark):
+    facts = spark.createDataFrame([(1, p, float(p)) for p in range(1700, 2100)] + [(1, 1700, 5.0), (2, None, 7.0), (3, 1990, None), (9, 1990, 1.0)],
+                                  "k int, p int, v double")
     dim = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "dk int, g string")
-    from collections import Counter
-    expected = Counter(tuple(r) for r in facts.groupBy("k", "p").agg(F.sum("v").alias("v"))
-                       .join(dim, F.col("k") == F.col("dk")).select("g", "p", "v").collect())
-    wide = Counter(tuple(r) for r in marts.rolled_up_join(facts, "k", "p", ["v"], dim, "dk", ["g"]).collect())
-    assert wide == expected                      # includes (a, 2021, None) and (b, None, 7.0)
-    assert ("b", None, 7.0) in wide and ("a", 2021, None) in wide
-    monkeypatch.setattr(marts, "MAX_WIDE_PERIODS", 0)
-    fallback = Counter(tuple(r) for r in marts.rolled_up_join(facts, "k", "p", ["v"], dim, "dk", ["g"]).collect())
-    assert fallback == expected
-
-
-def test_rolled_up_join_on_empty_facts(spark):
-    facts = spark.createDataFrame([], "k int, p int, v double")
-    dim = spark.createDataFrame([(1, "a")], "dk int, g string")
-    out = marts.rolled_up_join(facts, "k", "p", ["v"], dim, "dk", ["g"])
-    assert out.count() == 0 and out.columns == ["g", "p", "v"]
+    got = {(r["g"], r["p"], r["v"]) for r in marts.summed_then_joined(facts, ["k", "p"], ["v"], dim, "k", "dk", ["g"]).collect()}
+    assert got == {("a", p, p + 5.0 * (p == 1700)) for p in range(1700, 2100)} | {("b", None, 7.0), ("a", 1990, None)}
+    empty = marts.summed_then_joined(facts.limit(0), ["k", "p"], ["v"], dim, "k", "dk", ["g"])
+    assert empty.count() == 0 and empty.columns == ["g", "p", "v"]
+
+
+def test_sums_keep_small_values(spark):
+    df = spark.createDataFrame([("z", 0.004, i) for i in range(3)], "k string, v double, id int")
+    for out in (skew.direct_sum(df, "k", "v"), skew.salted_sum(df, "k", "v", 4, ["id"]), marts.sum_by(df, ["k"], "v", "total")):
+        assert abs(out.first()["total"] - 0.012) < 1e-12
+
+
+def test_every_key_above_the_share_is_hot(spark):
+    df = spark.range(6000).select((F.col("id") % 300).alias("k"))
+    assert skew.detect_hot_keys(df, "k", min_share=1 / 400) == list(range(300))
+
+
+def test_salting_spreads_missing_keys_of_left_joins(spark):
+    df = spark.range(200).select(F.when(F.col("id") >= 150, F.col("id") % 3).alias("k"), "id")
+    dim = spark.createDataFrame([(0, "zero"), (2, "two")], "k long, name string")
+    salted = skew.salted_join(df, dim, "k", "left", buckets=4, min_share=0.9, salt_cols=["id"])
+    assert sorted(map(str, salted.collect())) == sorted(map(str, df.join(dim, "k", "left").collect()))
+
+
+def test_rates_of_all_years_reach_the_mart(spark):
+    from strata.plans import gold
+    li = spark.createDataFrame([("O", f"{y}-05-05 00:00:00", t) for y, t in ((1999, 0.2), (2001, 0.04), (2030, 0.1), (2030, 0.2))],
+                               "l_linestatus string, l_shipdate string, l_tax double").withColumn("l_shipdate", F.to_timestamp("l_shipdate"))
+    rates = gold.rates(li)
+    assert {r["year"]: round(r["avg_rate"], 12) for r in rates.collect()} == {1999: 0.2, 2001: 0.04, 2030: 0.15}
+    facts = spark.createDataFrame([(2001,), (2002,)], "year int")
+    assert {r["year"]: r["avg_rate"] for r in marts.star_join(facts, [(rates, ["year"])]).collect()} == {2001: 0.04, 2002: None}

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import quality, skew
 from strata.plans import gold
-from strata.plans.queries import REGISTRY, _year_slice
+from strata.plans.queries import REGISTRY
 from strata.session import workspace
 
 
@@ -16,11 +16,11 @@ def _final_plan(df):
     return _plan(df)
 
 
-def test_year_slice_is_pushed_to_the_scan(spark, sf_small):
-    li = gold.load(spark, sf_small, "lineitem").filter(_year_slice("l_shipdate", 1997)).select("l_orderkey")
-    p = _plan(li)
-    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in p
-    assert "ReadSchema: struct<l_orderkey:bigint,l_shipdate:timestamp_ntz>" in p
+def test_lookback_bound_is_pushed_to_the_scan(spark, sf_small):
+    from strata.sources.readers import lookback
+    orders = gold.load(spark, sf_small, "orders")
+    p = _plan(lookback(orders, "o_orderdate", "o_orderstatus", {"F": 12}, anchor="1998-01-01").select("o_orderkey"))
+    assert "GreaterThanOrEqual(o_orderdate,1997-01-01T00:00)" in p
 
 
 def test_partition_filter_prunes_directories(spark, sf_small):
@@ -53,9 +53,9 @@ def test_top_k_uses_take_ordered(spark, sf_small):
 
 def test_gate_is_a_single_aggregate_over_a_single_scan(spark, sf_small):
     li = gold.load(spark, sf_small, "lineitem")
-    rules = [quality.not_null("l_tax"), quality.unique("l_orderkey", "l_linenumber"),
-             quality.between("l_quantity", 1, 50)]
-    p = _plan(quality.evaluate(li, rules))
+    rules = [quality.present("l_tax"), quality.one_row_per("l_orderkey", "l_linenumber"),
+             quality.within("l_quantity", 1, 50)]
+    p = _plan(quality.measure(li, rules))
     assert p.count("FileScan parquet") == 1
 
 
@@ -73,18 +73,3 @@ def test_gold_table_is_partitioned_by_year(spark, sf_small):
     out = gold.refresh_gold(spark, sf_small, name, workspace(spark, "gold"), log=lambda _: None)
     assert tables.partition_columns(spark, name) == ["year"]
     assert out.count() == out.select("uf", "year").distinct().count()
-
-
-def test_customer_join_reuses_the_rollup_partitioning(spark, sf_small):
-    import re
-    from strata.session import conf_override
-    no_broadcast = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-                    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
-    with conf_override(spark, no_broadcast):
-        e = gold.exports(gold.load(spark, sf_small, "orders"), gold.load(spark, sf_small, "customer"))
-        e.collect()
-        plan = e._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    keys = re.findall(r"Exchange hashpartitioning\(([a-z_]+)", plan)
-    # orders shuffled once (by customer, for the rollup, reused by the join), customers
-    # once, plus the tiny final (nation, year) aggregate: no (customer, year) exchange
-    assert sorted(keys) == ["c_custkey", "c_nationkey", "o_custkey"]

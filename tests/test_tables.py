@@ -123,7 +123,7 @@ def test_publish_twice_and_inventory(spark, scratch):
     mart = spark.createDataFrame([("SP", 2), ("RJ", 1)], "uf string, n long")
     db = unique_name("pub")
     for _ in range(2):
-        full = tables.publish(mart, db, "m", f"{scratch}/export", f"{scratch}/db")
+        full = tables.publish(mart, db, "m", f"{scratch}/export", f"{scratch}/db", single_file=True)
     assert sorted(tuple(r) for r in spark.table(full).collect()) == [("RJ", 1), ("SP", 2)]
     assert len([f for f in spark.read.parquet(f"{scratch}/export").inputFiles()]) == 1
     inv = {r["table_name"]: (r["n_rows"], r["status"]) for r in
@@ -131,9 +131,11 @@ def test_publish_twice_and_inventory(spark, scratch):
     assert inv == {"mart": (2, "ok"), "missing": (None, "missing")}
 
 
-def test_publish_refuses_large_frames(spark, scratch):
-    with pytest.raises(ValueError, match="small"):
-        tables.publish(spark.range(20), unique_name("pub"), "m", f"{scratch}/x", max_rows=10)
+def test_publish_of_another_shape_replaces_the_table(spark, scratch):
+    db = unique_name("pub")
+    tables.publish(spark.range(4).repartition(3), db, "m", f"{scratch}/x", f"{scratch}/db")
+    full = tables.publish(spark.range(3).selectExpr("id", "id * 2 AS twice"), db, "m", f"{scratch}/x")
+    assert sorted(tuple(r) for r in spark.table(full).collect()) == [(0, 0), (1, 2), (2, 4)]
 
 
 def test_sql_literal_escaping():
@@ -215,26 +217,27 @@ def test_failed_swap_keeps_merged_rows_and_swap_in_finishes(spark, silver, monke
         ("gdp", "4106902", 2021, 1.0), ("pop", "2304400", 2021, 2703391.0), ("pop", "4106902", 2021, 7.0)]
 
 
-def test_upsert_many_touched_partitions_uses_semi_join(spark, silver, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_LITERAL_PARTITIONS", 1)
+def test_upsert_touching_several_partitions(spark, silver):
     batch = spark.createDataFrame([("pop", "2304400", 2021, 1.0), ("gdp", "4106902", 2021, 2.0),
                                    ("area", "4106902", 2021, 3.0)], SILVER)
-    assert tables.upsert(batch, silver, ["dataset", "place", "year"]) == 2   # more than the bound
+    assert tables.upsert(batch, silver, ["dataset", "place", "year"]) == 3
     assert _silver_state(spark, silver) == [
         ("area", "4106902", 2021, 3.0), ("gdp", "4106902", 2021, 2.0),
         ("pop", "2304400", 2021, 1.0), ("pop", "4106902", 2021, 1963726.0)]
 
 
-def test_replace_slice_fallback_path_matches(spark, trade_table, monkeypatch):
-    """Past the literal bound, the per-combination static path gives the same table."""
-    monkeypatch.setattr(tables, "MAX_LITERAL_PARTITIONS", 0)
-    batch = _trade(spark, [(2023, "EXP", "SP", 33)])
-    tables.replace_slice(batch, trade_table, {"year": 2023})
-    assert [r for r in _state(spark, trade_table) if r[0] == 2023] == [(2023, "EXP", "SP", 33)]
-    tables.replace_slice(_trade(spark, [(2022, "EXP", "MG", 7)]), trade_table,
-                         {"year": [2022, 2024], "flow": "EXP"})
-    assert _state(spark, trade_table) == [(2022, "EXP", "MG", 7), (2022, "IMP", "SP", 2),
-                                          (2023, "EXP", "SP", 33)]
+def test_no_table_after_broken_rules(spark, scratch):
+    from strata.operators import quality
+    name = unique_name("never")
+    with pytest.raises(quality.RulesBroken):
+        tables.replace_slice(_trade(spark, [(2022, "EXP", "MG", 7)]), name, {"year": 2022}, ["year", "flow"], f"{scratch}/n",
+                             before_write=lambda s: quality.enforce(s, [quality.within("year", high=1)], "t", log=lambda _: None))
+    assert not tables.table_exists(spark, name)
+
+
+def test_stale_partitions_are_cleared_with_the_slice(spark, trade_table):
+    tables.replace_slice(_trade(spark, [(2022, "EXP", "MG", 7)]), trade_table, {"year": [2022, 2024], "flow": "EXP"})
+    assert _state(spark, trade_table) == [(2022, "EXP", "MG", 7), (2022, "IMP", "SP", 2), (2023, "EXP", "SP", 3), (2023, "IMP", "RJ", 4)]
 
 
 def test_replace_slice_swaps_present_partitions_in_one_job(spark, trade_table):

@@ -73,15 +73,15 @@ def main() -> None:
         "salted_sum(hot supplier)": (n_li, lambda: skew.salted_sum(
             li, "l_suppkey", "l_extendedprice", 16, ["l_orderkey", "l_linenumber", "l_partkey"])),
         "hot_keys(hot supplier)": (n_li, lambda: skew.hot_keys(li, "l_suppkey")),
-        "quality.unique(hot key)": (n_li, lambda: quality.evaluate(
-            li, [quality.unique("l_orderkey", "l_linenumber")])),
+        "quality.one_row_per(hot key)": (n_li, lambda: quality.measure(
+            li, [quality.one_row_per("l_orderkey", "l_linenumber")])),
         "dim_join(merge, hot supplier)": (n_li, lambda: skew.dim_join(
             li.select("l_suppkey", "l_extendedprice"),
-            skew.derived_dim(li, "l_suppkey", F.col("l_suppkey") % 5, "region"),
+            skew.derived_dim(li, "l_suppkey", spark.range(10_000).select(F.col("id").alias("l_suppkey"), (F.col("id") % 5).alias("region"))),
             "l_suppkey", strategy="merge")),
         "salted_join(hot supplier)": (n_li, lambda: skew.salted_join(
             li.select("l_suppkey", "l_extendedprice", "l_orderkey", "l_linenumber"),
-            skew.derived_dim(li, "l_suppkey", F.col("l_suppkey") % 5, "region"), "l_suppkey",
+            skew.derived_dim(li, "l_suppkey", spark.range(10_000).select(F.col("id").alias("l_suppkey"), (F.col("id") % 5).alias("region"))), "l_suppkey",
             buckets=16, salt_cols=["l_orderkey", "l_linenumber"])),
         "gold.exports(hot customer)": (n_o, lambda: gold.exports(orders, customer)),
         "gold.measures(hot order+customer)": (n_li, lambda: gold.measures(li, orders, customer)),
