@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from strata.llm.token_counts import groups_by_bytes
 from strata.llm.vocab import PieceTable
 
-TEXT_CHARS = 1 << 22
+TEXT_CHARS = 1 << 20
+PAIR_ENTRIES = 300_000
 
 
 class MergeReplay:
@@ -41,15 +42,15 @@ class MergeReplay:
         self.ranks = ranks
         self.bytes_of = {v: k for k, v in ranks.items()}
         self.single = [ranks[bytes([b])] for b in range(256)]
-        self._pairs: dict[tuple[int, int], int] = {}
+        self._pairs: dict[int, int] = {}
 
     def pair_rank(self, a: int, b: int) -> int:
         """The rank of the merge of two tokens; -1 if they don't merge."""
-        r = self._pairs.get((a, b))
+        r = self._pairs.get(a << 32 | b)
         if r is None:
-            if len(self._pairs) > 1_000_000:
+            if len(self._pairs) > PAIR_ENTRIES:
                 self._pairs.clear()
-            r = self._pairs[a, b] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
+            r = self._pairs[a << 32 | b] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
         return r
 
     def _finish(self, tokens: list[int]) -> list[int]:
@@ -199,21 +200,22 @@ def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
     return encoded.mapInArrow(run, "doc_id long, ids binary, decoded binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256."""
+def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Encode, then decode the ids, in one Python worker a task: doc_id, n_tokens, ids_sha256
+    (of the decimal ids joined by commas) and decoded (bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text_of = [str(i) for i in range(1 << 16)]
+        bpe = byte_bpe(ranks, pattern)
+        text_of = [str(i) for i in range(max(bpe.replay.bytes_of) + 1)]
         for b in batches:
-            counts, sums = [], []
-            for raw in b.column("ids").to_pylist():
-                ids = _ids(raw)
-                counts.append(len(ids))
-                parts = map(text_of.__getitem__, ids) if max(ids, default=0) < len(text_of) else map(str, ids)
-                sums.append(hashlib.sha256(",".join(parts).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(sums), b.column("decoded")],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded"])
-
-    rows = decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded binary")
-    return rows.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+            texts = b.column("text").to_pylist()
+            for lo, hi in groups_by_bytes(texts, TEXT_CHARS):
+                rows = [_ids(raw) for raw in bpe.encode(texts[lo:hi])]
+                sums = [hashlib.sha256(",".join(map(text_of.__getitem__, ids)).encode()).hexdigest() for ids in rows]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(lo, hi - lo), pa.array([len(ids) for ids in rows], pa.int64()), pa.array(sums, pa.string()),
+                     pa.array([bpe.decode(ids) for ids in rows], pa.binary())],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded binary")

@@ -89,8 +89,8 @@ def op8_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document by merge replay, decode its ids, and digest both."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return byte_bpe.digests(byte_bpe.decode(ids, ranks, public_tokenizers.PATTERN))
+    rows = byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return rows.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query
