@@ -70,8 +70,9 @@ def shingle_set(text: str | None) -> np.ndarray:
         _WORDS.clear()
     # bytes: lower() folds A-Z only and split() cuts at the six ASCII spaces
     words = (text or "").encode().lower().split()
-    for w in {*words} - _WORDS.keys():
-        _WORDS[w] = xxhash.xxh3_64_intdigest(w)
+    for w in set(words):
+        if w not in _WORDS:
+            _WORDS[w] = xxhash.xxh3_64_intdigest(w)
     h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
     if not len(h):
         return h
