@@ -1,6 +1,10 @@
 """Command line: run one job and exit with the orchestrator contract (0 / 1 / 3).
 
+    python -m strata bronze --raw DIR --columns A,B,YEAR,... --year-column YEAR --flow EXP
+                            --years 2022,2023 [--reprocess 2] --table NAME [--location PATH]
+    python -m strata backfill --source DIR --column year --values 2022,2023 --table NAME
     python -m strata gold --source DIR --table NAME [--location PATH]
+    python -m strata publish --table NAME --database DB --target NAME --export PATH
     python -m strata inventory --source DIR --tables orders,events,...
     python -m strata probe
 
@@ -14,9 +18,12 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.plans import gold, jobs
+from strata import sources
 from strata.operators import tables
+from strata.plans import gold, jobs
 
 
 def _session() -> SparkSession:
@@ -26,6 +33,22 @@ def _session() -> SparkSession:
     return builder.getOrCreate()
 
 
+def listed_years(years: str, reprocess: int = 0) -> list[int]:
+    """The years of a run: those listed, and as many before the last as are still revised."""
+    listed = {int(y) for y in years.split(",")}
+    return sorted(listed | {max(listed) - k for k in range(reprocess + 1)})
+
+
+def bronze(spark: SparkSession, args) -> None:
+    """Delimited raw files into the (year, flow) slices of one run."""
+    schema = T.StructType([T.StructField(c.strip(), T.StringType()) for c in args.columns.split(",")])
+    years = listed_years(args.years, args.reprocess)
+    raw = sources.stamp_lineage(sources.read_delimited(spark, args.raw, schema), run_id=jobs.new_run_id())
+    rows = raw.withColumns({"year": F.col(args.year_column).try_cast("int"), "flow": F.lit(args.flow)}).where(F.col("year").isin(years))
+    n = tables.replace_slice(rows, args.table, {"year": years, "flow": args.flow}, ["year", "flow"], args.location)
+    print(f"[bronze] {args.table}: {n} partitions of {args.flow} {years}")
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="strata")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -33,6 +56,18 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--source", required=True)
     g.add_argument("--table", required=True)
     g.add_argument("--location")
+    b = sub.add_parser("bronze", help="land delimited files of some years and one flow into their slices")
+    for name in ("raw", "columns", "year-column", "flow", "years", "table"):
+        b.add_argument(f"--{name}", required=True)
+    b.add_argument("--reprocess", type=int, default=0, help="also the newest N years before the last one listed")
+    b.add_argument("--location")
+    f = sub.add_parser("backfill", help="replace listed slices of a table from a parquet folder")
+    for name in ("source", "column", "values", "table"):
+        f.add_argument(f"--{name}", required=True)
+    f.add_argument("--location")
+    u = sub.add_parser("publish", help="export a table and publish it in a database")
+    for name in ("table", "database", "target", "export"):
+        u.add_argument(f"--{name}", required=True)
     inv = sub.add_parser("inventory", help="row count of each expected table")
     inv.add_argument("--source", required=True)
     inv.add_argument("--tables", required=True)
@@ -42,7 +77,8 @@ def main(argv: list[str] | None = None) -> int:
     # validate everything before any Spark work
     try:
         jobs.require(vars(args), {k: (lambda v: bool(str(v).strip()))
-                                  for k in ("source", "table", "tables") if k in vars(args)})
+                                  for k, v in vars(args).items() if k != "cmd" and v is not None}
+                     | ({"years": lambda v: all(x.strip().isdigit() for x in v.split(","))} if args.cmd == "bronze" else {}))
     except ValueError as exc:
         print(exc, file=sys.stderr)
         return 2
@@ -50,7 +86,17 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session()
 
     def run():
-        if args.cmd == "gold":
+        if args.cmd == "bronze":
+            bronze(spark, args)
+        elif args.cmd == "backfill":
+            batch = spark.read.parquet(args.source)
+            kind = batch.schema[args.column].dataType
+            values = [r[0] for r in spark.createDataFrame([(v,) for v in args.values.split(",")], "v string")
+                      .select(F.col("v").cast(kind)).collect()]
+            jobs.backfill(batch, args.table, args.column, values, [args.column], args.location)
+        elif args.cmd == "publish":
+            print(tables.publish(spark.table(args.table), args.database, args.target, args.export))
+        elif args.cmd == "gold":
             out = gold.refresh_gold(spark, args.source, args.table, args.location)
             print(f"[gold] {args.table}: {out.count()} rows")
         elif args.cmd == "inventory":

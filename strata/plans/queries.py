@@ -113,7 +113,7 @@ def bronze_json_array_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Events landed as bounded JSON-array documents per series, read multiLine."""
     raw = workspace(spark, "raw-series")
     sources.land_json_arrays(_series_delivery(load(spark, sf, "events"), defects=False),
-                             raw, keys=["series"], fields=["date", "value"], salt_cols=["id"])
+                             raw, keys=["series"], fields=["date", "value"])
     docs = sources.read_json_array(spark, raw, SERIES_DOC, partitions={"series": STRING, "doc": INT})
     return docs.select("series", F.col("date").alias("date_text"), F.col("value").alias("value_text"))
 
@@ -171,7 +171,7 @@ def json_document_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     raw = workspace(spark, "raw-series-docs")
     good_days = events.filter(F.col("day") % 7 != 0)
     sources.land_json_arrays(_series_delivery(good_days, defects=False, keep=("day",)),
-                             raw, keys=["series", "day"], fields=["date", "value"], salt_cols=["id"])
+                             raw, keys=["series", "day"], fields=["date", "value"])
     bad_days = (events.filter(F.col("day") % 7 == 0)
                 .select(F.col("event_type").alias("series"), "day").distinct().withColumn("doc", F.lit(0)))
     sources.land_lines(bad_days, raw, F.lit("<html><body><h1>503 Service Unavailable</h1></body></html>"),

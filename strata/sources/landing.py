@@ -6,8 +6,7 @@ exercised on real tables at any size:
 
 * ``land_delimited`` — header + separator + charset text, every value a string.
 * ``land_json_arrays`` — each document is one JSON array in its own file, under
-  ``<key>=<value>/doc=<n>/``. Documents are bounded: each key's rows are spread over
-  ``ceil(rows_of_key / rows_per_doc)`` documents by a hash of row content, so no
+  ``<key>=<value>/doc=<n>/``. A document holds ``rows_per_doc`` rows at most, so no
   document (and no task) holds an unbounded group, even when one key holds a third
   of all rows, and small keys do not explode into many tiny files.
 * ``land_lines`` — one payload per line (JSON or not), partitioned by key folders.
@@ -18,7 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import hash_salt
@@ -39,26 +38,28 @@ def land_delimited(df: DataFrame, path: str, sep: str = ";", encoding: str = "IS
 
 
 def land_json_arrays(df: DataFrame, path: str, keys: Sequence[str], fields: Sequence[str],
-                     rows_per_doc: int = 50_000, salt_cols: Sequence[str] | None = None) -> str:
-    """One JSON array of ``fields`` objects per (keys, doc) file.
-
-    Each key gets ``ceil(rows_of_key / rows_per_doc)`` documents: the per-key row
-    counts are a small aggregate joined back (broadcast only under a checked size),
-    and rows are spread over their key's documents by a content hash. A hot key gets
-    many bounded documents; a small key gets one file, not one per global bucket.
-    """
-    from strata.operators.skew import dim_join   # local import: operators build on sources
-
-    keys = list(keys)
-    sizes = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-             .select(*keys, F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(rows_per_doc)))
-                     .cast("int").alias("__docs")))
-    sized = dim_join(df, sizes, keys, strategy="broadcast")
-    salt = F.xxhash64(*[F.col(c) for c in (salt_cols or df.columns)])
-    salted = sized.withColumn(DOC, F.pmod(salt, F.col("__docs")).cast("int"))
-    docs = (salted.groupBy(*keys, DOC)
+                     rows_per_doc: int = 50_000) -> str:
+    """One JSON array of ``fields`` objects per (keys, doc) file, of ``rows_per_doc``
+    objects at most.
+
+    The rows are first staged by key in files of that many rows; each staged file then
+    becomes a document, numbered within its key. The bound holds whatever the rows hold
+    (equal rows too), the source plan runs once, and a hot key is many files."""
+    from strata.session import discard, workspace
+
+    spark, keys = df.sparkSession, list(keys)
+    staged = workspace(spark, "landing-arrays")
+    (df.select(*keys, *[c for c in fields if c not in keys]).hint("rebalance", *keys)
+     .write.option("maxRecordsPerFile", rows_per_doc).partitionBy(*keys).parquet(staged))
+    rows = spark.read.schema(df.select(*keys, *[c for c in fields if c not in keys]).schema).parquet(staged)
+    rows = rows.withColumn("__file", F.col("_metadata.file_path"))
+    # one row per staged file: numbered per key, then joined back by the file's name
+    order = Window.partitionBy(*keys).orderBy("__file")
+    files = rows.select(*keys, "__file").distinct().withColumn(DOC, F.row_number().over(order) - 1).select("__file", DOC)
+    docs = (rows.join(files, "__file").groupBy(*keys, DOC)
             .agg(F.to_json(F.collect_list(F.struct(*fields))).alias("value")))
     _write_one_file_per_doc(docs, path, keys + [DOC])
+    discard(spark, staged)
     return path
 
 

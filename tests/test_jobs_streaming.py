@@ -210,3 +210,63 @@ def test_gold_overwrite_gates_before_writing(spark, scratch):
     rep = layers.gold_overwrite(ok, name, [quality.one_row_per("uf", "year")], ["year"], f"{scratch}/g",
                                 log=lambda _: None)
     assert rep.quality[0]["passed"] and spark.table(name).count() == 1
+
+
+def test_listed_years_and_the_ones_still_revised():
+    from strata.__main__ import listed_years
+    assert listed_years("2030") == [2030]
+    assert listed_years("2030,2027", reprocess=2) == [2027, 2028, 2029, 2030]
+
+
+def test_command_line_lands_backfills_and_publishes(spark, scratch):
+    from strata.__main__ import main
+    from strata.session import unique_name
+    rows = spark.range(60).select(F.col("id").alias("ID"), (F.col("id") % 3 + 2029).alias("YEAR"))
+    rows.write.option("header", True).option("sep", ";").csv(f"{scratch}/raw")
+    name, copy = unique_name("cli"), unique_name("cli_copy")
+    args = ["bronze", "--raw", f"{scratch}/raw", "--columns", "ID,YEAR", "--year-column", "YEAR", "--flow", "IMP", "--table", name,
+            "--location", f"{scratch}/t"]
+    for _ in range(2):
+        assert main([*args, "--years", "2030", "--reprocess", "1"]) == 0
+    assert {(r["year"], r["n"]) for r in spark.table(name).groupBy("year").agg(F.count("*").alias("n")).collect()} == {(2029, 20), (2030, 20)}
+    assert main([*args, "--years", "soon"]) == 2
+    rows.write.parquet(f"{scratch}/src")
+    assert main(["backfill", "--source", f"{scratch}/src", "--column", "YEAR", "--values", "2029,2030", "--table", copy]) == 1  # 2031 is unlisted
+    assert main(["backfill", "--source", f"{scratch}/src", "--column", "YEAR", "--values", "2029,2030,2031", "--table", copy,
+                 "--location", f"{scratch}/c"]) == 0
+    assert spark.table(copy).count() == 60
+    assert main(["publish", "--table", copy, "--database", unique_name("d"), "--target", "m", "--export", f"{scratch}/e"]) == 0
+
+
+def test_lines_that_are_no_documents_go_to_the_quarantine(spark, scratch):
+    from pyspark.sql import types as T
+    from strata.streaming import incremental
+    schema = T.StructType([T.StructField("a", T.StringType())])
+    spark.createDataFrame([('{"a": "1"}',), ("<html>down</html>",), ("",), ('{"a": "2"}',)], "value string").coalesce(1).write.text(f"{scratch}/raw")
+    land = lambda: incremental.land_to_bronze(spark, f"{scratch}/raw", schema, f"{scratch}/b", f"{scratch}/c")
+    assert land() == 1 and land() == 0
+    assert sorted(r["a"] for r in spark.read.parquet(f"{scratch}/b").collect()) == ["1", "2"]
+    assert [r["payload"] for r in spark.read.parquet(f"{scratch}/b-quarantine").collect()] == ["<html>down</html>"]
+
+
+def test_a_late_older_batch_does_not_roll_a_key_back(spark, scratch):
+    from strata.operators.contracts import Contract, Field
+    from strata.plans import layers
+    from strata.session import unique_name
+    from strata.operators import quality
+    contract = Contract(name="tide", fields=(Field("k", "port"), Field("v", "height", "double"), Field("at", "at")), keys=("port",))
+    name = unique_name("tide")
+    for value, at in (("4.25", "2041-02"), ("3.75", "2041-01")):
+        layers.silver_upsert(spark.createDataFrame([("pier", value, at)], "k string, v string, at string"), contract, name,
+                             [quality.present("height")], order=["at"], location=f"{scratch}/t", log=lambda _: None)
+    assert [tuple(r) for r in spark.table(name).select("height", "at").collect()] == [(4.25, "2041-02")]
+
+
+def test_backfill_refuses_rows_of_unlisted_slices(spark, scratch):
+    from strata.plans import jobs
+    from strata.session import unique_name
+    df = spark.createDataFrame([(1, 2020), (2, 2021), (3, None)], "id int, year int")
+    name = unique_name("bf")
+    with pytest.raises(ValueError, match="2 row"):
+        jobs.backfill(df, name, "year", [2020], ["year"], f"{scratch}/t", log=lambda _: None)
+    assert not spark.catalog.tableExists(name)
