@@ -250,9 +250,10 @@ def _sets(rows: DataFrame, features: DataFrame, suspects: DataFrame) -> DataFram
                  pa.array([count_vector(s).tobytes() for s in sets], pa.binary()),
                  pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "n", "points", "shingles"])
 
-    wanted = features.join(suspects.select("cls").distinct(), "cls").groupBy("cls").agg(
+    # one row of each class first: copies collapse before the shuffle
+    one = features.where(F.col("cls").isNotNull()).groupBy("cls").agg(
         F.min(F.struct("th", F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"))).alias("r"))
-    wanted = wanted.select("cls", "r.*")
+    wanted = one.join(suspects.select("cls").distinct(), "cls").select("cls", "r.*")
     keyed = rows.select("text", "th", F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"))
     # exact repeats of a row would give the class twice
     key = ["th", "no_id", "id"]
@@ -294,15 +295,17 @@ def components(links: DataFrame) -> DataFrame:
 def _star_pairs(suspects: DataFrame) -> DataFrame:
     """Each class with the smallest one of the buckets of its first shingles."""
     early = suspects.where("pos < 3")
-    hubs = early.groupBy("h").agg(F.min("cls").alias("a"))
+    # stored, so that both sides of the join are plain shuffles, which AQE can split
+    hubs = stored(early.groupBy("h").agg(F.min("cls").alias("a")), "join-hubs")
     return early.join(hubs, "h").where("a <> cls").select("a", F.col("cls").alias("b")).distinct()
 
 
 def _tree_pairs(suspects: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs of different components in one bucket that the count vectors allow."""
     rows = suspects.select("h", "cls").join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    several = rows.groupBy("h").agg(F.count("*").alias("k"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    rows = rows.join(several.select("h", "k"), "h").join(sets.select("cls", "n", "points"), "cls")
+    several = stored(rows.groupBy("h").agg(F.count("*").alias("k"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                     .where("lo <> hi").select("h", "k"), "join-buckets")
+    rows = rows.join(several, "h").join(sets.select("cls", "n", "points"), "cls")
     blocks = F.ceil(F.col("k") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     # block pair (i, j), i <= j: the row is on the left, on the right, or on both sides
@@ -390,7 +393,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     features, named, links = _grouped(docs, id_col, text_col)
     degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("class_links"))
     smallest = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    known = named.join(smallest, "comp").join(degree, "cls", "left").select("cls", "component_id", "class_links")
+    known = stored(named.join(smallest, "comp").join(degree, "cls", "left").select("cls", "component_id", "class_links"), "join-classes")
     out = features.select("doc_id", "n", "cls").join(known, "cls", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
