@@ -46,12 +46,21 @@ TEXT_CHARS = 1 << 22
 
 
 def _ids(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, "<u4")
+    """Ids as they are stored between the steps: a first byte for their width, then
+    unsigned integers of 16 bits where all fit, else of 32."""
+    return np.frombuffer(raw, "<u2" if raw[0] == 2 else "<u4", offset=raw[0])
+
+
+def _stored_ids(ids: bytes) -> bytes:
+    wide = np.frombuffer(ids, "<u4")
+    if wide.max() <= 0xFFFF:
+        return b"\x02\0" + wide.astype("<u2").tobytes()
+    return b"\x04\0\0\0" + ids
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """doc_id and ids (little-endian unsigned 32-bit, the end id last)."""
+    """doc_id and ids (as ``_ids`` reads them, the end id last)."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,7 +69,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: str
             texts = b.column("text").to_pylist()
             for lo, hi in groups_by_bytes(texts, TEXT_CHARS):
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(lo, hi - lo), pa.array([x + end for x in encode(texts[lo:hi])], pa.binary())],
+                    [b.column("doc_id").slice(lo, hi - lo), pa.array([_stored_ids(x + end) for x in encode(texts[lo:hi])], pa.binary())],
                     ["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -202,14 +211,15 @@ def _batch(rows: list[list], part: int) -> pa.RecordBatch:
     name, start, ids, total, sequence, offset = zip(*rows)
     return pa.RecordBatch.from_arrays(
         [pa.array(name, pa.int64()), pa.array(start, pa.int64()), pa.array([len(x) for x in ids], pa.int64()),
-         pa.array([x.tobytes() for x in ids], pa.binary()), pa.array(total, pa.int64()),
+         pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array(total, pa.int64()),
          pa.array([(part << 32) + s for s in sequence], pa.int64()), pa.array(offset, pa.int64())],
         ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset."""
+    """One row per piece: doc_id, start, length, ids (little-endian unsigned 32-bit),
+    doc_tokens, sequence_id, offset."""
     tokens = stored(tokenize(docs, tokenizer, id_col=id_col, text_col=text_col), "packing-tokens")
     weights = term_weights(tokens)
 

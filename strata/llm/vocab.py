@@ -10,23 +10,31 @@ import os
 import re
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
 TABLE_ENTRIES = 400_000
 REMEMBER_CHARS = 64
 
 
 class PieceTable:
-    """Piece -> its ids as little-endian unsigned 32-bit bytes; anew when it is full."""
+    """Piece -> its ids as little-endian unsigned 32-bit bytes, in two generations: when the
+    younger is full it becomes the older, and what is used again moves over."""
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], entries: int = TABLE_ENTRIES):
-        self.encode, self.entries, self.known = encode, entries, {}
+        self.encode, self.entries, self.known, self.older = encode, entries // 2, {}, {}
 
     def ids(self, cut: list[list[str]]) -> list[bytes]:
         """For each list of pieces, the bytes of all their ids."""
         if len(self.known) > self.entries:
-            self.known.clear()
-        known, rare = self.known, {}
-        new = list({p for parts in cut for p in parts if p not in known})
+            self.known, self.older = {}, self.known
+        known, older, rare = self.known, self.older, {}
+        new = []
+        for p in set(chain.from_iterable(cut)).difference(known):
+            v = older.get(p)
+            if v is None:
+                new.append(p)
+            else:
+                known[p] = v
         for lo in range(0, len(new), 10_000):
             batch = new[lo:lo + 10_000]
             for p, ids in zip(batch, self.encode(batch)):
@@ -89,26 +97,32 @@ class ByteLevelIds:
 
 
 class SpacedWordIds:
-    """A BPE file whose normalizer folds white space and whose pre-tokenizer drops it:
-    what a space or line feed separates is encoded by itself. Plain words, Latin letters
-    and then plain marks, are two pieces that normalizing only lower-cases: the library's
-    model encodes them. All else goes through the whole library."""
+    """A BPE file whose normalizer composes, folds white space and lower-cases, and whose
+    pre-tokenizer takes contractions, runs of letters, single digits and runs of marks.
 
-    plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
+    For texts of plain characters (printable ASCII and Latin letters, which are composed
+    already and lower-case one by one) that cut is made here, on the lower-cased text, and
+    the library's model encodes each piece. In other texts, what a space or line feed
+    separates goes through the whole library."""
 
-    def __init__(self, path: str):
-        self.tok = _library(path)
-        self.word = _model_ids(self.tok)
-        self.marks = lru_cache(maxsize=4096)(self.word)
-        self.table = PieceTable(self._encode)
+    odd = re.compile(r"[^\n\r\t -~À-ÖØ-öø-ÿ]|<\|").search
+    piece = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+").findall
 
-    def _encode(self, batch: list[str]) -> list[list[int]]:
-        found = [self.plain(w) for w in batch]
-        others = iter(self.tok.encode_batch([w for w, m in zip(batch, found) if not m], add_special_tokens=False))
-        return [self.word(m[1].lower()) + self.marks(m[2]) if m else next(others).ids for m in found]
+    def __init__(self, path: str):
+        tok = _library(path)
+        ids = _model_ids(tok)
+        self.pieces = PieceTable(lambda batch: [ids(p) for p in batch])
+        self.words = PieceTable(lambda batch: [e.ids for e in tok.encode_batch(batch, add_special_tokens=False)], TABLE_ENTRIES // 8)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        return self.table.ids([t.replace("\n", " ").split(" ") for t in texts])
+        odd = [i for i, t in enumerate(texts) if self.odd(t)]
+        cut = list(map(self.piece, map(str.lower, texts)))
+        for i in odd:
+            cut[i] = []
+        out = self.pieces.ids(cut)
+        for i, ids in zip(odd, self.words.ids([texts[i].replace("\n", " ").split(" ") for i in odd])):
+            out[i] = ids
+        return out
 
 
 @lru_cache(maxsize=2)
