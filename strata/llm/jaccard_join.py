@@ -8,15 +8,16 @@ A document is the set of 64-bit hashes of its shingles; documents with equal set
    bounded by mean set size / ``HOT_SHARE``, found from local counts), then goes by hash.
    A bucket is the classes that hold one shingle in front. This only says which points
    have to meet; it loses no link.
-2. *First links.* In the buckets of a class's three first shingles, every class is verified
-   against the bucket's smallest one. Linked classes become components, so a large group
+2. *First links.* In the buckets of a class's three first shingles, every class is held
+   against the bucket's smallest one, by count vectors and then by sets. Linked classes become components, so a large group
    of near copies needs as many checks as it has members, not pairs.
 3. *Count-vector tree.* Buckets that still hold several components are searched whole.
    Shingles are hashed into ``GROUPS`` groups; a class's counts by group are a point. The
    points of a bucket are the leaves of an R-tree (nodes with corner vectors and size
    bounds); pairs of nodes, then of points, survive only if the summed coordinate minima,
    an upper bound of the overlap, reach the overlap that the sizes ask for.
-4. *Verification.* Surviving pairs of different components meet with their whole sets.
+4. *Verification.* Surviving pairs of different components meet with 24-bit parts of their
+   hashes, which bound the overlap from above, and those left with their whole sets.
 
 Buckets of more than ``BLOCK`` rows are cut into blocks whose pairs are tasks of their own,
 so no bucket has to fit a task. Components come from label propagation with pointer
@@ -50,6 +51,8 @@ LEAF = 32
 #: Shingles counted at a time for the hot list.
 COUNT_AT_ONCE = 1 << 21
 WORD_ENTRIES = 500_000
+#: Size of the map of wanted texts: half a megabyte, whatever their number.
+MAP_BITS = 1 << 22
 
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -105,9 +108,23 @@ def count_vector(s: np.ndarray) -> np.ndarray:
     return np.bincount((s >> np.uint64(40)) % np.uint64(GROUPS), minlength=GROUPS).astype(np.uint32)
 
 
+def enough(shared: int, a: int, b: int) -> bool:
+    return DEN * shared >= NUM * (a + b - shared)
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return DEN * shared >= NUM * (len(a) + len(b) - shared)
+    return enough(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b))
+
+
+def slim(s: np.ndarray) -> bytes:
+    """The upper 24 bits of a sorted set's hashes, as gaps, which compress well."""
+    return np.diff((s >> np.uint64(40)).astype(np.uint32), prepend=np.uint32(0)).astype("<u4").tobytes()
+
+
+def maybe_linked(a: bytes, b: bytes) -> bool:
+    """Whether slim sets allow a link: equal upper bits are at least the shared shingles."""
+    x, y = (np.cumsum(np.frombuffer(s, "<u4"), dtype=np.uint32) for s in (a, b))
+    return enough(min(int(np.isin(x, y).sum()), int(np.isin(y, x).sum())), len(x), len(y))
 
 
 class CountVectorTree:
@@ -196,84 +213,115 @@ def _hot_shingles(rows: DataFrame) -> np.ndarray:
 
 
 def _features(rows: DataFrame, hot) -> DataFrame:
-    """Per row: doc_id, th, n, cls (64-bit digest of the set), and the front shingles, given
-    once per class and task."""
+    """Per row: doc_id, th, n, cls (64-bit digest of the set), and, once per class and task,
+    the front shingles and the count vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed, given = hot.value, set()
         for b in batches:
-            n, cls, fronts, n_cold = [], [], [], []
+            n, cls, fronts, n_cold, points = [], [], [], [], []
             for text in b.column("text").to_pylist():
                 s = shingle_set(text)
                 n.append(len(s))
                 if not len(s):
-                    cls.append(None), fronts.append(None), n_cold.append(None)
+                    cls.append(None), fronts.append(None), n_cold.append(None), points.append(None)
                     continue
                 c = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
                 cls.append(c)
                 if c in given:
-                    fronts.append(None), n_cold.append(None)
+                    fronts.append(None), n_cold.append(None), points.append(None)
                     continue
                 if len(given) < WORD_ENTRIES:
                     given.add(c)
                 first, cold = front(s, listed)
-                fronts.append(first.view(np.int64)), n_cold.append(cold)
+                fronts.append(first.view(np.int64)), n_cold.append(cold), points.append(count_vector(s).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("th"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
-                 pa.array(fronts, pa.list_(pa.int64())), pa.array(n_cold, pa.int64())],
-                ["doc_id", "th", "n", "cls", "front", "n_cold"])
+                 pa.array(fronts, pa.list_(pa.int64())), pa.array(n_cold, pa.int64()), pa.array(points, pa.binary())],
+                ["doc_id", "th", "n", "cls", "front", "n_cold", "points"])
 
-    return rows.mapInArrow(run, "doc_id long, th long, n long, cls long, front array<long>, n_cold long")
+    return rows.mapInArrow(run, "doc_id long, th long, n long, cls long, front array<long>, n_cold long, points binary")
 
 
-def _suspects(features: DataFrame) -> DataFrame:
-    """(h, cls, n, pos) for front shingles that another class also has in front."""
-    entries = features.where(F.col("front").isNotNull()).select(
-        "cls", "n", "n_cold", F.posexplode("front").alias("pos", "h"))
-    cold = entries.where("pos < n_cold").drop("n_cold")
+def _entries(features: DataFrame) -> DataFrame:
+    """(h, cls, pos, hot): the front shingles as rows."""
+    return features.where(F.col("front").isNotNull()).select("cls", "n_cold", F.posexplode("front").alias("pos", "h")).select(
+        "h", "cls", "pos", (F.col("pos") >= F.col("n_cold")).alias("hot"))
+
+
+def _suspects(entries: DataFrame) -> DataFrame:
+    """(h, cls) for front shingles that another class also has in front."""
     # a cold bucket is bounded: smallest and largest class differ if there are several
     per = Window.partitionBy("h")
-    cold = cold.withColumn("lo", F.min("cls").over(per)).withColumn("hi", F.max("cls").over(per)).where(
-        "lo <> hi").drop("lo", "hi")
+    cold = entries.where("not hot").select("h", "cls").withColumn("lo", F.min("cls").over(per)).withColumn("hi", F.max("cls").over(per))
     # a hot shingle's bucket always holds several classes
-    return cold.unionByName(entries.where("pos >= n_cold").drop("n_cold")).distinct()
+    return cold.where("lo <> hi").select("h", "cls").unionByName(entries.where("hot").select("h", "cls")).distinct()
 
 
-def _sets(rows: DataFrame, features: DataFrame, suspects: DataFrame) -> DataFrame:
-    """(cls, n, points, shingles) of the suspect classes, from one text each."""
+def _possible(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose count vectors allow a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            n = [np.asarray(b.column(c)) for c in ("na", "nb")]
+            v = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(-1, GROUPS) for c in ("pa", "pb")]
+            keep = np.minimum(*v).sum(axis=1, dtype=np.int64) >= overlap_needed(*n)
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    one = points.select(F.col("cls").alias("a"), F.col("points").alias("pa"), F.col("n").alias("na"))
+    two = points.select(F.col("cls").alias("b"), F.col("points").alias("pb"), F.col("n").alias("nb"))
+    sizes = (F.col("na") * DEN >= F.col("nb") * NUM) & (F.col("nb") * DEN >= F.col("na") * NUM)
+    return pairs.join(one, "a").join(two, "b").where(sizes).mapInArrow(run, "a long, b long")
+
+
+def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, slim, shingles) of the wanted classes (cls, th, no_id, id), from one text each.
+
+    A bitmap of fixed size says where a wanted text may be; the others' sets, and all
+    texts, stay in the task that reads them."""
+    places = wanted.select(F.pmod("th", F.lit(MAP_BITS)).alias("p")).distinct().toArrow()
+    bitmap = np.zeros(MAP_BITS, bool)
+    bitmap[np.asarray(places.column("p").combine_chunks()) if len(places) else []] = True
+    packed = rows.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hit = np.unpackbits(packed.value).view(bool)
+        for b in batches:
+            b = b.filter(pa.array(hit[np.mod(np.asarray(b.column("th")), MAP_BITS)], pa.bool_()))
             sets = [shingle_set(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("cls"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([count_vector(s).tobytes() for s in sets], pa.binary()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "n", "points", "shingles"])
-
-    # one row of each class first: copies collapse before the shuffle
-    one = features.where(F.col("cls").isNotNull()).groupBy("cls").agg(
-        F.min(F.struct("th", F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"))).alias("r"))
-    wanted = one.join(suspects.select("cls").distinct(), "cls").select("cls", "r.*")
-    keyed = rows.select("text", "th", F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"))
-    # exact repeats of a row would give the class twice
+                [b.column("th"), b.column("no_id"), b.column("id"), pa.array([slim(s) for s in sets], pa.binary()),
+                 pa.array([s.tobytes() for s in sets], pa.binary())], ["th", "no_id", "id", "slim", "shingles"])
+
     key = ["th", "no_id", "id"]
-    return keyed.join(wanted, key).dropDuplicates(key).select("cls", "text").mapInArrow(
-        run, "cls long, n long, points binary, shingles binary")
+    keyed = rows.select("text", "th", F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"))
+    found = keyed.mapInArrow(run, "th long, no_id boolean, id long, slim binary, shingles binary")
+    # exact repeats of a row would give its class twice
+    return found.join(wanted, key).dropDuplicates(key).select("cls", "slim", "shingles")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are linked, by their whole sets."""
+def _where_sets(pairs: DataFrame, sets: DataFrame, column: str, test) -> DataFrame:
+    """The pairs whose sets, as ``column`` has them, pass ``test``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
-                    for x, y in zip(b.column("sa"), b.column("sb"))]
+            keep = [test(x, y) for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa"), F.col("n").alias("na"))
-    two = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"), F.col("n").alias("nb"))
-    sizes = (F.col("na") * DEN >= F.col("nb") * NUM) & (F.col("nb") * DEN >= F.col("na") * NUM)
-    return pairs.join(one, "a").join(two, "b").where(sizes).select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    one = sets.select(F.col("cls").alias("a"), F.col(column).alias("sa"))
+    two = sets.select(F.col("cls").alias("b"), F.col(column).alias("sb"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are linked: slim sets rule most others out, whole sets decide."""
+    pairs = stored(pairs, "join-pairs")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    wanted = stored(classes.join(needed, "cls").select("cls", "at.*"), "join-wanted")
+    sets = stored(_sets(rows, wanted), "join-sets")
+    left = stored(_where_sets(pairs, sets, "slim", maybe_linked), "join-pairs")
+    return stored(_where_sets(left, sets, "shingles", lambda x, y: linked(
+        np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))), "join-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -292,20 +340,20 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select(F.col("a").alias("cls"), "comp")
 
 
-def _star_pairs(suspects: DataFrame) -> DataFrame:
+def _star_pairs(entries: DataFrame) -> DataFrame:
     """Each class with the smallest one of the buckets of its first shingles."""
-    early = suspects.where("pos < 3")
+    early = entries.where("pos < 3").select("h", "cls")
     # stored, so that both sides of the join are plain shuffles, which AQE can split
-    hubs = stored(early.groupBy("h").agg(F.min("cls").alias("a")), "join-hubs")
+    hubs = stored(early.groupBy("h").agg(F.min("cls").alias("a"), F.count("*").alias("k")).where("k > 1").select("h", "a"), "join-hubs")
     return early.join(hubs, "h").where("a <> cls").select("a", F.col("cls").alias("b")).distinct()
 
 
-def _tree_pairs(suspects: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+def _tree_pairs(suspects: DataFrame, comps: DataFrame, vectors: DataFrame) -> DataFrame:
     """Pairs of different components in one bucket that the count vectors allow."""
-    rows = suspects.select("h", "cls").join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    rows = suspects.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     several = stored(rows.groupBy("h").agg(F.count("*").alias("k"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                      .where("lo <> hi").select("h", "k"), "join-buckets")
-    rows = rows.join(several, "h").join(sets.select("cls", "n", "points"), "cls")
+    rows = rows.join(several, "h").join(vectors, "cls")
     blocks = F.ceil(F.col("k") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     # block pair (i, j), i <= j: the row is on the left, on the right, or on both sides
@@ -374,15 +422,18 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
     rows = _rows(docs, id_col, text_col)
     hot = docs.sparkSession.sparkContext.broadcast(_hot_shingles(rows))
     features = stored(_features(rows, hot), "join-features")
-    suspects = stored(_suspects(features), "join-suspects")
-    sets = stored(_sets(rows, features, suspects), "join-sets")
-    first = stored(_verified(_star_pairs(suspects), sets), "join-links")
-    comps = components(first)
-    second = stored(_verified(_tree_pairs(suspects, comps, sets), sets), "join-links")
+    # one row of each class: copies collapse before anything is shuffled by class
+    classes = stored(features.where(F.col("cls").isNotNull()).groupBy("cls").agg(
+        F.min("doc_id").alias("least"),
+        F.min(F.struct("th", F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"))).alias("at")),
+        "join-classes")
+    points = stored(features.where(F.col("points").isNotNull()).select("cls", "n", "points").dropDuplicates(["cls"]), "join-points")
+    entries = _entries(features)
+    first = _verified(_possible(_star_pairs(entries), points), rows, classes)
+    suspects = stored(_suspects(entries), "join-suspects")
+    second = _verified(_tree_pairs(suspects, components(first), points), rows, classes)
     links = first.union(second).distinct()
-    # classes first, so that copies are summed up before anything is shuffled by component
-    classes = features.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("least"))
-    named = classes.join(components(links), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    named = classes.select("cls", "least").join(components(links), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     return features, named, links
 
 
