@@ -91,7 +91,9 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "__no_id": F.col(id_col).isNull(), "__id": F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")),
         "__th": F.xxhash64(text)})
     found = stored(keyed.select(*_KEY, F.explode(chunks(text)).alias("c")).select(*_KEY, "c.h", "c.s", "c.n"), "line-chunks")
-    again = found.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
+    # stored, here and below, so that both sides of the join are plain shuffles: AQE can
+    # then split the rows of a passage that very many documents share
+    again = stored(found.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "line-repeats")
     suspects = found.join(again, "h").groupBy(*_KEY).agg(F.collect_set(F.struct("s", "n", "h")).alias("__at"))
     # only documents with a suspect chunk read their text again
     placed = stored(
@@ -101,7 +103,7 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 F.array_join(F.transform(F.slice(us, a["s"] + 1, a["n"]), lambda u: F.rtrim(u, F.lit(SPACE_CHARS))), "\n").alias("bytes")))))
             .alias("c")).select(*_KEY, "c.*"), "line-suspects")
     place = F.struct(*_KEY, "s")
-    first = placed.groupBy("h", "bytes").agg(F.min(place).alias("first"))
+    first = stored(placed.groupBy("h", "bytes").agg(F.min(place).alias("first")), "line-firsts")
     removals = placed.join(first, ["h", "bytes"]).where(place != F.col("first")).groupBy(*_KEY).agg(
         F.collect_set(F.struct("s", "n")).alias("__cut"))
     return keyed, removals
