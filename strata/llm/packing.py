@@ -248,7 +248,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard_tokens: in
             yield _batch(rest, part)
 
     order = ["k1", "k2", "doc_id", F.xxhash64("ids")]
-    dealt = tokens.mapInArrow(heaviest, "doc_id long, ids binary, k1 long, k2 long").repartitionByRange(
-        input_partitions(docs), *order).sortWithinPartitions(*order)
+    # stored, as a range partitioning first samples its input, which would weigh all again
+    keyed = stored(tokens.mapInArrow(heaviest, "doc_id long, ids binary, k1 long, k2 long"), "packing-keys")
+    dealt = keyed.repartitionByRange(input_partitions(docs), *order).sortWithinPartitions(*order)
     return dealt.select("doc_id", "ids").mapInArrow(
         fill, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
