@@ -44,7 +44,7 @@ from strata.llm.common import SPACE, input_partitions, stored
 WORDS = 5
 #: Jaccard threshold as a fraction.
 NUM, DEN = 80, 100
-GROUPS = 64
+GROUPS = 256
 HOT_SHARE = 0.001
 BLOCK = 4096
 LEAF = 32
@@ -105,7 +105,8 @@ def overlap_needed(a, b):
 
 
 def count_vector(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s >> np.uint64(40)) % np.uint64(GROUPS), minlength=GROUPS).astype(np.uint32)
+    """Counts by group, 16 bits each: enough for sets of some 16 million shingles."""
+    return np.minimum(np.bincount((s >> np.uint64(40)) % np.uint64(GROUPS), minlength=GROUPS), 0xFFFF).astype(np.uint16)
 
 
 def enough(shared: int, a: int, b: int) -> bool:
@@ -264,7 +265,7 @@ def _possible(pairs: DataFrame, points: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n = [np.asarray(b.column(c)) for c in ("na", "nb")]
-            v = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(-1, GROUPS) for c in ("pa", "pb")]
+            v = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, GROUPS) for c in ("pa", "pb")]
             keep = np.minimum(*v).sum(axis=1, dtype=np.int64) >= overlap_needed(*n)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -368,7 +369,7 @@ def _tree_pairs(suspects: DataFrame, comps: DataFrame, vectors: DataFrame) -> Da
 
         def pairs(t: pa.Table) -> pa.RecordBatch:
             col = {c: np.asarray(t.column(c).combine_chunks()) for c in (*key, "side", "cls", "comp", "n")}
-            points = np.frombuffer(b"".join(t.column("points").to_pylist()), np.uint32).reshape(-1, GROUPS)
+            points = np.frombuffer(b"".join(t.column("points").to_pylist()), np.uint16).reshape(-1, GROUPS)
             found = _bucket_pairs(col, points)
             pa_, pb_ = np.unique(np.stack(found), axis=1) if len(found[0]) else found
             return pa.RecordBatch.from_arrays([pa.array(pa_, pa.int64()), pa.array(pb_, pa.int64())], ["a", "b"])
