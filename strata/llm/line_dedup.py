@@ -1,126 +1,157 @@
-"""Line dedup by content-defined chunks: repeated multi-line passages stay once.
+"""Line dedup by content-defined windows: repeated multi-line passages stay once.
 
 *Units.* A text is cut after every line feed and, within a line, after every sentence, as
-prose is often stored as one very long line; a unit keeps its separator, so units join to
-the text again.
-
-*Chunks.* A rolling hash over the last two units chooses boundaries: a unit closes a chunk
-when the hash of it and its predecessor falls on one residue in ``AVERAGE`` and the unit
-before didn't. The choice depends on these three units alone, so it comes out the same
-wherever a passage is moved, and chunks have two units or more. A line of ``LONG_CHARS``
-or more is a run of its own: chunks end with it, and don't leave one unit of it over.
-
-*Repeats.* Chunks of two units and ``MIN_CHARS`` characters, or one unit of ``LONE_CHARS``,
-are counted by hash across the corpus (partial sums before the shuffle). Only those whose
-hash occurs again fetch their text; equality is decided on the bytes. The occurrence in
-the smallest (id, text hash, position) stays, every other is cut from its document.
+prose is often stored as one very long line; a unit keeps its separator and the blank lines
+after it, so units join to the text again. Trailing blanks don't count in comparisons.
+
+*Windows.* What is compared is the shortest run of two units or more with ``MIN_CHARS``
+characters, once forward and once backward from each unit, or one unit of ``LONE_CHARS``.
+A window depends on its own units alone, so it comes out the same wherever a passage is
+moved, and the windows of a passage overlap: together they cover it from its first unit to
+its last, in mid-line as in lines of its own.
+
+*Repeats.* All windows are counted by a 64-bit hash across the corpus (partial sums before
+the shuffle). Only documents with one that occurs again read their text again, for these
+windows alone; equality is decided on 128 bits of the SHA-256 of their units. The
+occurrence in the smallest (id, text hash, position) stays, the units of every other are cut
+from their document. So each unit that is cut stands at a smaller place too, and a repeated
+passage is cut whole, whatever runs of units its earlier occurrences lie in.
 
 The main path is built-in functions only. A passage in a third of all documents is one
 row a task in the grouping (partial aggregation) and a skewed join side that AQE splits;
 nothing collects its occurrences.
 
-Defined cases: null text stays null and holds no chunk; empty text likewise; texts without
+Defined cases: null text stays null and holds no window; empty text likewise; texts without
 repeats come back byte for byte; rows equal in id and text are one document, treated alike;
 rows without id come after the others in the order of occurrences; an empty table gives an
 empty result; extra columns travel along, whatever their names (working columns are
-prefixed); trailing blanks of a unit don't count in comparisons.
+prefixed); runs under ``MIN_CHARS`` are never cut.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import SPACE, SPACE_CHARS, bind, stored, with_passing
 
-AVERAGE = 3
 MIN_CHARS = 60
 LONE_CHARS = 120
-LONG_CHARS = 120
+#: A window has at most MIN_CHARS units.
+PACK = 64
 
-_LINE_ENDS = r"(?<=\n)"
-_SENTENCE_ENDS = r"(?<=[.!?] )"
+#: A unit ends before the next character that isn't blank, if a line or sentence ended.
+_UNIT_ENDS = rf"(?:(?<=\n)|(?<=[.!?] ))(?=[\x20\x09\x0B-\x0D]*[^{SPACE}])"
 _KEY = ["__no_id", "__id", "__th"]
 
 
 def units(text: Column) -> Column:
     """Lines and sentences with their separators."""
-    return F.split(text, f"{_LINE_ENDS}|{_SENTENCE_ENDS}")
+    return F.split(text, _UNIT_ENDS)
+
+
+def _bare(us: Column) -> Column:
+    """Units without their trailing blanks."""
+    return F.transform(us, lambda u: F.rtrim(u, F.lit(SPACE_CHARS)))
 
 
-def _marked(text: Column) -> Column:
-    """Units as structs: hash, n (characters), first and last of a long line, and whether
-    a boundary inside a long line would leave a lone unit."""
+def _chars(unit: Column) -> Column:
+    """Characters of a bare unit, one separator included."""
+    return F.length(unit) + 1
 
-    def of_line(line: Column) -> Column:
-        long = F.length(line) >= LONG_CHARS
-        return bind(F.split(line, _SENTENCE_ENDS), lambda us: F.transform(us, lambda u, i: F.struct(
-            F.xxhash64(F.rtrim(u, F.lit(SPACE_CHARS))).alias("h"), F.length(u).alias("n"),
-            (long & (i == 0)).alias("opens"), (long & (i == F.size(us) - 1)).alias("closes"),
-            (long & ((i == 0) | (i == F.size(us) - 2))).alias("inner"))))
 
-    return F.flatten(F.transform(F.split(text, _LINE_ENDS), of_line))
+def windows(text: Column) -> Column:
+    """Array of all windows: h (hash of the units' hashes) and at (first unit * ``PACK``
+    + number of units)."""
+    none = F.lit(None).cast("struct<h:bigint,at:bigint>")
+    marked = F.transform(_bare(units(text)), lambda u: F.struct(F.xxhash64(u).alias("h"), _chars(u).alias("n")))
 
+    def run(m: Column, s: Column, n: int) -> Column:
+        return F.struct(F.xxhash64(*[F.get(m, s + k)["h"] for k in range(n)]).alias("h"), (s.cast("long") * PACK + n).alias("at"))
 
-def chunks(text: Column) -> Column:
-    """Array of eligible chunks: h (hash of the units' hashes), s (first unit), n (units)."""
+    def several(m: Column, i: Column, step: int) -> Column:
+        """The window from unit i on (step 1) or back (step -1) if it has two units or more."""
 
-    def ends(u: Column) -> Column:
-        def hit(i: Column) -> Column:
-            return F.coalesce(F.pmod(F.xxhash64(F.get(u, i - 1)["h"], F.get(u, i)["h"]), F.lit(AVERAGE)) == 0, F.lit(False)) & (i > 0)
+        def chars(n: int) -> Column:
+            return reduce(lambda a, b: a + b, [F.get(m, i + step * k)["n"] for k in range(n)]) >= MIN_CHARS
 
-        return F.filter(F.transform(u, lambda x, i: F.when(
-            x["closes"] | F.coalesce(F.get(u, i + 1)["opens"], F.lit(True)) | (~x["inner"] & hit(i) & ~hit(i - 1)), i)),
-            lambda i: i.isNotNull())
+        def first(n: int) -> Column:
+            return i if step == 1 else i - (n - 1)
 
-    def spans(u: Column) -> Column:
-        return bind(ends(u), lambda e: F.filter(
-            F.transform(e, lambda last, k: bind(F.coalesce(F.get(e, k - 1) + 1, F.lit(0)), lambda s: bind(
-                F.slice(u, s + 1, last - s + 1), lambda part: F.struct(
-                    F.xxhash64(F.transform(part, lambda x: x["h"])).alias("h"), s.alias("s"), F.size(part).alias("n"),
-                    F.aggregate(part, F.lit(0), lambda a, x: a + x["n"]).alias("c"))))),
-            lambda x: (x["c"] >= LONE_CHARS) | (x["n"] >= 2) & (x["c"] >= MIN_CHARS)))
+        # short units: a unit has a character at least, so MIN_CHARS units are always enough
+        low = i if step == 1 else F.greatest(F.lit(0), i - MIN_CHARS + 1)
+        part = F.slice(m, low + 1, F.lit(MIN_CHARS) if step == 1 else i - low + 1)
+        total = F.aggregate(
+            part if step == 1 else F.reverse(part), F.struct(F.lit(0).alias("k"), F.lit(0).alias("c")),
+            lambda a, x: F.when((a["k"] >= 2) & (a["c"] >= MIN_CHARS), a).otherwise(F.struct((a["k"] + 1).alias("k"), (a["c"] + x["n"]).alias("c"))),
+            lambda a: F.when((a["k"] >= 2) & (a["c"] >= MIN_CHARS), a["k"]))
+        longer = bind(total, lambda k: F.when(k.isNotNull(), bind(i if step == 1 else i - k + 1, lambda s: F.struct(
+            F.xxhash64(F.transform(F.slice(m, s + 1, k), lambda x: x["h"])).alias("h"), (s.cast("long") * PACK + k).alias("at")))))
+        pair = run(m, first(2), 2)
+        if step == -1:
+            # also the forward window of its first unit, unless that one is lone
+            pair = F.when(F.get(m, i - 1)["n"] >= LONE_CHARS, pair).otherwise(none)
+        return F.when(chars(2), pair).when(chars(3), run(m, first(3), 3)).when(chars(4), run(m, first(4), 4)).otherwise(longer)
 
-    return bind(_marked(text), spans)
+    def at(m: Column, x: Column, i: Column) -> Column:
+        return F.when(x["n"] >= LONE_CHARS, F.array(run(m, i, 1), none)).otherwise(F.array(several(m, i, 1), several(m, i, -1)))
 
+    return bind(marked, lambda m: F.filter(F.flatten(F.transform(m, lambda x, i: at(m, x, i))), lambda w: w.isNotNull()))
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+
+def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(keyed, removals): ``docs`` with its key columns, and for each key the first units
-    and lengths of the chunks that stand elsewhere before: an array ``__cut`` of {s, n}."""
+    and lengths of the windows that stand elsewhere before: an array ``__cut`` of {s, n}."""
     text = F.col(text_col)
     keyed = docs.withColumns({
         "__no_id": F.col(id_col).isNull(), "__id": F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")),
         "__th": F.xxhash64(text)})
-    found = stored(keyed.select(*_KEY, F.explode(chunks(text)).alias("c")).select(*_KEY, "c.h", "c.s", "c.n"), "line-chunks")
+    # one number for the key, as there is a row a window: documents that share it only look
+    # at each other's places too
+    key = F.xxhash64(*_KEY).alias("__k")
+    found = stored(keyed.select(key, F.explode(windows(text)).alias("w")).select("__k", "w.h", "w.at"), "line-windows")
     # stored, here and below, so that both sides of the join are plain shuffles: AQE can
     # then split the rows of a passage that very many documents share
     again = stored(found.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "line-repeats")
-    suspects = found.join(again, "h").groupBy(*_KEY).agg(F.collect_set(F.struct("s", "n", "h")).alias("__at"))
-    # only documents with a suspect chunk read their text again
+    suspects = found.join(again, "h").groupBy("__k").agg(F.collect_set("at").alias("__at"))
+
+    def digests(us: Column) -> Column:
+        run = F.transform("__at", lambda a: F.struct((a / PACK).cast("int").alias("s"), (a % PACK).cast("int").alias("n")))
+        return F.transform(F.filter(run, lambda w: w["s"] + w["n"] <= F.size(us)), lambda w: F.struct(
+            w["s"].alias("s"), w["n"].alias("n"),
+            F.substring(F.unhex(F.sha2(F.array_join(F.slice(us, w["s"] + 1, w["n"]), "\n").cast("binary"), 256)), 1, 16).alias("digest")))
+
+    # only documents with a suspect window read their text again
     placed = stored(
-        keyed.select(*_KEY, text.alias("__text")).join(suspects, _KEY).select(
-            *_KEY, F.explode(bind(units(F.col("__text")), lambda us: F.transform("__at", lambda a: F.struct(
-                a["h"].alias("h"), a["s"].alias("s"), a["n"].alias("n"),
-                F.array_join(F.transform(F.slice(us, a["s"] + 1, a["n"]), lambda u: F.rtrim(u, F.lit(SPACE_CHARS))), "\n").alias("bytes")))))
-            .alias("c")).select(*_KEY, "c.*"), "line-suspects")
+        keyed.select(key, *_KEY, text.alias("__text")).join(suspects, "__k").select(
+            *_KEY, F.explode(bind(_bare(units(F.col("__text"))), digests)).alias("w")).select(*_KEY, "w.*"), "line-suspects")
     place = F.struct(*_KEY, "s")
-    first = stored(placed.groupBy("h", "bytes").agg(F.min(place).alias("first")), "line-firsts")
-    removals = placed.join(first, ["h", "bytes"]).where(place != F.col("first")).groupBy(*_KEY).agg(
-        F.collect_set(F.struct("s", "n")).alias("__cut"))
+    first = stored(placed.groupBy("digest").agg(F.min(place).alias("first")), "line-firsts")
+    removals = placed.join(first, "digest").where(place != F.col("first")).groupBy(*_KEY).agg(
+        F.sort_array(F.collect_set(F.struct("s", "n"))).alias("__cut"))
     return keyed, removals
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
-    """``docs`` with every repeated chunk cut from its text but for the first occurrence;
-    ``count_col``, if named, says how many chunks were cut."""
-    keyed, removals = repeated_chunks(docs, id_col, text_col)
+    """``docs`` with every repeated passage cut from its text but for the first occurrence;
+    ``count_col``, if named, says how many runs of units were cut."""
+    keyed, removals = repeated_windows(docs, id_col, text_col)
+    c = F.col("__cut")
+
+    def end(k: Column) -> Column:
+        # no window lies strictly inside another, so ends rise with the starts
+        return F.coalesce(F.get(c, k)["s"] + F.get(c, k)["n"], F.lit(0))
 
     def without(us: Column) -> Column:
-        gone = F.flatten(F.transform("__cut", lambda c: F.sequence(c["s"], c["s"] + c["n"] - 1)))
-        return bind(gone, lambda g: F.array_join(F.filter(us, lambda u, i: ~F.array_contains(g, i)), ""))
+        kept = F.transform(c, lambda w, k: F.array_join(F.slice(us, end(k - 1) + 1, F.greatest(F.lit(0), w["s"] - end(k - 1))), ""))
+        rest = F.array_join(F.slice(us, end(F.size(c) - 1) + 1, F.size(us)), "")
+        return F.concat(F.array_join(kept, ""), rest)
 
+    runs = F.size(F.filter(c, lambda w, k: (k == 0) | (w["s"] > end(k - 1))))
     cut = keyed.join(removals, _KEY, "left")
-    cleaned = F.when(F.col("__cut").isNull(), F.col(text_col)).otherwise(bind(units(F.col(text_col)), without))
-    counted = {count_col: F.coalesce(F.size("__cut"), F.lit(0)).cast("long")} if count_col else {}
+    cleaned = F.when(c.isNull(), F.col(text_col)).otherwise(bind(units(F.col(text_col)), without))
+    counted = {count_col: F.when(c.isNull(), 0).otherwise(runs).cast("long")} if count_col else {}
     return cut.withColumns({text_col: cleaned, **counted}).drop(*_KEY, "__cut")
 
 

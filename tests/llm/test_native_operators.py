@@ -123,3 +123,43 @@ def test_repeated_rows_and_unrepeated_texts_stay(docs):
     got = sorted((r["doc_id"] or 0, r["text"]) for r in line_dedup.dedup_lines(docs(rows)).collect())
     assert got == sorted((i or 0, t) for i, t in rows)
     assert line_dedup.dedup_lines(docs([])).count() == 0
+
+
+def uncut(rows, least=60, lone=120):
+    """Texts without the units of repeated windows, from all windows of all units."""
+    ends = re.compile(r"(?:(?<=\n)|(?<=[.!?] ))(?=[\x20\x09\x0B-\x0D]*[^\x20\x09-\x0D])")
+    first, held = {}, {}
+    for i, t in sorted(rows):
+        us = ends.split(t)
+        bare = [u.rstrip(" \t\n\x0b\x0c\r") for u in us]
+        n = [len(b) + 1 for b in bare]
+        spans = {(k, k + 1) for k in range(len(us)) if n[k] >= lone}
+        for k in range(len(us)):
+            spans |= set([(k, e) for e in range(k + 2, len(us) + 1) if sum(n[k:e]) >= least][:1] if n[k] < lone else [])
+            spans |= set([(s, k + 1) for s in range(k - 1, -1, -1) if sum(n[s:k + 1]) >= least][:1] if n[k] < lone else [])
+        held[i] = us, {(s, e): "\n".join(bare[s:e]) for s, e in spans}
+        for (s, _), x in sorted(held[i][1].items()):
+            first.setdefault(x, (i, s))
+    return {i: "".join(u for k, u in enumerate(us) if not any(s <= k < e and first[x] != (i, s) for (s, e), x in spans.items()))
+            for i, (us, spans) in held.items()}
+
+
+@pytest.mark.parametrize("length", [2, 4, 5, 6, 7, 8])
+def test_short_passages_are_cut_whole_wherever_they_stand(docs, length):
+    passage, rows = "".join(sentences(600 + length, length)), []
+    for i in range(12):
+        head, tail = "".join(sentences(700 + i, 1 + i % 4)), "".join(sentences(800 + i, 1 + i % 3))
+        rows.append((i, head + passage + tail if i % 2 else head + "\n" + passage.replace(". ", ".\n") + tail))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs(rows)).collect()}
+    assert got[0] == rows[0][1]
+    for i, t in rows[1:]:
+        assert got[i] == t.replace(passage, "").replace(passage.replace(". ", ".\n"), "")
+
+
+def test_cut_units_are_those_of_all_repeated_windows(docs):
+    rng = random.Random(9)
+    pool = [s.strip() for s in sentences(11, 12)] + [f"Row {k}." for k in range(6)] + ["word " * 30 + "end."]
+    rows = [(i, "".join(rng.choice(pool) + rng.choice([" ", " ", "\n", " \n\n", "\n  "]) for _ in range(rng.randint(1, 25)))) for i in range(60)]
+    rows += [(90, "\n\n" + rows[3][1]), (91, "same line\n" * 40), (92, pool[0])]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs(rows)).collect()}
+    assert got == uncut(rows)
