@@ -36,7 +36,9 @@ MAX_LOST_PERCENT = 50
 
 #: Patterns below use the syntax that Java's and RE2's engines share.
 TERMINAL = r"[.!?:;…。！？][\x22'”’»)\]*_\x20\x09-\x0D]*$"
-#: Only the last characters of a line can end it: closing quotes and brackets included.
+#: What may follow a terminal mark, however much of it: blanks, closing quotes and brackets.
+CLOSING = " \t\n\x0b\x0c\r\"'”’»)]*_"
+#: Characters of a line's end that the SQL version of the rules looks at.
 TAIL = 8
 SYMBOL_WORD = r"[^\x20\x09-\x0D]*[#*$%&|<>][^\x20\x09-\x0D]*"
 SHOUTED_WORD = r"(!!|\?\?)"
@@ -84,7 +86,8 @@ def line_fails(line: Column, min_line_words: int = MIN_LINE_WORDS) -> Column:
 
     The cheap tests run first: a line that ends well and holds no suspect character is
     done without counting its words."""
-    unended = ~F.right(line, F.lit(TAIL)).rlike(TERMINAL)
+    # without what may follow it, a terminal mark is the last character
+    unended = ~F.right(F.rtrim(line, F.lit(CLOSING)), F.lit(1)).rlike(TERMINAL)
     suspect = line.rlike(SUSPECT)
     n = F.size(words(line))
     details = bind(n, lambda n: (n > 0) & (

@@ -163,3 +163,16 @@ def test_cut_units_are_those_of_all_repeated_windows(docs):
     rows += [(90, "\n\n" + rows[3][1]), (91, "same line\n" * 40), (92, pool[0])]
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs(rows)).collect()}
     assert got == uncut(rows)
+
+
+@pytest.mark.parametrize("after", [" " * 8, " " * 300, ")" * 9, "”\t" * 40, "]_" * 10, "\r"])
+@pytest.mark.parametrize("line, fails", [("The miller slept in the sun.", False), ("The miller slept in the sun", True)])
+def test_padding_after_the_terminal_mark_does_not_count(spark, line, fails, after):
+    df = spark.createDataFrame([(line + after,)], "line string")
+    assert df.select(F.transform(F.array("line"), lambda x: quality_rules.line_fails(x))[0]).first()[0] == fails
+
+
+def test_documents_of_padded_lines_are_kept(docs):
+    text = "\n".join(f"Line {k} of the mill's old book is ended by a stop.".ljust(80) for k in range(12))
+    kept = quality_rules.keep_clean(docs([(1, text)]), max_repeat_percent=100).collect()
+    assert [r["text"] for r in kept] == [text]
