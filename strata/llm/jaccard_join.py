@@ -19,6 +19,12 @@ A document is the set of 64-bit hashes of its shingles; documents with equal set
 4. *Verification.* Surviving pairs of different components meet with 24-bit parts of their
    hashes, which bound the overlap from above, and those left with their whole sets.
 
+5. *Counts.* These links settle the components, not how many links a class has. As both
+   ends of a link lie in one component, all pairs inside a component are then compared by
+   their whole sets (matrix products over the shingles that several members hold), in
+   block pairs of ``MEMBERS`` classes a side. That grows with the square of a component's
+   classes, as its links do.
+
 Buckets of more than ``BLOCK`` rows are cut into blocks whose pairs are tasks of their own,
 so no bucket has to fit a task. Components come from label propagation with pointer
 jumping over stored tables. The driver holds the hot list and counts, nothing else.
@@ -31,7 +37,7 @@ that of 64-bit hashes.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +54,8 @@ GROUPS = 256
 HOT_SHARE = 0.001
 BLOCK = 4096
 LEAF = 32
+#: Classes and shingles of one side of a component's block pair, and shingles multiplied at a time.
+MEMBERS, MEMBER_SHINGLES, COLUMNS = 512, 1 << 21, 2048
 #: Shingles counted at a time for the hot list.
 COUNT_AT_ONCE = 1 << 21
 WORD_ENTRIES = 500_000
@@ -275,15 +283,19 @@ def _possible(pairs: DataFrame, points: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(sizes).mapInArrow(run, "a long, b long")
 
 
-def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, slim, shingles) of the wanted classes (cls, th, no_id, id), from one text each.
-
-    A bitmap of fixed size says where a wanted text may be; the others' sets, and all
-    texts, stay in the task that reads them."""
+def _wanted_map(rows: DataFrame, wanted: DataFrame):
+    """A bitmap of fixed size that says where a wanted text may be."""
     places = wanted.select(F.pmod("th", F.lit(MAP_BITS)).alias("p")).distinct().toArrow()
     bitmap = np.zeros(MAP_BITS, bool)
     bitmap[np.asarray(places.column("p").combine_chunks()) if len(places) else []] = True
-    packed = rows.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
+    return rows.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
+
+
+def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, slim, shingles) of the wanted classes (cls, th, no_id, id), from one text each.
+
+    By the bitmap, the others' sets, and all texts, stay in the task that reads them."""
+    packed = _wanted_map(rows, wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit = np.unpackbits(packed.value).view(bool)
@@ -417,9 +429,9 @@ def _bucket_pairs(col: dict[str, np.ndarray], points: np.ndarray) -> tuple[np.nd
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(features, named, links): rows with their class, every class with its component and
-    smallest id, and the verified links between classes."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, Callable[[], DataFrame]]:
+    """(features, named, counts): rows with their class, every class with its component and
+    smallest id, and what counts the links of each class."""
     rows = _rows(docs, id_col, text_col)
     hot = docs.sparkSession.sparkContext.broadcast(_hot_shingles(rows))
     features = stored(_features(rows, hot), "join-features")
@@ -435,15 +447,95 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
     second = _verified(_tree_pairs(suspects, components(first), points), rows, classes)
     links = first.union(second).distinct()
     named = classes.select("cls", "least").join(components(links), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    return features, named, links
+    return features, named, lambda: _link_counts(links, rows, classes, points)
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``left`` shares with each of ``right``."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    known = np.intersect1d(*(np.unique(np.concatenate(x)) for x in (left, right)), assume_unique=True)
+    # sorted sets: a run of columns is a slice of each
+    for lo in range(0, len(known), COLUMNS):
+        part = known[lo:lo + COLUMNS]
+
+        def held(sets):
+            m = np.zeros((len(sets), len(part)), np.float32)
+            for i, s in enumerate(sets):
+                own = s[np.searchsorted(s, part[0], "left"):np.searchsorted(s, part[-1], "right")]
+                at = np.searchsorted(part, own)
+                m[i, at[part[at] == own]] = 1
+            return m
+
+        # whole numbers of at most COLUMNS are exact in single precision
+        out += (held(left) @ held(right).T).astype(np.int64)
+    return out
+
+
+def _link_counts(links: DataFrame, rows: DataFrame, classes: DataFrame, points: DataFrame) -> DataFrame:
+    """(cls, class_links) for every class in a link: all links of its component."""
+    comps = stored(components(links).join(points.select("cls", "n"), "cls"), "join-members")
+    size = stored(comps.groupBy("comp").agg(F.count("*").alias("k"), F.sum("n").alias("total")), "join-sizes")
+    members = comps.join(size, "comp")
+    # two classes in a component are one link
+    pairs = members.where("k = 2").select("cls", F.lit(1).cast("long").alias("class_links"))
+    wanted = stored(members.where("k > 2").join(classes, "cls").select("cls", "comp", "k", "total", "at.*"), "join-wanted")
+    packed = _wanted_map(rows, wanted)
+
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hit = np.unpackbits(packed.value).view(bool)
+        for b in batches:
+            yield b.filter(pa.array(hit[np.mod(np.asarray(b.column("th")), MAP_BITS)], pa.bool_()))
+
+    key = ["th", "no_id", "id"]
+    keyed = rows.select("text", "th", F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"))
+    # exact repeats of a row would give its class twice
+    texts = stored(keyed.mapInArrow(maybe, "text string, th long, no_id boolean, id long").join(wanted, key).dropDuplicates(key)
+                   .select("cls", "comp", "k", "total", "text"), "join-texts")
+    blocks = F.greatest(F.ceil(F.col("k") / MEMBERS), F.ceil(F.col("total") / MEMBER_SHINGLES)).cast("int")
+    mine = F.pmod(F.xxhash64("cls"), blocks).cast("int")
+    meets = F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(
+        F.least(o, mine).alias("i"), F.greatest(o, mine).alias("j"), (mine <= o).alias("left"), (mine >= o).alias("right"))))
+    group = ["comp", "i", "j"]
+    dealt = texts.select("comp", "cls", "text", meets.alias("m")).select("comp", "m.*", "cls", "text").repartition(
+        input_partitions(rows), *group).sortWithinPartitions(*group)
+
+    def counted(held: list[tuple]) -> pa.RecordBatch:
+        cls = np.array([c for c, _, _, _ in held], np.int64)
+        sets = [shingle_set(t) for _, t, _, _ in held]
+        n = np.array([len(s) for s in sets], np.int64)
+        left, right = (np.flatnonzero([h[side] for h in held]) for side in (2, 3))
+        degree = np.zeros(len(held), np.int64)
+        if len(left) and len(right):
+            shared = overlaps([sets[k] for k in left], [sets[k] for k in right])
+            both = DEN * shared >= NUM * (n[left][:, None] + n[right][None] - shared)
+            both &= left[:, None] != right[None]
+            degree[left] += both.sum(axis=1)
+            if not np.array_equal(left, right):
+                degree[right] += both.sum(axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(cls), pa.array(degree)], ["cls", "links"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for b in batches:
+            for row in zip(*(b.column(c).to_pylist() for c in (*group, "cls", "text", "left", "right"))):
+                if row[:3] != at and held:
+                    yield counted(held)
+                    held = []
+                at = row[:3]
+                held.append(row[3:])
+        if held:
+            yield counted(held)
+
+    found = dealt.mapInArrow(run, "cls long, links long").groupBy("cls").agg(F.sum("links").alias("class_links"))
+    return pairs.unionByName(found)
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id reachable by
-    links), class_id (its set's class, null without shingles), class_links (the links
-    between its class and others that were verified)."""
-    features, named, links = _grouped(docs, id_col, text_col)
-    degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("class_links"))
+    links), class_id (its set's class, null without shingles), class_links (how many
+    other classes its class is linked with)."""
+    features, named, counts = _grouped(docs, id_col, text_col)
+    degree = counts()
     smallest = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     known = stored(named.join(smallest, "comp").join(degree, "cls", "left").select("cls", "component_id", "class_links"), "join-classes")
     out = features.select("doc_id", "n", "cls").join(known, "cls", "left")

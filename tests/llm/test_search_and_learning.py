@@ -202,3 +202,18 @@ def test_stages_pass_an_empty_table(spark, stage):
     empty = table(spark, path, "documents").limit(0)
     out = corpus_pipeline.STAGES[stage][1](spark, empty, path)
     assert out.count() == 0
+
+
+@pytest.mark.parametrize("members", [512, 7])
+def test_link_counts_equal_brute_force(docs, monkeypatch, members):
+    monkeypatch.setattr(jaccard_join, "MEMBERS", members)
+    monkeypatch.setattr(jaccard_join, "COLUMNS", 50)
+    base = " ".join(f"word{k}" for k in range(40))
+    rows = [(1, base), (2, base.upper()), (3, base + " zz"), (3, base + " zz"), (4, None), (None, base + " yy"), (6, "a b")]
+    rows += [(100 + k, t) for k, t in enumerate(near_copies(8, 40))]
+    sets = {t: frozenset(jaccard_join.shingle_set(t).tolist()) for _, t in rows}
+    classes = set(sets.values()) - {frozenset()}
+    want = {s: sum(s != o and 100 * len(s & o) >= 80 * len(s | o) for o in classes) for s in classes}
+    got = jaccard_join.join(docs(rows)).collect()
+    assert max(want.values()) > 5
+    assert sorted((r.doc_id or 0, r.class_links) for r in got) == sorted((i or 0, want.get(sets[t], 0)) for i, t in rows)
