@@ -51,6 +51,7 @@ WORDS = 5
 #: Jaccard threshold as a fraction.
 NUM, DEN = 80, 100
 GROUPS = 256
+FULL = 0xFFFF
 HOT_SHARE = 0.001
 BLOCK = 4096
 LEAF = 32
@@ -113,8 +114,15 @@ def overlap_needed(a, b):
 
 
 def count_vector(s: np.ndarray) -> np.ndarray:
-    """Counts by group, 16 bits each: enough for sets of some 16 million shingles."""
-    return np.minimum(np.bincount((s >> np.uint64(40)) % np.uint64(GROUPS), minlength=GROUPS), 0xFFFF).astype(np.uint16)
+    """Counts by group, 16 bits each; ``FULL`` stands for any larger count too."""
+    return np.minimum(np.bincount((s >> np.uint64(40)) % np.uint64(GROUPS), minlength=GROUPS), FULL).astype(np.uint16)
+
+
+def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Shingles that points of ``a`` and ``b`` can share at most: no bound at all where a
+    group is full in both."""
+    least = np.minimum(a, b)
+    return np.where((least == FULL).any(axis=1), np.iinfo(np.int64).max, least.sum(axis=1, dtype=np.int64))
 
 
 def enough(shared: int, a: int, b: int) -> bool:
@@ -153,7 +161,7 @@ class CountVectorTree:
         need = overlap_needed(a_small[:, None], b_small[None])
         for i in np.flatnonzero(fits.any(axis=1)):
             js = np.flatnonzero(fits[i])
-            bound = np.minimum(a_points[i], b_points[js]).sum(axis=1, dtype=np.int64)
+            bound = overlap_bound(a_points[i], b_points[js])
             fits[i, js] = bound >= need[i, js]
         return fits
 
@@ -274,7 +282,7 @@ def _possible(pairs: DataFrame, points: DataFrame) -> DataFrame:
         for b in batches:
             n = [np.asarray(b.column(c)) for c in ("na", "nb")]
             v = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, GROUPS) for c in ("pa", "pb")]
-            keep = np.minimum(*v).sum(axis=1, dtype=np.int64) >= overlap_needed(*n)
+            keep = overlap_bound(*v) >= overlap_needed(*n)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     one = points.select(F.col("cls").alias("a"), F.col("points").alias("pa"), F.col("n").alias("na"))
@@ -422,7 +430,7 @@ def _bucket_pairs(col: dict[str, np.ndarray], points: np.ndarray) -> tuple[np.nd
         ok = (col["comp"][p] != col["comp"][q]) & ((col["side"][p] == 2) | (col["side"][p] != col["side"][q]))
         ok &= (col["n"][p] * DEN >= col["n"][q] * NUM) & (col["n"][q] * DEN >= col["n"][p] * NUM)
         p, q = p[ok], q[ok]
-        bound = np.minimum(points[p], points[q]).sum(axis=1, dtype=np.int64)
+        bound = overlap_bound(points[p], points[q])
         ok = bound >= overlap_needed(col["n"][p], col["n"][q])
         x, y = col["cls"][p[ok]], col["cls"][q[ok]]
         out_a.append(np.minimum(x, y)), out_b.append(np.maximum(x, y))

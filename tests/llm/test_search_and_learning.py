@@ -217,3 +217,15 @@ def test_link_counts_equal_brute_force(docs, monkeypatch, members):
     got = jaccard_join.join(docs(rows)).collect()
     assert max(want.values()) > 5
     assert sorted((r.doc_id or 0, r.class_links) for r in got) == sorted((i or 0, want.get(sets[t], 0)) for i, t in rows)
+
+
+def test_full_counts_rule_no_pair_out():
+    points = np.full((2, jaccard_join.GROUPS), 0xFFFF, np.uint16)
+    points[1, 1:] -= 5
+    sizes = np.array([20_000_000, 20_000_000])
+    none = np.zeros(2, np.int64)
+    a, b = jaccard_join._block_pairs(np.arange(2), np.arange(2), sizes, points, np.full(2, 2))
+    assert (0, 1) in set(zip(a.tolist(), b.tolist()))
+    col = {"cls": np.arange(2), "comp": np.arange(2), "n": sizes, "side": np.full(2, 2), "h": none, "i": none, "j": none}
+    a, b = jaccard_join._bucket_pairs(col, points)
+    assert list(zip(a.tolist(), b.tolist())) == [(0, 1)]
