@@ -18,12 +18,15 @@ the number of neighbours asked for, plus one for the query itself, which loses n
 Defined cases: vectors that are null, empty, zero, or hold a null or non-finite component
 take no part, neither do rows without an id; vectors are only compared with those of the
 same dimension; ties go to the smaller id; repeated rows of an id are neighbours each;
+repeated query rows (id and vector) are one query, and an id with several vectors is
+answered, ranks from 1, for each of them;
 a query without candidates gives no row; extra columns are ignored.
 """
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,9 +104,10 @@ def _unique(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, list[np.n
 
 
 def search_block(base_ids: np.ndarray, base: np.ndarray, query_ids: np.ndarray, queries: np.ndarray,
-                 neighbours: int = NEIGHBOURS) -> tuple[list[int], list[int], list[float]]:
-    """The nearest of one block for each query: query ids, vector ids, distances."""
-    out: tuple[list[int], list[int], list[float]] = ([], [], [])
+                 neighbours: int = NEIGHBOURS) -> tuple[list[int], list[int], list[float], list[int]]:
+    """The nearest of one block for each distinct query: query ids, vector ids, distances,
+    hashes of the query vectors."""
+    out: tuple[list[int], list[int], list[float], list[int]] = ([], [], [], [])
     vectors, members = _unique(base_ids, base)
     if not len(members):
         return out
@@ -122,11 +126,13 @@ def search_block(base_ids: np.ndarray, base: np.ndarray, query_ids: np.ndarray,
         reach = np.searchsorted(np.cumsum(sizes[found[order]]), neighbours + 1)
         near = order[distances[order] <= distances[order[min(reach, len(order) - 1)]]]
         rows = sorted((float(distances[k]), int(i)) for k in near for i in members[found[k]])
-        for name in names:
+        asks = xxhash.xxh3_64_intdigest(query.tobytes()) - (1 << 63)
+        for name in np.unique(names):
             mine = [(d, i) for d, i in rows if i != name][:neighbours]
             out[0].extend([int(name)] * len(mine))
             out[1].extend(i for _, i in mine)
             out[2].extend(d for d, _ in mine)
+            out[3].extend([asks] * len(mine))
     return out
 
 
@@ -146,6 +152,8 @@ def nearest(base: DataFrame, queries: DataFrame, neighbours: int = NEIGHBOURS, i
             vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """The ``neighbours`` nearest base rows of each query: query_id, rank, vec_id, score."""
     base, queries = _usable(base, id_col, vector_col), _usable(queries, id_col, vector_col)
+    # one kind of zero, so that equal queries meet in a block
+    queries = queries.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
     base_blocks = max(1, -(-base.count() // block_rows))
     query_blocks = max(1, -(-queries.count() // query_rows))
 
@@ -158,14 +166,14 @@ def nearest(base: DataFrame, queries: DataFrame, neighbours: int = NEIGHBOURS, i
 
     def block(base_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
         if not len(base_rows) or not len(query_rows):
-            found = ([], [], [])
+            found = ([], [], [], [])
         else:
             found = search_block(np.asarray(base_rows.column("id")), _matrix(base_rows),
                                  np.asarray(query_rows.column("id")), _matrix(query_rows), neighbours)
         return pa.table({"query_id": pa.array(found[0], pa.int64()), "vec_id": pa.array(found[1], pa.int64()),
-                         "score": pa.array(found[2], pa.float64())})
+                         "score": pa.array(found[2], pa.float64()), "asks": pa.array(found[3], pa.int64())})
 
-    found = b.cogroup(q).applyInArrow(block, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    found = b.cogroup(q).applyInArrow(block, "query_id long, vec_id long, score double, asks long")
+    order = Window.partitionBy("query_id", "asks").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= neighbours).select(
         "query_id", "rank", "vec_id", "score")

@@ -229,3 +229,13 @@ def test_full_counts_rule_no_pair_out():
     col = {"cls": np.arange(2), "comp": np.arange(2), "n": sizes, "side": np.full(2, 2), "h": none, "i": none, "j": none}
     a, b = jaccard_join._bucket_pairs(col, points)
     assert list(zip(a.tolist(), b.tolist())) == [(0, 1)]
+
+
+def test_repeated_query_rows_are_one_query(spark):
+    schema = "vec_id long, embedding array<double>"
+    base = spark.createDataFrame([(k, [float(k), 1.0]) for k in range(1, 40)], schema)
+    asked = spark.createDataFrame([(1, [0.0, 1.0]), (1, [-0.0, 1.0]), (1, [0.0, 1.0]), (100, [30.0, 1.0]), (100, [5.0, 1.0])], schema)
+    got = sorted((r.query_id, r["rank"], r.vec_id) for r in ann.nearest(base, asked, block_rows=10, query_rows=2).collect())
+    assert [g[1:] for g in got if g[0] == 1] == [(k, k + 1) for k in range(1, 11)]
+    assert sorted(r for i, r, _ in got if i == 100) == sorted([*range(1, 11)] * 2)
+    assert {(1, 30), (1, 5)} == {(r, v) for i, r, v in got if i == 100 and r == 1}
