@@ -9,7 +9,8 @@ A line with words fails when any rule holds:
   mark; or half of its words carry one of ``#*$%&|<>``; or half of them end in a doubled
   mark such as ``!!``;
 * *navigation*: three separators or more, a fifth of its words at least;
-* *boilerplate*: it has at most ``BOILERPLATE_CHARS`` characters and holds a licence, copyright, cookie or site-chrome phrase.
+* *boilerplate*: it holds a licence, copyright, cookie or site-chrome phrase; of more than
+  ``BOILERPLATE_CHARS`` characters, half of them or more are in sentences that hold one.
 
 Failing lines are removed. A document is rejected when the base counts fail or when the
 removed lines held more than ``max_lost_percent`` of its word characters.
@@ -96,8 +97,14 @@ def line_fails(line: Column, min_line_words: int = MIN_LINE_WORDS) -> Column:
             (F.regexp_count(line, F.lit(SYMBOL_WORD)) * 2 >= n)
             | (F.regexp_count(line, F.lit(SHOUTED_WORD)) * 2 >= n)
             | bind(F.regexp_count(line, F.lit(SEPARATOR_WORD)), lambda k: (k >= 3) & (k * 5 >= n)))))
-    phrases = (F.length(line) <= BOILERPLATE_CHARS) & bind(F.lower(line), lambda low: reduce(
-        lambda a, b: a | b, [low.contains(F.lit(x)) for x in BOILERPLATE]))
+
+    def phrased(low: Column) -> Column:
+        return reduce(lambda a, b: a | b, [low.contains(F.lit(x)) for x in BOILERPLATE])
+
+    def mostly(low: Column) -> Column:
+        return F.aggregate(F.filter(F.split(low, r"(?<=[.!?] )"), phrased), F.lit(0), lambda a, x: a + F.length(x)) * 2 >= F.length(low)
+
+    phrases = bind(F.lower(line), lambda low: phrased(low) & ((F.length(line) <= BOILERPLATE_CHARS) | mostly(low)))
     return ((unended | suspect) & details) | phrases
 
 

@@ -176,3 +176,15 @@ def test_documents_of_padded_lines_are_kept(docs):
     text = "\n".join(f"Line {k} of the mill's old book is ended by a stop.".ljust(80) for k in range(12))
     kept = quality_rules.keep_clean(docs([(1, text)]), max_repeat_percent=100).collect()
     assert [r["text"] for r in kept] == [text]
+
+
+@pytest.mark.parametrize("line, fails", [
+    ("This work is licensed under the terms below, and all rights reserved by its owners are listed there. " * 3, True),
+    ("We use cookies to give you a better visit, as our cookie policy and our privacy policy say at length and in full detail, "
+     "and by going on you agree to them and to all that our partners and their partners may ever do with what they learn of you.", True),
+    ("The river ran past the old mill and the miller slept. " * 6 + "He did not read more. ", False),
+])
+def test_long_lines_are_judged_for_boilerplate(spark, line, fails):
+    assert len(line) > quality_rules.BOILERPLATE_CHARS
+    df = spark.createDataFrame([(line,)], "line string")
+    assert df.select(F.transform(F.array("line"), lambda x: quality_rules.line_fails(x))[0]).first()[0] == fails
