@@ -8,8 +8,8 @@
    into as many partitions as its rows need.
 4. A partition is read in order, one *index shard* of about ``SHARD_TOKENS`` tokens at a
    time. The shard's inverted index maps a token to the documents that hold it and their
-   BM25 weights. The first unused document seeds a window; the index returns its unused
-   neighbours, best first, which fill the window greedily. The last one is cut to fit, and
+   BM25 weights. The first unused document seeds a window; the index looks up all its distinct
+   tokens and returns its unused neighbours, best first, which fill the window greedily. The last one is cut to fit, and
    its rest seeds the next window. A window that a shard can't fill is carried to the next.
 5. A partition's last, unfilled window is cut into sequences of 4096/2, /4, ... tokens, as
    powers of two need no padding.
@@ -40,8 +40,6 @@ END_ID = 2
 K1, B = 1.2, 0.75
 #: Tokens of an index shard.
 SHARD_TOKENS = 1 << 21
-#: The heaviest tokens of a seed that are looked up.
-QUERY_TERMS = 16
 TEXT_CHARS = 1 << 22
 
 
@@ -125,7 +123,7 @@ class ShardIndex:
 
     def __init__(self, documents: list[np.ndarray], weights: TermWeights):
         held = [weights.of(d) for d in documents]
-        self.queries = [t[np.lexsort((t, -w))[:QUERY_TERMS]] for t, w in held]
+        self.queries = [t for t, _ in held]
         sizes = [len(t) for t, _ in held]
         terms = np.concatenate([t for t, _ in held]) if held else np.zeros(0, np.uint32)
         order = np.argsort(terms, kind="stable")

@@ -139,3 +139,20 @@ def test_packing_prefers_lexical_neighbours():
     for name, _, _, _, sequence, _ in filler.pack(list(range(80)), documents):
         windows.setdefault(sequence, set()).add(name % 4)
     assert np.mean([len(w) for w in windows.values()]) < 1.5
+
+
+def test_packing_ranks_by_all_tokens_of_the_seed():
+    rng = np.random.default_rng(6)
+    documents = [np.append(rng.choice(400, rng.integers(40, 120)), 2).astype("<u4") for _ in range(60)]
+    df = {}
+    for d in documents:
+        for t in set(d[:-1].tolist()):
+            df[t] = df.get(t, 0) + 1
+    weights = packing.TermWeights(df, 60, sum(len(d) - 1 for d in documents))
+    index = packing.ShardIndex(documents, weights)
+    held = [dict(zip(*(x.tolist() for x in weights.of(d)))) for d in documents]
+    for seed in range(60):
+        score = [sum(w for t, w in h.items() if t in held[seed]) for h in held]
+        got = list(index.neighbours(index.queries[seed], np.arange(60) != seed))
+        assert sorted(got) == [k for k in range(60) if k != seed]
+        assert np.all(np.diff([score[k] for k in got]) <= 1e-9)
