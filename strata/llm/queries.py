@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, byte_bpe, jaccard_join, line_dedup, packing, quality_rules, rule_classifier, shards, token_counts, token_store
+from strata.llm import (ann, byte_bpe, jaccard_join, lexical_search, line_dedup, packing, quality_rules, rule_classifier, shards,
+                        token_alignment, token_counts, token_store, va_file)
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +134,53 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 5-word shingles, Jaccard 0.8."""
     return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents of highest lexical score for every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLE["op11_dual_tree_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER.format("text")}, '{_TERM}') AS terms FROM documents),
+lengths AS (SELECT rid, doc_id, len(terms)::BIGINT AS n FROM d WHERE len(terms) > 0),
+total AS (SELECT count(*) AS documents, sum(n)::BIGINT AS occurrences FROM lengths),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(terms) AS term FROM d) GROUP BY rid, term),
+weights AS (SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM tf, total GROUP BY term, documents),
+items AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER.format("text")}, '{_TERM}')) AS term FROM benchmark),
+scored AS (SELECT item_id, rid, doc_id,
+                  sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * documents) // occurrences))))::BIGINT AS score
+           FROM items JOIN weights USING (term) JOIN tf USING (term) JOIN lengths USING (rid), total
+           GROUP BY item_id, rid, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM scored WHERE score > 0)
+SELECT item_id, r::INTEGER AS rank, doc_id, score FROM ranked WHERE r <= {lexical_search.TOP}
+"""
+
+
+@query
+def op12_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 vectors of highest integer inner product for every vector whose id is divisible by 50."""
+    base = table(spark, sf_dir, "embeddings")
+    return va_file.top_k(base, base.where(F.col("vec_id") % 50 == 0))
+
+
+ORACLE["op12_va_file"] = f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor({va_file.SCALE} * x::DOUBLE)) AS whole FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (SELECT q.vec_id AS query_id, b.vec_id, list_inner_product(q.whole, b.whole)::BIGINT AS score
+           FROM v q JOIN v b ON q.vec_id <> b.vec_id AND len(q.whole) = len(b.whole) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= {va_file.NEIGHBOURS}
+"""
+
+
+@query
+def op13_span_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two models aligned by bytes in every document, with corpus-wide pair counts."""
+    return token_alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                 public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"))
