@@ -4,12 +4,12 @@ the same bytes, and how often a pair of ids is linked in the corpus.
 1. *Spans.* A text (behind one space) is cut where each model always cuts it: the byte-level
    model at the matches of its split pattern, the piece model before runs of spaces. Words
    are looked up in a bounded table; new ones go to the libraries in batches, whose spans
-   (character offsets of ``tokenizers``, byte spans of SentencePiece's proto, which this
-   version of the library returns for what was called the immutable one) are the coarse
-   cuts. Where a character of several bytes was split (byte-level parts, byte-fallback
-   pieces) the spans of its tokens overlap or are empty, and the decoded bytes give the cuts
-   between them. A word whose joined token bytes differ from its own
-   makes the whole text one without tokens.
+   are the coarse cuts: character offsets of ``tokenizers``, and SentencePiece's spans (its
+   immutable proto is gone from this version; the offset mapping holds the same ones).
+   Where a character of several bytes was split (byte-level parts, byte-fallback pieces) the
+   spans of its tokens overlap or are empty, and the decoded bytes give the cuts between
+   them. A word whose joined token bytes differ from its own makes the whole text one
+   without tokens.
 2. *Alignment.* The tokens of both sides tile the same bytes, so places where both end
    cut them into groups, and each stretch between neighbouring ends of either side is one
    link, the pair of tokens that cover it. That is done for all texts of a block at once.
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import stored
 from strata.llm.vocab import _LETTERS
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 TABLE_ENTRIES = 300_000
 REMEMBER_CHARS = 64
 _MARK = "▁"
@@ -54,34 +54,45 @@ _SPACED = re.compile(r" *[^ ]+(?: +\Z)?| +\Z")
 #: Characters on whose class regular expression engines differ, and unassigned ones.
 _ODD = re.compile(r"[^\n\r\t -~\xA0-ɏͰ-ԯぁ-ゖァ-ヺ一-龥가-힣]")
 
-Tokens = tuple[bytes, bytes]
-
-
-def byte_lengths(whole: bytes, spans: list[tuple[int, int]], decoded: list[bytes]) -> list[int] | None:
-    """Bytes of each token from its byte span: spans are the cuts where they tile the word,
-    and between such cuts the decoded bytes are. None if the tokens' bytes aren't the word's."""
-    if b"".join(decoded) != whole:
-        return None
-    out: list[int] = []
-    inside: list[int] = []
-    start = 0
-    for k, ((_, end), own) in enumerate(zip(spans, decoded)):
-        inside.append(len(own))
-        after = spans[k + 1][0] if k + 1 < len(spans) else len(whole)
-        if start < end <= after and sum(inside) == end - start:
-            out += inside if len(inside) > 1 else [end - start]
-            inside, start = [], end
-    return out + inside
+def cut_words(words: list[bytes], ids: list[list[int]], ends: list[list[int]], decoded: list[bytes], lengths: np.ndarray) -> list[bytes | None]:
+    """Each word's tokens as 64-bit integers, the id and above it the token's bytes; None if
+    the joined bytes of the tokens aren't the word's.
+
+    ``ends`` are the tokens' span ends in the word's bytes. They are the cuts where the
+    library's spans tile the word; inside characters of several bytes, whose tokens have
+    overlapping or empty spans, the running sum of decoded bytes is."""
+    count = np.fromiter(map(len, ids), np.int64, len(ids))
+    flat = np.fromiter(chain.from_iterable(ids), np.int64, int(count.sum()))
+    coarse = np.fromiter(chain.from_iterable(ends), np.int64, len(flat))
+    stop = np.cumsum(count)
+    start = stop - count
+    run = np.concatenate([[0], np.cumsum(lengths[flat])])
+    fine = run[1:] - np.repeat(run[start], count)
+    cut = np.where(coarse == fine, coarse, fine)
+    size = np.diff(cut, prepend=0)
+    first = start[count > 0]
+    size[first] = cut[first]
+    packed = (flat | size << 32).astype(np.uint64).tobytes()
+    out: list[bytes | None] = [packed[8 * lo:8 * hi] for lo, hi in zip(start.tolist(), stop.tolist())]
+    joined = b"".join(map(decoded.__getitem__, flat.tolist()))
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    whole = run[stop] - run[start] == sizes
+    if not whole.all() or joined != b"".join(words):
+        for k, w in enumerate(words):
+            if joined[run[start[k]]:run[stop[k]]] != w:
+                out[k] = None
+    return out
 
 
 class WordTokens:
-    """Word -> (ids, byte lengths) as little-endian 32-bit integers, in two generations."""
+    """Word -> its tokens by ``cut_words``, in two generations: when the younger is full it
+    becomes the older, and what is used again moves over."""
 
-    def __init__(self, tokenize: Callable[[list[str]], list[Tokens | None]], entries: int = TABLE_ENTRIES):
+    def __init__(self, tokenize: Callable[[list[str]], list[bytes | None]], entries: int = TABLE_ENTRIES):
         self.tokenize, self.entries, self.known, self.older = tokenize, entries // 2, {}, {}
 
-    def of(self, cut: list[list[str]]) -> list[Tokens | None]:
-        """For each list of words the ids and lengths of all its tokens, or None."""
+    def of(self, cut: list[list[str]]) -> list[bytes | None]:
+        """For each list of words all its tokens, or None."""
         if len(self.known) > self.entries:
             self.known, self.older = {}, self.known
         known, older, rare = self.known, self.older, {}
@@ -96,19 +107,13 @@ class WordTokens:
             for w, tokens in zip(batch, self.tokenize(batch)):
                 (known if len(w) <= REMEMBER_CHARS else rare)[w] = tokens
         get = (lambda w: rare[w] if w in rare else known[w]) if rare else known.__getitem__
-        out: list[Tokens | None] = []
+        out: list[bytes | None] = []
         for words in cut:
             found = list(map(get, words))
-            out.append(None if None in found else (b"".join([x[0] for x in found]), b"".join([x[1] for x in found])))
+            out.append(None if None in found else b"".join(found))
         return out
 
 
-def _packed(ids: list[int], lengths: list[int] | None) -> Tokens | None:
-    if lengths is None:
-        return None
-    return np.array(ids, np.uint32).tobytes(), np.array(lengths, np.uint32).tobytes()
-
-
 class ByteLevelSide:
     """Tokens of space + text under a byte-level file of the tokenizers library."""
 
@@ -119,30 +124,40 @@ class ByteLevelSide:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tok = Tokenizer.from_file(path)
+        self.tok = tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True
         back = {ord(c): b for b, c in _LETTERS.items()}
-        self.tok, self.bytes = tok, {}
-        for token, i in tok.get_vocab().items():
+        vocabulary = tok.get_vocab()
+        self.bytes = [b""] * (max(vocabulary.values(), default=-1) + 1)
+        for token, i in vocabulary.items():
             # an added token's string is plain text
             self.bytes[i] = bytes(back[ord(c)] for c in token) if all(ord(c) in back for c in token) else token.encode()
+        self.lengths = np.array([len(x) for x in self.bytes], np.int64)
         self.find = regex.compile(pattern).findall
         self.words = WordTokens(self._tokenize)
 
-    def _tokenize(self, words: list[str]) -> list[Tokens | None]:
-        out = []
-        for w, e in zip(words, self.tok.encode_batch(words, add_special_tokens=False)):
-            spans = e.offsets
-            if not w.isascii():
-                # the library counts characters
-                at = [0, *accumulate(len(c.encode()) for c in w)]
-                spans = [(at[lo], at[hi]) for lo, hi in spans]
-            out.append(_packed(e.ids, byte_lengths(w.encode(), spans, [self.bytes[i] for i in e.ids])))
-        return out
-
-    def tokens(self, texts: list[str]) -> list[Tokens | None]:
+    def _tokenize(self, words: list[str]) -> list[bytes | None]:
+        # the model takes the byte-level alphabet, in which a character is one byte
+        raw = [w.encode() for w in words]
+        found = list(map(self.tok.model.tokenize, [r.decode("latin-1").translate(_LETTERS) for r in raw]))
+        return cut_words(raw, [[t.id for t in x] for x in found], [[t.offsets[1] for t in x] for x in found], self.bytes, self.lengths)
+
+    def _whole(self, texts: list[str]) -> list[bytes | None]:
+        raw, ids, ends = [t.encode() for t in texts], [], []
+        for t in texts:
+            e = self.tok.encode(t, add_special_tokens=False)
+            at = [0, *accumulate(len(c.encode()) for c in t)]
+            ids.append(e.ids)
+            ends.append([at[end] for _, end in e.offsets])
+        return cut_words(raw, ids, ends, self.bytes, self.lengths)
+
+    def tokens(self, texts: list[str]) -> list[bytes | None]:
         spaced = [" " + t for t in texts]
-        return self.words.of([[t] if _ODD.search(t) else self.find(t) for t in spaced])
+        odd = [k for k, t in enumerate(spaced) if _ODD.search(t)]
+        out = self.words.of([[] if _ODD.search(t) else self.find(t) for t in spaced])
+        for k in odd:
+            out[k] = self._whole([spaced[k]])[0]
+        return out
 
 
 class PieceSide:
@@ -154,20 +169,16 @@ class PieceSide:
         self.sp = sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.bytes = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace(_MARK, " ").encode()
                       for i in range(sp.get_piece_size())]
+        self.lengths = np.array([len(x) for x in self.bytes], np.int64)
         self.words = WordTokens(self._tokenize)
 
-    def _tokenize(self, words: list[str]) -> list[Tokens | None]:
-        out = []
-        for w, proto in zip(words, self.sp.encode([w[1:] for w in words], return_type="proto", num_threads=1)):
-            ids, spans = [], []
-            for p in proto.pieces:
-                ids.append(p.id)
-                # the proto counts bytes of the text without the space in front
-                spans.append((p.begin + bool(spans), p.end + 1))
-            out.append(_packed(ids, byte_lengths(w.encode(), spans, [self.bytes[i] for i in ids])))
-        return out
+    def _tokenize(self, words: list[str]) -> list[bytes | None]:
+        # spans count the bytes of the text without the space in front
+        found = self.sp.encode([w[1:] for w in words], return_type="offset_mapping", return_bytes=True, num_threads=1)
+        return cut_words([w.encode() for w in words], [x["ids"] for x in found], [[end + 1 for _, end in x["offsets"]] for x in found],
+                         self.bytes, self.lengths)
 
-    def tokens(self, texts: list[str]) -> list[Tokens | None]:
+    def tokens(self, texts: list[str]) -> list[bytes | None]:
         return self.words.of([_SPACED.findall(" " + t) for t in texts])
 
 
@@ -176,41 +187,42 @@ def sides(byte_level: str, pattern: str, pieces: str) -> tuple[ByteLevelSide, Pi
     return ByteLevelSide(byte_level, pattern), PieceSide(pieces)
 
 
-def digests(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray,
-            cuts: np.ndarray, groups: int) -> list[str]:
-    """SHA-256 of each text's groups, ``a1,a2|b1;a3|b2,b3``; a text ends where ``cuts`` say,
-    counted in tokens of both sides."""
-    # a group's first-side tokens stand before its second-side ones
-    in_a, in_b = np.bincount(group_a, minlength=groups), np.bincount(group_b, minlength=groups)
-    codes = np.empty(len(a) + len(b), np.int64)
-    codes[np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]] = a * 4 + last_a
-    codes[np.arange(len(b)) + np.cumsum(in_a)[group_b]] = b * 4 + 2 + last_b
-    distinct, which = np.unique(codes, return_inverse=True)
-    ends = (",", "|", ",", ";")
-    names = np.array([f"{c >> 2}{ends[c & 3]}" for c in distinct.tolist()], object)
-    written = names[which].tolist()
-    return [hashlib.sha256("".join(written[lo:hi])[:-1].encode()).hexdigest() for lo, hi in zip(cuts, cuts[1:])]
+@lru_cache(maxsize=2)
+def _names(sizes: tuple[int, int]) -> np.ndarray:
+    """How the ids of both sides are written, with what follows inside a group and at its end."""
+    return np.array([f"{i}{end}" for n, ends in zip(sizes, (",|", ",;")) for i in range(n) for end in ends], object)
 
 
 class Aligned:
     """Alignment of a block of texts that have tokens on both sides."""
 
-    def __init__(self, tokens: list[tuple[Tokens, Tokens]]):
-        a, b = ([np.frombuffer(t[side][0], np.uint32) for t in tokens] for side in (0, 1))
-        self.n_a, self.n_b = (np.array([len(x) for x in s], np.int64) for s in (a, b))
-        ids_a, ids_b = (np.concatenate(s).astype(np.int64) for s in (a, b))
-        ends_a, ends_b = (np.cumsum(np.frombuffer(b"".join(t[side][1] for t in tokens), np.uint32), dtype=np.int64) for side in (0, 1))
+    def __init__(self, tokens: list[tuple[bytes, bytes]], sizes: tuple[int, int]):
+        self.n_a, self.n_b = (np.array([len(t[side]) // 8 for t in tokens], np.int64) for side in (0, 1))
+        a, b = (np.frombuffer(b"".join([t[side] for t in tokens]), np.int64) for side in (0, 1))
+        ends_a, ends_b = np.cumsum(a >> 32), np.cumsum(b >> 32)
+        a, b = a & 0xFFFFFFFF, b & 0xFFFFFFFF
         # the texts follow one another, so their own ends are common ones
-        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        stretch = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        again = stretch[1:] == stretch[:-1]
+        both, stretch = stretch[1:][again], stretch[np.append(~again, True)]
         texts = ends_a[np.cumsum(self.n_a) - 1]
-        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
         self.n_groups = np.diff(np.searchsorted(both, texts, "right"), prepend=0)
-        stretch = np.union1d(ends_a, ends_b)
         self.link_text = np.searchsorted(texts, stretch)
         self.n_links = np.bincount(self.link_text, minlength=len(tokens))
-        self.pair = ids_a[np.searchsorted(ends_a, stretch)] << 32 | ids_b[np.searchsorted(ends_b, stretch)]
-        cuts = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)])
-        self.sha = digests(ids_a, ids_b, group_a, group_b, both[group_a] == ends_a, both[group_b] == ends_b, cuts, len(both))
+        self.pair = a[np.searchsorted(ends_a, stretch)] << 32 | b[np.searchsorted(ends_b, stretch)]
+        self.sha = self._digests(a, b, ends_a, ends_b, both, sizes)
+
+    def _digests(self, a, b, ends_a, ends_b, both, sizes: tuple[int, int]) -> list[str]:
+        """SHA-256 of each text's groups, ``a1,a2|b1;a3|b2,b3``."""
+        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        # a group's first-side tokens stand before its second-side ones
+        in_a, in_b = np.bincount(group_a, minlength=len(both)), np.bincount(group_b, minlength=len(both))
+        codes = np.empty(len(a) + len(b), np.int64)
+        codes[np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]] = 2 * a + (both[group_a] == ends_a)
+        codes[np.arange(len(b)) + np.cumsum(in_a)[group_b]] = 2 * (b + sizes[0]) + (both[group_b] == ends_b)
+        written = _names(sizes)[codes].tolist()
+        cuts = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)]).tolist()
+        return [hashlib.sha256("".join(written[lo:hi])[:-1].encode()).hexdigest() for lo, hi in zip(cuts, cuts[1:])]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
@@ -246,7 +258,7 @@ def _aligned_rows(block: int, ids: list, texts: list[str], left: ByteLevelSide,
     sha, place, times = [""] * n, [np.zeros(0, int)] * n, [np.zeros(0, int)] * n
     pairs = docs = np.zeros(0, np.int64)
     if good:
-        al = Aligned([both[k] for k in good])
+        al = Aligned([both[k] for k in good], (len(left.bytes), len(right.bytes)))
         counts[:, good] = al.n_a, al.n_b, al.n_groups, al.n_links
         pairs, which = np.unique(al.pair, return_inverse=True)
         held, repeats = np.unique(al.link_text * len(pairs) + which, return_counts=True)
