@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import stored
 from strata.llm.vocab import _LETTERS
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 TABLE_ENTRIES = 300_000
 REMEMBER_CHARS = 64
 _MARK = "▁"
