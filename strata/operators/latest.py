@@ -37,6 +37,12 @@ def _orderable(dt: T.DataType) -> bool:
     return True
 
 
+def recency(schema: T.StructType, keys: Sequence[str], order: Sequence[str]) -> list[str]:
+    """The columns that decide which row of a key is newest: ``order``, then every other
+    orderable column."""
+    return [*order, *[f.name for f in schema if f.name not in keys and f.name not in order and _orderable(f.dataType)]]
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   tiebreak: Sequence[str] | None = None, method: str = "aggregate") -> DataFrame:
     """One row per ``keys``: the greatest by ``order`` then ``tiebreak`` (default: every

@@ -5,34 +5,35 @@ table, except ``append`` which keeps every delivery on purpose):
 
 * ``append`` — history-keeping landing zone.
 * ``replace_slice`` — make the slice ``col = v AND col IN (...)`` (on a prefix of the
-  partition columns) hold exactly the batch. The batch is staged once; one
-  dynamic-overwrite job swaps in every partition it holds (each replaced by a rename
-  at commit), then the slice's partitions the batch lacks, listed from the catalog, are
-  cleared with static empty overwrites, so an empty batch still clears the slice. These
-  are separate commits: a reader in between sees new partitions beside stale ones. Batch
-  rows outside the slice are refused before anything is written.
-* ``upsert`` — insert-or-replace by business key. Only partitions the batch touches
-  are read, merged (anti-join + union, both shuffled on the key) and staged under the
-  shared work folder, then swapped in with a dynamic partition overwrite.
-* ``overwrite`` — full rebuild of a derived table.
-* ``publish`` — parquet export plus a catalog table over it, switched without a gap.
-
-``replaceWhere`` is deliberately not used: on non-Delta sinks Spark ignores it and
-overwrites the whole table.
+  partition columns) hold exactly the batch. The batch is written once, in the table's
+  types, into a fresh version folder; then its partitions' pointers move there, and the
+  slice's partitions that it lacks are dropped (see ``pointers``). An empty batch clears
+  the slice. Batch rows outside the slice are refused before any pointer moves.
+* ``upsert`` — insert-or-replace by business key. Only partitions the batch touches are
+  read; one full join by key merges them into a version folder, and the pointers move.
+  Where the table is bucketed by its key the join shuffles the batch alone.
+* ``overwrite`` — full rebuild of a derived table, by the same pointers.
+* ``publish`` — a version folder and a catalog table that points to it.
+
+No write deletes or rewrites files in place, so readers never find a table or a partition
+empty or gone. ``vacuum`` removes versions that are no longer pointed to. ``replaceWhere``
+is not used: on non-Delta sinks Spark ignores it and overwrites the whole table.
 """
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.latest import latest_by_key
+from strata.operators import pointers
+from strata.operators.latest import recency
+from strata.operators.pointers import table_location
 from strata.session import conf_override, discard, unique_name, workspace
 
 # ---------------------------------------------------------------- helpers
@@ -67,16 +68,56 @@ def _table_columns(spark: SparkSession, name: str) -> list[str]:
 
 
 def create_table(df: DataFrame, name: str, partitions: Sequence[str] = (),
-                 location: str | None = None) -> None:
-    """Create a parquet catalog table from ``df`` (external when ``location`` is given)."""
-    w = df.write.format("parquet").mode("errorifexists")
+                 location: str | None = None, buckets: tuple[int, Sequence[str]] | None = None) -> None:
+    """Create an external parquet table from ``df``, at ``location`` or a folder of its own
+    in the warehouse. ``buckets`` is a number and the columns to bucket and sort by."""
+    w = df.write.format("parquet").mode("errorifexists").option("path", location or _default_location(df.sparkSession, name))
     if partitions:
         w = w.partitionBy(*partitions)
-    if location:
-        w = w.option("path", location)
+    if buckets:
+        n, cols = buckets
+        w = w.bucketBy(n, *cols).sortBy(*cols)
     w.saveAsTable(name)
 
 
+def _empty_table(spark: SparkSession, name: str, schema: T.StructType, parts: Sequence[str], location: str) -> None:
+    """A table without rows or partitions over a folder that may hold versions already."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    by = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)})" if parts else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{by} LOCATION {pointers.text_literal(location)}")
+
+
+def _default_location(spark: SparkSession, name: str) -> str:
+    plain = name.replace("`", "").replace(".", "/")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{plain}-{uuid.uuid4().hex[:12]}"
+
+
+def bucketing(spark: SparkSession, name: str) -> tuple[int, list[str]] | None:
+    """Number and columns of a table's buckets."""
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if "Num Buckets" not in facts:
+        return None
+    return int(facts["Num Buckets"]), [c.strip().strip("`") for c in facts["Bucket Columns"].strip("[]").split(",")]
+
+
+def _in_types_of(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the columns and types of a table. A value that a type can't hold raises,
+    as in any ANSI store."""
+    have = {f.name: f.dataType for f in df.schema}
+    return df.select(*[F.col(f"`{f.name}`") if have.get(f.name) == f.dataType else F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
+                       for f in schema])
+
+
+def _changed_by_cast(df: DataFrame, schema: T.StructType, parts: Sequence[str]) -> Column:
+    """Rows whose partition value another type can't hold unchanged (a time of day in a date)."""
+    have, out = {f.name: f.dataType for f in df.schema}, F.lit(False)
+    for f in schema:
+        if f.name in parts and have[f.name] != f.dataType:
+            c = F.col(f"`{f.name}`")
+            out = out | ~c.eqNullSafe(c.cast(f.dataType).cast(have[f.name]))
+    return out
+
+
 def _match(spec: Mapping[str, object]):
     pred = F.lit(True)
     for c, v in spec.items():
@@ -133,119 +174,93 @@ def append(df: DataFrame, name: str, partitions: Sequence[str] = (),
 
 
 # ---------------------------------------------------------------- replace slice
+def _write_version(df: DataFrame, path: str, partitions: Sequence[str]) -> DataFrame:
+    """``df`` written once to a version folder and read back."""
+    w = (df.hint("rebalance", *[f"`{c}`" for c in partitions]) if partitions else df).write.mode("errorifexists")
+    (w.partitionBy(*partitions) if partitions else w).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
+
+
 def replace_slice(df: DataFrame, name: str, where: Mapping[str, object],
                   partitions: Sequence[str] = (), location: str | None = None,
                   before_write: Callable[[DataFrame], object] | None = None,
-                  staged: bool = False) -> int:
+                  before_switch: Callable[[], object] | None = None) -> int:
     """Replace the slice ``where`` (equality or IN per partition column) by ``df``.
 
-    ``where`` must cover a prefix of the table's partition columns. ``before_write``
-    (e.g. a quality gate) runs on the staged batch and may raise to stop the write.
-    ``staged=True`` declares ``df`` already materialised (a read of staged files): it
-    is then not copied again, and containment is one aggregate over it.
-    A refused batch leaves no table and no staged copy behind. Returns the number of
-    partitions swapped in or cleared.
+    ``where`` must cover a prefix of the table's partition columns. The batch takes the
+    table's types before anything else, so its partitions are the table's; a partition
+    value that would change on the way (a time of day into a date) is refused.
+    ``before_write`` (e.g. a quality gate) runs on the written version and may raise to
+    stop the switch; ``before_switch`` runs right before the pointers move. A refused batch
+    leaves no table and no files behind. Returns the number of partitions swapped in or
+    dropped.
     """
-    spark = df.sparkSession
     if not where:
         raise ValueError("replace_slice needs a non-empty slice; use overwrite() for the whole table")
-    exists = table_exists(spark, name)
-    parts = partition_columns(spark, name) if exists else list(partitions)
-    fixed = parts[: len(where)]
-    if set(where) != set(fixed):
+    spark = df.sparkSession
+    parts = partition_columns(spark, name) if table_exists(spark, name) else list(partitions)
+    if set(where) != set(parts[: len(where)]):
         raise ValueError(f"slice columns {sorted(where)} must be a prefix of partition columns {parts}")
+    return _replace(df, name, parts, _match(where), dict(where), location, before_write, before_switch)
 
-    # One pass over the batch: stage it (partitioned like the slice, so each statement
-    # below reads only its own part) and count rows outside the slice on the way.
-    outside = ~F.coalesce(_match(where), F.lit(False))
-    stage_path = None
-    if staged:
-        source, m = df, df.agg(F.count_if(outside).alias("outside")).first().asDict()
-    else:
-        source, m, stage_path = staged_at(df.hint("rebalance", *parts), "slice-stage",
-                                          [F.count_if(outside).alias("outside")], fixed)
+
+def _replace(df: DataFrame, name: str, parts: Sequence[str], within: Column, said: object, location: str | None,
+             before_write: Callable | None, before_switch: Callable | None = None) -> int:
+    spark = df.sparkSession
+    exists = table_exists(spark, name)
+    schema = spark.table(name).schema if exists else df.schema
+    location = table_location(spark, name) if exists else location or _default_location(spark, name)
+    path = pointers.new_version(location)
+    if _shape(df.select(*[f"`{c}`" for c in parts])) != _shape_of(schema, parts):
+        changed = df.agg(F.count_if(_changed_by_cast(df, schema, parts)).alias("n")).first()["n"]
+        if changed:
+            raise ValueError(f"{changed} row(s) have partition values that the types of {name} can't hold")
+    staged = _write_version(_in_types_of(df, schema), path, parts)
     try:
-        if m["outside"]:
-            raise ValueError(f"batch has {m['outside']} row(s) outside the replaced slice {dict(where)}; "
-                             "refusing to write")
+        # counted from the written files, where no retry can count twice; only partitions outside are read
+        outside = staged.where(~F.coalesce(within, F.lit(False))).count()
+        if outside:
+            raise ValueError(f"batch has {outside} row(s) outside the replaced slice {said}; refusing to write")
         if before_write is not None:
-            before_write(source)
+            before_write(staged)
     except Exception:
-        if stage_path:
-            discard(spark, stage_path)
+        pointers.drop_version(spark, path)
         raise
-    if not exists:   # created from the staged copy: the caller's plan runs only once
-        create_table(source.limit(0), name, parts, location)
-
-    cols = _table_columns(spark, name)
+    if not exists:
+        _empty_table(spark, name, schema, parts, location)
     try:
-        present = {tuple(r) for r in source.select(*parts).distinct().collect()}   # partition values only
-        if present:
-            with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-                source.select(*cols).hint("rebalance", *parts).write.insertInto(name, overwrite=True)
-        stale = [v for v in listed_partitions(spark, name, where) if v not in present] if exists else []
-        _clear(spark, name, parts, stale)
+        if before_switch is not None:
+            before_switch()
+        return sum(pointers.switch_partitions(spark, name, parts, staged, within))
     except Exception as exc:
-        if stage_path:
-            raise RuntimeError(
-                f"replace_slice into {name} failed part-way; the batch is kept at {stage_path!r}: "
-                f"finish with replace_slice(spark.read.schema(schema).parquet({stage_path!r}), "
-                f"{name!r}, {dict(where)!r}, staged=True) or re-run") from exc
-        raise
-    if stage_path:   # reached only when every statement succeeded
-        discard(spark, stage_path)
-    return len(present) + len(stale)
+        raise RuntimeError(f"the batch for {name} is written, but not all pointers moved; it is kept at {path!r}: finish with "
+                           f"tables.swap_in(spark, {name!r}, {path!r}) or re-run") from exc
 
 
-def listed_partitions(spark: SparkSession, name: str, where: Mapping[str, object]) -> list[tuple]:
-    """The partition values in the slice ``where``, from the catalog: no file is read."""
-    parts = partition_columns(spark, name)
-    types = {f.name: f.dataType for f in spark.table(name).schema}
-    rows = []
-    for r in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        values = [unquote(p.split("=", 1)[1]) for p in r[0].split("/")]
-        rows.append(tuple(None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in values))
-    if not rows:
-        return []
-    text = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in parts))
-    typed = text.select(*[F.col(c).cast(types[c]).alias(c) for c in parts])
-    return [tuple(r) for r in typed.filter(_match(where)).collect()]
-
-
-def _clear(spark: SparkSession, name: str, parts: Sequence[str], values: Sequence[tuple]) -> None:
-    """Empty the given partitions, each by a static overwrite without rows."""
-    if not values:
-        return
-    schema = T.StructType([f for f in spark.table(name).schema if f.name not in parts])
-    view = unique_name("no_rows")
-    spark.createDataFrame([], schema).createOrReplaceTempView(view)
-    try:
-        with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
-            for v in values:
-                spec = ", ".join(f"`{c}` = {sql_literal(x)}" for c, x in zip(parts, v))
-                spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT * FROM {view}")
-    finally:
-        spark.catalog.dropTempView(view)
+def vacuum(spark: SparkSession, name: str, older_than_hours: float = 24.0) -> list[str]:
+    """Delete the versions of a table that nothing points to any more."""
+    return pointers.vacuum(spark, name, partition_columns(spark, name), older_than_hours)
 
 
 # ---------------------------------------------------------------- upsert
-def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    """Refuse NULL or duplicate business keys (one aggregate job)."""
-    any_null = F.lit(False)
-    for k in keys:
-        any_null = any_null | F.col(k).isNull()
+def check_keys(df: DataFrame, keys: Sequence[str], unique: bool = True) -> int:
+    """Refuse NULL and (``unique``) duplicate business keys, by one aggregate; returns the
+    number of rows."""
+    any_null = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys], F.lit(False))
     row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(any_null).alias("nulls"),
-                 F.count_distinct(F.struct(*keys)).alias("distinct")).first()
+                 *([F.count_distinct(F.struct(*[f"`{k}`" for k in keys])).alias("distinct")] if unique else [])).first()
     if row["nulls"]:
         raise ValueError(f"{row['nulls']} batch row(s) have a NULL in key {list(keys)}")
-    if row["distinct"] != row["n"]:
+    if unique and row["distinct"] != row["n"]:
         raise ValueError(f"{row['n'] - row['distinct']} duplicate key(s) in batch on {list(keys)}; "
                          "deduplicate (latest_by_key) first")
+    return row["n"]
 
 
 def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[str] = (),
            location: str | None = None, order: Sequence[str] | None = None,
-           before_write: Callable[[DataFrame], object] | None = None, unique_keys: bool = False) -> int:
+           before_write: Callable[[DataFrame], object] | None = None, unique_keys: bool = False,
+           buckets: int | None = None) -> int:
     """Insert new keys, replace existing ones; never deletes. Returns the number of
     partitions rewritten (-1 when the table was created, 0 for an empty batch).
 
@@ -254,124 +269,171 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], partitions: Sequence[s
     batches that arrive out of order cannot roll a key back. ``before_write`` (e.g. a
     quality gate) runs on the staged batch and may raise to stop the write; a refused
     batch leaves no staged copy. ``unique_keys`` declares the batch deduplicated on its
-    keys (by ``latest_by_key``), which saves the check's shuffle.
+    keys (by ``latest_by_key``), which saves the check's shuffle. ``buckets`` creates the
+    table bucketed by the key columns that aren't partition columns: later merges then
+    shuffle the batch into these buckets and leave the table where it is.
     """
     spark = df.sparkSession
     keys = list(keys)
-    # Evaluate the batch once: stage it, counting NULL keys in the same pass; the
-    # duplicate check, the touched partitions and the merge all read the staged copy.
-    any_null = F.lit(False)
-    for k in keys:
-        any_null = any_null | F.col(k).isNull()
-    df, m, batch_path = staged_at(df, "upsert-batch", [F.count(F.lit(1)).alias("rows"),
-                                                       F.count_if(any_null).alias("nulls")])
+    exists = table_exists(spark, name)
+    parts = partition_columns(spark, name) if exists else list(partitions)
+    if exists and not set(parts) <= set(keys):
+        raise ValueError(f"partition columns {parts} must be part of the key {keys}: "
+                         "otherwise a key could move partition and leave its old row behind")
+    if exists:
+        df = _in_types_of(df, spark.table(name).schema)
+    # Evaluate the batch once: the key check, the touched partitions and the merge all read
+    # the staged copy.
+    df, _, batch_path = staged_at(df, "upsert-batch")
     try:
-        if m["nulls"]:
-            raise ValueError(f"{m['nulls']} batch row(s) have a NULL in key {keys}")
-        if not unique_keys:
-            check_keys(df, keys)
+        n = check_keys(df, keys, unique=not unique_keys)
         if before_write is not None:
             before_write(df)
-    except Exception:
-        discard(spark, batch_path)
-        raise
-    if not table_exists(spark, name):
-        create_table(df.hint("rebalance", *partitions) if partitions else df, name, partitions, location)
-        discard(spark, batch_path)
-        return -1
-    if m["rows"] == 0:
+        if not exists:
+            by = [k for k in keys if k not in parts]
+            create_table(df.hint("rebalance", *parts) if parts and not buckets else df, name, parts, location,
+                         (buckets, by) if buckets and by else None)
+            return -1
+        return _merge(spark, df, name, keys, parts, order) if n else 0
+    finally:
         discard(spark, batch_path)
-        return 0
-    parts = partition_columns(spark, name)
-    if not set(parts) <= set(keys):
-        raise ValueError(f"partition columns {parts} must be part of the key {keys}: "
-                         "otherwise a key could move partition and leave its old row behind")
-    cols = _table_columns(spark, name)
-    batch = df.select(*cols)
-    target = spark.table(name)
 
-    n_touched = 1   # a non-partitioned table is rewritten as a whole
-    if parts:
-        found = batch.select(*parts).distinct().collect()   # partition values only
-        n_touched = len(found)
-        # a literal predicate on the partition columns is pruned at planning time
-        if len(parts) == 1:
-            target = target.filter(F.col(parts[0]).isin([r[0] for r in found]))
-        else:
-            # one IN list per last column: the predicate stays as wide as the prefixes
-            by_prefix: dict[tuple, list] = {}
-            for r in found:
-                by_prefix.setdefault(tuple(r)[:-1], []).append(r[-1])
-            target = target.filter(reduce(lambda a, b: a | b, [
-                _match({**dict(zip(parts, p)), parts[-1]: v}) for p, v in by_prefix.items()]))
 
+def merged_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str], order: Sequence[str] | None) -> DataFrame:
+    """One row per key of two frames that hold each key once: the batch's row, or with
+    ``order`` the newer one (ties as ``latest_by_key`` breaks them). One full join, so a side
+    that is already dealt out by the key isn't shuffled."""
+    cols = target.columns
+    rest = [c for c in cols if c not in keys]
+    mine, theirs = (next(n for n in (f"{x}_", f"{x}__", f"{x}___") if n not in cols) for x in ("batch", "target"))
+
+    def packed(df: DataFrame, as_: str) -> DataFrame:
+        return df.select(*[f"`{k}`" for k in keys], F.struct(F.lit(True).alias("there"), *[F.col(f"`{c}`") for c in rest]).alias(as_))
+
+    joined = packed(target, theirs).join(packed(batch, mine), list(keys), "full_outer")
+    wins = F.col(f"{theirs}.there").isNull()
     if order:
-        merged = latest_by_key(batch.unionByName(target), keys, list(order))
+        ranked = [c for c in recency(target.schema, keys, order) if c in rest]
+        key = lambda side: F.struct(*[F.col(f"{side}.`{c}`") for c in ranked])
+        wins = wins | (F.col(f"{mine}.there").isNotNull() & (key(mine) >= key(theirs)) if ranked else F.col(f"{mine}.there").isNotNull())
     else:
-        merged = batch.unionByName(target.join(batch.select(*keys), keys, "left_anti"))
-    staged = workspace(spark, "upsert-stage")
-    w = (merged.hint("rebalance", *parts) if parts else merged).write.mode("errorifexists")
+        wins = wins | F.col(f"{mine}.there").isNotNull()
+    return joined.select(*[F.col(f"`{c}`") if c in keys else F.when(wins, F.col(f"{mine}.`{c}`")).otherwise(F.col(f"{theirs}.`{c}`")).alias(c)
+                           for c in cols])
+
+
+def _merge(spark: SparkSession, batch: DataFrame, name: str, keys: list[str], parts: list[str], order: Sequence[str] | None) -> int:
+    target = spark.table(name)
     if parts:
-        w = w.partitionBy(*parts)
-    w.parquet(staged)
+        # a literal predicate on the partition columns is pruned at planning time; values only
+        found = batch.select(*[f"`{c}`" for c in parts]).distinct().collect()
+        by_prefix: dict[tuple, list] = {}
+        for r in found:
+            by_prefix.setdefault(tuple(r)[:-1], []).append(r[-1])
+        target = target.filter(reduce(lambda a, b: a | b, [
+            _match({**dict(zip(parts, p)), parts[-1]: v}) for p, v in by_prefix.items()]))
+    merged = merged_rows(batch.select(*[f"`{c}`" for c in target.columns]), target, keys, order)
+    path = pointers.new_version(table_location(spark, name).split(f"/{pointers.VERSIONS}/")[0])
+    layout = bucketing(spark, name)
+    if layout:
+        # files of a version are bucketed like the table's; only a table's writer does that
+        helper = unique_name("merge")
+        try:
+            with conf_override(spark, CO_LOCATED):
+                create_table(merged, helper, parts, path, layout)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {helper}")   # external: the files stay
+    else:
+        _write_version(merged, path, parts)
     try:
-        swap_in(spark, name, staged)
+        return swap_in(spark, name, path)
     except Exception as exc:
-        raise RuntimeError(f"upsert into {name}: swapping in the merged rows failed; they are kept "
-                           f"at {staged!r}: finish with tables.swap_in(spark, {name!r}, {staged!r}) "
+        raise RuntimeError(f"upsert into {name}: the merged rows are written, but not all pointers moved; they are kept "
+                           f"at {path!r}: finish with tables.swap_in(spark, {name!r}, {path!r}) "
                            "or re-run the upsert") from exc
-    # the swap succeeded: both staged copies are consumed
-    discard(spark, staged)
-    discard(spark, batch_path)
-    return n_touched
 
 
-def swap_in(spark: SparkSession, name: str, staged_path: str) -> None:
-    """Replace the partitions present in ``staged_path`` (merged rows of an upsert) in
-    table ``name`` by a dynamic partition overwrite; the whole table if unpartitioned."""
+#: A bucketed side meets the join's needs by its bucket columns alone (the other key columns
+#: are partition columns), so that only the other side moves.
+CO_LOCATED = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.sources.bucketing.enabled": "true"}
+
+
+def swap_in(spark: SparkSession, name: str, version: str) -> int:
+    """Point the table's partitions at those of a version folder, the whole table if it is
+    unpartitioned; returns how many."""
     parts = partition_columns(spark, name)
-    target = spark.table(name)
-    settings = {"spark.sql.sources.partitionOverwriteMode": "dynamic" if parts else "static"}
-    with conf_override(spark, settings):
-        # the table's schema: partition types must not be re-inferred from folder names
-        (spark.read.schema(target.schema).parquet(staged_path).select(*target.columns)
-         .write.insertInto(name, overwrite=True))
+    if not parts:
+        pointers.switch_table(spark, name, version)
+        return 1
+    # the table's schema: partition types must not be re-inferred from folder names
+    staged = spark.read.schema(spark.table(name).schema).parquet(version)
+    return pointers.switch_partitions(spark, name, parts, staged, None)[0]
 
 
 # ---------------------------------------------------------------- overwrite / publish
 def overwrite(df: DataFrame, name: str, partitions: Sequence[str] = (),
-              location: str | None = None) -> None:
-    """Full rebuild of a derived table (drops partitions the new data lacks)."""
-    w = df.write.format("parquet").mode("overwrite")
-    if partitions:
-        w = w.partitionBy(*partitions)
-    if location:
-        w = w.option("path", location)
-    w.saveAsTable(name)
+              location: str | None = None, before_switch: Callable[[], object] | None = None) -> None:
+    """Full rebuild of a derived table (drops partitions the new data lacks).
 
+    An existing table of the same columns keeps its old rows readable until the new
+    version is complete, then its pointers move. Another shape needs a new table."""
+    spark = df.sparkSession
+    if table_exists(spark, name) and _shape(spark.table(name)) == _shape(df.select(*[f"`{c}`" for c in spark.table(name).columns if c in df.columns])) \
+            and len(df.columns) == len(spark.table(name).columns) and partition_columns(spark, name) == list(partitions):
+        if partitions:
+            _replace(df, name, list(partitions), F.lit(True), "the whole table", None, None, before_switch)
+            return
+        path = pointers.new_version(table_location(spark, name).split(f"/{pointers.VERSIONS}/")[0])
+        _write_version(df.select(*[f"`{c}`" for c in spark.table(name).columns]), path, ())
+        if before_switch is not None:
+            before_switch()
+        pointers.switch_table(spark, name, path)
+        return
+    w = df.write.format("parquet").mode("overwrite").option("path", location or _default_location(spark, name))
+    (w.partitionBy(*partitions) if partitions else w).saveAsTable(name)
 
-def publish(df: DataFrame, database: str, table: str, export_path: str,
-            database_location: str | None = None, single_file: bool = False) -> str:
-    """Export ``df`` as parquet and make ``database.table`` its table.
 
-    The export is written in parallel; ``single_file`` asks for one file (one writing
-    task, for a mart that a person downloads). Readers never miss the table: a first
-    publish creates it, later ones overwrite its rows from the finished export.
+def _shape(df: DataFrame) -> list[tuple]:
+    return [(f.name, f.dataType) for f in df.schema]
+
+
+def _shape_of(schema: T.StructType, columns: Sequence[str]) -> list[tuple]:
+    return [(c, schema[c].dataType) for c in columns]
+
+
+def publish(df: DataFrame, database: str, table: str, export_path: str,
+            database_location: str | None = None, single_file: bool = False,
+            before_switch: Callable[[], object] | None = None) -> str:
+    """Make ``database.table`` hold ``df``: one copy, written beside ``export_path`` as a
+    version, to which the table's pointer then moves.
+
+    Queries that began before the switch read the old version to its end, and no query
+    finds the table missing or empty. New columns behind the old ones are added to the table
+    first (the old rows show NULL there for a moment); any other change of shape replaces
+    the table, the one case with a gap. ``single_file`` also exports one file at
+    ``export_path`` (written by one task: for a mart that a person downloads).
+    ``before_switch`` runs when the version is complete and the table still the old one.
     """
     spark = df.sparkSession
-    staged, _, stage_path = staged_at(df, "publish-stage")   # computed once, in parallel
-    (staged.repartition(1) if single_file else staged).write.mode("overwrite").parquet(export_path)
-    discard(spark, stage_path)
+    version = pointers.new_version(f"{export_path.rstrip('/')}-table")
+    df.write.mode("errorifexists").parquet(version)
+    if single_file:
+        spark.read.schema(df.schema).parquet(version).coalesce(1).write.mode("overwrite").parquet(export_path)
     loc = f" LOCATION {sql_literal(database_location)}" if database_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
     full = f"`{database}`.`{table}`"
-    exported = spark.read.schema(df.schema).parquet(export_path)
-    same = table_exists(spark, full) and [(f.name, f.dataType) for f in spark.table(full).schema] == \
-        [(f.name, f.dataType) for f in exported.schema]
-    if same:
-        exported.write.insertInto(full, overwrite=True)
-    else:   # new, or of another shape
-        exported.write.mode("overwrite").format("parquet").saveAsTable(full)
+    if before_switch is not None:
+        before_switch()
+    if table_exists(spark, full):
+        old, new = _shape(spark.table(full)), _shape(df)
+        if new[:len(old)] == old:
+            added = ", ".join(f"`{n}` {t.simpleString()}" for n, t in new[len(old):])
+            if added:
+                spark.sql(f"ALTER TABLE {full} ADD COLUMNS ({added})")
+            pointers.switch_table(spark, full, version)
+            return full
+        spark.sql(f"DROP TABLE {full}")
+    spark.catalog.createTable(full, version, "parquet", schema=df.schema)
     return full
 
 

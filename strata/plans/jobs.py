@@ -87,11 +87,10 @@ def backfill(batch: DataFrame, table: str, column: str, values: Sequence,
     if m["unlisted"]:
         discard(spark, staged)
         raise ValueError(f"{m['unlisted']} row(s) of the batch lie in no listed slice of {column}")
-    # each slice reads only its own staged folder (partition pruning) and is not
-    # copied a second time
+    # each slice reads only its own staged folder (partition pruning)
     slices = [(f"{column}={v}",
                lambda v=v: tables.replace_slice(source.filter(F.col(column) == F.lit(v)), table,
-                                                {column: v}, partitions, location, staged=True))
+                                                {column: v}, partitions, location))
               for v in values]
     results = run_slices(slices, log)     # raises (keeping the staged copy) if a slice failed
     discard(spark, staged)

@@ -106,6 +106,22 @@ SELECT event_type AS series, CAST(2 * count(*) AS BIGINT) AS n_rows FROM events
         keep="NOT (year(o_orderdate) IN (1996, 1998) AND o_orderstatus = 'P' AND o_orderkey % 2 = 1)"),
     "replace_partition_prefix": _ORDERS_SLICES.format(
         keep="year(o_orderdate) <> 1999 OR o_orderstatus = 'F'"),
+    "replace_across_types": """
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM orders WHERE year(o_orderdate) <> 1997 OR (month(o_orderdate) % 2 = 0 AND o_orderkey % 2 = 0) GROUP BY 1""",
+    "colocated_upsert": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
+       CAST(CASE WHEN year(o_orderdate) >= 1996 THEN 2 WHEN year(o_orderdate) >= 1995 THEN 1 ELSE 0 END AS INTEGER) AS revision,
+       count(*) AS n_rows, CAST(sum(o_custkey) + count(*) * any_value(CASE WHEN year(o_orderdate) >= 1996 THEN 2
+                                    WHEN year(o_orderdate) >= 1995 THEN 1 ELSE 0 END) AS BIGINT) AS cust_sum
+FROM orders WHERE year(o_orderdate) >= 1993 GROUP BY ALL""",
+    "publish_while_read": """
+SELECT c_mktsegment AS segment, count(*) AS n_rows, 'held' AS phase FROM customer GROUP BY 1
+UNION ALL SELECT c_mktsegment, count(*), 'after' FROM customer WHERE c_acctbal > 0 GROUP BY 1""",
+    "single_file_export": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files
+FROM orders GROUP BY ALL""",
     "upsert_latest": _UPSERT,
     "upsert_idempotent": _UPSERT,
     "catalog_publish": """

@@ -336,6 +336,20 @@ def replace_partition_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return _slice_sums(spark, name)
 
 
+@query
+def replace_across_types(spark: SparkSession, sf: str) -> DataFrame:
+    """K2-K4: a table partitioned by a DATE month, and a batch whose months are timestamps:
+    the even-key orders of 1997's months, where odd months are left out and so go."""
+    rows = load(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.trunc("o_orderdate", "MM").alias("month"))
+    name, loc = _table(spark, "monthly_orders")
+    tables.overwrite(rows, name, ["month"], loc)
+    of_1997 = [r[0] for r in rows.where(F.year("month") == 1997).select("month").distinct().collect()]
+    batch = rows.where((F.year("month") == 1997) & (F.month("month") % 2 == 0) & (F.col("o_orderkey") % 2 == 0))
+    tables.replace_slice(batch.withColumn("month", F.col("month").cast("timestamp_ntz")), name, {"month": of_1997})
+    return spark.table(name).groupBy("month").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("key_sum"), money_sum("o_totalprice").alias("total"))
+
+
 SILVER_COLUMNS = ["series", "date", "event_id", "value"]
 
 
@@ -361,10 +375,10 @@ def _upserted(spark: SparkSession, sf: str, applications: int) -> DataFrame:
     events = load(spark, sf, "events")
     name, loc = _table(spark, "silver_series")
     target = _silver_rows(events.filter(F.col("ts") < _ts("2024-01-20")))
-    tables.upsert(target, name, SERIES_KEYS, partitions=SERIES_PARTS, location=loc)
+    tables.upsert(target, name, SERIES_KEYS, partitions=SERIES_PARTS, location=loc, unique_keys=True)
     batch = _silver_rows(events.filter(F.col("ts") >= _ts("2024-01-10")), bump=1000.0)
     for _ in range(applications):
-        tables.upsert(batch, name, SERIES_KEYS)
+        tables.upsert(batch, name, SERIES_KEYS, unique_keys=True)
     return spark.table(name).select(*SILVER_COLUMNS)
 
 
@@ -380,9 +394,25 @@ def upsert_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     return _upserted(spark, sf, 3)
 
 
+@query
+def colocated_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """The table is bucketed by its key, so each merge shuffles its batch alone; an
+    older batch that comes last can't roll a key back."""
+    def orders(year_from: int, bump: int) -> DataFrame:
+        o = load(spark, sf, "orders").where(F.year("o_orderdate") >= year_from)
+        return o.select("o_orderkey", F.year("o_orderdate").cast("int").alias("year"), "o_orderstatus",
+                        F.lit(bump).alias("revision"), (F.col("o_custkey") + bump).alias("cust"))
+
+    name, loc = _table(spark, "bucketed_orders")
+    for year_from, bump in ((1993, 0), (1996, 2), (1995, 1)):
+        tables.upsert(orders(year_from, bump), name, ["o_orderkey", "year"], ["year"], loc, order=["revision"],
+                      unique_keys=True, buckets=8)
+    return spark.table(name).groupBy("year", "revision").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("cust").alias("cust_sum"))
+
+
 @query
 def catalog_publish(spark: SparkSession, sf: str) -> DataFrame:
-    """Single-file export of a small mart, registered twice as a catalog table."""
+    """A small mart published twice: one version each, one catalog table."""
     mart = load(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("segment")) \
         .agg(F.count(F.lit(1)).alias("n_rows"))
     db, root = unique_name("analytics"), workspace(spark, "publish")
@@ -392,6 +422,33 @@ def catalog_publish(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(full)
 
 
+@query
+def publish_while_read(spark: SparkSession, sf: str) -> DataFrame:
+    """K9, K7: while a second publish (of the rich customers) is held right before its
+    switch, readers find the first one whole; afterwards the second."""
+    customer = load(spark, sf, "customer")
+    count = lambda df: df.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("n_rows"))
+    db, root = unique_name("analytics"), workspace(spark, "publish")
+    full = tables.publish(customer, db, "customers", f"{root}/export", f"{root}/db")
+    seen = f"{root}/seen"
+    tables.publish(customer.where("c_acctbal > 0"), db, "customers", f"{root}/export",
+                   before_switch=lambda: count(spark.table(full)).write.parquet(seen))
+    held = spark.read.schema("segment string, n_rows bigint").parquet(seen)
+    return held.withColumn("phase", F.lit("held")).unionByName(count(spark.table(full)).withColumn("phase", F.lit("after")))
+
+
+@query
+def single_file_export(spark: SparkSession, sf: str) -> DataFrame:
+    """K8: a mart exported as one file, for a person to download; its rows and its files."""
+    mart = load(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year"), "o_orderstatus") \
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    db, root = unique_name("analytics"), workspace(spark, "publish")
+    tables.publish(mart, db, "yearly", f"{root}/export", f"{root}/db", single_file=True)
+    exported = spark.read.schema(mart.schema).parquet(f"{root}/export")
+    files = exported.select(F.col("_metadata.file_path").alias("f")).agg(F.count_distinct("f")).scalar()
+    return exported.withColumn("n_files", files)
+
+
 @query
 def layer_inventory(spark: SparkSession, sf: str) -> DataFrame:
     """Row count per expected table; a missing table is reported, not raised."""
@@ -415,7 +472,7 @@ def export_by_uf_year(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def avg_rate_by_year(spark: SparkSession, sf: str) -> DataFrame:
     """A2: yearly average rate of open line items."""
-    return gold.rates(load(spark, sf, "lineitem"))
+    return gold.rates(load(spark, sf, "lineitem")).withColumn("avg_rate", F.round("avg_rate", 6))
 
 
 @query

@@ -197,18 +197,18 @@ def test_staging_folders_are_removed_after_success(spark, scratch, sf_small):
 
 def test_failed_swap_keeps_merged_rows_and_swap_in_finishes(spark, silver, monkeypatch):
     import re
-    from pyspark.sql import DataFrameWriter
+    from strata.operators import pointers
     batch = spark.createDataFrame([("pop", "4106902", 2021, 7.0)], SILVER)
-    real = DataFrameWriter.insertInto
+    real = pointers.switch_partitions
     calls = {"n": 0}
 
-    def flaky(self, *a, **k):
+    def flaky(*a, **k):
         calls["n"] += 1
         if calls["n"] == 1:
             raise RuntimeError("lost the cluster mid-swap")
-        return real(self, *a, **k)
+        return real(*a, **k)
 
-    monkeypatch.setattr(DataFrameWriter, "insertInto", flaky)
+    monkeypatch.setattr(pointers, "switch_partitions", flaky)
     with pytest.raises(RuntimeError, match="kept at") as exc:
         tables.upsert(batch, silver, ["dataset", "place", "year"])
     staged = re.search(r"kept at '([^']+)'", str(exc.value)).group(1)
