@@ -25,6 +25,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="strata-bench")
+    if warning := bench.volume_warning(spark, sf_dir):
+        print(f"WARNING: {warning}", file=sys.stderr)
     t0 = time.perf_counter()
     # headline queries include their writes (landing, upsert, gated overwrite)
     found = bench.compare(spark, sf_dir, bench.variants() | {name: ({}, REGISTRY[name]) for name in HEADLINE})

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from strata import sources
 from strata.operators import tables
 from strata.plans import gold, jobs
+from strata.session import discard
 
 
 def _session() -> SparkSession:
@@ -39,14 +40,30 @@ def listed_years(years: str, reprocess: int = 0) -> list[int]:
     return sorted(listed | {max(listed) - k for k in range(reprocess + 1)})
 
 
-def bronze(spark: SparkSession, args) -> None:
-    """Delimited raw files into the (year, flow) slices of one run."""
+def bronze(spark: SparkSession, args, log=print) -> None:
+    """Delimited raw files into the (year, flow) slices of one run.
+
+    A row whose year can't be read refuses the run. Each listed year is a slice of its own:
+    one without rows fails and keeps what its slice held, and the others are still written."""
     schema = T.StructType([T.StructField(c.strip(), T.StringType()) for c in args.columns.split(",")])
     years = listed_years(args.years, args.reprocess)
     raw = sources.stamp_lineage(sources.read_delimited(spark, args.raw, schema), run_id=jobs.new_run_id())
-    rows = raw.withColumns({"year": F.col(args.year_column).try_cast("int"), "flow": F.lit(args.flow)}).where(F.col("year").isin(years))
-    n = tables.replace_slice(rows, args.table, {"year": years, "flow": args.flow}, ["year", "flow"], args.location)
-    print(f"[bronze] {args.table}: {n} partitions of {args.flow} {years}")
+    rows = raw.withColumns({"year": F.col(args.year_column).try_cast("int"), "flow": F.lit(args.flow)})
+    staged, _, path = tables.staged_at(rows.where(F.col("year").isNull() | F.col("year").isin(years)).hint("rebalance", "year"),
+                                       "bronze-stage", (), ["year"])
+    try:
+        found = {r["year"]: r["count"] for r in staged.groupBy("year").count().collect()}
+        if None in found:
+            raise ValueError(f"{found[None]} row(s) have no readable {args.year_column}; nothing is written")
+
+        def one(year: int) -> None:
+            if year not in found:
+                raise FileNotFoundError(f"no rows of {year} under {args.raw}; its slice is left as it was")
+            tables.replace_slice(staged.where(F.col("year") == year), args.table, {"year": year, "flow": args.flow}, ["year", "flow"], args.location)
+
+        jobs.run_slices([(f"{args.flow} {y}", lambda y=y: one(y)) for y in years], log)
+    finally:
+        discard(spark, path)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -7,7 +7,7 @@ lets a caller collect the same counts during the write itself via ``observe``.
 """
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import code_lookup
 from strata.operators.contracts import Contract
+from strata.session import discard, workspace
 
 _FLAG = "__bad_{}"
 
@@ -73,6 +74,75 @@ def conform(df: DataFrame, contract: Contract, keep: Sequence[str] = (),
     return Conformed(rows, ledger, flagged, reasons, required)
 
 
+@dataclass
+class Split:
+    """A batch staged once and split by outcome: every row is in ``good`` or in ``rejects``.
+
+    ``good``: kept and typed columns. ``rejects``: kept columns, ``reasons`` and ``source``
+    (the source columns as JSON text). ``ledger(by)`` counts both from the staged files, so
+    neither a retried task nor a second reader counts a row twice. ``discard()`` when read."""
+
+    good: DataFrame
+    rejects: DataFrame
+    path: str
+    _staged: DataFrame
+    _reasons: list[str]
+
+    def ledger(self, *by: str) -> DataFrame:
+        grouped = self._staged.groupBy(*by) if by else self._staged
+        return grouped.agg(F.count(F.lit(1)).alias("total"),
+                           *[F.count_if(F.array_contains(_REASONS, r)).alias(r) for r in self._reasons],
+                           F.count_if(F.col(_OUTCOME) == "reject").alias("dropped"))
+
+    def discard(self) -> None:
+        discard(self._staged.sparkSession, self.path)
+
+
+_OUTCOME, _REASONS, _SOURCE = "__outcome", "__reasons", "__source"
+
+
+def split(df: DataFrame, contract: Contract, keep: Sequence[str] = (),
+          derive: Callable[[DataFrame], DataFrame] | None = None, domain: Column | None = None) -> Split:
+    """Apply ``contract`` in one staged pass, with an array of reasons on every row.
+
+    Reasons are ``bad_<field>`` (source text there, typed value not), ``missing_<field>``
+    (a required field without a value) and ``out_of_domain`` (``domain`` isn't TRUE, tested
+    after ``derive``, which may only add columns). A row is rejected if a required value is
+    NULL or it is out of the domain; other reasons stay on good rows, as a later gate's
+    evidence."""
+    keep = list(keep)
+    clash = sorted(set(keep) & {f.name for f in contract.fields})
+    if clash:
+        raise ValueError(f"kept columns {clash} collide with contract targets; rename one side")
+    spark = df.sparkSession
+    bad = {f"bad_{f.name}": f.conversion_failed() for f in contract.fields if f.type != "string"}
+    missing = {f"missing_{f.name}": f.missing() for f in contract.fields if f.required}
+    source = F.to_json(F.struct(*[F.col(f"`{f.source}`").alias(f.source) for f in contract.fields]))
+    typed = df.select(*[F.col(f"`{c}`") for c in keep], *contract.typed_columns(), source.alias(_SOURCE),
+                      F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, c in (bad | missing).items()])).alias(_REASONS))
+    dropped = F.lit(False)
+    for f in contract.fields:
+        if f.required:
+            dropped = dropped | F.col(f"`{f.name}`").isNull()
+    if derive is not None:
+        typed = derive(typed)
+    reasons = [*bad, *missing]
+    if domain is not None:
+        # a row without a required value is counted for that alone
+        out = ~dropped & ~F.coalesce(domain, F.lit(False))
+        typed = typed.withColumn(_REASONS, F.when(out, F.array_append(_REASONS, F.lit("out_of_domain"))).otherwise(F.col(_REASONS)))
+        dropped = dropped | F.array_contains(_REASONS, "out_of_domain")
+        reasons.append("out_of_domain")
+    rows = typed.withColumn(_OUTCOME, F.when(dropped, "reject").otherwise("good"))
+    rows = rows.withColumn(_SOURCE, F.when(F.col(_OUTCOME) == "reject", F.col(_SOURCE)))
+    path = workspace(spark, "split")
+    rows.write.partitionBy(_OUTCOME).parquet(path)
+    staged = spark.read.schema(rows.schema).parquet(path)
+    good = staged.where(F.col(_OUTCOME) == "good").drop(_OUTCOME, _REASONS, _SOURCE)
+    rejects = staged.where(F.col(_OUTCOME) == "reject").select(*keep, F.col(_REASONS).alias("reasons"), F.col(_SOURCE).alias("source"))
+    return Split(good, rejects, path, staged, reasons)
+
+
 def domain_filter(df: DataFrame, predicate: Column,
                   ledger_by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Keep rows where ``predicate`` is TRUE; NULL counts as a failure, as in SQL WHERE.

@@ -1,6 +1,7 @@
 """Skew and join-strategy tools.
 
 * ``hot_keys`` — rows per key, top ``n`` (``TakeOrderedAndProject``, no global sort).
+* ``heavy_hitters`` — the same from a sketch's candidates and their exact counts.
 * ``direct_sum`` — plain grouped sum. Spark already combines map-side
   (``partial_sum``), so a hot key costs one row per map task, not all its rows.
 * ``salted_sum`` — two-level aggregate with a deterministic hash salt: the shape to
@@ -20,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions import hash_salt
 from strata.operators.tables import stage, staged_at
@@ -35,6 +37,27 @@ def hot_keys(df: DataFrame, key: str, n: int = 5, alias: str = "hot_key") -> Dat
     return counts.orderBy(F.col("n_rows").desc(), F.col(alias)).limit(n)
 
 
+def heavy_hitters(df: DataFrame, key: str, n: int = 5, alias: str = "hot_key", tracked: int = 1000) -> DataFrame:
+    """``hot_keys`` without a shuffle of all keys: the same rows, NULL keys left out.
+
+    A frequency sketch (one partial per task, merged) names up to ``tracked`` candidates,
+    and one scan counts exactly these. The answer is complete if the candidates hold all
+    rows, or if the n-th exact count is above ``3.5 / m`` of the rows, ``m`` being the sketch's
+    table size: a key that the sketch doesn't name has at most so many. Where neither holds
+    (flat data), all keys are counted."""
+    held = df.where(F.col(key).isNotNull())
+    top = held.agg(F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k(`{key}`, {tracked}, {tracked})").alias("top")).first()
+    found = [r["item"] for r in top["top"] or []]
+    # bounded by ``tracked``
+    exact = held.where(F.col(key).isin(found)).groupBy(F.col(key).alias(alias)).agg(F.count(F.lit(1)).alias("n_rows")).collect()
+    best = sorted(map(tuple, exact), key=lambda r: (-r[1], r[0]))[:n]
+    table_size = 1 << (-(-4 * tracked // 3) - 1).bit_length()
+    whole = sum(r["n_rows"] for r in exact) == top["rows"]
+    if not whole and (len(best) < n or best[-1][1] * table_size <= 3.5 * top["rows"]):
+        return hot_keys(held, key, n, alias)
+    return df.sparkSession.createDataFrame(best, T.StructType([T.StructField(alias, df.schema[key].dataType), T.StructField("n_rows", T.LongType())]))
+
+
 def direct_sum(df: DataFrame, key: str, measure: str, key_alias: str = "k",
                alias: str = "total") -> DataFrame:
     """Sum per key, in the measure's own type, by one partial + final aggregate."""

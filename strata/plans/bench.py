@@ -57,6 +57,19 @@ def variants() -> dict[str, Variant]:
     return out
 
 
+#: Below this many fact rows, fixed costs of jobs decide and not the setting under test.
+TELLING_ROWS = 1_000_000
+
+
+def volume_warning(spark: SparkSession, sf_dir: str) -> str | None:
+    """What to say of results over too few rows; None over enough."""
+    rows = load(spark, sf_dir, "lineitem").count()
+    if rows >= TELLING_ROWS:
+        return None
+    return (f"{rows:,} fact rows, under {TELLING_ROWS:,}: task start-up and planning outweigh what is compared; "
+            "differences between variants here don't carry over to large data")
+
+
 def _once(spark: SparkSession, sf_dir: str, variant: Variant) -> float:
     """Seconds to build and run a variant, jobs of the building included."""
     settings, build = variant

@@ -15,8 +15,10 @@ import datetime as _dt
 import traceback
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,17 +58,29 @@ class SlicesFailed(Exception):
 
 
 def run_slices(slices: Sequence[tuple[str, Callable[[], object]]],
-               log: Callable[[str], None] = print) -> list[SliceResult]:
-    """Run every slice; record failures and continue; raise ``SlicesFailed`` at the end."""
-    results = []
-    for name, fn in slices:
+               log: Callable[[str], None] = print, at_once: int = 1) -> list[SliceResult]:
+    """Run every slice; record failures and continue; raise ``SlicesFailed`` at the end.
+
+    ``at_once`` slices run side by side, each in a thread that keeps its own Spark job
+    properties; the outcomes come in the order of the slices whatever ends first. Slices of
+    one table may run together as long as they share no partition: a write moves only its
+    own partitions' pointers, and sets no session conf."""
+
+    def one(name: str, fn: Callable[[], object]) -> SliceResult:
         try:
             fn()
-            results.append(SliceResult(name, Outcome.OK))
-            log(f"[slice {name}] ok")
         except Exception as exc:  # noqa: BLE001 - isolation is the point
-            results.append(SliceResult(name, Outcome.of(exc), f"{type(exc).__name__}: {exc}"))
             log(f"[slice {name}] FAILED {type(exc).__name__}: {exc}")
+            return SliceResult(name, Outcome.of(exc), f"{type(exc).__name__}: {exc}")
+        log(f"[slice {name}] ok")
+        return SliceResult(name, Outcome.OK)
+
+    if at_once > 1:
+        with ThreadPoolExecutor(at_once) as pool:
+            # each slice starts from the caller's job properties (group, description, pool)
+            results = [f.result() for f in [pool.submit(inheritable_thread_target(lambda n=n, fn=fn: one(n, fn))) for n, fn in slices]]
+    else:
+        results = [one(name, fn) for name, fn in slices]
     if any(r.outcome != Outcome.OK for r in results):
         raise SlicesFailed(results)
     return results
@@ -74,8 +88,9 @@ def run_slices(slices: Sequence[tuple[str, Callable[[], object]]],
 
 def backfill(batch: DataFrame, table: str, column: str, values: Sequence,
              partitions: Sequence[str] = (), location: str | None = None,
-             log: Callable[[str], None] = print) -> list[SliceResult]:
-    """Replace slice ``column = v`` for every ``v`` from one staged read of ``batch``.
+             log: Callable[[str], None] = print, at_once: int = 1) -> list[SliceResult]:
+    """Replace slice ``column = v`` for every ``v`` from one staged read of ``batch``,
+    ``at_once`` of them side by side.
 
     Rows whose slice isn't listed, or is NULL, are counted while staging, and their
     presence refuses the whole backfill before any slice is touched."""
@@ -92,7 +107,9 @@ def backfill(batch: DataFrame, table: str, column: str, values: Sequence,
                lambda v=v: tables.replace_slice(source.filter(F.col(column) == F.lit(v)), table,
                                                 {column: v}, partitions, location))
               for v in values]
-    results = run_slices(slices, log)     # raises (keeping the staged copy) if a slice failed
+    if at_once > 1 and not tables.table_exists(spark, table):
+        tables.replace_slice(source.limit(0), table, {column: values[0]}, partitions, location)
+    results = run_slices(slices, log, at_once)     # raises (keeping the staged copy) if a slice failed
     discard(spark, staged)
     return results
 

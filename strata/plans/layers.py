@@ -6,8 +6,9 @@ Each runner composes the operators in the same order:
     -> latest per key -> write mode (stages the batch once) -> gate on the staged batch
     -> write
 
-The reject counters are observed during the staging pass (no extra job), the gate is
-one aggregate over the staged copy, and the table is touched only when every rule
+Rows are split into good ones and rejects in one staged pass; the reject counters are read
+from the staged files, and ``quarantine`` keeps the rejected rows with their reasons. The
+gate is one aggregate over the staged batch, and the table is touched only when every rule
 passes. A gate failure raises ``RulesBroken`` (exit code 3: do not retry).
 """
 from __future__ import annotations
@@ -15,80 +16,77 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from strata.operators import quality, tables
-from strata.operators.conform import conform
+from strata.operators.conform import split
 from strata.operators.contracts import Contract
 from strata.operators.latest import latest_by_key
-from strata.session import discard, unique_name
+from strata.session import discard
 
 
 @dataclass
 class StageReport:
     table: str
-    rejects: dict = field(default_factory=dict)     # observed during the staging pass
+    rejects: dict = field(default_factory=dict)     # counted from the staged split
     quality: list[Row] = field(default_factory=list)
     rewritten: int = 0                              # partitions / slices rewritten (-1: whole table)
 
 
-def _prepare(bronze: DataFrame, contract: Contract, keep: Sequence[str],
-             derive: Callable[[DataFrame], DataFrame] | None, domain: Column | None):
-    rows, obs = conform(bronze, contract, keep=keep).observed(unique_name(f"conform_{contract.name}"))
-    if derive is not None:
-        rows = derive(rows)
-    if domain is not None:
-        ok = F.coalesce(domain, F.lit(False))
-        dom_obs = Observation(unique_name(f"domain_{contract.name}"))
-        rows = rows.observe(dom_obs, F.count_if(~ok).alias("out_of_domain")).filter(ok)
-        return rows, [obs, dom_obs]
-    return rows, [obs]
-
-
-def _collect(observations) -> dict:
-    out: dict = {}
-    for o in observations:
-        out.update(o.get)
-    return out
+def _write(bronze: DataFrame, contract: Contract, keep: Sequence[str], derive: Callable[[DataFrame], DataFrame] | None,
+           domain: Column | None, quarantine: str | None, report: StageReport, write: Callable[[DataFrame], int]) -> StageReport:
+    """Split the batch, write its good rows, then keep its rejects (appended to the folder
+    ``quarantine``, if one is named); a failed write keeps neither."""
+    parts = split(bronze, contract, keep, derive, domain)
+    try:
+        report.rejects = parts.ledger().first().asDict()
+        report.rewritten = write(parts.good)
+        if quarantine is not None:
+            parts.rejects.withColumn("table", F.lit(report.table)).write.mode("append").parquet(quarantine)
+    finally:
+        parts.discard()
+    return report
 
 
 def silver_upsert(bronze: DataFrame, contract: Contract, table: str, rules: Sequence[quality.Rule],
                   keep: Sequence[str] = (), order: Sequence[str] | None = None,
                   derive: Callable[[DataFrame], DataFrame] | None = None,
                   domain: Column | None = None, location: str | None = None,
-                  log: Callable[[str], None] = print) -> StageReport:
+                  log: Callable[[str], None] = print, quarantine: str | None = None,
+                  buckets: int | None = None) -> StageReport:
     """Conform, keep the latest row per ``contract.keys``, gate, upsert. Where the ``order``
     columns are stored, the newest row wins over the table's as well: a batch that comes
     late can't roll a key back."""
-    rows, observations = _prepare(bronze, contract, keep, derive, domain)
-    if order:
-        rows = latest_by_key(rows, list(contract.keys), list(order))
     report = StageReport(table)
-    n = tables.upsert(rows, table, list(contract.keys), list(contract.partitions), location,
-                      order=list(order) if order and set(order) <= set(rows.columns) else None,
-                      unique_keys=bool(order), before_write=lambda staged: report.quality.extend(
-                          quality.enforce(staged, rules, stage=table, log=log)))
-    report.rejects, report.rewritten = _collect(observations), n
-    return report
+
+    def write(rows: DataFrame) -> int:
+        latest = latest_by_key(rows, list(contract.keys), list(order)) if order else rows
+        return tables.upsert(latest, table, list(contract.keys), list(contract.partitions), location,
+                             order=list(order) if order and set(order) <= set(rows.columns) else None,
+                             unique_keys=bool(order), buckets=buckets, before_write=lambda staged: report.quality.extend(
+                                 quality.enforce(staged, rules, stage=table, log=log)))
+
+    return _write(bronze, contract, keep, derive, domain, quarantine, report, write)
 
 
 def silver_replace(bronze: DataFrame, contract: Contract, table: str, rules: Sequence[quality.Rule],
                    where: Mapping[str, object], keep: Sequence[str] = (),
                    derive: Callable[[DataFrame], DataFrame] | None = None,
                    domain: Column | None = None, location: str | None = None,
-                   log: Callable[[str], None] = print) -> StageReport:
+                   log: Callable[[str], None] = print, quarantine: str | None = None) -> StageReport:
     """Conform, filter to the domain, gate, replace the slice ``where``.
 
     For tables without a natural key (every row is a fact): re-running a slice
     replaces it instead of duplicating it."""
-    rows, observations = _prepare(bronze, contract, keep, derive, domain)
     report = StageReport(table)
-    n = tables.replace_slice(rows, table, where, list(contract.partitions), location,
-                             before_write=lambda staged: report.quality.extend(
-                                 quality.enforce(staged, rules, stage=table, log=log)))
-    report.rejects, report.rewritten = _collect(observations), n
-    return report
+
+    def write(rows: DataFrame) -> int:
+        return tables.replace_slice(rows, table, where, list(contract.partitions), location,
+                                    before_write=lambda staged: report.quality.extend(
+                                        quality.enforce(staged, rules, stage=table, log=log)))
+
+    return _write(bronze, contract, keep, derive, domain, quarantine, report, write)
 
 
 def gold_overwrite(mart: DataFrame, table: str, rules: Sequence[quality.Rule],
@@ -99,8 +97,10 @@ def gold_overwrite(mart: DataFrame, table: str, rules: Sequence[quality.Rule],
     fails. The upstream scans and joins run once, not once per check and again for
     the write."""
     staged, _, path = tables.staged_at(mart, "gold-stage")
-    report = StageReport(table, quality=quality.enforce(staged, rules, stage=table, log=log))
-    tables.overwrite(staged, table, partitions=list(partitions), location=location)
-    discard(mart.sparkSession, path)
+    try:
+        report = StageReport(table, quality=quality.enforce(staged, rules, stage=table, log=log))
+        tables.overwrite(staged, table, partitions=list(partitions), location=location)
+    finally:
+        discard(mart.sparkSession, path)
     report.rewritten = -1
     return report

@@ -64,7 +64,8 @@ SELECT event_type, count(*) FILTER (WHERE day(ts) % 7 <> 0) AS parsed_rows,
        count(DISTINCT day(ts)) FILTER (WHERE day(ts) % 7 = 0) AS quarantined_days
 FROM events GROUP BY 1""",
     "lineage_stamp": """
-SELECT event_type, 'run-1' AS run_id, count(*) AS n_rows FROM events GROUP BY 1""",
+SELECT event_type, CASE WHEN day(ts) <= 15 THEN 'first' ELSE 'second' END AS delivery, 'run-1' AS run_id,
+       'landing://events' AS source, count(*) AS n_rows, CAST(0 AS BIGINT) AS unstamped FROM events GROUP BY ALL""",
     "lookback_window": """
 SELECT o_orderstatus AS flow, count(*) AS n_rows FROM orders
 WHERE o_orderstatus <> 'F'
@@ -122,6 +123,40 @@ UNION ALL SELECT c_mktsegment, count(*), 'after' FROM customer WHERE c_acctbal >
     "single_file_export": """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files
 FROM orders GROUP BY ALL""",
+    "variant_payload_types": """
+WITH e AS (SELECT *, event_id % 20 = 0 OR event_id % 20 = 1 AS odd, event_id % 30 = 0 AS text, event_id % 11 = 0 AS bare,
+                  event_id % 50 = 3 AS object FROM events)
+SELECT event_type, count(*) FILTER (WHERE NOT odd AND NOT (text OR (object AND NOT bare))) AS ok, count(*) FILTER (WHERE odd) AS not_json,
+       count(*) FILTER (WHERE NOT odd AND (text OR (object AND NOT bare))) AS wrong_type,
+       count(*) FILTER (WHERE NOT odd AND text) AS wrong_value, count(*) FILTER (WHERE NOT odd AND object AND NOT bare) AS wrong_tags,
+       count(*) FILTER (WHERE NOT odd AND event_id % 7 = 0) AS revised,
+       CAST(sum(event_id) FILTER (WHERE NOT odd AND NOT text AND event_id % 45 <> 7) AS BIGINT) AS value_sum,
+       2 * count(*) FILTER (WHERE NOT odd AND NOT object AND NOT bare) AS n_tags
+FROM e GROUP BY 1""",
+    "rejects_as_rows": """
+WITH e AS (SELECT event_type AS series, CASE WHEN event_id % 37 = 0 THEN NULL ELSE CAST(event_id AS DOUBLE) END AS value,
+                  array_to_string(list_filter([CASE WHEN event_id % 50 = 0 THEN 'bad_date' END, CASE WHEN event_id % 37 = 0 THEN 'bad_value' END,
+                     CASE WHEN event_id % 50 <> 0 AND event_id % 9 = 2 THEN 'out_of_domain' END], lambda r: r IS NOT NULL), '+') AS said,
+                  event_id % 50 = 0 OR event_id % 9 = 2 AS rejected FROM events)
+SELECT series, CASE WHEN rejected THEN said ELSE 'good' END AS reasons, count(*) AS n_rows, sum(value) AS value_sum FROM e GROUP BY 1, 2""",
+    "hot_keys_sketched": """
+SELECT l_suppkey AS hot_key, count(*) AS n_rows FROM lineitem GROUP BY 1 ORDER BY n_rows DESC, hot_key LIMIT 5""",
+    "dynamic_pruned_join": """
+SELECT n_name AS nation, count(*) AS n_rows, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 2 GROUP BY 1""",
+    "footer_bounds": "SELECT count(*) AS n_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM orders",
+    "absent_year": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, 'EXP' AS flow, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum,
+       year(o_orderdate) = 1997 AS failed
+FROM orders WHERE year(o_orderdate) = 1997 OR (year(o_orderdate) IN (1996, 1998) AND o_orderkey % 2 = 0) GROUP BY ALL""",
+    "slices_side_by_side": _ORDERS_SLICES.format(keep="TRUE"),
+    "partition_listing": """
+SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus AS flow, 'year,flow' AS columns FROM orders""",
+    "keyed_state_silver": """
+WITH r AS (SELECT event_type AS series, CAST(ts AS DATE) AS date, event_id, ts, event_id % 3 = 0
+                  AND CAST(ts AS DATE) > (SELECT CAST(max(ts) AS DATE) FROM events) - 10 AS revised FROM events)
+SELECT series, date, event_id, CAST(event_id AS DOUBLE) + CASE WHEN revised THEN 1000 ELSE 0 END AS value FROM r
+QUALIFY row_number() OVER (PARTITION BY series, date ORDER BY revised DESC, ts DESC, event_id DESC) = 1""",
     "upsert_latest": _UPSERT,
     "upsert_idempotent": _UPSERT,
     "catalog_publish": """

@@ -19,13 +19,13 @@ from pyspark.sql import types as T
 
 from strata import sources
 from strata.functions import money, money_sum
-from strata.operators import insight, marts, quality, skew, tables
-from strata.operators.conform import conform, domain_filter, with_code_lookup
+from strata.operators import insight, marts, pointers, quality, skew, tables
+from strata.operators.conform import conform, domain_filter, split, with_code_lookup
 from strata.operators.contracts import Contract, Field
 from strata.operators.latest import latest_by_key
 from strata.plans import gold, jobs, layers
 from strata.plans.gold import load
-from strata.streaming import incremental
+from strata.streaming import incremental, keyed
 from strata.session import unique_name, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,6 +187,32 @@ def json_document_quarantine(spark: SparkSession, sf: str) -> DataFrame:
         F.coalesce("quarantined_days", F.lit(0)).alias("quarantined_days"))
 
 
+@query
+def variant_payload_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads parsed into variants: a wrong type is told from a null and from a
+    missing field, unknown fields are named, error pages are no documents."""
+    events = load(spark, sf, "events")
+    number = F.col("event_id").cast("string")
+    value = (F.when(F.col("event_id") % 30 == 0, F.lit('"abc"')).when(F.col("event_id") % 45 == 7, F.lit("null"))
+             .when(F.col("event_id") % 9 == 4, F.concat(F.lit('"'), number, F.lit('"'))).otherwise(number))
+    tags = F.when(F.col("event_id") % 50 == 3, F.lit('{"a": 1}')).otherwise(F.lit('[{"k": "x", "n": 2}, {"k": "y"}]'))
+    more = F.when(F.col("event_id") % 7 == 0, F.lit(', "revised": true')).otherwise(F.lit(""))
+    body = F.concat(F.lit('{"date": "'), F.date_format("ts", "dd/MM/yyyy"), F.lit('", "value": '), value,
+                    F.when(F.col("event_id") % 11 == 0, F.lit("")).otherwise(F.concat(F.lit(', "tags": '), tags)), more, F.lit("}"))
+    raw = workspace(spark, "raw-variants")
+    sources.land_lines(events.withColumn("series", F.col("event_type")), raw,
+                       F.when(F.col("event_id") % 20 == 0, F.lit("<html>503</html>")).when(F.col("event_id") % 20 == 1, F.lit("17")).otherwise(body),
+                       ["series"])
+    schema = T.StructType([T.StructField("date", STRING), T.StructField("value", T.LongType()), T.StructField("tags", T.ArrayType(
+        T.StructType([T.StructField("k", STRING), T.StructField("n", INT)])))])
+    docs = sources.variant_payloads(spark, raw, schema, partitions={"series": STRING})
+    return docs.groupBy(F.col("series").alias("event_type")).agg(
+        *[F.count_if(F.col("outcome") == o).alias(o) for o in ("ok", "not_json", "wrong_type")],
+        F.count_if(F.array_contains("wrong", "value")).alias("wrong_value"), F.count_if(F.array_contains("wrong", "tags")).alias("wrong_tags"),
+        F.count_if(F.array_contains("unknown", "revised")).alias("revised"), F.sum("value").alias("value_sum"),
+        F.sum(F.size(F.coalesce("tags", F.array()))).alias("n_tags"))
+
+
 @query
 def lineage_stamp(spark: SparkSession, sf: str) -> DataFrame:
     """Two deliveries read with run id and raw file path on every row."""
@@ -197,9 +223,11 @@ def lineage_stamp(spark: SparkSession, sf: str) -> DataFrame:
                        raw, F.to_json(F.struct(F.col("event_id").alias("id"))), ["series", "delivery"])
     read = spark.read.schema("value string, series string, delivery string").text(raw)
     stamped = sources.stamp_lineage(read, run_id="run-1", source="landing://events")
-    return (stamped.filter(F.col("_raw_path").isNotNull())
-            .groupBy(F.col("series").alias("event_type"), F.col("_run_id").alias("run_id"))
-            .agg(F.count(F.lit(1)).alias("n_rows")))
+    # the folders of the raw layout, as the path tells them
+    folder = lambda c: F.regexp_extract("_raw_path", f"/{c}=([^/]+)/", 1)
+    return (stamped.groupBy(folder("series").alias("event_type"), folder("delivery").alias("delivery"),
+                            F.col("_run_id").alias("run_id"), F.col("_source_url").alias("source"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("_ingested_at").isNull()).alias("unstamped")))
 
 
 @query
@@ -250,6 +278,19 @@ def reject_ledger(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.select("series", "total", "bad_date", "bad_value")
 
 
+@query
+def rejects_as_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """One staged pass gives good rows and rejects with their reasons; every row is in
+    one of the two."""
+    bronze = _series_delivery(load(spark, sf, "events"))
+    parts = split(bronze, SERIES_CONTRACT, keep=["series"], domain=F.coalesce(F.col("event_id") % 9 != 2, F.lit(True)))
+    good = parts.good.groupBy("series").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("value_sum")).select(
+        "series", F.lit("good").alias("reasons"), "n_rows", "value_sum")
+    bad = parts.rejects.withColumn("v", F.expr("try_cast(from_json(source, 'value string').value AS double)")).groupBy(
+        "series", F.array_join("reasons", "+").alias("reasons")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("v").alias("value_sum"))
+    return good.unionByName(bad)
+
+
 @query
 def domain_filter_query(spark: SparkSession, sf: str) -> DataFrame:
     """Month 3..9 and tax >= 0.02 with NULL months counted as dropped."""
@@ -545,6 +586,33 @@ def hot_keys_top5(spark: SparkSession, sf: str) -> DataFrame:
     return skew.hot_keys(load(spark, sf, "lineitem"), "l_suppkey", 5)
 
 
+@query
+def hot_keys_sketched(spark: SparkSession, sf: str) -> DataFrame:
+    """The same five suppliers from a frequency sketch and exact counts of its candidates."""
+    return skew.heavy_hitters(load(spark, sf, "lineitem"), "l_suppkey", 5)
+
+
+@query
+def dynamic_pruned_join(spark: SparkSession, sf: str) -> DataFrame:
+    """A fact partitioned by its customers' nation, pruned at run time by the nations
+    of one region."""
+    facts = load(spark, sf, "orders").join(load(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    path = workspace(spark, "orders-by-nation")
+    facts.select("o_orderkey", "o_totalprice", "c_nationkey").hint("rebalance", "c_nationkey").write.partitionBy("c_nationkey").parquet(path)
+    nations = load(spark, sf, "nation").where(F.col("n_regionkey") == 2)
+    fact = spark.read.schema("o_orderkey bigint, o_totalprice double, c_nationkey int").parquet(path)
+    return fact.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("nation")).agg(
+        F.count(F.lit(1)).alias("n_rows"), money_sum("o_totalprice").alias("total"))
+
+
+@query
+def footer_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and bounds of a table from its files' footers."""
+    row = tables.from_footers(spark, f"{sf.rstrip('/')}/orders.parquet", F.count(F.lit(1)).alias("n_rows"),
+                              F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
+    return spark.createDataFrame([tuple(row)], "n_rows bigint, first_key bigint, last_key bigint")
+
+
 def _priced(spark: SparkSession, sf: str) -> DataFrame:
     """Line items with their price as the exact decimal it stands for."""
     return load(spark, sf, "lineitem").withColumn("price", money("l_extendedprice"))
@@ -692,6 +760,68 @@ def backfill_years(spark: SparkSession, sf: str) -> DataFrame:
     return _slice_sums(spark, name)
 
 
+@query
+def absent_year(spark: SparkSession, sf: str) -> DataFrame:
+    """O1, O2: raw files of 1996 and 1998 only, asked for 1996 to 1998: the absent year fails
+    and keeps its rows, the others are replaced."""
+    from argparse import Namespace
+
+    from strata.__main__ import bronze
+
+    orders = load(spark, sf, "orders")
+    root, name = workspace(spark, "absent"), unique_name("bronze_years")
+    text = orders.select(F.col("o_orderkey").cast("string").alias("ORDER_KEY"), F.year("o_orderdate").cast("string").alias("YEAR"))
+    sources.land_delimited(text, f"{root}/first")
+    sources.land_delimited(text.where("YEAR IN ('1996', '1998') AND ORDER_KEY % 2 = 0"), f"{root}/second")
+    args = Namespace(raw=f"{root}/first", columns="ORDER_KEY,YEAR", year_column="YEAR", flow="EXP", years="1996,1997,1998", reprocess=0,
+                     table=name, location=f"{root}/table")
+    bronze(spark, args, log=_quiet)
+    args.raw = f"{root}/second"
+    failed = []
+    try:
+        bronze(spark, args, log=_quiet)
+    except jobs.SlicesFailed as exc:
+        failed = [int(r.name.split()[-1]) for r in exc.results if r.outcome != quality.Outcome.OK]
+    return spark.table(name).groupBy("year", "flow").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("ORDER_KEY").cast("bigint")).alias("key_sum")).withColumn("failed", F.col("year").isin(failed))
+
+
+@query
+def slices_side_by_side(spark: SparkSession, sf: str) -> DataFrame:
+    """O1, O2: a backfill whose years run three at a time."""
+    bronze = _orders_bronze(load(spark, sf, "orders"))
+    years = [int(y) for y in sources.in_list(sources.period_list(bronze, "year").first()["period"])]
+    name, loc = _table(spark, "bronze_orders")
+    jobs.backfill(bronze, name, "year", years, partitions=["year", "flow"], location=loc, log=_quiet, at_once=3)
+    return _slice_sums(spark, name)
+
+
+@query
+def partition_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """A table's partition columns and their sorted distinct values, from the catalog."""
+    _, name = _orders_slices(spark, sf)
+    parts = tables.partition_columns(spark, name)
+    return pointers.listed(spark, name, parts).distinct().orderBy(*parts).withColumn("columns", F.lit(",".join(parts)))
+
+
+@query
+def keyed_state_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """W1, §2.12: newest revision per (series, day) in the state store. A second delivery
+    revises every third event: days within 10 days of the newest are merged, older ones are
+    past the watermark and refused."""
+    events = load(spark, sf, "events")
+    root, name = workspace(spark, "keyed"), unique_name("silver_keyed")
+    at = F.col("ts").cast("timestamp")
+    rows = events.select(F.col("event_type").alias("series"), F.date_trunc("day", at).alias("day"), at.alias("at"), "event_id",
+                         F.col("event_id").cast("double").alias("value"))
+    revised = rows.where("event_id % 3 = 0").withColumns({"at": F.col("at") + F.expr("INTERVAL 400 DAYS"), "value": F.col("value") + 1000})
+    for delivery in (rows, revised, rows.where("event_id % 2 = 0")):   # the last one is old news
+        delivery.write.mode("append").parquet(f"{root}/bronze")
+        keyed.newest_to_silver(spark, f"{root}/bronze", rows.schema, name, ["series", "day"], "day", ["at"], "10 days", f"{root}/ckpt",
+                               partitions=["month"], location=f"{root}/silver", derive=lambda df: df.withColumn("month", F.trunc("day", "MM")))
+    return spark.table(name).select("series", F.to_date("day").alias("date"), "event_id", "value")
+
+
 STREAM_CONTRACT = Contract(
     name="series_stream",
     fields=(
@@ -807,7 +937,7 @@ MUNICIPAL_CONTRACT = Contract(
         Field("value_text", "value", "double", required=True, null_markers=NULL_MARKERS),
     ),
     keys=("dataset", "place_id", "year"),
-    partitions=("dataset",),
+    partitions=("dataset", "year"),
     extra=("dataset", "_ingested_at"),
 )
 

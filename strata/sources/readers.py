@@ -195,3 +195,55 @@ def period_list(df: DataFrame, column: str, sep: str = "|", alias: str = "period
 def in_list(periods: str, sep: str = "|") -> list[str]:
     """Turn a period list back into values for ``isin``."""
     return [p for p in periods.split(sep) if p]
+
+
+# ------------------------------------------------------------------ payloads as variants
+def variant_payloads(spark: SparkSession, path: str, schema: T.StructType,
+                     partitions: Mapping[str, T.DataType] | None = None) -> DataFrame:
+    """Line-delimited payloads -> ``(partitions..., payload, outcome, wrong, unknown, fields...)``.
+
+    Each line is parsed once, into a variant, and every field is then read from it in its
+    declared type, so that a value of the wrong type is told from a missing or null one:
+
+    * ``outcome``: ``ok``; ``not_json`` (not a JSON object: an error page, a bare value);
+      ``wrong_type`` (some field is there, isn't null, and doesn't fit its type);
+    * ``wrong``: the fields of the wrong type, in the schema's order;
+    * ``unknown``: top-level keys that the schema doesn't name, sorted. Their values stay in
+      ``payload``, the line as it came.
+
+    Fields may be nested (arrays, structs, maps of string keys). A number in a string fits a
+    number type, as in any tolerant cast. Empty lines are no payloads."""
+    raw = spark.read.schema(_with_partitions(T.StructType([T.StructField("value", T.StringType())]), partitions)).text(path)
+    extra = [c for c in raw.columns if c != "value"]
+    lines = raw.where(F.length(F.trim("value")) > 0).withColumnRenamed("value", "payload")
+    return variant_fields(lines, "payload", schema).select(
+        *extra, "payload", "outcome", "wrong", "unknown", *schema.fieldNames())
+
+
+def variant_fields(df: DataFrame, payload: str, schema: T.StructType) -> DataFrame:
+    """``df`` with ``outcome``, ``wrong``, ``unknown`` and the fields of a payload column."""
+    names = schema.fieldNames()
+    clash = sorted({*names, "outcome", "wrong", "unknown"} & set(df.columns) | {"outcome", "wrong", "unknown"} & set(names))
+    if clash:
+        raise ValueError(f"columns {clash} collide; rename one side")
+    doc = next(n for n in ("document_", "document__", "document___") if n not in [*df.columns, *names])
+    quoted = [n for n in names if "'" in n and '"' in n]
+    if quoted:
+        raise ValueError(f"fields {quoted}: a variant path can't name a key with both kinds of quotes")
+    path = lambda name: f'$["{name}"]' if "'" in name else f"$['{name}']"
+    keys = F.json_object_keys(payload)
+    is_object = F.schema_of_variant(doc).startswith("OBJECT")
+    parsed = df.withColumn(doc, F.try_parse_json(payload))
+    typed = parsed.select("*", *[F.try_variant_get(doc, path(f.name), f.dataType.simpleString()).alias(f.name) for f in schema])
+
+    def misfit(f: T.StructField) -> Column:
+        held = F.try_variant_get(doc, path(f.name), "variant")
+        return F.when(held.isNotNull() & ~F.is_variant_null(held) & F.col(f"`{f.name}`").isNull(), F.lit(f.name))
+
+    wrong = F.array_compact(F.array(*[misfit(f) for f in schema]))
+    good = F.coalesce(is_object, F.lit(False))
+    typed = typed.withColumn("wrong", F.when(good, wrong).otherwise(F.array().cast("array<string>")))
+    return typed.withColumns({
+        "outcome": F.when(~good, "not_json").when(F.size("wrong") > 0, "wrong_type").otherwise("ok"),
+        "unknown": F.when(good, F.array_sort(F.array_except(keys, F.array(*[F.lit(n) for n in names])))).otherwise(F.array().cast("array<string>")),
+    }).drop(doc)
