@@ -7,6 +7,7 @@ that the latest-wins, upsert and slice-replace operators need.
 """
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -78,6 +79,16 @@ class Contract:
             if missing:
                 raise ValueError(f"contract {self.name}: {group} {missing} not among columns {names}")
 
+    @classmethod
+    def from_dict(cls, spec: Mapping) -> Contract:
+        """A contract from plain data, such as a JSON file: ``name``, ``fields`` (each with
+        the names of ``Field``'s attributes), ``keys``, ``order``, ``partitions``, ``extra``."""
+        known = {"name", "fields", "keys", "order", "partitions", "extra"}
+        if unknown := sorted(set(spec) - known):
+            raise ValueError(f"unknown entries {unknown} in a contract; known are {sorted(known)}")
+        fields = tuple(Field(**{**f, "null_markers": tuple(f.get("null_markers", ()))}) for f in spec["fields"])
+        return cls(fields=fields, name=spec.get("name", "table"), **{k: tuple(spec.get(k, ())) for k in ("keys", "order", "partitions", "extra")})
+
     def raw_schema(self) -> T.StructType:
         """All-string schema of the landed source columns (no inference, ever)."""
         return T.StructType([T.StructField(f.source, T.StringType(), True) for f in self.fields])

@@ -54,12 +54,14 @@ def test_ledger_by_series(spark):
     assert led == {0: (15, 7, 3), 1: (15, 0, 3)}
 
 
-def test_domain_filter_null_counts_as_dropped(spark):
-    df = spark.createDataFrame([(6, 10), (13, 10), (None, 10), (3, -1), (3, None)], "month int, fob long")
-    kept, ledger = domain_filter(df, F.col("month").between(1, 12) & (F.col("fob") >= 0))
-    assert [tuple(r) for r in kept.collect()] == [(6, 10)]
-    led = ledger.first()
-    assert (led["kept"], led["dropped"]) == (1, 4)
+def test_domain_filter_keeps_what_is_true_alone(spark):
+    """Depth and salinity over a grid with gaps: NULL on either side is no member."""
+    grid = [(None if d % 7 == 0 else d, None if w % 5 == 0 else w - 4) for d in range(20) for w in range(9)]
+    df = spark.createDataFrame(grid, "depth int, salinity int")
+    kept, ledger = domain_filter(df, F.col("depth").between(3, 11) & (F.col("salinity") > 0))
+    want = [g for g in grid if None not in g and 3 <= g[0] <= 11 and g[1] > 0]
+    assert sorted(map(tuple, kept.collect())) == sorted(want)
+    assert tuple(ledger.first()) == (len(want), len(grid) - len(want))
 
 
 def test_state_from_municipality_code_prefix(spark):
@@ -75,41 +77,45 @@ def test_contract_rejects_unknown_key():
         Contract(fields=(Field("a"),), keys=("b",))
 
 
-MUNICIPAL = Contract(
-    name="municipal_fixture",
-    fields=(Field("code", "place_id", required=True),
-            Field("year_text", "year", "int", required=True),
-            Field("value_text", "value", "double", required=True, null_markers=("-", "..", "X"))),
-    keys=("dataset", "place_id", "year"),
-    partitions=("dataset",),
-    extra=("dataset", "at"),
+WELLS = Contract(
+    name="wells",
+    fields=(Field("bore", "bore", required=True), Field("q", "quarter", "int", required=True),
+            Field("level", "level", "decimal(8,2)", required=True, null_markers=("dry", ""))),
+    keys=("basin", "bore", "quarter"),
+    partitions=("basin",),
+    extra=("basin", "seen"),
 )
 
 
-def _muni(spark, rows):
-    return spark.createDataFrame(rows, "dataset string, code string, year_text string, value_text string, at string")
+def test_markers_prefixes_and_revisions_over_generated_readings(spark, scratch):
+    """Water levels in three deliveries: what each reading says is computed here, row by row."""
+    from decimal import Decimal
 
-
-def test_municipal_marker_dropped_state_derived_and_revision_wins(spark, scratch):
     from strata.operators import quality
     from strata.plans import layers
     from strata.session import unique_name
-    name = unique_name("muni")
-    rules = [quality.present("value"), quality.present("uf"), quality.one_row_per("dataset", "place_id", "year")]
-
-    def derive(df):
-        return with_code_lookup(df, "place_id", BRAZIL_STATE_CODES, "uf", prefix_len=2)
-
-    first = _muni(spark, [("pop", "4106902", "2021", "1963726", "t1"), ("pop", "1721000", "2021", "-", "t1")])
-    rep = layers.silver_upsert(first, MUNICIPAL, name, rules, keep=["dataset", "at"], order=["at"],
-                               derive=derive, location=f"{scratch}/s", log=lambda _: None)
-    assert rep.rejects["bad_value"] == 0          # a marker is "no value", not a parse failure
-    rows = [tuple(r) for r in spark.table(name).select("place_id", "uf", "value").collect()]
-    assert rows == [("4106902", "PR", 1963726.0)]
-    revised = _muni(spark, [("pop", "4106902", "2021", "1971234", "t2")])
-    layers.silver_upsert(revised, MUNICIPAL, name, rules, keep=["dataset", "at"], order=["at"],
-                         derive=derive, log=lambda _: None)
-    assert [tuple(r) for r in spark.table(name).select("place_id", "value").collect()] == [("4106902", 1971234.0)]
+    name = unique_name("wells")
+    zones = {f"{z:02d}": f"zone-{z}" for z in range(0, 40, 3)}
+
+    def level(b, q, delivery):
+        return "dry" if (b + q + delivery) % 6 == 0 else "" if (b * q) % 11 == 10 else f"{b * 10 + q}.{delivery}5"
+
+    want = {}
+    for delivery, bores in enumerate((range(0, 30, 3), range(0, 39, 6), range(3, 36, 9))):
+        rows = [(f"B{b % 2}", f"{b:02d}-{b * 7}", str(q), level(b, q, delivery), delivery) for b in bores for q in (1, 2, 4)]
+        marked = 0
+        for basin, bore, q, text, seen in rows:
+            if text in ("dry", ""):
+                marked += 1
+            else:
+                want[basin, bore, int(q)] = (Decimal(text), zones[bore[:2]])
+        report = layers.silver_upsert(
+            spark.createDataFrame(rows, "basin string, bore string, q string, level string, seen int"), WELLS, name,
+            [quality.present("zone"), quality.one_row_per("basin", "bore", "quarter")], keep=["basin", "seen"], order=["seen"],
+            derive=lambda df: with_code_lookup(df, "bore", zones, "zone", prefix_len=2), location=f"{scratch}/s", log=lambda _: None)
+        # a marker is "no value", not an unreadable one
+        assert (report.rejects["bad_level"], report.rejects["missing_level"], report.rejects["dropped"]) == (0, marked, marked)
+    assert {(r["basin"], r["bore"], r["quarter"]): (r["level"], r["zone"]) for r in spark.table(name).collect()} == want
 
 
 def test_conf_override_restores_and_releases_on_error(spark):

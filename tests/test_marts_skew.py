@@ -8,37 +8,31 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture()
-def gold_parts(spark):
-    trade = spark.createDataFrame([("SP", 2023, "EXP", 70), ("SP", 2023, "EXP", 50), ("SP", 2023, "IMP", 777),
-                                   ("RJ", 2023, "EXP", 45), ("MG", 2024, "EXP", 10)],
-                                  "uf string, year int, flow string, fob long")
-    fx = spark.createDataFrame([(1, "2023-01-02", 4.0), (1, "2023-01-03", 4.4), (1, "2023-01-04", 4.6),
-                                (99, "2023-01-02", 9.9)], "series int, d string, value double")
-    muni = spark.createDataFrame([("pop", "SP", 2023, 800.0), ("pop", "SP", 2023, 400.0),
-                                  ("gdp", "SP", 2023, 36000.0), ("pop", "RJ", 2023, 2000.0),
-                                  ("gdp", "RJ", 2023, 50000.0), ("pop", "MG", 2024, 0.0),
-                                  ("gdp", "MG", 2024, 10.0)],
-                                 "dataset string, uf string, year int, value double")
-    exports = marts.sum_by(trade.filter(F.col("flow") == "EXP"), ["uf", "year"], "fob", "exports")
-    rate = marts.avg_by_year(fx.filter(F.col("series") == 1).withColumn("d", F.to_date("d")),
-                             "d", "value", "avg_rate")
-    pg = marts.pivot_sum(muni, ["uf", "year"], "dataset", {"pop": "population", "gdp": "gdp"}, "value")
-    pg = marts.with_ratio(pg, "gdp", "population", "per_capita")
-    return exports, rate, pg
-
-
-def test_star_join_mart(gold_parts):
-    exports, rate, pg = gold_parts
-    mart = marts.star_join(exports, [(rate, ["year"]), (pg, ["uf", "year"])],
-                           ["uf", "year", "exports", "avg_rate", "population", "gdp", "per_capita"])
-    rows = {r["uf"]: r for r in mart.collect()}
-    assert rows["SP"]["exports"] == 120.0            # the import flow is not summed
-    assert rows["SP"]["avg_rate"] == pytest.approx(13.0 / 3)   # only series 1 averaged
-    assert rows["SP"]["population"] == 1200.0 and rows["SP"]["per_capita"] == 30000.0
-    assert rows["RJ"]["exports"] == 45.0 and rows["RJ"]["per_capita"] == 25000.0
-    assert rows["MG"]["avg_rate"] is None            # year without FX stays, as NULL
-    assert rows["MG"]["per_capita"] is None          # zero population -> NULL, not an error
+def test_star_join_over_generated_sources(spark):
+    """Parcels shipped per hub and season, a fuel price per season, staff and floor space per
+    hub and season: the mart against sums made here."""
+    hubs, seasons = [f"h{k}" for k in range(6)], list(range(10, 16))
+    parcels = [(h, s, "out" if (k + s) % 3 else "back", 5 * k + s + n) for k, h in enumerate(hubs) for s in seasons for n in range(k + 1)]
+    fuel = [("diesel" if n % 2 else "power", f"20{s}-0{1 + n}-15", s * 0.5 + n) for s in seasons if s != 13 for n in range(5)]
+    sites = [(kind, h, s, float((k + s) % 4 if kind == "staff" else 40 * k + 8)) for k, h in enumerate(hubs) for s in seasons
+             for kind in ("staff", "floor") if not (kind == "floor" and k == 4)]
+    shipped = marts.sum_by(spark.createDataFrame(parcels, "hub string, year int, way string, n long").where("way = 'out'"), ["hub", "year"], "n", "shipped")
+    price = marts.avg_by_year(spark.createDataFrame(fuel, "kind string, d string, v double").where("kind = 'diesel'").withColumn("d", F.to_date("d")), "d", "v", "price")
+    site = marts.pivot_sum(spark.createDataFrame(sites, "what string, hub string, year int, v double"), ["hub", "year"], "what",
+                           {"staff": "staff", "floor": "floor"}, "v")
+    site = marts.with_ratio(site, "floor", "staff", "room", scale=1.0)
+    mart = marts.star_join(shipped, [(price.withColumn("year", F.col("year") - 2000), ["year"]), (site, ["hub", "year"])],
+                           ["hub", "year", "shipped", "price", "staff", "floor", "room"])
+    got = {(r["hub"], r["year"]): r for r in mart.collect()}
+    assert set(got) == {(h, s) for h, s, way, _ in parcels if way == "out"}
+    for (h, s), r in got.items():
+        k = hubs.index(h)
+        prices = [v for kind, d, v in fuel if kind == "diesel" and d.startswith(f"20{s}")]
+        staff, floor = (k + s) % 4, None if k == 4 else 40.0 * k + 8
+        assert r["shipped"] == sum(n for h2, s2, way, n in parcels if (h2, s2, way) == (h, s, "out"))
+        assert r["price"] == (pytest.approx(sum(prices) / len(prices)) if prices else None)   # a season without a price stays
+        assert (r["staff"], r["floor"]) == (staff, floor)
+        assert r["room"] == (None if floor is None or staff == 0 else pytest.approx(floor / staff, abs=0.01))
 
 
 def test_pivot_methods_agree(spark):
@@ -68,14 +62,15 @@ def test_non_empty_columns_and_drop(spark):
     assert insight.drop_empty_columns(df).columns == ["a"]
 
 
-def test_dashboard_reaggregation(spark):
-    mart = spark.createDataFrame([("SP", 2022, 10.0), ("SP", 2023, 5.0), ("RJ", 2023, 20.0)],
-                                 "uf string, year int, exports double")
-    assert [tuple(r) for r in insight.total_by(mart, "uf", "exports").collect()] == [("RJ", 20.0), ("SP", 15.0)]
-    sl = insight.select_slice(mart, years=[2023], states=["SP", "RJ"])
-    assert [tuple(r) for r in insight.sorted_table(sl, ["year"], ["exports"]).collect()] == \
-        [("RJ", 2023, 20.0), ("SP", 2023, 5.0)]
-    assert [r["year"] for r in insight.distinct_sorted(mart, "year").collect()] == [2022, 2023]
+def test_mart_read_side_over_a_generated_mart(spark):
+    rows = [(f"h{k}", 10 + s, float((k * 7 + s * 3) % 11)) for k in range(5) for s in range(4)]
+    mart = spark.createDataFrame(rows, "uf string, year int, exports double")
+    sums = {h: sum(v for h2, _, v in rows if h2 == h) for h, _, _ in rows}
+    assert [r["exports"] for r in insight.total_by(mart, "uf", "exports").collect()] == sorted(sums.values(), reverse=True)
+    chosen = insight.select_slice(mart, years=[11, 13], states=["h1", "h4", "h9"])
+    want = sorted((r for r in rows if r[1] in (11, 13) and r[0] in ("h1", "h4")), key=lambda r: (r[1], -r[2]))
+    assert [tuple(r) for r in insight.sorted_table(chosen, ["year"], ["exports"]).collect()] == want
+    assert [r["year"] for r in insight.distinct_sorted(mart, "year").collect()] == [10, 11, 12, 13]
 
 
 @pytest.fixture()

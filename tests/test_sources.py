@@ -17,42 +17,41 @@ def _write(path, name, data: bytes):
         fh.write(data)
 
 
-def test_json_array_document_keeps_strings_and_stamps_run(spark, scratch):
-    doc = [{"date": "03/01/2023", "value": "5.2210"}, {"date": "04/01/2023", "value": "5.3010"},
-           {"date": "05/01/2023", "value": "5.1120"}]
-    _write(f"{scratch}/series=7", "run.json", json.dumps(doc, indent=2).encode())
-    schema = T.StructType([T.StructField("date", S), T.StructField("value", S)])
-    df = sources.read_json_array(spark, scratch, schema, partitions={"series": T.IntegerType()})
-    df = sources.stamp_lineage(df, run_id="r-42", source="test://series/7")
-    rows = df.orderBy("date").collect()
-    assert [r["value"] for r in rows] == ["5.2210", "5.3010", "5.1120"]
-    assert dict(df.dtypes)["value"] == "string"
-    assert {r["series"] for r in rows} == {7}
-    assert {r["_run_id"] for r in rows} == {"r-42"}
-    assert all(r["_raw_path"].endswith("run.json") for r in rows)
-
-
-def test_appending_a_delivery_twice_keeps_both(spark, scratch):
+def test_array_documents_of_several_folders_stay_text(spark, scratch):
+    """Tide gauges, one folder each, several documents a folder; values with trailing zeros
+    and signs come back as they were written."""
+    want = set()
+    for gauge in range(4):
+        for part in range(gauge + 1):
+            doc = [{"hour": f"{h:02d}h", "height": f"{'-' if h % 2 else '+'}{h}.{part}00"} for h in range(part, 24, 5)]
+            _write(f"{scratch}/gauge={gauge}", f"p{part}.json", json.dumps(doc, indent=part or None).encode())
+            want |= {(r["hour"], r["height"], gauge, f"gauge={gauge}/p{part}.json") for r in doc}
+    schema = T.StructType([T.StructField("hour", S), T.StructField("height", S)])
+    df = sources.stamp_lineage(sources.read_json_array(spark, scratch, schema, partitions={"gauge": T.IntegerType()}), "run-a", "tides://all")
+    got = df.collect()
+    assert {(r["hour"], r["height"], r["gauge"], "/".join(r["_raw_path"].split("/")[-2:])) for r in got} == want
+    assert {(r["_run_id"], r["_source_url"]) for r in got} == {("run-a", "tides://all")} and all(r["_ingested_at"] for r in got)
+
+
+def test_append_keeps_each_delivery_whole(spark, scratch):
     from strata.operators import tables
     from strata.session import unique_name
-    df = spark.createDataFrame([("7", "03/01/2023", "1.0")] * 3, "series string, date string, value string")
-    name = unique_name("bronze")
-    tables.append(df, name, ["series"], f"{scratch}/t")
-    tables.append(df, name, ["series"], f"{scratch}/t")
-    assert spark.table(name).count() == 6
-
-
-def test_delimited_latin1_keeps_text_and_leading_zeros(spark, scratch):
-    body = "YEAR;MONTH;PORT;STATE;NAME;FOB\n2022;3;0417300;PR;Paranaguá;31000\n2022;4;0927800;SP;São Vicente;9000\n"
-    _write(scratch, "trade.csv", body.encode("iso-8859-1"))
-    schema = T.StructType([T.StructField(c, S) for c in ["YEAR", "MONTH", "PORT", "STATE", "NAME", "FOB"]])
-    df = sources.read_delimited(spark, scratch, schema)
-    rows = sorted(df.collect(), key=lambda r: r["STATE"])
-    assert [r["PORT"] for r in rows] == ["0417300", "0927800"]
-    assert [r["NAME"] for r in rows] == ["Paranaguá", "São Vicente"]
-    bronze = df.withColumns({"flow": F.lit("EXP"), "year": F.col("YEAR").try_cast("int")})
-    assert sorted((r["year"], r["flow"], r["STATE"], r["FOB"]) for r in bronze.collect()) == \
-        [(2022, "EXP", "PR", "31000"), (2022, "EXP", "SP", "9000")]
+    name = unique_name("deliveries")
+    for n in (5, 0, 7, 7):
+        tables.append(spark.range(n).select("id", (F.col("id") % 3).cast("string").alias("lane")), name, ["lane"], f"{scratch}/t")
+    got = {r["lane"]: r["count"] for r in spark.table(name).groupBy("lane").count().collect()}
+    assert got == {str(k): sum(len(range(k, n, 3)) for n in (5, 7, 7)) for k in range(3)}
+
+
+def test_delimited_text_is_read_by_its_charset_as_it_stands(spark, scratch):
+    """Every Latin-1 letter, codes with leading zeros, and empty cells."""
+    rows = [(f"{k:06d}", chr(0xC0 + k % 64) + "x" * (k % 3), "" if k % 4 == 0 else f" {k}") for k in range(130)]
+    for part in range(3):
+        body = "CODE;NAME;QTY\n" + "".join(";".join(r) + "\n" for r in rows[part::3])
+        _write(scratch, f"part{part}.txt", body.encode("iso-8859-1"))
+    schema = T.StructType([T.StructField(c, S) for c in ("CODE", "NAME", "QTY")])
+    got = sources.read_delimited(spark, scratch, schema).collect()
+    assert sorted((r["CODE"], r["NAME"], r["QTY"] or "") for r in got) == sorted(rows)
 
 
 def test_landed_delimited_roundtrip(spark, scratch):
@@ -63,25 +62,22 @@ def test_landed_delimited_roundtrip(spark, scratch):
     assert sorted(tuple(r) for r in back.collect()) == [("1", "Água Boa"), ("2", "Itaúna")]
 
 
-NESTED = {
-    "id": "4711", "variable": "inhabitants", "unit": "people",
-    "results": [{"series": [
-        {"place": {"id": "4106902", "name": "Curitiba"}, "serie": {"2022": "1773718"}},
-        {"place": {"id": "2304400", "name": "Fortaleza"}, "serie": {"2022": "2428708"}},
-        {"place": {"id": "5300108", "name": "Brasília d'Oeste"}, "serie": {"2022": "2817068"}},
-    ]}],
-}
-
-
-def test_nested_document_explodes_to_one_row_per_place_and_period(spark, scratch):
-    _write(scratch, "doc.json", json.dumps(NESTED, ensure_ascii=False).encode())
+def test_nested_documents_explode_to_one_row_per_entry(spark, scratch):
+    """Documents with several results, entries without periods, and names with quotes."""
+    want = []
+    for d in range(4):
+        results = []
+        for r in range(d):
+            series = []
+            for p in range(3):
+                periods = {f"{1990 + d}Q{q}": f"{d}{r}{p}.{q}" for q in range(p * (r + 1))}
+                place = {"id": f"{d}-{r}-{p}", "name": f"O'{chr(0xE0 + p)} \"{r}\""}
+                series.append({"place": place, "serie": periods})
+                want += [(f"unit{d}", place["id"], place["name"], k, v) for k, v in periods.items()]
+            results.append({"series": series})
+        _write(scratch, f"d{d}.json", json.dumps({"id": str(d), "variable": "v", "unit": f"unit{d}", "results": results}, ensure_ascii=False).encode())
     flat = sources.explode_series(sources.read_documents(spark, scratch), keep=["unit"])
-    rows = {r["place_id"]: r for r in flat.collect()}
-    assert len(rows) == 3
-    assert rows["4106902"]["value_text"] == "1773718"
-    assert rows["5300108"]["place_name"] == "Brasília d'Oeste"
-    assert {r["period"] for r in rows.values()} == {"2022"}
-    assert {r["unit"] for r in rows.values()} == {"people"}
+    assert sorted(map(tuple, flat.collect())) == sorted(want) and len(want) > 20
 
 
 def test_landed_documents_are_one_per_file_and_roundtrip(spark, scratch):
@@ -105,11 +101,12 @@ def test_html_body_is_quarantined_not_loaded(spark, scratch):
     assert [r["payload"] for r in bad.collect()] == ["<html><body>maintenance</body></html>"]
 
 
-@pytest.mark.parametrize("years,expected", [([2019, 2017, 2018, 2017], "2017|2018|2019"), ([2016], "2016")])
-def test_period_list(spark, years, expected):
-    df = spark.createDataFrame([(y,) for y in years], "y int")
-    assert sources.period_list(df, "y").first()["period"] == expected
-    assert sources.in_list(expected) == [str(y) for y in sorted(set(years))]
+@pytest.mark.parametrize("values", [[5 * k % 23 for k in range(60)], [41], [None, 3, None, 1], []])
+def test_period_list_is_the_sorted_distinct_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "y int")
+    text = sources.period_list(df, "y").first()["period"]
+    assert text == "|".join(map(str, sorted({v for v in values if v is not None})))
+    assert sources.in_list(text) == [str(v) for v in sorted({v for v in values if v is not None})]
 
 
 def test_lookback_restricts_only_windowed_keys(spark):

@@ -58,6 +58,12 @@ def main() -> None:
     # groups would give just 3 map tasks.
     li = stage(li.repartition(32), "skewed-lineitem")
     orders = gold.load(spark, sf, "orders")
+    # suppliers with their region's name, and the hot key as one more of the first region
+    nations = gold.load(spark, sf, "nation").join(gold.load(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    regions = gold.load(spark, sf, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("r_name").alias("region"))
+    regions = regions.where("l_suppkey <> 0").unionByName(
+        gold.load(spark, sf, "region").where("r_regionkey = 0").select(F.lit(0).cast("bigint").alias("l_suppkey"), F.col("r_name").alias("region")))
     orders = orders.withColumn("o_custkey", F.when(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == 0,
                                                    F.lit(0)).otherwise(F.col("o_custkey")))
     customer = gold.load(spark, sf, "customer")
@@ -77,11 +83,11 @@ def main() -> None:
             li, [quality.one_row_per("l_orderkey", "l_linenumber")])),
         "dim_join(merge, hot supplier)": (n_li, lambda: skew.dim_join(
             li.select("l_suppkey", "l_extendedprice"),
-            skew.derived_dim(li, "l_suppkey", spark.range(10_000).select(F.col("id").alias("l_suppkey"), (F.col("id") % 5).alias("region"))),
+            skew.derived_dim(li, "l_suppkey", regions),
             "l_suppkey", strategy="merge")),
         "salted_join(hot supplier)": (n_li, lambda: skew.salted_join(
             li.select("l_suppkey", "l_extendedprice", "l_orderkey", "l_linenumber"),
-            skew.derived_dim(li, "l_suppkey", spark.range(10_000).select(F.col("id").alias("l_suppkey"), (F.col("id") % 5).alias("region"))), "l_suppkey",
+            skew.derived_dim(li, "l_suppkey", regions), "l_suppkey",
             buckets=16, salt_cols=["l_orderkey", "l_linenumber"])),
         "gold.exports(hot customer)": (n_o, lambda: gold.exports(orders, customer)),
         "gold.measures(hot order+customer)": (n_li, lambda: gold.measures(li, orders, customer)),
