@@ -157,6 +157,18 @@ WITH r AS (SELECT event_type AS series, CAST(ts AS DATE) AS date, event_id, ts,
                   AND CAST(ts AS DATE) > (SELECT CAST(max(ts) AS DATE) FROM events) - 10 AS revised FROM events)
 SELECT series, date, event_id, CAST(event_id AS DOUBLE) + CASE WHEN revised THEN 1000 ELSE 0 END AS value FROM r
 QUALIFY row_number() OVER (PARTITION BY series, date ORDER BY revised DESC, ts DESC, event_id DESC) = 1""",
+    "incremental_gate": """
+WITH t AS (SELECT * FROM orders WHERE NOT (year(o_orderdate) = 1997 AND o_orderstatus = 'F' AND o_orderkey % 2 = 0)),
+c AS (SELECT count(*) AS total, count(*) FILTER (WHERE o_totalprice IS NULL) AS missing,
+             count(*) FILTER (WHERE NOT o_totalprice BETWEEN 1000 AND 200000) AS outside,
+             count(*) - count(DISTINCT (year(o_orderdate), o_orderstatus, o_orderkey)) AS again,
+             count(*) FILTER (WHERE o_orderkey % 2 = 0) AS even FROM t)
+SELECT kind, columns, breaches, allowed, total, breaches <= allowed AS passed,
+       (SELECT CAST(least(count(*), 1) AS BIGINT) FROM t WHERE year(o_orderdate) = 1997 AND o_orderstatus = 'F') AS partitions_read
+FROM (SELECT 'present' AS kind, 'o_totalprice' AS columns, missing AS breaches, CAST(0 AS BIGINT) AS allowed, total FROM c
+      UNION ALL SELECT 'within', 'o_totalprice', outside, 0, total FROM c
+      UNION ALL SELECT 'one_row_per', 'year,flow,o_orderkey', again, 0, total FROM c
+      UNION ALL SELECT 'counted', 'even keys', even, 5, total FROM c)""",
     "upsert_latest": _UPSERT,
     "upsert_idempotent": _UPSERT,
     "catalog_publish": """
