@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.token_counts import groups_by_bytes
-from strata.llm.vocab import PieceTable
+from strata.llm.vocab import PieceTable, splitter
 
 TEXT_CHARS = 1 << 20
 PAIR_ENTRIES = 300_000
@@ -146,12 +146,10 @@ class ByteBpe:
     """Encoder and decoder of a rank file."""
 
     def __init__(self, path: str, pattern: str):
-        import regex
-
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.replay = MergeReplay(ranks)
-        self.find = regex.compile(pattern).findall
+        self.find = splitter(pattern)
         self.table = PieceTable(self.replay.encode_words)
 
     def encode(self, texts: list[str]) -> list[bytes]:

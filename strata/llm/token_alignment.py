@@ -42,10 +42,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import stored
-from strata.llm.vocab import _LETTERS
+from strata.llm.vocab import _LETTERS, splitter
 
 BLOCK_BYTES = 1 << 19
-TABLE_ENTRIES = 300_000
+TABLE_ENTRIES = 600_000
 REMEMBER_CHARS = 64
 _MARK = "▁"
 #: Cut before the first of a run of spaces, but for one at the end: no piece holds the mark
@@ -120,7 +120,6 @@ class ByteLevelSide:
     def __init__(self, path: str, pattern: str):
         import os
 
-        import regex
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -133,7 +132,7 @@ class ByteLevelSide:
             # an added token's string is plain text
             self.bytes[i] = bytes(back[ord(c)] for c in token) if all(ord(c) in back for c in token) else token.encode()
         self.lengths = np.array([len(x) for x in self.bytes], np.int64)
-        self.find = regex.compile(pattern).findall
+        self.find = splitter(pattern)
         self.words = WordTokens(self._tokenize)
 
     def _tokenize(self, words: list[str]) -> list[bytes | None]:
