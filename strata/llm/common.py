@@ -33,6 +33,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_prefix(df: DataFrame) -> str:
+    """A prefix that no column of ``df`` begins with, for the names of working columns."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def bind(value: Column, body) -> Column:
     """``body(v)`` with ``v`` evaluated once per row: a lambda variable, unlike a column
     reference, can't be inlined into an inner lambda by the optimizer."""

@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE, input_partitions, stored
+from strata.llm.common import SPACE, free_prefix, input_partitions, stored
 
 WORDS = 5
 #: Jaccard threshold as a fraction.
@@ -556,11 +556,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``docs`` with one row of each component: the smallest id's (rows without an id last;
     then by the text's hash). Rows without a word are linked with nothing and stay."""
     features, named, _ = _grouped(docs, id_col, text_col)
-    place = {"__no_id": F.col(id_col).isNull(), "__id": F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")),
-             "__th": F.xxhash64(text_col)}
+    free = free_prefix(docs)
+    no_id, at_id, th = free + "no_id", free + "id", free + "th"
+    place = {no_id: F.col(id_col).isNull(), at_id: F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")),
+             th: F.xxhash64(text_col)}
     placed = features.where(F.col("cls").isNotNull()).select(
-        "cls", F.struct(F.col("doc_id").isNull().alias("__no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("__id"),
-                        F.col("th").alias("__th")).alias("at"))
+        "cls", F.struct(F.col("doc_id").isNull().alias(no_id), F.coalesce("doc_id", F.lit(0).cast("long")).alias(at_id),
+                        F.col("th").alias(th)).alias("at"))
     first = placed.groupBy("cls").agg(F.min("at").alias("at")).join(named.select("cls", "comp"), "cls").groupBy("comp").agg(
         F.min("at").alias("at")).select("at.*")
     worded = F.coalesce(F.col(text_col).rlike(f"[^{SPACE}]"), F.lit(False))

@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE, bind, with_passing, words
+from strata.llm.common import SPACE, bind, free_prefix, with_passing, words
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -152,6 +152,6 @@ def apply_line_rules(docs: DataFrame, text: str = "text", out: str = "cleaning",
 
 def keep_clean(docs: DataFrame, text: str = "text", **limits) -> DataFrame:
     """The documents that pass, their text replaced by the cleaned one."""
-    out = "__line_rules"
+    out = free_prefix(docs) + "line_rules"
     judged = with_passing(apply_line_rules(docs, text, out, **limits), out, F.col(out), lambda c: c["kept"])
     return judged.withColumn(text, F.col(out)["cleaned_text"]).drop(out)

@@ -26,7 +26,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE, bind, stored, with_passing, words
+from strata.llm.common import SPACE, bind, free_prefix, stored, with_passing, words
 
 MAX_TRAINING_ROWS = 20_000
 THRESHOLD = 0.3
@@ -165,6 +165,6 @@ def keep_good(docs: DataFrame, corpus: DataFrame, labels: DataFrame, id_col: str
     marks = F.broadcast(training_labels(labels))
     rows = corpus.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(marks, "doc_id")
     model = fit(stored(rows.select(statistics(F.col("text")).alias("s"), "label").select("s.*", "label"), "training-statistics"))
-    out = "__statistics"
+    out = free_prefix(docs) + "statistics"
     return with_passing(docs, out, statistics(F.col(text_col)),
                         lambda s: model.score(lambda name: s[name]) >= threshold).drop(out)

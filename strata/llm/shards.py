@@ -30,7 +30,7 @@ import bisect
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored
+from strata.llm.common import free_prefix, stored
 
 SHARDS = 8
 CELLS_PER_SHARD = 64
@@ -103,11 +103,10 @@ def _splitters(keys: DataFrame, total: int, parts: int, largest_unit: float) ->
     return [found[t] for t in range(1, parts)]
 
 
-def _cell(splitters: list[tuple[int, int]]) -> Column:
-    """The number of splitters at or below the row's key, by binary search."""
+def _cell(splitters: list[tuple[int, int]], h: Column, i: Column) -> Column:
+    """The number of splitters at or below the row's key (h, i), by binary search."""
     hs = F.array(*[F.lit(h).cast("long") for h, _ in splitters])
     ids = F.array(*[F.lit(i + _LEAST).cast("long") for _, i in splitters])
-    h, i = F.col("__h"), F.col("__id")
 
     def step(lo: Column, half: Column) -> Column:
         at = lo + half - 1
@@ -123,34 +122,33 @@ def shard(docs: DataFrame, shards: int = SHARDS, cells_per_shard: int = CELLS_PE
           tolerance: float = TOLERANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` plus ``size`` (UTF-8 bytes + 1), ``shard`` and ``slot`` (gapless in the
     shard). Only the whole rows' exchange by cell moves texts."""
-    text = F.col(text_col)
+    text, free = F.col(text_col), free_prefix(docs)
+    h, i, c = free + "h", free + "id", free + "cell"
     keyed = docs.withColumns({
-        "__h": _split_key(text),
+        h: _split_key(text),
         # in the id's order when compared as signed longs
-        "__id": F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST)),
+        i: F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST)),
         "size": F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1,
     })
     # small rows: the rounds reread them instead of the texts
     keys = stored(keyed.select(
-        "__h", "__id", F.col("size").alias("__size"),
+        F.col(h).alias("__h"), F.col(i).alias("__id"), F.col("size").alias("__size"),
         # as unsigned bits, whose digits sort as the signed ids do
-        F.col("__id").bitwiseXOR(F.lit(_LEAST)).alias("__uid")), "shard-keys")
+        F.col(i).bitwiseXOR(F.lit(_LEAST)).alias("__uid")), "shard-keys")
     total = int(keys.agg(F.sum("__size")).first()[0] or 0)
     parts = shards * cells_per_shard
     if total == 0:
         splitters = [(0, 0)] * (parts - 1)
     else:
         splitters = _splitters(keys, total, parts, tolerance * total / shards)
-    cell = _cell(splitters)
-    per_cell = {r[0]: r[1] for r in keys.groupBy(cell.alias("c")).agg(F.count("*").alias("n")).collect()}
+    per_cell = {r[0]: r[1] for r in keys.groupBy(_cell(splitters, F.col("__h"), F.col("__id")).alias("c")).agg(F.count("*").alias("n")).collect()}
     first, seen = [], 0
-    for c in range(parts):
-        seen = 0 if c % cells_per_shard == 0 else seen
+    for k in range(parts):
+        seen = 0 if k % cells_per_shard == 0 else seen
         first.append(seen)
-        seen += per_cell.get(c, 0)
+        seen += per_cell.get(k, 0)
     base = F.array(*[F.lit(x).cast("long") for x in first])
-    order = Window.partitionBy("__cell").orderBy("__h", "__id")
-    return keyed.withColumn("__cell", cell).withColumn(
-        "slot", F.row_number().over(order) - 1 + F.get(base, F.col("__cell"))).withColumn(
-        "shard", F.floor(F.col("__cell") / cells_per_shard).cast("int")).drop("__h", "__id", "__cell")
-
+    order = Window.partitionBy(c).orderBy(h, i)
+    return keyed.withColumn(c, _cell(splitters, F.col(h), F.col(i))).withColumn(
+        "slot", F.row_number().over(order) - 1 + F.get(base, F.col(c))).withColumn(
+        "shard", F.floor(F.col(c) / cells_per_shard).cast("int")).drop(h, i, c)
