@@ -16,7 +16,8 @@ and equal queries are searched once a block; the ids of a vector's copies are li
 the number of neighbours asked for, plus one for the query itself, which loses nothing.
 
 Defined cases: vectors that are null, empty, zero, or hold a null or non-finite component
-take no part, neither do rows without an id; vectors are only compared with those of the
+take no part, neither do rows without an id; very large and very small components are
+measured as others are (a distance beyond the largest double is ``inf``); vectors are only compared with those of the
 same dimension; ties go to the smaller id; repeated rows of an id are neighbours each;
 repeated query rows (id and vector) are one query, and an id with several vectors is
 answered, ranks from 1, for each of them;
@@ -41,13 +42,32 @@ BLOCK_ROWS = 8192
 QUERY_ROWS = 4096
 
 
+def exponent(vectors: np.ndarray) -> int:
+    """The power of two just above every component."""
+    return int(np.frexp(np.abs(vectors).max(initial=0.0))[1])
+
+
+def euclidean(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Distances whose squares neither overflow nor vanish: each difference is scaled by a
+    power of two, which changes no digit of the others."""
+    # halves: the difference of two finite numbers may be too large itself
+    halved = int(max(exponent(vectors), exponent(query)) > 1000)
+    gap = vectors * 0.5 - query * 0.5 if halved else vectors - query
+    power = np.frexp(np.abs(gap).max(axis=1, initial=0.0))[1]
+    gap = np.ldexp(gap, -power[:, None])
+    with np.errstate(over="ignore"):
+        # inf only where the distance itself has no double
+        return np.ldexp(np.sqrt(np.einsum("ij,ij->i", gap, gap)), power + halved)
+
+
 class CollisionIndex:
-    """Sorted projections of distinct vectors."""
+    """Sorted projections of distinct vectors, scaled by ``2 ** -power``."""
 
-    def __init__(self, vectors: np.ndarray, projections: int = PROJECTIONS, seed: int = SEED):
+    def __init__(self, vectors: np.ndarray, projections: int = PROJECTIONS, seed: int = SEED, power: int | None = None):
         self.vectors = vectors
+        self.power = exponent(vectors) if power is None else power
         self.lines = np.random.default_rng(seed).standard_normal((vectors.shape[1], projections))
-        at = vectors @ self.lines
+        at = np.ldexp(vectors, -self.power) @ self.lines
         self.order = np.argsort(at, axis=0, kind="stable").T.copy()
         ordered = np.take_along_axis(at, self.order.T, axis=0).T
         spread = float(np.ptp(ordered)) if len(vectors) else 0.0
@@ -67,7 +87,7 @@ class CollisionIndex:
         """Verified vectors and their distances; ``enough(vectors, distances, radius)``
         tells whether the search may end."""
         n, lines = len(self.vectors), len(self.shift)
-        at = query @ self.lines
+        at = np.ldexp(query, -self.power) @ self.lines
         low = high = self._places(at, "left")
         hits = np.zeros(n, np.int64)
         seen = np.zeros(n, bool)
@@ -84,10 +104,11 @@ class CollisionIndex:
             passed = np.flatnonzero((hits >= min(threshold, lines)) & ~seen)
             if len(passed):
                 seen[passed] = True
-                gap = self.vectors[passed] - query
                 found = np.concatenate([found, passed])
-                distances = np.concatenate([distances, np.sqrt(np.einsum("ij,ij->i", gap, gap))])
-            if seen.all() or enough(found, distances, radius):
+                distances = np.concatenate([distances, euclidean(self.vectors[passed], query)])
+            with np.errstate(over="ignore"):
+                reached = np.ldexp(radius, self.power)
+            if seen.all() or enough(found, distances, reached):
                 return found, distances
             radius *= RATIO
 
@@ -111,7 +132,8 @@ def search_block(base_ids: np.ndarray, base: np.ndarray, query_ids: np.ndarray,
     vectors, members = _unique(base_ids, base)
     if not len(members):
         return out
-    index = CollisionIndex(vectors)
+    # one scale for both sides, so that no projection overflows
+    index = CollisionIndex(vectors, power=max(exponent(vectors), exponent(queries)))
     # a query may be a member itself: one more is enough
     members = [m[:neighbours + 1] for m in members]
     sizes = np.array([len(m) for m in members])
