@@ -24,8 +24,8 @@ nothing collects its occurrences.
 Defined cases: null text stays null and holds no window; empty text likewise; texts without
 repeats come back byte for byte; rows equal in id and text are one document, treated alike;
 rows without id come after the others in the order of occurrences; an empty table gives an
-empty result; extra columns travel along, whatever their names (working columns are
-prefixed); runs under ``MIN_CHARS`` are never cut.
+empty result; extra columns travel along, whatever their names (working columns take
+free ones); runs under ``MIN_CHARS`` are never cut.
 """
 from __future__ import annotations
 
@@ -34,7 +34,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE, SPACE_CHARS, bind, stored, with_passing
+from strata.llm.common import SPACE, SPACE_CHARS, bind, free_prefix, stored, with_passing
 
 MIN_CHARS = 60
 LONE_CHARS = 120
@@ -43,7 +43,6 @@ PACK = 64
 
 #: A unit ends before the next character that isn't blank, if a line or sentence ended.
 _UNIT_ENDS = rf"(?:(?<=\n)|(?<=[.!?] ))(?=[\x20\x09\x0B-\x0D]*[^{SPACE}])"
-_KEY = ["__no_id", "__id", "__th"]
 
 
 def units(text: Column) -> Column:
@@ -79,20 +78,27 @@ def windows(text: Column) -> Column:
         def first(n: int) -> Column:
             return i if step == 1 else i - (n - 1)
 
+        def before(n: int) -> Column:
+            """Whether the units before i, of a backward window of n units, are one already."""
+            if n == 2:
+                return F.get(m, i - 1)["n"] >= LONE_CHARS
+            return reduce(lambda a, b: a + b, [F.get(m, i - k)["n"] for k in range(1, n)]) >= MIN_CHARS
+
         # short units: a unit has a character at least, so MIN_CHARS units are always enough
         low = i if step == 1 else F.greatest(F.lit(0), i - MIN_CHARS + 1)
         part = F.slice(m, low + 1, F.lit(MIN_CHARS) if step == 1 else i - low + 1)
+        # a backward window that is no longer one without its last unit is the forward window
+        # of its first unit: it is left to that one, so no window comes twice
         total = F.aggregate(
             part if step == 1 else F.reverse(part), F.struct(F.lit(0).alias("k"), F.lit(0).alias("c")),
             lambda a, x: F.when((a["k"] >= 2) & (a["c"] >= MIN_CHARS), a).otherwise(F.struct((a["k"] + 1).alias("k"), (a["c"] + x["n"]).alias("c"))),
-            lambda a: F.when((a["k"] >= 2) & (a["c"] >= MIN_CHARS), a["k"]))
+            lambda a: F.when((a["k"] >= 2) & (a["c"] - (F.lit(0) if step == 1 else F.get(m, i)["n"]) >= MIN_CHARS), a["k"]))
         longer = bind(total, lambda k: F.when(k.isNotNull(), bind(i if step == 1 else i - k + 1, lambda s: F.struct(
             F.xxhash64(F.transform(F.slice(m, s + 1, k), lambda x: x["h"])).alias("h"), (s.cast("long") * PACK + k).alias("at")))))
-        pair = run(m, first(2), 2)
+        runs = {n: run(m, first(n), n) for n in (2, 3, 4)}
         if step == -1:
-            # also the forward window of its first unit, unless that one is lone
-            pair = F.when(F.get(m, i - 1)["n"] >= LONE_CHARS, pair).otherwise(none)
-        return F.when(chars(2), pair).when(chars(3), run(m, first(3), 3)).when(chars(4), run(m, first(4), 4)).otherwise(longer)
+            runs = {n: F.when(before(n), r) for n, r in runs.items()}
+        return F.when(chars(2), runs[2]).when(chars(3), runs[3]).when(chars(4), runs[4]).otherwise(longer)
 
     def at(m: Column, x: Column, i: Column) -> Column:
         return F.when(x["n"] >= LONE_CHARS, F.array(run(m, i, 1), none)).otherwise(F.array(several(m, i, 1), several(m, i, -1)))
@@ -100,16 +106,17 @@ def windows(text: Column) -> Column:
     return bind(marked, lambda m: F.filter(F.flatten(F.transform(m, lambda x, i: at(m, x, i))), lambda w: w.isNotNull()))
 
 
-def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(keyed, removals): ``docs`` with its key columns, and for each key the first units
-    and lengths of the windows that stand elsewhere before: an array ``__cut`` of {s, n}."""
-    text = F.col(text_col)
-    keyed = docs.withColumns({
-        "__no_id": F.col(id_col).isNull(), "__id": F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")),
-        "__th": F.xxhash64(text)})
+def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, list[str], str]:
+    """(keyed, removals, names, cut): ``docs`` with its key columns, and for each key the
+    first units and lengths of the windows that stand elsewhere before, an array of {s, n};
+    then the names of the key columns and of that array, which no column of ``docs`` has."""
+    text, free = F.col(text_col), free_prefix(docs)
+    names, cut = [free + n for n in ("no_id", "id", "th")], free + "cut"
+    keyed = docs.withColumns(dict(zip(names, (
+        F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")), F.xxhash64(text)))))
     # one number for the key, as there is a row a window: documents that share it only look
     # at each other's places too
-    key = F.xxhash64(*_KEY).alias("__k")
+    key = F.xxhash64(*names).alias("__k")
     found = stored(keyed.select(key, F.explode(windows(text)).alias("w")).select("__k", "w.h", "w.at"), "line-windows")
     # stored, here and below, so that both sides of the join are plain shuffles: AQE can
     # then split the rows of a passage that very many documents share
@@ -124,20 +131,20 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     # only documents with a suspect window read their text again
     placed = stored(
-        keyed.select(key, *_KEY, text.alias("__text")).join(suspects, "__k").select(
-            *_KEY, F.explode(bind(_bare(units(F.col("__text"))), digests)).alias("w")).select(*_KEY, "w.*"), "line-suspects")
-    place = F.struct(*_KEY, "s")
+        keyed.select(key, *names, text.alias("__text")).join(suspects, "__k").select(
+            *names, F.explode(bind(_bare(units(F.col("__text"))), digests)).alias("w")).select(*names, "w.*"), "line-suspects")
+    place = F.struct(*names, "s")
     first = stored(placed.groupBy("digest").agg(F.min(place).alias("first")), "line-firsts")
-    removals = placed.join(first, "digest").where(place != F.col("first")).groupBy(*_KEY).agg(
-        F.sort_array(F.collect_set(F.struct("s", "n"))).alias("__cut"))
-    return keyed, removals
+    removals = placed.join(first, "digest").where(place != F.col("first")).groupBy(*names).agg(
+        F.sort_array(F.collect_set(F.struct("s", "n"))).alias(cut))
+    return keyed, removals, names, cut
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with every repeated passage cut from its text but for the first occurrence;
     ``count_col``, if named, says how many runs of units were cut."""
-    keyed, removals = repeated_windows(docs, id_col, text_col)
-    c = F.col("__cut")
+    keyed, removals, names, cut_col = repeated_windows(docs, id_col, text_col)
+    c = F.col(cut_col)
 
     def end(k: Column) -> Column:
         # no window lies strictly inside another, so ends rise with the starts
@@ -149,10 +156,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return F.concat(F.array_join(kept, ""), rest)
 
     runs = F.size(F.filter(c, lambda w, k: (k == 0) | (w["s"] > end(k - 1))))
-    cut = keyed.join(removals, _KEY, "left")
+    cut = keyed.join(removals, names, "left")
     cleaned = F.when(c.isNull(), F.col(text_col)).otherwise(bind(units(F.col(text_col)), without))
     counted = {count_col: F.when(c.isNull(), 0).otherwise(runs).cast("long")} if count_col else {}
-    return cut.withColumns({text_col: cleaned, **counted}).drop(*_KEY, "__cut")
+    return cut.withColumns({text_col: cleaned, **counted}).drop(*names, cut_col)
 
 
 def with_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
