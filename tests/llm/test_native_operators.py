@@ -188,3 +188,54 @@ def test_long_lines_are_judged_for_boilerplate(spark, line, fails):
     assert len(line) > quality_rules.BOILERPLATE_CHARS
     df = spark.createDataFrame([(line,)], "line string")
     assert df.select(F.transform(F.array("line"), lambda x: quality_rules.line_fails(x))[0]).first()[0] == fails
+
+
+def plain_windows(text, least=60, lone=120):
+    """(first unit, units) of every window, forward and backward, once each."""
+    us = re.split(r"(?:(?<=\n)|(?<=[.!?] ))(?=[\x20\x09\x0B-\x0D]*[^\x20\x09-\x0D])", text)
+    n = [len(u.rstrip(" \t\n\x0b\x0c\r")) + 1 for u in us]
+    out = {(k, 1) for k in range(len(us)) if n[k] >= lone}
+    for k in (k for k in range(len(us)) if n[k] < lone):
+        out |= set([(k, e - k) for e in range(k + 2, len(us) + 1) if sum(n[k:e]) >= least][:1])
+        out |= set([(s, k + 1 - s) for s in range(k - 1, -1, -1) if sum(n[s:k + 1]) >= least][:1])
+    return sorted(out)
+
+
+def test_every_window_is_counted_once(spark):
+    rng = random.Random(17)
+    texts = ["".join("w" * rng.choice([1, 3, 10, 18, 25, 40, 70, 130]) + ". " for _ in range(rng.randint(1, 30))) for _ in range(120)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", line_dedup.windows(F.col("t")).alias("w"))
+    for r in df.collect():
+        assert sorted(divmod(w["at"], line_dedup.PACK) for w in r["w"]) == plain_windows(r["t"])
+
+
+def test_long_texts_and_columns_named_like_working_ones(docs):
+    passage = "".join(sentences(31, 6))
+    long = "".join(sentences(32, 4000))
+    extra = ["__id", "__TH", "__no_id", "__cut", "__k", "__text", "__at", "w"]
+    given = docs([(1, long + passage), (2, passage + long[:5000]), (3, None)], extra)
+    given = given.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in extra})
+    cut = line_dedup.dedup_lines(given)
+    assert cut.columns == given.columns
+    got = {r["doc_id"]: r for r in cut.collect()}
+    assert got[1]["text"] == long + passage and got[3]["text"] is None and len(got[2]["text"]) < 120
+    assert all(got[k][c] == f"{c}{k}" for k in (1, 2, 3) for c in extra)
+
+
+def test_shards_of_long_texts_and_columns_named_like_working_ones(docs):
+    rows = [(k, f"text {k}") for k in range(40)] + [(99, "x" * 400_000), (None, None)]
+    extra = ["__h", "__id", "__cell", "__size", "__uid", "c"]
+    given = docs(rows, extra)
+    given = given.withColumns({c: F.lit(c) for c in extra})
+    got = shards.shard(given, cells_per_shard=4)
+    assert got.columns == [*given.columns, "size", *[c for c in got.columns if c in ("slot", "shard")]]
+    found = got.collect()
+    assert all(r[c] == c for r in found for c in extra)
+    assert sorted((-2**63 if r.doc_id is None else r.doc_id, r["size"], r["shard"], r["slot"]) for r in found) == \
+        expected_shards(rows, 8, shards.TOLERANCE)
+
+
+def test_kept_documents_keep_columns_named_like_working_ones(docs):
+    text = " ".join(f"Word{k} stands here." for k in range(30))
+    got = quality_rules.keep_clean(docs([(1, text), (2, "short")], ["__line_rules"]).withColumn("__line_rules", F.lit("mine"))).collect()
+    assert [(r["doc_id"], r["__line_rules"]) for r in got] == [(1, "mine")]

@@ -1,6 +1,8 @@
 """Jaccard join, nearest neighbours, classifier and pipeline against brute force."""
+import math
 import random
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -102,6 +104,15 @@ def test_one_row_of_each_group_stays(docs):
     assert kept == [(2, base + " more"), (7, ""), (7, ""), (8, "other text of its own here")]
 
 
+def test_kept_rows_keep_columns_named_like_working_ones(docs):
+    base = " ".join(f"word{k}" for k in range(40))
+    extra = ["__id", "__th", "__no_id", "at", "cls"]
+    given = docs([(5, base), (2, base + " more"), (2, base + " more"), (7, None)], extra).withColumns({c: F.lit(c) for c in extra})
+    kept = jaccard_join.keep_one(given)
+    assert kept.columns == given.columns
+    assert sorted(map(tuple, kept.collect()), key=lambda r: r[0]) == [(2, base + " more", *extra), (7, None, *extra)]
+
+
 def nearest(ids, vectors, i, k=10):
     d = np.sqrt(((vectors - vectors[i]) ** 2).sum(1))
     return [int(ids[j]) for j in np.lexsort((ids, d)) if j != i][:k]
@@ -135,6 +146,36 @@ def test_neighbours_of_odd_vectors(spark):
     assert ann.nearest(df.limit(0), df).count() == 0
 
 
+@pytest.mark.parametrize("power", [0, 660, -660, 1000, -1040])
+def test_distances_of_huge_and_tiny_components(spark, power):
+    rng = np.random.default_rng(6)
+    # few digits, so that even the smallest scale keeps them all
+    small = rng.integers(-400, 400, (60, 4)).astype(float)
+    rows = [(k, [float(np.ldexp(x, power)) for x in v]) for k, v in enumerate(small)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(df, df.where("vec_id % 10 = 0"), block_rows=20).collect()
+    assert len(got) == 60
+    for q in range(0, 60, 10):
+        mine = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == q)
+        want = nearest(np.arange(60), small, q)
+        assert [v for _, v, _ in mine] == want
+        assert [d for _, _, d in mine] == [float(np.ldexp(np.sqrt(((small[v] - small[q]) ** 2).sum()), power)) for v in want]
+
+
+def test_neighbours_over_all_magnitudes(spark):
+    rows = [(1, [1.7e308, 0.0]), (2, [-1.7e308, 0.0]), (3, [1e-310, 1e-310]), (4, [1.0, 0.0]), (5, [2.0, 0.0]), (6, [1.6e308, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in ann.nearest(df, df).collect()}
+    assert len(got) == 30
+    assert got[4, 1][0] == 3 and got[4, 2] == (5, 1.0) and got[1, 1] == (6, 1.7e308 - 1.6e308) and got[1, 5] == (2, float("inf"))
+
+
+def test_neighbours_of_long_vectors(spark):
+    base = spark.createDataFrame([(k, [float(k + j % 3) for j in range(5000)]) for k in range(12)], "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, ann.nearest(base, base.where("vec_id = 0"), neighbours=2).collect()))
+    assert got == [(0, 1, 1, 5000 ** 0.5), (0, 2, 2, 2 * 5000 ** 0.5)]
+
+
 def test_many_equal_vectors_go_to_the_smallest_ids(spark):
     df = spark.createDataFrame([(k, [1.0, 2.0, 3.0]) for k in range(500)] + [(900, [1.0, 2.0, 2.0])], "vec_id long, embedding array<double>")
     got = {(r.query_id, r["rank"]): r.vec_id for r in ann.nearest(df, df.where("vec_id in (0, 300)"), block_rows=100).collect()}
@@ -152,6 +193,51 @@ def test_classifier_separates_held_out_labels(spark):
     assert len(got) == 1000 and got.score.between(0, 1).all()
 
 
+def plain_statistics(text):
+    t = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n, chars = len(w), len("".join(w))
+
+    def per(a, b):
+        return a / b if b else 0.0
+
+    return {"n_words": float(n), "word_length": per(chars, n), "distinct_words": per(len(set(w)), n),
+            "symbols": per(len(re.findall(r"[#*$%&|<>]", t)), n), "capitals": per(len(re.findall("[A-Z]", t)), chars),
+            "digits": per(len(re.findall("[0-9]", t)), chars), "marks": per(len(re.findall("[.,;:!?]", t)), n),
+            "doubled_marks": per(len(re.findall(r"!!|\?\?", t)), n), "distinct_lines": per(len(set(lines)), len(lines)),
+            "words_a_line": per(n, len(lines))}
+
+
+def test_scores_equal_the_fitted_rules_by_brute_force(spark, docs, monkeypatch):
+    path = "/root/testdata/sf0.01"
+    models, trained, fit = [], [], rule_classifier.fit
+
+    def spied(rows):
+        trained.extend(r[0] for r in rows.select("doc_id").collect())
+        models.append(fit(rows))
+        return models[-1]
+
+    monkeypatch.setattr(rule_classifier, "fit", spied)
+    real = table(spark, path, "documents").select("doc_id", "text")
+    odd = docs([(10**9, None), (10**9 + 1, ""), (10**9 + 2, "word! " * 100_000), (None, "A #1 text!! of\ntwo lines??")])
+    given = real.unionByName(odd)
+    got = rule_classifier.classify(given, table(spark, path, "labels")).toPandas()
+    texts = given.toPandas()
+    (model,) = models
+    assert model.rules and len(got) == len(texts)
+    want = []
+    for i, t in zip(texts.doc_id, texts.text):
+        s = plain_statistics(t if isinstance(t, str) else None)
+        total = model.bias + sum(w for rule, w in model.rules if all((s[c.statistic] > c.bound) == c.above for c in rule))
+        held = pd.isna(i) or zlib.crc32(str(int(i)).encode()) % 5 == 0
+        want.append((-1 if pd.isna(i) else int(i), bool(held), 1 / (1 + math.exp(-total))))
+    found = sorted((-1 if pd.isna(r.doc_id) else int(r.doc_id), bool(r.held_out), r.score, r.predicted) for r in got.itertuples())
+    for (i, held, score), (j, h, found_score, predicted) in zip(sorted(want), found):
+        assert (i, held) == (j, h) and abs(score - found_score) < 1e-9 and predicted == int(found_score >= 0.3)
+    assert trained and all(zlib.crc32(str(i).encode()) % 5 for i in trained)
+
+
 def test_classifier_on_odd_rows(spark, docs):
     rows = docs([(1, None), (2, ""), (None, "text here"), (3, "plain words. " * 50), (3, "plain words. " * 50)], ["label", "score"])
     none = spark.createDataFrame([(1, None, 0), (None, 1, 0), (3, 7, 0)], "doc_id long, quality int, toxic int")
