@@ -39,8 +39,6 @@ MAX_LOST_PERCENT = 50
 TERMINAL = r"[.!?:;…。！？][\x22'”’»)\]*_\x20\x09-\x0D]*$"
 #: What may follow a terminal mark, however much of it: blanks, closing quotes and brackets.
 CLOSING = " \t\n\x0b\x0c\r\"'”’»)]*_"
-#: Characters of a line's end that the SQL version of the rules looks at.
-TAIL = 8
 SYMBOL_WORD = r"[^\x20\x09-\x0D]*[#*$%&|<>][^\x20\x09-\x0D]*"
 SHOUTED_WORD = r"(!!|\?\?)"
 SEPARATOR_WORD = r"(^|[\x20\x09-\x0D])[|»«›‹>·•]+"

@@ -30,7 +30,9 @@ def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TERMINAL = quality_rules.TERMINAL.replace("'", "''")
-_BOILER = " OR ".join(f"contains(lower(line), '{x}')" for x in quality_rules.BOILERPLATE)
+_BOILER = " OR ".join(f"contains({{0}}, '{x}')" for x in quality_rules.BOILERPLATE)
+#: A line's sentences, each with the blank after it.
+_SENTENCES = "regexp_extract_all(lower(line), '(?s:.*?[.!?] |.+)')"
 ORACLE["op6_line_rules"] = rf"""
 WITH src AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, unnest(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS word,
@@ -44,13 +46,15 @@ cov AS (SELECT rid, count(DISTINCT p) AS n_repeat_words
 lines AS (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM src),
 facts AS (SELECT rid, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
                  length(array_to_string(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), '')) AS chars,
-                 NOT regexp_matches(right(line, {quality_rules.TAIL}), '{_TERMINAL}') AS unended,
+                 NOT regexp_matches(line, '{_TERMINAL}') AS unended,
                  len(regexp_extract_all(line, '{quality_rules.SYMBOL_WORD}')) AS sym,
                  len(regexp_extract_all(line, '{quality_rules.SHOUTED_WORD}')) AS shout,
                  len(regexp_extract_all(line, '{quality_rules.SEPARATOR_WORD}')) AS sep FROM lines),
 judged AS (SELECT *, (n >= {quality_rules.MIN_LINE_WORDS} AND unended)
                      OR (n >= 2 AND (sym * 2 >= n OR shout * 2 >= n OR (sep >= 3 AND sep * 5 >= n)))
-                     OR (length(line) <= {quality_rules.BOILERPLATE_CHARS} AND ({_BOILER})) AS bad FROM facts),
+                     OR (({_BOILER.format("lower(line)")}) AND (length(line) <= {quality_rules.BOILERPLATE_CHARS}
+                         OR coalesce(list_sum(list_transform(list_filter({_SENTENCES}, lambda x: {_BOILER.format("x")}),
+                                                             lambda x: length(x))), 0) * 2 >= length(lower(line)))) AS bad FROM facts),
 per AS (SELECT rid, count(*) AS n_lines, count(*) FILTER (WHERE bad) AS n_removed_lines,
                coalesce(sum(chars) FILTER (WHERE bad), 0) AS removed_chars,
                count(*) FILTER (WHERE n > 0) - count(DISTINCT line) FILTER (WHERE n > 0) AS n_dup_lines
