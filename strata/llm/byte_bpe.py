@@ -4,9 +4,10 @@ Each task reads its part of the corpus block by block. The words (matches of the
 pattern) that its bounded table doesn't know yet are laid out in one array of tokens. An
 inverted index maps a mergeable pair, named by its rank, to the positions where it stands;
 a heap yields the ranks in order. Applying a rank touches just its positions and their two
-neighbours, whose new pairs enter the index. A word in which a merge creates a pair of a
-lower rank is finished at once by itself, so each word sees exactly the order of merges
-that encoding it alone would. Texts are then put together from the table.
+neighbours, whose new pairs enter the index; all places of a rank are one step of array
+work. A word in which places of one rank touch, or a merge creates a pair of no higher rank,
+is encoded by itself instead, so each word sees exactly the order of merges that encoding
+it alone would. Texts are then put together from the table.
 
 The work is per row block: no shuffle, no state beyond the table of ``TABLE_ENTRIES``
 words, and hot sources or copies only make the table's hits more frequent.
@@ -24,6 +25,7 @@ import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +33,9 @@ from pyspark.sql import functions as F
 from strata.llm.token_counts import groups_by_bytes
 from strata.llm.vocab import PieceTable, splitter
 
-TEXT_CHARS = 1 << 20
-PAIR_ENTRIES = 300_000
+TEXT_CHARS = 1 << 23
+#: Words that share one index.
+WORDS_AT_ONCE = 500_000
 
 
 class MergeReplay:
@@ -41,23 +44,29 @@ class MergeReplay:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {v: k for k, v in ranks.items()}
-        self.single = [ranks[bytes([b])] for b in range(256)]
-        self._pairs: dict[int, int] = {}
-
-    def pair_rank(self, a: int, b: int) -> int:
-        """The rank of the merge of two tokens; -1 if they don't merge."""
-        r = self._pairs.get(a << 32 | b)
-        if r is None:
-            if len(self._pairs) > PAIR_ENTRIES:
-                self._pairs.clear()
-            r = self._pairs[a << 32 | b] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
-        return r
-
-    def _finish(self, tokens: list[int]) -> list[int]:
-        """One word's remaining merges, lowest rank first, leftmost among equals."""
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        #: One more than the largest id: the token between words, which merges with nothing.
+        self.edge = max(self.bytes_of) + 1
+        self.pairs = {ranks[k[:i]] * self.edge + ranks[k[i:]]: r for k, r in ranks.items()
+                      for i in range(1, len(k)) if k[:i] in ranks and k[i:] in ranks}
+        self._keys = np.array(sorted(self.pairs), np.int64)
+        self._ranks = np.array([self.pairs[k] for k in self._keys.tolist()], np.int64)
+        self._of_bytes = self.pair_ranks(np.repeat(self.single, 256), np.tile(self.single, 256))
+
+    def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The ranks of the merges of two tokens; -1 where they don't merge."""
+        if not len(self._keys):
+            return np.full(len(a), -1, np.int64)
+        key = np.where((a < self.edge) & (b < self.edge), a * self.edge + b, -1)
+        at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+        return np.where(self._keys[at] == key, self._ranks[at], -1)
+
+    def encode_word(self, word: bytes) -> list[int]:
+        """One word's merges, lowest rank first, leftmost among equals: the slow, plain way."""
+        tokens, get, edge = self.single[list(word)].tolist(), self.pairs.get, self.edge
         while len(tokens) > 1:
             best = min(((r, i) for i in range(len(tokens) - 1)
-                        if (r := self.pair_rank(tokens[i], tokens[i + 1])) >= 0), default=None)
+                        if (r := get(tokens[i] * edge + tokens[i + 1])) is not None), default=None)
             if best is None:
                 break
             r, i = best
@@ -66,80 +75,94 @@ class MergeReplay:
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """The ids of each word."""
-        single, rank_of = self.single, self.pair_rank
-        out: list[list[int] | None] = [None] * len(words)
-        tokens: list[int] = []
-        owner: list[int] = []
-        spans: list[tuple[int, int, int]] = []
-        for w, word in enumerate(words):
-            raw = word.encode()
-            whole = self.ranks.get(raw)
-            if whole is not None:
-                out[w] = [whole]
-                continue
-            spans.append((w, len(tokens), len(tokens) + len(raw)))
-            tokens += [single[b] for b in raw]
-            owner += [w] * len(raw)
-        n = len(tokens)
-        right = list(range(1, n + 1))
-        left = list(range(-1, n - 1))
-        for _, lo, hi in spans:
-            if hi > lo:
-                left[lo], right[hi - 1] = -1, -1
-        index: dict[int, list[int]] = {}
-        for p in range(n):
-            if right[p] >= 0:
-                r = rank_of(tokens[p], tokens[right[p]])
-                if r >= 0:
-                    index.setdefault(r, []).append(p)
-        heap = list(index)
-        heapq.heapify(heap)
+        raw = [w.encode() for w in words]
+        out: list = [None if r is None else [r] for r in map(self.ranks.get, raw)]
+        open_words = [w for w, ids in enumerate(out) if ids is None]
+        if open_words:
+            for w, ids in zip(open_words, self._replay([raw[w] for w in open_words])):
+                out[w] = ids
+        return out
+
+    def _replay(self, words: list[bytes]) -> list[list[int]]:
+        """All merges of some words in rank order, over one array of tokens."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        # an edge before each word and one after the last
+        starts = np.concatenate([[0], np.cumsum(lengths + 1)])
+        n = int(starts[-1]) + 1
+        inside = np.ones(n, bool)
+        inside[starts] = False
+        letters = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        tokens = np.full(n, self.edge, np.int64)
+        tokens[inside] = self.single[letters]
+        rank_at = np.full(n, -1, np.int64)
+        spread = np.zeros(n, np.int64)
+        spread[inside] = letters
+        first = np.flatnonzero(inside[:-1] & inside[1:])
+        rank_at[first] = self._of_bytes[spread[first] * 256 + spread[first + 1]]
+        right, left = np.arange(1, n + 1), np.arange(-1, n - 1)
+
+        # the inverted index: places by rank as they stand at first, and those made later
+        first = first[rank_at[first] >= 0]
+        first = first[np.argsort(rank_at[first], kind="stable")]
+        ranks, cuts = np.unique(rank_at[first], return_index=True)
+        begun = dict(zip(ranks.tolist(), np.split(first, cuts[1:])))
+        made: dict[int, list[int]] = {}
+        heap = ranks.tolist()
+        alone = np.zeros(len(words) + 1, bool)
         while heap:
             r = heapq.heappop(heap)
-            places = index.pop(r, None)
-            if places is None:
+            parts = [x for x in (begun.pop(r, None), made.pop(r, None)) if x is not None]
+            if not parts:
+                continue
+            p = np.asarray(parts[0], np.int64) if len(parts) == 1 else np.concatenate(parts)
+            # a place is stale when a neighbouring merge has taken either token
+            p = p[rank_at[p] == r]
+            if len(p) > 1:
+                p = np.unique(p)
+                near = (right[p[:-1]] == p[1:]) | (right[right[p[:-1]]] == p[1:])
+                if near.any():
+                    # places that touch: their word is encoded by itself, where order tells
+                    self._set_apart(p[1:][near], starts, alone, rank_at)
+                    p = p[rank_at[p] == r]
+            if not len(p):
                 continue
-            places.sort()
-            for p in places:
-                q = right[p]
-                # a place is stale when a neighbouring merge has taken either token
-                if tokens[p] < 0 or q < 0 or rank_of(tokens[p], tokens[q]) != r:
-                    continue
-                tokens[p], tokens[q] = r, -1
-                after = right[q]
-                right[p] = after
-                if after >= 0:
-                    left[after] = p
-                before, lower = left[p], False
-                for a, b in ((before, p), (p, after)):
-                    if a >= 0 and b >= 0:
-                        new = rank_of(tokens[a], tokens[b])
-                        if new >= r:
-                            if new in index:
-                                index[new].append(a)
-                            else:
-                                index[new] = [a]
-                                heapq.heappush(heap, new)
-                        elif new >= 0:
-                            lower = True
-                if lower:
-                    self._finish_in_place(p, tokens, left, right)
-        for w, lo, hi in spans:
-            out[w] = [t for t in tokens[lo:hi] if t >= 0]
+            q = right[p]
+            after, before = right[q], left[p]
+            tokens[p], tokens[q], rank_at[q] = r, -1, -1
+            right[p], left[after] = after, p
+            both = np.concatenate([before, p])
+            new = self.pair_ranks(tokens[both], tokens[np.concatenate([p, after])])
+            rank_at[both] = new
+            ahead = new >= 0
+            both, new = both[ahead], new[ahead]
+            if len(new) and new.min() <= r:
+                # a merge made a pair that is due before the others of this rank
+                self._set_apart(both[new <= r], starts, alone, rank_at)
+                ahead = rank_at[both] == new
+                both, new = both[ahead], new[ahead]
+            for place, rank in zip(both.tolist(), new.tolist()):
+                held = made.get(rank)
+                if held is not None:
+                    held.append(place)
+                else:
+                    made[rank] = [place]
+                    if rank not in begun:
+                        heapq.heappush(heap, rank)
+        kept = tokens >= 0
+        kept[starts] = False
+        ids = tokens[kept].tolist()
+        ends = np.cumsum(kept)[starts].tolist()
+        out = [ids[lo:hi] for lo, hi in zip(ends, ends[1:])]
+        for w in np.flatnonzero(alone).tolist():
+            out[w] = self.encode_word(words[w])
         return out
 
-    def _finish_in_place(self, p: int, tokens: list[int], left: list[int], right: list[int]) -> None:
-        """Finish the word around position p; none of its places is valid afterwards."""
-        while left[p] >= 0:
-            p = left[p]
-        places = []
-        while p >= 0:
-            places.append(p)
-            p = right[p]
-        done = self._finish([tokens[x] for x in places])
-        for k, x in enumerate(places):
-            tokens[x] = done[k] if k < len(done) else -1
-            left[x] = right[x] = -1
+    @staticmethod
+    def _set_apart(places: np.ndarray, starts: np.ndarray, alone: np.ndarray, rank_at: np.ndarray) -> None:
+        """Marks the words of these places; none of their places is valid afterwards."""
+        for w in np.unique(np.searchsorted(starts, places, "right") - 1).tolist():
+            alone[w] = True
+            rank_at[starts[w]:starts[w + 1]] = -1
 
 
 class ByteBpe:
@@ -150,7 +173,7 @@ class ByteBpe:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.replay = MergeReplay(ranks)
         self.find = splitter(pattern)
-        self.table = PieceTable(self.replay.encode_words)
+        self.table = PieceTable(self.replay.encode_words, batch=WORDS_AT_ONCE)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return self.table.ids([self.find(t) for t in texts])

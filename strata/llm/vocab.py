@@ -20,8 +20,8 @@ class PieceTable:
     """Piece -> its ids as little-endian unsigned 32-bit bytes, in two generations: when the
     younger is full it becomes the older, and what is used again moves over."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], entries: int = TABLE_ENTRIES):
-        self.encode, self.entries, self.known, self.older = encode, entries // 2, {}, {}
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], entries: int = TABLE_ENTRIES, batch: int = 10_000):
+        self.encode, self.entries, self.batch, self.known, self.older = encode, entries // 2, batch, {}, {}
 
     def ids(self, cut: list[list[str]]) -> list[bytes]:
         """For each list of pieces, the bytes of all their ids."""
@@ -35,8 +35,8 @@ class PieceTable:
                 new.append(p)
             else:
                 known[p] = v
-        for lo in range(0, len(new), 10_000):
-            batch = new[lo:lo + 10_000]
+        for lo in range(0, len(new), self.batch):
+            batch = new[lo:lo + self.batch]
             for p, ids in zip(batch, self.encode(batch)):
                 (known if len(p) <= REMEMBER_CHARS else rare)[p] = array.array("I", ids).tobytes()
         get = known.__getitem__ if not rare else lambda p: known[p] if p in known else rare[p]

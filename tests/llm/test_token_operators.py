@@ -64,6 +64,18 @@ def test_replay_finishes_a_word_whose_merge_makes_a_lower_rank():
     assert replay.encode_words(["ababx", "abx", "aba", "xababab"]) == [[300, 98, 120], [301, 120], [300], [120, 300, 98, 301]]
 
 
+def test_replay_of_touching_places_equals_tiktoken():
+    # few letters: runs, places of one rank side by side, ranks that two cuts share
+    replay = byte_bpe.byte_bpe(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).replay
+    enc = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=replay.ranks, special_tokens={})
+    rng = random.Random(8)
+    ws = ["".join(rng.choices("abanéあ=.- 0\n", k=rng.randint(1, 40))) for _ in range(5000)] + ["a" * 3000, "=" * 999]
+    want = [enc._core_bpe.encode_single_piece(w.encode()) for w in ws]
+    assert replay.encode_words(ws) == want
+    assert [replay.encode_word(w.encode()) for w in ws[:300]] == want[:300]
+    assert replay.encode_words([]) == []
+
+
 def test_byte_bpe_round_trip(docs):
     path = P.path("byte_bpe_multi_50k.tiktoken")
     got = byte_bpe.round_trip(docs(ROWS), path, P.PATTERN).collect()
