@@ -41,6 +41,8 @@ K1, B = 1.2, 0.75
 #: Tokens of an index shard.
 SHARD_TOKENS = 1 << 21
 TEXT_CHARS = 1 << 22
+#: Share of an index's documents from which a token's postings are a row of a matrix.
+COMMON = 0.2
 
 
 def _ids(raw: bytes) -> np.ndarray:
@@ -119,29 +121,60 @@ def term_weights(tokens: DataFrame) -> TermWeights:
 
 
 class ShardIndex:
-    """Inverted index of some documents: token -> documents and weights."""
+    """Inverted index of some documents: token -> documents and weights. The postings of a
+    token that ``COMMON`` of the documents hold are one row of a matrix; the others follow
+    one another, token by token. Used documents leave the index when they are the half."""
 
     def __init__(self, documents: list[np.ndarray], weights: TermWeights):
         held = [weights.of(d) for d in documents]
         self.queries = [t for t, _ in held]
-        sizes = [len(t) for t, _ in held]
-        terms = np.concatenate([t for t, _ in held]) if held else np.zeros(0, np.uint32)
-        order = np.argsort(terms, kind="stable")
-        self.terms = terms[order]
-        self.docs = np.repeat(np.arange(len(documents)), sizes)[order]
-        self.weights = np.concatenate([w for _, w in held])[order] if held else np.zeros(0)
         self.n = len(documents)
+        sizes = [len(t) for t in self.queries]
+        terms = np.concatenate([np.zeros(0, np.int64), *self.queries]).astype(np.int64)
+        order = np.argsort(terms, kind="stable")
+        self._lay_out(terms[order], np.repeat(np.arange(self.n), sizes)[order],
+                      np.concatenate([np.zeros(0), *[w for _, w in held]])[order], np.arange(self.n))
+
+    def _lay_out(self, terms: np.ndarray, docs: np.ndarray, weights: np.ndarray, names: np.ndarray) -> None:
+        """Postings sorted by term; ``docs`` count through ``names``."""
+        self.flat, self.docs, self.weights, self.names = terms, docs, weights, names
+        self.terms, self.first, self.count = np.unique(terms, return_index=True, return_counts=True)
+        common = self.count >= max(2, COMMON * len(names))
+        self.row = np.where(common, np.cumsum(common) - 1, -1)
+        self.common = np.zeros((int(common.sum()), len(names)), np.float32)
+        row = np.repeat(self.row, self.count)
+        self.common[row[row >= 0], docs[row >= 0]] = weights[row >= 0]
+
+    def _forget(self, live: np.ndarray) -> None:
+        keep, place = live[self.docs], np.cumsum(live) - 1
+        self._lay_out(self.flat[keep], place[self.docs[keep]], self.weights[keep], self.names[live])
+
+    def scores(self, query: np.ndarray) -> np.ndarray:
+        """BM25 scores of ``names`` for the distinct tokens of a query."""
+        if not len(self.terms):
+            return np.zeros(len(self.names))
+        at = np.minimum(np.searchsorted(self.terms, query), len(self.terms) - 1)
+        at = at[self.terms[at] == query]
+        row = self.row[at]
+        rare = at[row < 0]
+        lo, k = self.first[rare], self.count[rare]
+        posting = np.repeat(lo - np.cumsum(k) + k, k) + np.arange(int(k.sum()))
+        some = np.bincount(self.docs[posting], self.weights[posting], minlength=len(self.names))
+        return some + self.common[row[row >= 0]].sum(axis=0)
 
     def neighbours(self, query: np.ndarray, unused: np.ndarray) -> Iterator[int]:
         """Unused documents: those that share a token with the query by falling BM25 score,
         then the others in order."""
-        scores = np.zeros(self.n)
-        for lo, hi in zip(np.searchsorted(self.terms, query, "left"), np.searchsorted(self.terms, query, "right")):
-            scores[self.docs[lo:hi]] += self.weights[lo:hi]
-        scores[~unused] = 0
+        live = unused[self.names]
+        if 2 * int(live.sum()) < len(live):
+            self._forget(live)
+            live = unused[self.names]
+        scores = np.where(live, self.scores(query), 0)
         near = np.flatnonzero(scores)
-        yield from near[np.lexsort((near, -scores[near]))].tolist()
-        yield from np.flatnonzero(unused & (scores == 0)).tolist()
+        shared = np.zeros(self.n, bool)
+        shared[self.names[near]] = True
+        yield from self.names[near[np.lexsort((near, -scores[near]))]].tolist()
+        yield from np.flatnonzero(unused & ~shared).tolist()
 
 
 class WindowFiller:

@@ -43,6 +43,32 @@ class PieceTable:
         return [b"".join(map(get, parts)) for parts in cut]
 
 
+class WordTable(dict):
+    """Word -> bytes of its ids, learnt when it is first looked up; in two generations like
+    ``PieceTable``."""
+
+    def __init__(self, learn: Callable[[str], bytes], entries: int = TABLE_ENTRIES):
+        super().__init__()
+        self.learn, self.entries, self.older = learn, entries // 2, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.learn(word)
+        if len(word) <= REMEMBER_CHARS:
+            self[word] = ids
+        return ids
+
+    def ids(self, words: list[str]) -> bytes:
+        return b"".join(map(self.__getitem__, words))
+
+    def turn(self) -> None:
+        """Between batches: a full table becomes the older one."""
+        if len(self) > self.entries:
+            self.older = dict(self)
+            self.clear()
+
+
 #: Fixed value: the split pattern that byte-level files are published with.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The same for texts of printable ASCII, common white space and Latin letters, where the
@@ -118,25 +144,35 @@ class SpacedWordIds:
     pre-tokenizer takes contractions, runs of letters, single digits and runs of marks.
 
     For texts of plain characters (printable ASCII and Latin letters, which are composed
-    already and lower-case one by one) that cut is made here, on the lower-cased text, and
-    the library's model encodes each piece. In other texts, what a space or line feed
-    separates goes through the whole library."""
+    already and lower-case one by one) that cut is made here, on the lower-cased words, which
+    are remembered whole; the library's model encodes each piece of a new word. In other
+    texts, what a space or line feed separates goes through the whole library."""
 
-    odd = re.compile(r"[^\n\r\t -~À-ÖØ-öø-ÿ]|<\|").search
+    odd_letter = re.compile("[^\n\r\t -~À-ÖØ-öø-ÿ]").search
     piece = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+").findall
 
     def __init__(self, path: str):
         tok = _library(path)
         ids = _model_ids(tok)
-        self.pieces = PieceTable(lambda batch: [ids(p) for p in batch])
+        self.pieces = WordTable(lambda p: array.array("I", ids(p)).tobytes(), TABLE_ENTRIES // 4)
+        self.plain = WordTable(self._learn)
         self.words = PieceTable(lambda batch: [e.ids for e in tok.encode_batch(batch, add_special_tokens=False)], TABLE_ENTRIES // 8)
 
+    def _learn(self, word: str) -> bytes:
+        if word.isalpha():
+            return self.pieces.learn(word)
+        if word[:-1].isalpha() and not word[-1].isdigit():
+            # the most frequent case: letters and one mark
+            return self.plain[word[:-1]] + self.pieces[word[-1]]
+        return self.pieces.ids(self.piece(word))
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        odd = [i for i, t in enumerate(texts) if self.odd(t)]
-        cut = list(map(self.piece, map(str.lower, texts)))
-        for i in odd:
-            cut[i] = []
-        out = self.pieces.ids(cut)
+        self.pieces.turn()
+        self.plain.turn()
+        odd = [i for i, t in enumerate(texts) if self.odd_letter(t) or "<|" in t]
+        apart = set(odd)
+        # no piece holds white space
+        out = [b"" if i in apart else self.plain.ids(t.lower().split()) for i, t in enumerate(texts)]
         for i, ids in zip(odd, self.words.ids([texts[i].replace("\n", " ").split(" ") for i in odd])):
             out[i] = ids
         return out

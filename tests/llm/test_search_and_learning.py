@@ -325,3 +325,23 @@ def test_repeated_query_rows_are_one_query(spark):
     assert [g[1:] for g in got if g[0] == 1] == [(k, k + 1) for k in range(1, 11)]
     assert sorted(r for i, r, _ in got if i == 100) == sorted([*range(1, 11)] * 2)
     assert {(1, 30), (1, 5)} == {(r, v) for i, r, v in got if i == 100 and r == 1}
+
+
+def test_index_scores_equal_bm25_as_documents_are_used_up(monkeypatch):
+    rng = np.random.default_rng(5)
+    documents = [np.append(rng.integers(0, 40 if k % 2 else 3000, rng.integers(0, 60)), 2).astype(np.uint32) for k in range(120)]
+    held = [set(d[:-1].tolist()) for d in documents]
+    df = {t: sum(t in h for h in held) for h in held for t in h}
+    weights = packing.TermWeights(df, len(documents), sum(len(d) - 1 for d in documents))
+    for share in (0.0, 0.2, 2.0):
+        monkeypatch.setattr(packing, "COMMON", share)
+        index, unused = packing.ShardIndex(documents, weights), np.ones(len(documents), bool)
+        for seed in (0, 1, 7, 30, 60, 119):
+            want = np.zeros(len(documents))
+            for k in np.flatnonzero(unused):
+                for t, w in zip(*weights.of(documents[k])):
+                    want[k] += w * (t in held[seed])
+            got = list(index.neighbours(index.queries[seed], unused))
+            assert sorted(got) == np.flatnonzero(unused).tolist()
+            assert np.all(np.diff(want[got]) <= 1e-4 * want.max(initial=1))
+            unused[got[:25]] = False
