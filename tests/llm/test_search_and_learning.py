@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import ann, jaccard_join, line_dedup, quality_rules, rule_classifier
+from strata.llm import ann, jaccard_join, line_dedup, packing, quality_rules, rule_classifier
 from strata.llm.common import table
 
 
