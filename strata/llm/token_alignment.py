@@ -54,6 +54,14 @@ _SPACED = re.compile(r" *[^ ]+(?: +\Z)?| +\Z")
 #: Characters on whose class regular expression engines differ, and unassigned ones.
 _ODD = re.compile(r"[^\n\r\t -~\xA0-ɏͰ-ԯぁ-ゖァ-ヺ一-龥가-힣]")
 
+
+def spaced_words(text: str) -> list[str]:
+    """The cuts of ``_SPACED`` in space + text."""
+    if text and "  " not in text and text[0] != " " and text[-1] != " ":
+        return [" " + w for w in text.split(" ")]
+    return _SPACED.findall(" " + text)
+
+
 def cut_words(words: list[bytes], ids: list[list[int]], ends: list[list[int]], decoded: list[bytes], lengths: np.ndarray) -> list[bytes | None]:
     """Each word's tokens as 64-bit integers, the id and above it the token's bytes; None if
     the joined bytes of the tokens aren't the word's.
@@ -109,8 +117,10 @@ class WordTokens:
         get = (lambda w: rare[w] if w in rare else known[w]) if rare else known.__getitem__
         out: list[bytes | None] = []
         for words in cut:
-            found = list(map(get, words))
-            out.append(None if None in found else b"".join(found))
+            try:
+                out.append(b"".join(map(get, words)))
+            except TypeError:  # a word without tokens is None, which doesn't join
+                out.append(None)
         return out
 
 
@@ -152,9 +162,9 @@ class ByteLevelSide:
 
     def tokens(self, texts: list[str]) -> list[bytes | None]:
         spaced = [" " + t for t in texts]
-        odd = [k for k, t in enumerate(spaced) if _ODD.search(t)]
-        out = self.words.of([[] if _ODD.search(t) else self.find(t) for t in spaced])
-        for k in odd:
+        odd = [_ODD.search(t) is not None for t in spaced]
+        out = self.words.of([[] if o else self.find(t) for o, t in zip(odd, spaced)])
+        for k in np.flatnonzero(odd).tolist():
             out[k] = self._whole([spaced[k]])[0]
         return out
 
@@ -178,7 +188,7 @@ class PieceSide:
                          self.bytes, self.lengths)
 
     def tokens(self, texts: list[str]) -> list[bytes | None]:
-        return self.words.of([_SPACED.findall(" " + t) for t in texts])
+        return self.words.of(list(map(spaced_words, texts)))
 
 
 @lru_cache(maxsize=2)
