@@ -9,8 +9,9 @@ A line with words fails when any rule holds:
   mark; or half of its words carry one of ``#*$%&|<>``; or half of them end in a doubled
   mark such as ``!!``;
 * *navigation*: three separators or more, a fifth of its words at least;
-* *boilerplate*: it holds a licence, copyright, cookie or site-chrome phrase; of more than
-  ``BOILERPLATE_CHARS`` characters, half of them or more are in sentences that hold one.
+* *boilerplate*: it holds a licence, copyright or cookie phrase, or starts or ends with a
+  site-chrome phrase; of more than ``BOILERPLATE_CHARS`` characters, half of them or more
+  are in sentences that do.
 
 Failing lines are removed. A document is rejected when the base counts fail or when the
 removed lines held more than ``max_lost_percent`` of its word characters.
@@ -44,14 +45,17 @@ SHOUTED_WORD = r"(!!|\?\?)"
 SEPARATOR_WORD = r"(^|[\x20\x09-\x0D])[|»«›‹>·•]+"
 #: A line without any of these can't fail the symbol, shouting or separator tests.
 SUSPECT = r"[#*$%&|<>»«›‹·•]|!!|\?\?"
-#: Lower case; matched anywhere in the lower-cased line.
 BOILERPLATE_CHARS = 200
-BOILERPLATE = (
+#: Lower case; matched anywhere in the lower-cased line.
+NOTICES = (
     "licensed under", "all rights reserved", "copyright (c)", "copyright ©", "©", "cookie policy",
     "cookie settings", "accept cookies", "accept all cookies", "privacy policy", "terms of use",
-    "terms of service", "sign in ", "sign up ", "log in ", "subscribe ", "click here", "read more",
-    "skip to content", "skip to main content", "enable javascript", "lorem ipsum",
+    "terms of service", "skip to content", "skip to main content", "enable javascript", "lorem ipsum",
 )
+#: Phrases that prose uses too: in a short line they count at its start or end alone.
+CHROME = ("sign in", "sign up", "log in", "subscribe", "click here", "read more")
+#: What may stand behind a phrase at a line's end.
+BEHIND = CLOSING + ".!?:;…"
 
 
 def repeated_words(ws: Column) -> Column:
@@ -96,13 +100,23 @@ def line_fails(line: Column, min_line_words: int = MIN_LINE_WORDS) -> Column:
             | (F.regexp_count(line, F.lit(SHOUTED_WORD)) * 2 >= n)
             | bind(F.regexp_count(line, F.lit(SEPARATOR_WORD)), lambda k: (k >= 3) & (k * 5 >= n)))))
 
+    def any_of(tests: list[Column]) -> Column:
+        return reduce(lambda a, b: a | b, tests)
+
+    def at_edge(low: Column) -> Column:
+        begun, ended = F.ltrim(low, F.lit(" ")), F.concat(F.lit(" "), F.rtrim(low, F.lit(BEHIND)))
+        return any_of([begun.startswith(F.lit(x + " ")) | ended.endswith(F.lit(" " + x)) for x in CHROME])
+
     def phrased(low: Column) -> Column:
-        return reduce(lambda a, b: a | b, [low.contains(F.lit(x)) for x in BOILERPLATE])
+        # the edges are looked at only where a phrase is
+        return any_of([low.contains(F.lit(x)) for x in NOTICES]) | any_of([low.contains(F.lit(x)) for x in CHROME]) & at_edge(low)
 
     def mostly(low: Column) -> Column:
         return F.aggregate(F.filter(F.split(low, r"(?<=[.!?] )"), phrased), F.lit(0), lambda a, x: a + F.length(x)) * 2 >= F.length(low)
 
-    phrases = bind(F.lower(line), lambda low: phrased(low) & ((F.length(line) <= BOILERPLATE_CHARS) | mostly(low)))
+    # a long line may hold its phrases at the edges of its sentences only
+    phrases = bind(F.lower(line), lambda low: F.when(F.length(line) <= BOILERPLATE_CHARS, phrased(low)).otherwise(
+        any_of([low.contains(F.lit(x)) for x in NOTICES + CHROME]) & mostly(low)))
     return ((unended | suspect) & details) | phrases
 
 

@@ -30,7 +30,9 @@ def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TERMINAL = quality_rules.TERMINAL.replace("'", "''")
-_BOILER = " OR ".join(f"contains({{0}}, '{x}')" for x in quality_rules.BOILERPLATE)
+_BEHIND = quality_rules.BEHIND.replace("'", "''")
+_BOILER = " OR ".join([f"contains({{0}}, '{x}')" for x in quality_rules.NOTICES] + [
+    f"starts_with(ltrim({{0}}, ' '), '{x} ') OR ends_with(' ' || rtrim({{0}}, '{_BEHIND}'), ' {x}')" for x in quality_rules.CHROME])
 #: A line's sentences, each with the blank after it.
 _SENTENCES = "regexp_extract_all(lower(line), '(?s:.*?[.!?] |.+)')"
 ORACLE["op6_line_rules"] = rf"""
@@ -52,9 +54,9 @@ facts AS (SELECT rid, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) A
                  len(regexp_extract_all(line, '{quality_rules.SEPARATOR_WORD}')) AS sep FROM lines),
 judged AS (SELECT *, (n >= {quality_rules.MIN_LINE_WORDS} AND unended)
                      OR (n >= 2 AND (sym * 2 >= n OR shout * 2 >= n OR (sep >= 3 AND sep * 5 >= n)))
-                     OR (({_BOILER.format("lower(line)")}) AND (length(line) <= {quality_rules.BOILERPLATE_CHARS}
-                         OR coalesce(list_sum(list_transform(list_filter({_SENTENCES}, lambda x: {_BOILER.format("x")}),
-                                                             lambda x: length(x))), 0) * 2 >= length(lower(line)))) AS bad FROM facts),
+                     OR CASE WHEN length(line) <= {quality_rules.BOILERPLATE_CHARS} THEN {_BOILER.format("lower(line)")}
+                        ELSE coalesce(list_sum(list_transform(list_filter({_SENTENCES}, lambda x: {_BOILER.format("x")}),
+                                                              lambda x: length(x))), 0) * 2 >= length(lower(line)) END AS bad FROM facts),
 per AS (SELECT rid, count(*) AS n_lines, count(*) FILTER (WHERE bad) AS n_removed_lines,
                coalesce(sum(chars) FILTER (WHERE bad), 0) AS removed_chars,
                count(*) FILTER (WHERE n > 0) - count(DISTINCT line) FILTER (WHERE n > 0) AS n_dup_lines

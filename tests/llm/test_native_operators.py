@@ -190,6 +190,20 @@ def test_long_lines_are_judged_for_boilerplate(spark, line, fails):
     assert df.select(F.transform(F.array("line"), lambda x: quality_rules.line_fails(x))[0]).first()[0] == fails
 
 
+@pytest.mark.parametrize("line, fails", [
+    ("He said that he would subscribe to the theory, and went on to read more of it.", False),
+    ("They had to log in and sign up before the day was over, or so it seems.", False),
+    ("The thread more or less ended there, and nobody would bread more.", False),
+    ("  Subscribe to our letter and never miss a post.", True),
+    ("A new mill was opened by the river today. Read more...", True),
+    ("Click here.", True),
+    ("This work is licensed under the terms that are given below.", True),
+])
+def test_chrome_counts_at_the_edges_of_short_lines(spark, line, fails):
+    df = spark.createDataFrame([(line,)], "line string")
+    assert df.select(F.transform(F.array("line"), lambda x: quality_rules.line_fails(x))[0]).first()[0] == fails
+
+
 def plain_windows(text, least=60, lone=120):
     """(first unit, units) of every window, forward and backward, once each."""
     us = re.split(r"(?:(?<=\n)|(?<=[.!?] ))(?=[\x20\x09\x0B-\x0D]*[^\x20\x09-\x0D])", text)

@@ -36,7 +36,9 @@ def test_line_rules_equal_their_sql_on_padded_and_long_lines(spark, tmp_path):
     lines = [prose * 2, "A sentence padded to a width.".ljust(90), "It ends in marks.”)]" + "_* " * 20, "No stop but blanks after it" + " " * 40,
              licence * 3, prose * 3 + licence, licence * 2 + prose * 4, licence * 3 + prose * 2, "All rights reserved. " + prose * 3,
              "We use cookies, as our cookie policy and our privacy policy say " + "at great length " * 12, "é ünd © 2020. " * 20,
-             "Home | News | Sport | Shop | Us.", "th$$$ is%%% no### text&&& at*** all.", "", " ", "One. \rTwo.", "read more? " * 30]
+             "Home | News | Sport | Shop | Us.", "th$$$ is%%% no### text&&& at*** all.", "", " ", "One. \rTwo.", "read more? " * 30,
+             "He would subscribe to the theory and read more of it.", "  Subscribe to our letter.", "It opened today. Read more...”)", "Sign in",
+             "\tLog in to see the rest.", "He went to read more. " + prose * 3]
     rng = random.Random(3)
     rows = [(k, "\n".join([prose * 2] + rng.choices(lines, k=rng.randint(0, 12)))) for k in range(200)]
     rows += [(k + 1000, x) for k, x in enumerate(lines)] + [(2000, None), (2001, "")]
