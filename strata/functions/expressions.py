@@ -68,7 +68,7 @@ def pearson(x: ColumnOrName, y: ColumnOrName) -> Column:
                         F.stddev_pop(_col(x)) * F.stddev_pop(_col(y)))
 
 
-def hash_salt(buckets: int, *cols: ColumnOrName) -> Column:
+def hash_salt(buckets: int | Column, *cols: ColumnOrName) -> Column:
     """Deterministic salt in ``[0, buckets)`` from row content.
 
     Unlike ``rand()``, a recomputed task after an executor loss assigns every row to

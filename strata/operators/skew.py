@@ -6,9 +6,9 @@
   (``partial_sum``), so a hot key costs one row per map task, not all its rows.
 * ``salted_sum`` — two-level aggregate with a deterministic hash salt: the shape to
   use for aggregates that do not combine well, or to spread a hot key's final merge.
-* ``salted_join`` — equi-join that spreads detected hot keys over buckets (hash salt
-  on the fact, replicated dimension rows for the hot keys only), for joins where
-  AQE's skew split cannot apply.
+* ``salted_join`` — equi-join that spreads detected hot keys, and any key with more rows
+  than a bucket should hold, over buckets (hash salt on the fact, replicated dimension
+  rows for these keys only), for joins where AQE's skew split cannot apply.
 * ``derived_dim`` + ``dim_join`` — fact x dimension with an explicit strategy:
   ``broadcast`` only after the dimension's row count is proven under a bound (else
   falls back to a shuffle join), ``merge`` forces a sort-merge join over a staged
@@ -29,6 +29,7 @@ from strata.session import path_bytes
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024   # compressed parquet bytes of the staged dimension
+BUCKET_ROWS = 1 << 16   # fact rows that one bucket of a salted join should hold at most
 
 
 def hot_keys(df: DataFrame, key: str, n: int = 5, alias: str = "hot_key") -> DataFrame:
@@ -132,26 +133,46 @@ def detect_hot_keys(fact: DataFrame, key: str, min_share: float = 0.01) -> list:
     return [r[key] for r in top]
 
 
+def salt_widths(fact: DataFrame, key: str, buckets: int = 16, min_share: float = 0.01) -> tuple[dict, int]:
+    """Buckets of each key that needs several, and of NULL.
+
+    A key with ``min_share`` of the rows gets ``buckets``; that or any other key gets more (a
+    power of two) where a bucket would hold over ``BUCKET_ROWS`` rows, so that a bucket
+    doesn't grow with the table. At most ``1 / min_share + rows / BUCKET_ROWS`` keys reach
+    the driver."""
+    total, known = fact.agg(F.count(F.lit(1)), F.count(key)).first()
+
+    def width(rows: int, least: int) -> int:
+        return max(least, 1 << (-(-rows // BUCKET_ROWS) - 1).bit_length())
+
+    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    large = counts.where((F.col("__n") >= F.lit(total * min_share)) | (F.col("__n") > BUCKET_ROWS)).collect()
+    widths = {r[key]: width(r["__n"], buckets if r["__n"] >= total * min_share else 1) for r in large}
+    return widths, width(max(1, total - known), buckets)
+
+
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", buckets: int = 16,
                 hot: Sequence | None = None, salt_cols: Sequence[str] | None = None,
                 min_share: float = 0.01) -> DataFrame:
-    """Equi-join on one key, spreading hot keys over ``buckets`` tasks.
-
-    Fact rows of a hot key get a deterministic hash salt in ``[0, buckets)``; the
-    dimension rows of hot keys (only those) are replicated once per bucket; everything
-    else joins with salt 0. The result equals ``fact.join(dim, key, how)`` for
-    ``inner`` and ``left`` joins; the replicated dimension grows by
-    ``len(hot) * (buckets - 1)`` rows, at most ``(buckets - 1) / min_share``. Rows of a
-    ``left`` join whose key is NULL match nothing and are spread over the buckets too.
+    """Equi-join on one key, spreading hot and large keys over buckets (``salt_widths``).
+
+    Their fact rows get a deterministic hash salt below the key's number of buckets; their
+    dimension rows (only those) are replicated once per bucket; everything else joins with
+    salt 0. The result equals ``fact.join(dim, key, how)`` for ``inner`` and ``left``
+    joins; a dimension of one row per key grows by at most
+    ``buckets / min_share + 2 * rows / BUCKET_ROWS`` rows. Rows of a ``left`` join whose key
+    is NULL match nothing and are spread too. Keys named by ``hot`` get ``buckets`` each.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    hot = list(detect_hot_keys(fact, key, min_share) if hot is None else hot)
-    if not hot and how == "inner":
+    widths, null_width = salt_widths(fact, key, buckets, min_share) if hot is None else (dict.fromkeys(hot, buckets), buckets)
+    if not widths and how == "inner":
         return fact.join(dim, key, how)
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    cols = list(salt_cols or fact.columns)
-    salted_fact = fact.withColumn("__salt", F.when(is_hot | F.col(key).isNull(), hash_salt(buckets, *cols)).otherwise(F.lit(0)))
-    spread = F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    width = F.when(F.col(key).isNull(), null_width)
+    for w in sorted(set(widths.values())):
+        width = width.when(F.col(key).isin([k for k, of in widths.items() if of == w]), w)
+    width = width.otherwise(1)
+    salted_fact = fact.withColumn("__salt", hash_salt(width, *(salt_cols or fact.columns)))
+    spread = F.when(F.col(key).isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), width - 1))
     salted_dim = dim.withColumn("__salt", F.explode(spread))
     return salted_fact.join(salted_dim, [key, "__salt"], how).drop("__salt")

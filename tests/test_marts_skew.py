@@ -150,6 +150,17 @@ def test_salting_spreads_missing_keys_of_left_joins(spark):
     assert sorted(map(str, salted.collect())) == sorted(map(str, df.join(dim, "k", "left").collect()))
 
 
+def test_large_keys_below_the_share_are_salted_too(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BUCKET_ROWS", 40)
+    df = spark.range(1000).select(F.when(F.col("id") % 10 < 3, "large").when(F.col("id") % 10 < 8, "hot").when(
+        F.col("id") % 10 == 8, F.concat(F.lit("small"), (F.col("id") % 50).cast("string"))).alias("k"), "id")
+    assert skew.salt_widths(df, "k", buckets=4, min_share=0.4) == ({"large": 8, "hot": 16}, 4)
+    dim = spark.createDataFrame([("large", 1), ("hot", 2), ("hot", 3), (None, 4)], "k string, v int")
+    for how in ("inner", "left"):
+        salted = skew.salted_join(df, dim, "k", how, buckets=4, min_share=0.4, salt_cols=["id"])
+        assert sorted(map(str, salted.collect())) == sorted(map(str, df.join(dim, "k", how).collect()))
+
+
 def test_rates_of_all_years_reach_the_mart(spark):
     from strata.plans import gold
     li = spark.createDataFrame([("O", f"{y}-05-05 00:00:00", t) for y, t in ((1999, 0.2), (2001, 0.04), (2030, 0.1), (2030, 0.2))],
