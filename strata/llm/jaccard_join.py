@@ -8,22 +8,19 @@ A document is the set of 64-bit hashes of its shingles; documents with equal set
    bounded by mean set size / ``HOT_SHARE``, found from local counts), then goes by hash.
    A bucket is the classes that hold one shingle in front. This only says which points
    have to meet; it loses no link.
-2. *First links.* In the buckets of a class's three first shingles, every class is held
-   against the bucket's smallest one, by count vectors and then by sets. Linked classes become components, so a large group
-   of near copies needs as many checks as it has members, not pairs.
-3. *Count-vector tree.* Buckets that still hold several components are searched whole.
-   Shingles are hashed into ``GROUPS`` groups; a class's counts by group are a point. The
-   points of a bucket are the leaves of an R-tree (nodes with corner vectors and size
-   bounds); pairs of nodes, then of points, survive only if the summed coordinate minima,
-   an upper bound of the overlap, reach the overlap that the sizes ask for.
-4. *Verification.* Surviving pairs of different components meet with 24-bit parts of their
-   hashes, which bound the overlap from above, and those left with their whole sets.
-
-5. *Counts.* These links settle the components, not how many links a class has. As both
-   ends of a link lie in one component, all pairs inside a component are then compared by
-   their whole sets (matrix products over the shingles that several members hold), in
-   block pairs of ``MEMBERS`` classes a side. That grows with the square of a component's
-   classes, as its links do.
+2. *Count-vector tree.* Shingles are hashed into ``GROUPS`` groups; a class's counts by
+   group are a point. The points of a bucket are the leaves of an R-tree (nodes with corner
+   vectors and size bounds); pairs of nodes, then of points, survive only if the summed
+   coordinate minima, an upper bound of the overlap, reach the overlap that the sizes ask for.
+3. *Neighbourhoods.* Surviving pairs never leave their task: it sends a forest that connects
+   what they connect, at most one row a point. The buckets of the three first shingles go
+   ahead, then those that still hold several trees. What the forests connect is a
+   neighbourhood; both ends of any link lie in one.
+4. *Verification.* The sets of a neighbourhood's classes meet, each with all others, in block
+   pairs of ``MEMBERS`` classes a side (matrix products over the shingles that several
+   members hold). That decides every link: block pairs send each class's number of links,
+   and a forest of them, which gives the components. The products grow with the square of a
+   neighbourhood's classes, as its links do; what is shuffled does not.
 
 Buckets of more than ``BLOCK`` rows are cut into blocks whose pairs are tasks of their own,
 so no bucket has to fit a task. Components come from label propagation with pointer
@@ -46,6 +43,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import SPACE, free_prefix, input_partitions, stored
+from strata.llm.token_counts import groups_by_bytes
+from strata.llm.word_hashes import word_hashes
 
 WORDS = 5
 #: Jaccard threshold as a fraction.
@@ -55,11 +54,14 @@ FULL = 0xFFFF
 HOT_SHARE = 0.001
 BLOCK = 4096
 LEAF = 32
-#: Classes and shingles of one side of a component's block pair, and shingles multiplied at a time.
-MEMBERS, MEMBER_SHINGLES, COLUMNS = 512, 1 << 21, 2048
+#: Classes and shingles of one side of a neighbourhood's block pair, and shingles multiplied at a time.
+MEMBERS, MEMBER_SHINGLES, COLUMNS = 1600, 1 << 22, 2048
 #: Shingles counted at a time for the hot list.
 COUNT_AT_ONCE = 1 << 21
-WORD_ENTRIES = 500_000
+#: Classes whose features a task remembers to have sent.
+GIVEN_ENTRIES = 500_000
+#: Characters whose sets are made at a time, and rows of a batch that a task sends.
+TEXT_CHARS, ROWS_AT_ONCE = 1 << 19, 10_000
 #: Size of the map of wanted texts: half a megabyte, whatever their number.
 MAP_BITS = 1 << 22
 
@@ -73,28 +75,32 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-_WORDS: dict[bytes, int] = {}
+def _shingles(h: np.ndarray, mixed: np.ndarray) -> np.ndarray:
+    """Sorted distinct shingles of a text's word hashes, given those of all five in a row."""
+    if len(h) < WORDS:
+        return _mix(np.array([(h * _MULT[:len(h)]).sum() + np.uint64(len(h))], np.uint64)) if len(h) else h
+    s = np.sort(mixed)
+    again = s[1:] == s[:-1]
+    return s[np.append(True, ~again)] if again.any() else s
+
+
+def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of each text's shingles."""
+    for lo, hi in groups_by_bytes([t or "" for t in texts], TEXT_CHARS):
+        # bytes: lower() folds A-Z only, words end at the six ASCII spaces
+        h, cuts = word_hashes([(t or "").encode().lower() for t in texts[lo:hi]])
+        n = max(0, len(h) - WORDS + 1)
+        total = h[:n] * _MULT[0]
+        for k in range(1, WORDS):
+            total += h[k:k + n] * _MULT[k]
+        mixed = _mix(total)
+        for i, j in zip(cuts.tolist(), cuts[1:].tolist()):
+            yield _shingles(h[i:j], mixed[i:max(i, j - WORDS + 1)])
 
 
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles."""
-    if len(_WORDS) > WORD_ENTRIES:
-        _WORDS.clear()
-    # bytes: lower() folds A-Z only and split() cuts at the six ASCII spaces
-    words = (text or "").encode().lower().split()
-    for w in set(words):
-        if w not in _WORDS:
-            _WORDS[w] = xxhash.xxh3_64_intdigest(w)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    if not len(h):
-        return h
-    if len(h) < WORDS:
-        return _mix(np.array([(h * _MULT[:len(h)]).sum() + np.uint64(len(h))], np.uint64))
-    n = len(h) - WORDS + 1
-    total = h[:n] * _MULT[0]
-    for k in range(1, WORDS):
-        total += h[k:k + n] * _MULT[k]
-    return np.unique(_mix(total))
+    return next(shingle_sets([text]))
 
 
 def front(s: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, int]:
@@ -118,6 +124,26 @@ def count_vector(s: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((s >> np.uint64(40)) % np.uint64(GROUPS), minlength=GROUPS), FULL).astype(np.uint16)
 
 
+def packed_counts(point: np.ndarray) -> bytes:
+    """A count vector in 4 bits a count if all fit, else in 8, else in 16."""
+    most = point.max()
+    if most <= 0xF:
+        low = point.astype(np.uint8)
+        return (low[0::2] | low[1::2] << 4).tobytes()
+    return point.astype(np.uint8 if most <= 0xFF else "<u2").tobytes()
+
+
+def unpacked_counts(packed: list[bytes]) -> np.ndarray:
+    out, sizes = np.zeros((len(packed), GROUPS), np.uint16), np.fromiter(map(len, packed), np.int64, len(packed))
+    for width in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == width)
+        raw = np.frombuffer(b"".join([packed[k] for k in at]), "<u2" if width == 2 * GROUPS else np.uint8).reshape(len(at), -1)
+        if width == GROUPS // 2:
+            raw = np.stack([raw & 0xF, raw >> 4], axis=2).reshape(len(at), -1)
+        out[at] = raw
+    return out
+
+
 def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Shingles that points of ``a`` and ``b`` can share at most: no bound at all where a
     group is full in both."""
@@ -133,17 +159,6 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return enough(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b))
 
 
-def slim(s: np.ndarray) -> bytes:
-    """The upper 24 bits of a sorted set's hashes, as gaps, which compress well."""
-    return np.diff((s >> np.uint64(40)).astype(np.uint32), prepend=np.uint32(0)).astype("<u4").tobytes()
-
-
-def maybe_linked(a: bytes, b: bytes) -> bool:
-    """Whether slim sets allow a link: equal upper bits are at least the shared shingles."""
-    x, y = (np.cumsum(np.frombuffer(s, "<u4"), dtype=np.uint32) for s in (a, b))
-    return enough(min(int(np.isin(x, y).sum()), int(np.isin(y, x).sum())), len(x), len(y))
-
-
 class CountVectorTree:
     """R-tree of points sorted so that neighbours lie together: leaves of ``LEAF`` points
     with their corner of coordinate maxima and their size range."""
@@ -212,8 +227,7 @@ def _hot_shingles(rows: DataFrame) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(k[often])], ["h", "k"])
 
         for b in batches:
-            for text in b.column("text").to_pylist():
-                s = shingle_set(text)
+            for s in shingle_sets(b.column("text").to_pylist()):
                 sets.append(s)
                 held += len(s)
                 if held >= COUNT_AT_ONCE:
@@ -237,8 +251,7 @@ def _features(rows: DataFrame, hot) -> DataFrame:
         listed, given = hot.value, set()
         for b in batches:
             n, cls, fronts, n_cold, points = [], [], [], [], []
-            for text in b.column("text").to_pylist():
-                s = shingle_set(text)
+            for s in shingle_sets(b.column("text").to_pylist()):
                 n.append(len(s))
                 if not len(s):
                     cls.append(None), fronts.append(None), n_cold.append(None), points.append(None)
@@ -248,10 +261,10 @@ def _features(rows: DataFrame, hot) -> DataFrame:
                 if c in given:
                     fronts.append(None), n_cold.append(None), points.append(None)
                     continue
-                if len(given) < WORD_ENTRIES:
+                if len(given) < GIVEN_ENTRIES:
                     given.add(c)
                 first, cold = front(s, listed)
-                fronts.append(first.view(np.int64)), n_cold.append(cold), points.append(count_vector(s).tobytes())
+                fronts.append(first.view(np.int64)), n_cold.append(cold), points.append(packed_counts(count_vector(s)))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("th"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
                  pa.array(fronts, pa.list_(pa.int64())), pa.array(n_cold, pa.int64()), pa.array(points, pa.binary())],
@@ -267,28 +280,31 @@ def _entries(features: DataFrame) -> DataFrame:
 
 
 def _suspects(entries: DataFrame) -> DataFrame:
-    """(h, cls) for front shingles that another class also has in front."""
+    """(h, cls, pos) for front shingles that another class also has in front."""
     # a cold bucket is bounded: smallest and largest class differ if there are several
     per = Window.partitionBy("h")
-    cold = entries.where("not hot").select("h", "cls").withColumn("lo", F.min("cls").over(per)).withColumn("hi", F.max("cls").over(per))
+    cold = entries.where("not hot").select("h", "cls", "pos").withColumn("lo", F.min("cls").over(per)).withColumn("hi", F.max("cls").over(per))
     # a hot shingle's bucket always holds several classes
-    return cold.where("lo <> hi").select("h", "cls").unionByName(entries.where("hot").select("h", "cls")).distinct()
-
-
-def _possible(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose count vectors allow a link."""
+    hot = entries.where("hot").select("h", "cls", "pos").distinct()
+    return cold.where("lo <> hi").select("h", "cls", "pos").distinct().unionByName(hot)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = [np.asarray(b.column(c)) for c in ("na", "nb")]
-            v = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, GROUPS) for c in ("pa", "pb")]
-            keep = overlap_bound(*v) >= overlap_needed(*n)
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = points.select(F.col("cls").alias("a"), F.col("points").alias("pa"), F.col("n").alias("na"))
-    two = points.select(F.col("cls").alias("b"), F.col("points").alias("pb"), F.col("n").alias("nb"))
-    sizes = (F.col("na") * DEN >= F.col("nb") * NUM) & (F.col("nb") * DEN >= F.col("na") * NUM)
-    return pairs.join(one, "a").join(two, "b").where(sizes).mapInArrow(run, "a long, b long")
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (smallest, other) that connect what the pairs (a, b) connect, one for each other."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[:len(a)], at[len(a):]
+    own = np.arange(len(names))
+    label = own.copy()
+    while True:
+        p, q = label[x], label[y]
+        if np.array_equal(p, q):
+            break
+        # labels are roots here: the larger one goes under the smaller
+        np.minimum.at(label, np.maximum(p, q), np.minimum(p, q))
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+    below = label != own
+    return names[label[below]], names[below]
 
 
 def _wanted_map(rows: DataFrame, wanted: DataFrame):
@@ -299,52 +315,6 @@ def _wanted_map(rows: DataFrame, wanted: DataFrame):
     return rows.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
 
 
-def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, slim, shingles) of the wanted classes (cls, th, no_id, id), from one text each.
-
-    By the bitmap, the others' sets, and all texts, stay in the task that reads them."""
-    packed = _wanted_map(rows, wanted)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hit = np.unpackbits(packed.value).view(bool)
-        for b in batches:
-            b = b.filter(pa.array(hit[np.mod(np.asarray(b.column("th")), MAP_BITS)], pa.bool_()))
-            sets = [shingle_set(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("th"), b.column("no_id"), b.column("id"), pa.array([slim(s) for s in sets], pa.binary()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], ["th", "no_id", "id", "slim", "shingles"])
-
-    key = ["th", "no_id", "id"]
-    keyed = rows.select("text", "th", F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"))
-    found = keyed.mapInArrow(run, "th long, no_id boolean, id long, slim binary, shingles binary")
-    # exact repeats of a row would give its class twice
-    return found.join(wanted, key).dropDuplicates(key).select("cls", "slim", "shingles")
-
-
-def _where_sets(pairs: DataFrame, sets: DataFrame, column: str, test) -> DataFrame:
-    """The pairs whose sets, as ``column`` has them, pass ``test``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = [test(x, y) for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    one = sets.select(F.col("cls").alias("a"), F.col(column).alias("sa"))
-    two = sets.select(F.col("cls").alias("b"), F.col(column).alias("sb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
-
-
-def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are linked: slim sets rule most others out, whole sets decide."""
-    pairs = stored(pairs, "join-pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    wanted = stored(classes.join(needed, "cls").select("cls", "at.*"), "join-wanted")
-    sets = stored(_sets(rows, wanted), "join-sets")
-    left = stored(_where_sets(pairs, sets, "slim", maybe_linked), "join-pairs")
-    return stored(_where_sets(left, sets, "shingles", lambda x, y: linked(
-        np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))), "join-links")
-
-
 def components(links: DataFrame) -> DataFrame:
     """(cls, comp) for every class in a link: comp is the smallest class reachable."""
     both = stored(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "join-links")
@@ -361,17 +331,12 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select(F.col("a").alias("cls"), "comp")
 
 
-def _star_pairs(entries: DataFrame) -> DataFrame:
-    """Each class with the smallest one of the buckets of its first shingles."""
-    early = entries.where("pos < 3").select("h", "cls")
-    # stored, so that both sides of the join are plain shuffles, which AQE can split
-    hubs = stored(early.groupBy("h").agg(F.min("cls").alias("a"), F.count("*").alias("k")).where("k > 1").select("h", "a"), "join-hubs")
-    return early.join(hubs, "h").where("a <> cls").select("a", F.col("cls").alias("b")).distinct()
-
-
-def _tree_pairs(suspects: DataFrame, comps: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Pairs of different components in one bucket that the count vectors allow."""
-    rows = suspects.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+def _tree_links(suspects: DataFrame, comps: DataFrame | None, vectors: DataFrame) -> DataFrame:
+    """A forest (a, b) for each task, of the pairs in one bucket and of different components
+    (of none yet: of different classes) that the count vectors allow."""
+    rows = suspects.withColumn("comp", F.col("cls"))
+    if comps is not None:
+        rows = suspects.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     several = stored(rows.groupBy("h").agg(F.count("*").alias("k"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                      .where("lo <> hi").select("h", "k"), "join-buckets")
     rows = rows.join(several, "h").join(vectors, "cls")
@@ -389,9 +354,8 @@ def _tree_pairs(suspects: DataFrame, comps: DataFrame, vectors: DataFrame) -> Da
 
         def pairs(t: pa.Table) -> pa.RecordBatch:
             col = {c: np.asarray(t.column(c).combine_chunks()) for c in (*key, "side", "cls", "comp", "n")}
-            points = np.frombuffer(b"".join(t.column("points").to_pylist()), np.uint16).reshape(-1, GROUPS)
-            found = _bucket_pairs(col, points)
-            pa_, pb_ = np.unique(np.stack(found), axis=1) if len(found[0]) else found
+            points = unpacked_counts(t.column("points").to_pylist())
+            pa_, pb_ = forest(*_bucket_pairs(col, points))
             return pa.RecordBatch.from_arrays([pa.array(pa_, pa.int64()), pa.array(pb_, pa.int64())], ["a", "b"])
 
         for b in batches:
@@ -406,7 +370,7 @@ def _tree_pairs(suspects: DataFrame, comps: DataFrame, vectors: DataFrame) -> Da
             yield pairs(rest)
 
     dealt = rows.repartition(input_partitions(rows), *key).sortWithinPartitions(*key)
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return stored(dealt.mapInArrow(run, "a long, b long").distinct(), "join-forest")
 
 
 def _bucket_pairs(col: dict[str, np.ndarray], points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -437,9 +401,9 @@ def _bucket_pairs(col: dict[str, np.ndarray], points: np.ndarray) -> tuple[np.nd
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, Callable[[], DataFrame]]:
-    """(features, named, counts): rows with their class, every class with its component and
-    smallest id, and what counts the links of each class."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(features, named, degrees): rows with their class, every class with its component and
+    smallest id, and the number of links of each class that has one."""
     rows = _rows(docs, id_col, text_col)
     hot = docs.sparkSession.sparkContext.broadcast(_hot_shingles(rows))
     features = stored(_features(rows, hot), "join-features")
@@ -449,19 +413,25 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
         F.min(F.struct("th", F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"))).alias("at")),
         "join-classes")
     points = stored(features.where(F.col("points").isNotNull()).select("cls", "n", "points").dropDuplicates(["cls"]), "join-points")
-    entries = _entries(features)
-    first = _verified(_possible(_star_pairs(entries), points), rows, classes)
-    suspects = stored(_suspects(entries), "join-suspects")
-    second = _verified(_tree_pairs(suspects, components(first), points), rows, classes)
-    links = first.union(second).distinct()
+    suspects = stored(_suspects(_entries(features)), "join-suspects")
+    early = _tree_links(suspects.where("pos < 3"), None, points)
+    rest = _tree_links(suspects, components(early), points)
+    checked = _checked(components(early.union(rest)), rows, classes, points)
+    links = checked.where(F.col("b").isNotNull()).select("a", "b")
+    degrees = checked.where(F.col("b").isNull()).groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("class_links"))
     named = classes.select("cls", "least").join(components(links), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    return features, named, lambda: _link_counts(links, rows, classes, points)
+    return features, named, degrees
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """How many shingles each set of ``left`` shares with each of ``right``."""
-    out = np.zeros((len(left), len(right)), np.int64)
-    known = np.intersect1d(*(np.unique(np.concatenate(x)) for x in (left, right)), assume_unique=True)
+    """How many shingles each set of ``left`` shares with each of ``right``; with itself, not
+    all of them, where both are the same list."""
+    out = np.zeros((len(left), len(right)), np.int32)
+    if left is right:
+        known, held_by = np.unique(np.concatenate(left), return_counts=True)
+        known = known[held_by > 1]
+    else:
+        known = np.intersect1d(*(np.unique(np.concatenate(x)) for x in (left, right)), assume_unique=True)
     # sorted sets: a run of columns is a slice of each
     for lo in range(0, len(known), COLUMNS):
         part = known[lo:lo + COLUMNS]
@@ -475,18 +445,17 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
             return m
 
         # whole numbers of at most COLUMNS are exact in single precision
-        out += (held(left) @ held(right).T).astype(np.int64)
+        rows = held(left)
+        out += (rows @ (rows if left is right else held(right)).T).astype(np.int32)
     return out
 
 
-def _link_counts(links: DataFrame, rows: DataFrame, classes: DataFrame, points: DataFrame) -> DataFrame:
-    """(cls, class_links) for every class in a link: all links of its component."""
-    comps = stored(components(links).join(points.select("cls", "n"), "cls"), "join-members")
-    size = stored(comps.groupBy("comp").agg(F.count("*").alias("k"), F.sum("n").alias("total")), "join-sizes")
-    members = comps.join(size, "comp")
-    # two classes in a component are one link
-    pairs = members.where("k = 2").select("cls", F.lit(1).cast("long").alias("class_links"))
-    wanted = stored(members.where("k > 2").join(classes, "cls").select("cls", "comp", "k", "total", "at.*"), "join-wanted")
+def _checked(near: DataFrame, rows: DataFrame, classes: DataFrame, points: DataFrame) -> DataFrame:
+    """For the neighbourhoods ``near`` (cls, comp): rows (a, null, links) with a class's
+    number of links in a block pair, and (a, b, null) of links that connect what all do."""
+    members = stored(near.join(points.select("cls", "n"), "cls"), "join-members")
+    size = stored(members.groupBy("comp").agg(F.count("*").alias("k"), F.sum("n").alias("total")), "join-sizes")
+    wanted = stored(members.join(size, "comp").join(classes, "cls").select("cls", "comp", "k", "total", "at.*"), "join-wanted")
     packed = _wanted_map(rows, wanted)
 
     def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -497,8 +466,7 @@ def _link_counts(links: DataFrame, rows: DataFrame, classes: DataFrame, points:
     key = ["th", "no_id", "id"]
     keyed = rows.select("text", "th", F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"))
     # exact repeats of a row would give its class twice
-    texts = stored(keyed.mapInArrow(maybe, "text string, th long, no_id boolean, id long").join(wanted, key).dropDuplicates(key)
-                   .select("cls", "comp", "k", "total", "text"), "join-texts")
+    texts = keyed.mapInArrow(maybe, "text string, th long, no_id boolean, id long").join(wanted, key).dropDuplicates(key)
     blocks = F.greatest(F.ceil(F.col("k") / MEMBERS), F.ceil(F.col("total") / MEMBER_SHINGLES)).cast("int")
     mine = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     meets = F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(
@@ -507,43 +475,60 @@ def _link_counts(links: DataFrame, rows: DataFrame, classes: DataFrame, points:
     dealt = texts.select("comp", "cls", "text", meets.alias("m")).select("comp", "m.*", "cls", "text").repartition(
         input_partitions(rows), *group).sortWithinPartitions(*group)
 
-    def counted(held: list[tuple]) -> pa.RecordBatch:
+    def decided(held: list[tuple]) -> list[np.ndarray]:
+        """Classes, their links, and both columns of a forest of the links."""
         cls = np.array([c for c, _, _, _ in held], np.int64)
-        sets = [shingle_set(t) for _, t, _, _ in held]
+        sets = list(shingle_sets([t for _, t, _, _ in held]))
         n = np.array([len(s) for s in sets], np.int64)
         left, right = (np.flatnonzero([h[side] for h in held]) for side in (2, 3))
         degree = np.zeros(len(held), np.int64)
-        if len(left) and len(right):
-            shared = overlaps([sets[k] for k in left], [sets[k] for k in right])
-            both = DEN * shared >= NUM * (n[left][:, None] + n[right][None] - shared)
-            both &= left[:, None] != right[None]
-            degree[left] += both.sum(axis=1)
-            if not np.array_equal(left, right):
-                degree[right] += both.sum(axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(cls), pa.array(degree)], ["cls", "links"])
+        if not len(left) or not len(right):
+            return [cls[:0]] * 4
+        same = np.array_equal(left, right)
+        one = [sets[k] for k in left]
+        shared = overlaps(one, one if same else [sets[k] for k in right])
+        both = shared >= overlap_needed(n[left][:, None], n[right][None])
+        both &= left[:, None] != right[None]
+        degree[left] += both.sum(axis=1)
+        if not same:
+            degree[right] += both.sum(axis=0)
+        p, q = np.nonzero(both)
+        some = degree > 0
+        return [cls[some], degree[some], *forest(cls[left[p]], cls[right[q]])]
+
+    def batch(found: list[list[np.ndarray]]) -> pa.RecordBatch:
+        cls, links, a, b = map(np.concatenate, zip(*found))
+        none = [pa.nulls(len(x), pa.int64()) for x in (cls, a)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([cls, a])), pa.concat_arrays([none[0], pa.array(b)]), pa.concat_arrays([pa.array(links), none[1]])],
+            ["a", "b", "links"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
+        at, held, found, ready = None, [], [], 0
         for b in batches:
             for row in zip(*(b.column(c).to_pylist() for c in (*group, "cls", "text", "left", "right"))):
                 if row[:3] != at and held:
-                    yield counted(held)
+                    found.append(decided(held))
+                    ready += len(held)
                     held = []
+                    if ready >= ROWS_AT_ONCE:
+                        yield batch(found)
+                        found, ready = [], 0
                 at = row[:3]
                 held.append(row[3:])
         if held:
-            yield counted(held)
+            found.append(decided(held))
+        if found:
+            yield batch(found)
 
-    found = dealt.mapInArrow(run, "cls long, links long").groupBy("cls").agg(F.sum("links").alias("class_links"))
-    return pairs.unionByName(found)
+    return stored(dealt.mapInArrow(run, "a long, b long, links long"), "join-links")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id reachable by
     links), class_id (its set's class, null without shingles), class_links (how many
     other classes its class is linked with)."""
-    features, named, counts = _grouped(docs, id_col, text_col)
-    degree = counts()
+    features, named, degree = _grouped(docs, id_col, text_col)
     smallest = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     known = stored(named.join(smallest, "comp").join(degree, "cls", "left").select("cls", "component_id", "class_links"), "join-classes")
     out = features.select("doc_id", "n", "cls").join(known, "cls", "left")

@@ -8,11 +8,13 @@ from collections import defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import ann, jaccard_join, line_dedup, packing, quality_rules, rule_classifier
 from strata.llm.common import table
+from strata.llm.word_hashes import word_hashes
 
 
 def components(rows):
@@ -345,3 +347,54 @@ def test_index_scores_equal_bm25_as_documents_are_used_up(monkeypatch):
             assert sorted(got) == np.flatnonzero(unused).tolist()
             assert np.all(np.diff(want[got]) <= 1e-4 * want.max(initial=1))
             unused[got[:25]] = False
+
+
+def test_word_hashes_are_those_of_the_library():
+    rng = random.Random(2)
+    letters = [x for x in range(256) if x not in b" \t\n\x0b\x0c\r"]
+    texts = [rng.choice([b" ", b"\n\t"]).join(bytes(rng.choices(letters, k=rng.randrange(1, 40))) for _ in range(rng.randrange(60))) for _ in range(80)]
+    texts += [b"", b"  a\r\n", b"x"]
+    h, cuts = word_hashes(texts)
+    assert [h[i:j].tolist() for i, j in zip(cuts, cuts[1:])] == [[xxhash.xxh3_64_intdigest(w) for w in t.split()] for t in texts]
+
+
+def test_packed_counts_come_back():
+    points = [np.arange(jaccard_join.GROUPS, dtype=np.uint16) % m * k for m, k in ((16, 1), (256, 1), (256, 257), (2, 0xFFFF))]
+    packed = list(map(jaccard_join.packed_counts, points))
+    assert list(map(len, packed)) == [128, 256, 512, 512]
+    assert np.array_equal(jaccard_join.unpacked_counts(packed), points)
+
+
+def test_a_forest_connects_what_its_pairs_do():
+    rng = np.random.default_rng(9)
+    for n in (0, 1, 30, 400):
+        a, b = rng.integers(-300, 300, (2, n))
+        parent = {}
+
+        def find(x):
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        for x, y in zip(a.tolist(), b.tolist()):
+            lo, hi = sorted((find(x), find(y)))
+            parent[hi] = lo
+        roots, others = jaccard_join.forest(a, b)
+        assert sorted(zip(others.tolist(), roots.tolist())) == sorted((x, find(x)) for x in list(parent) if find(x) != x)
+
+
+def test_pairs_of_near_copies_stay_in_their_task(docs, monkeypatch):
+    sent = {}
+    keep = jaccard_join.stored
+
+    def seen(df, name):
+        out = keep(df, name)
+        sent[name] = max(out.count(), sent.get(name, 0))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", seen)
+    rows = [(k, t) for k, t in enumerate(near_copies(6, 120)[:120])]
+    jaccard_join.join(docs(rows)).collect()
+    # each task sends a forest: fewer rows than classes, where pairs were their square
+    width = jaccard_join.input_partitions(docs(rows))
+    assert sent["join-forest"] < 120 * width and sent["join-links"] < 2 * 120
