@@ -12,6 +12,8 @@ from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
 
+from strata.llm.common import collector_paused
+
 TABLE_ENTRIES = 800_000
 REMEMBER_CHARS = 64
 
@@ -131,6 +133,7 @@ class ByteLevelIds:
         ids = _model_ids(tok)
         self.table = PieceTable(lambda batch: [ids(p) for p in batch])
 
+    @collector_paused()
     def __call__(self, texts: list[str]) -> list[bytes]:
         odd = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
         out = self.table.ids([[] if i in odd else self.find(t) for i, t in enumerate(texts)])
@@ -166,6 +169,7 @@ class SpacedWordIds:
             return self.plain[word[:-1]] + self.pieces[word[-1]]
         return self.pieces.ids(self.piece(word))
 
+    @collector_paused()
     def __call__(self, texts: list[str]) -> list[bytes]:
         self.pieces.turn()
         self.plain.turn()

@@ -1,5 +1,6 @@
 """Token counts, merge replay, token store and packing against the libraries."""
 import array
+import gc
 import hashlib
 import random
 import zlib
@@ -168,3 +169,18 @@ def test_packing_ranks_by_all_tokens_of_the_seed():
         got = list(index.neighbours(index.queries[seed], np.arange(60) != seed))
         assert sorted(got) == [k for k in range(60) if k != seed]
         assert np.all(np.diff([score[k] for k in got]) <= 1e-9)
+
+
+@pytest.mark.parametrize("side", ["byte level", "spaced words"])
+def test_encoders_pause_the_collector(side):
+    seen = []
+    if side == "byte level":
+        encoder = vocab.ByteLevelIds(P.path("byte_bpe_50k.json"), P.PATTERN)
+        keep = encoder.find
+        encoder.find = lambda t: seen.append(gc.isenabled()) or keep(t)
+    else:
+        encoder = vocab.SpacedWordIds(P.path("word_bpe_49k.json"))
+        keep = encoder.odd_letter
+        encoder.odd_letter = lambda t: seen.append(gc.isenabled()) or keep(t)
+    assert len(encoder(["some plain words", "others"])) == 2
+    assert seen and not any(seen) and gc.isenabled()
