@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored
+from strata.llm.common import collector_paused, stored
 from strata.llm.vocab import _LETTERS, splitter
 
 BLOCK_BYTES = 1 << 19
@@ -257,6 +257,7 @@ def _lists(parts: list[np.ndarray], kind) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, int), *parts]), kind))
 
 
+@collector_paused()
 def _aligned_rows(block: int, ids: list, texts: list[str], left: ByteLevelSide, right: PieceSide) -> pa.RecordBatch:
     """A row for each text, with its links as places in the block's sorted pairs, and a
     last row with these pairs and the number of documents that hold each."""

@@ -1,4 +1,5 @@
 """Dual-tree search, approximation files and token alignment against brute force."""
+import gc
 import hashlib
 import math
 import random
@@ -180,3 +181,17 @@ def test_alignment_of_an_empty_table_and_a_very_long_text(docs):
     assert row["n_a"] == len(a) and row["n_best"] <= row["n_links"] == row["count_sum"] == row["n_a"] + row["n_b"] - row["n_groups"]
     # every pair is in the one document, so all are their first id's best
     assert row["n_best"] == row["n_links"]
+
+
+def test_blocks_are_aligned_with_the_collector_paused():
+    seen = []
+
+    class Side:
+        bytes = [b""]
+
+        def tokens(self, texts):
+            seen.append(gc.isenabled())
+            return [None] * len(texts)
+
+    assert token_alignment._aligned_rows(0, [1, 2], ["a", "b"], Side(), Side()).num_rows == 3
+    assert seen == [False, False] and gc.isenabled()
