@@ -113,7 +113,12 @@ def _model_ids(tok) -> Callable[[str], list[int]]:
     tokenize = tok.model.tokenize
 
     def ids(piece: str) -> list[int]:
-        if not piece.isalpha() or not piece.isascii():
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(_LETTERS)
+        elif piece[:1] == " " and piece[1:].isalpha():
+            # the most frequent case
+            piece = _LETTERS[32] + piece[1:]
+        elif not piece.isalpha():
             piece = piece.encode().decode("latin-1").translate(_LETTERS)
         return [t.id for t in tokenize(piece)]
 
@@ -131,12 +136,13 @@ class ByteLevelIds:
         self.find = splitter(pattern)
         self.whole = lambda t: array.array("I", tok.encode(t, add_special_tokens=False).ids).tobytes()
         ids = _model_ids(tok)
-        self.table = PieceTable(lambda batch: [ids(p) for p in batch])
+        self.table = WordTable(lambda p: array.array("I", ids(p)).tobytes())
 
     @collector_paused()
     def __call__(self, texts: list[str]) -> list[bytes]:
+        self.table.turn()
         odd = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
-        out = self.table.ids([[] if i in odd else self.find(t) for i, t in enumerate(texts)])
+        out = [b"" if i in odd else self.table.ids(self.find(t)) for i, t in enumerate(texts)]
         for i in odd:
             out[i] = self.whole(texts[i])
         return out
