@@ -40,31 +40,90 @@ MIN_CHARS = 60
 LONE_CHARS = 120
 #: A window has at most MIN_CHARS units.
 PACK = 64
+#: Units of the windows that are told row by row.
+NEAR = 16
 
 #: A unit ends before the next character that isn't blank, if a line or sentence ended.
 _UNIT_ENDS = rf"(?:(?<=\n)|(?<=[.!?] ))(?=[\x20\x09\x0B-\x0D]*[^{SPACE}])"
 
 
+#: Stands for a unit's end while a text is cut; a text that holds it is cut by the pattern.
+_MARK = "\x01"
+_BLANKS = " \t\x0b\x0c\r"
+
+
+def _any(parts) -> Column:
+    return reduce(lambda a, b: a | b, parts)
+
+
+def _cut(text: Column, drop_blanks: bool) -> Column:
+    """Units of a text, or units without trailing blanks. Plain replacements mark the ends,
+    several times as fast as the pattern's look-around; where a blank follows a mark, or
+    other blanks than one space or line feed come before it, the pattern decides."""
+    line_ends = F.replace(text, F.lit("\n"), F.lit("\n" + _MARK))
+    ends = reduce(lambda t, e: F.replace(t, F.lit(e), F.lit(e + _MARK)), [". ", "! ", "? "], line_ends)
+    # the ends before a blank line are none
+    marked = F.replace(ends, F.lit(_MARK + "\n"), F.lit("\n"))
+    by_pattern = F.split(text, _UNIT_ENDS)
+    odd = _any([text.contains(c) for c in _MARK + _BLANKS[1:]])
+
+    def plain(m: Column) -> Column:
+        # a text's end is no unit's
+        return F.when(m.endswith(_MARK), bind(F.split(m, _MARK), lambda p: F.slice(p, 1, F.size(p) - 1))).otherwise(F.split(m, _MARK))
+
+    if not drop_blanks:
+        return F.when(odd, by_pattern).otherwise(bind(marked, lambda m: F.when(m.contains(_MARK + " "), by_pattern).otherwise(plain(m))))
+
+    def bare(m: Column) -> Column:
+        return F.replace(F.replace(m, F.lit(" " + _MARK), F.lit(_MARK)), F.lit("\n" + _MARK), F.lit(_MARK))
+
+    trimmed = F.transform(by_pattern, lambda u: F.rtrim(u, F.lit(SPACE_CHARS)))
+    return F.when(odd, trimmed).otherwise(bind(marked, lambda m: F.when(m.contains(_MARK + " "), trimmed).otherwise(
+        bind(bare(m), lambda b: F.when(_any([b.contains(c + _MARK) for c in " \n"]), trimmed).otherwise(plain(b))))))
+
+
 def units(text: Column) -> Column:
     """Lines and sentences with their separators."""
-    return F.split(text, _UNIT_ENDS)
+    return _cut(text, False)
 
 
-def _bare(us: Column) -> Column:
+def bare_units(text: Column) -> Column:
     """Units without their trailing blanks."""
-    return F.transform(us, lambda u: F.rtrim(u, F.lit(SPACE_CHARS)))
+    blank_end = _any([text.endswith(c) for c in SPACE_CHARS])
+    # blanks at a text's end belong to its last unit
+    return bind(F.when(blank_end, F.rtrim(text, F.lit(SPACE_CHARS))).otherwise(text), lambda t: _cut(t, True))
+
+
+def _marked(text: Column) -> Column:
+    """A text's units as h (hash) and n (characters, one separator included)."""
+    return F.transform(bare_units(text), lambda u: F.struct(F.xxhash64(u).alias("h"), (F.length(u) + 1).alias("n")))
 
 
-def _chars(unit: Column) -> Column:
-    """Characters of a bare unit, one separator included."""
-    return F.length(unit) + 1
+def _chars(n: list[Column]) -> Column:
+    return reduce(lambda a, b: a + b, n)
+
+
+def _long(m: Column, i: Column, step: int, beyond: int) -> Column:
+    """The window from unit i on (step 1) or back (step -1) if it has over ``beyond`` units."""
+    # a unit has a character at least, so MIN_CHARS units are always enough
+    low = i if step == 1 else F.greatest(F.lit(0), i - MIN_CHARS + 1)
+    part = F.slice(m, low + 1, F.lit(MIN_CHARS) if step == 1 else i - low + 1)
+    # a backward window that is no longer one without its last unit is the forward window
+    # of its first unit: it is left to that one, so no window comes twice
+    total = F.aggregate(
+        part if step == 1 else F.reverse(part), F.struct(F.lit(0).alias("k"), F.lit(0).alias("c")),
+        lambda a, x: F.when((a["k"] >= 2) & (a["c"] >= MIN_CHARS), a).otherwise(F.struct((a["k"] + 1).alias("k"), (a["c"] + x["n"]).alias("c"))),
+        lambda a: F.when((a["k"] >= 2) & (a["c"] - (F.lit(0) if step == 1 else F.get(m, i)["n"]) >= MIN_CHARS), a["k"]))
+    found = bind(total, lambda k: F.when(k.isNotNull(), bind(i if step == 1 else i - k + 1, lambda s: F.struct(
+        F.xxhash64(F.transform(F.slice(m, s + 1, k), lambda x: x["h"])).alias("h"), (s.cast("long") * PACK + k).alias("at")))))
+    # a few units are enough, mostly
+    first = [F.get(m, i + step * k)["n"] for k in range(beyond)]
+    return F.when((_chars(first[:4]) < MIN_CHARS) & (_chars(first) < MIN_CHARS), found)
 
 
 def windows(text: Column) -> Column:
     """Array of all windows: h (hash of the units' hashes) and at (first unit * ``PACK``
-    + number of units)."""
-    none = F.lit(None).cast("struct<h:bigint,at:bigint>")
-    marked = F.transform(_bare(units(text)), lambda u: F.struct(F.xxhash64(u).alias("h"), _chars(u).alias("n")))
+    + number of units). ``window_rows`` has the same as rows, for whole tables."""
 
     def run(m: Column, s: Column, n: int) -> Column:
         return F.struct(F.xxhash64(*[F.get(m, s + k)["h"] for k in range(n)]).alias("h"), (s.cast("long") * PACK + n).alias("at"))
@@ -72,38 +131,59 @@ def windows(text: Column) -> Column:
     def several(m: Column, i: Column, step: int) -> Column:
         """The window from unit i on (step 1) or back (step -1) if it has two units or more."""
 
-        def chars(n: int) -> Column:
-            return reduce(lambda a, b: a + b, [F.get(m, i + step * k)["n"] for k in range(n)]) >= MIN_CHARS
-
-        def first(n: int) -> Column:
-            return i if step == 1 else i - (n - 1)
-
-        def before(n: int) -> Column:
-            """Whether the units before i, of a backward window of n units, are one already."""
-            if n == 2:
-                return F.get(m, i - 1)["n"] >= LONE_CHARS
-            return reduce(lambda a, b: a + b, [F.get(m, i - k)["n"] for k in range(1, n)]) >= MIN_CHARS
-
-        # short units: a unit has a character at least, so MIN_CHARS units are always enough
-        low = i if step == 1 else F.greatest(F.lit(0), i - MIN_CHARS + 1)
-        part = F.slice(m, low + 1, F.lit(MIN_CHARS) if step == 1 else i - low + 1)
-        # a backward window that is no longer one without its last unit is the forward window
-        # of its first unit: it is left to that one, so no window comes twice
-        total = F.aggregate(
-            part if step == 1 else F.reverse(part), F.struct(F.lit(0).alias("k"), F.lit(0).alias("c")),
-            lambda a, x: F.when((a["k"] >= 2) & (a["c"] >= MIN_CHARS), a).otherwise(F.struct((a["k"] + 1).alias("k"), (a["c"] + x["n"]).alias("c"))),
-            lambda a: F.when((a["k"] >= 2) & (a["c"] - (F.lit(0) if step == 1 else F.get(m, i)["n"]) >= MIN_CHARS), a["k"]))
-        longer = bind(total, lambda k: F.when(k.isNotNull(), bind(i if step == 1 else i - k + 1, lambda s: F.struct(
-            F.xxhash64(F.transform(F.slice(m, s + 1, k), lambda x: x["h"])).alias("h"), (s.cast("long") * PACK + k).alias("at")))))
-        runs = {n: run(m, first(n), n) for n in (2, 3, 4)}
+        def chars(first: int, last: int) -> Column:
+            return _chars([F.get(m, i + step * k)["n"] for k in range(first, last + 1)]) >= MIN_CHARS
+
+        runs = {n: run(m, i if step == 1 else i - (n - 1), n) for n in (2, 3, 4)}
         if step == -1:
-            runs = {n: F.when(before(n), r) for n, r in runs.items()}
-        return F.when(chars(2), runs[2]).when(chars(3), runs[3]).when(chars(4), runs[4]).otherwise(longer)
+            # unless the units before i, of a window of n, are one already
+            runs = {n: F.when(F.get(m, i - 1)["n"] >= LONE_CHARS if n == 2 else chars(1, n - 1), r) for n, r in runs.items()}
+        return F.when(chars(0, 1), runs[2]).when(chars(0, 2), runs[3]).when(chars(0, 3), runs[4]).otherwise(_long(m, i, step, 4))
 
     def at(m: Column, x: Column, i: Column) -> Column:
-        return F.when(x["n"] >= LONE_CHARS, F.array(run(m, i, 1), none)).otherwise(F.array(several(m, i, 1), several(m, i, -1)))
-
-    return bind(marked, lambda m: F.filter(F.flatten(F.transform(m, lambda x, i: at(m, x, i))), lambda w: w.isNotNull()))
+        return F.when(x["n"] >= LONE_CHARS, F.array(run(m, i, 1), F.lit(None))).otherwise(F.array(several(m, i, 1), several(m, i, -1)))
+
+    return bind(_marked(text), lambda m: F.filter(F.flatten(F.transform(m, lambda x, i: at(m, x, i))), lambda w: w.isNotNull()))
+
+
+def _long_windows(m: Column) -> Column:
+    """Array of the windows of over ``NEAR`` units."""
+    return F.filter(F.flatten(F.transform(m, lambda x, i: F.array(_long(m, i, 1, NEAR), _long(m, i, -1, NEAR)))), lambda w: w.isNotNull())
+
+
+def window_rows(docs: DataFrame, key: Column, text: Column) -> DataFrame:
+    """``windows`` of every document as rows: __k (the document's key), h and at.
+
+    A row for each unit beside those that follow it, from which compiled code tells the
+    windows that begin there: several times as fast as functions over arrays."""
+    found = docs.select(key.alias("__k"), _marked(text).alias("m"))
+    # many units under MIN_CHARS hold one under their share of it
+    long = F.when(F.array_min("m.n") * NEAR < MIN_CHARS, _long_windows(F.col("m"))).otherwise(F.array().cast("array<struct<h:bigint,at:bigint>>"))
+    size = F.size("m")
+    beside = [(f"{c}{k}", F.slice(f"m.{c}", k + 1, size)) for c in "hn" for k in range(NEAR)]
+    beside = found.select("__k", size.alias("size"), long.alias("long"), *[c.alias(name) for name, c in beside])
+    row = beside.select("__k", "size", F.posexplode(F.arrays_zip("long", *beside.columns[3:])).alias("i", "u"))
+
+    # columns, as an expression used twice would be computed twice
+    row = row.withColumn("c0", F.col("u.n0"))
+    for k in range(1, NEAR):
+        row = row.withColumn(f"c{k}", F.col(f"c{k - 1}") + F.coalesce(F.col(f"u.n{k}"), F.lit(0)))
+    sums = [F.col(f"c{k}") for k in range(NEAR)]
+    lone = F.col("c0") >= LONE_CHARS
+    # from its unit on: the shortest window; longer ones are backward windows of their last
+    # unit, as long as they need this unit
+    row = row.withColumns({
+        "forward": F.when(lone, 1).when((sums[-1] >= MIN_CHARS) & (F.col("i") + 1 < F.col("size")), 2 + _chars([(c < MIN_CHARS).cast("int") for c in sums[1:-1]])),
+        "backward": F.least(1 + _chars([(c - sums[0] < MIN_CHARS).cast("int") for c in sums[1:]]), F.col("size") - F.col("i")),
+        "pair": F.when(lone & (F.col("u.n1") < LONE_CHARS), 2)})
+    units_of = F.sequence("forward", F.greatest("forward", "backward", "pair"))
+    each = F.when(F.col("u.long").isNull(), units_of).otherwise(
+        F.concat(F.array(F.lit(0)), F.coalesce(units_of, F.array().cast("array<int>"))))
+    told = row.select("__k", "i", "u", F.explode(each).alias("k"))
+    h = [F.col(f"u.h{k}") for k in range(NEAR)]
+    k = F.col("k")
+    hashed = F.when(k == 0, F.col("u.long.h")).when(k == 2, F.xxhash64(*h[:2])).otherwise(F.xxhash64(F.slice(F.array(*h), 1, k)))
+    return told.select("__k", hashed.alias("h"), F.when(k == 0, F.col("u.long.at")).otherwise(F.col("i").cast("long") * PACK + k).alias("at"))
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, list[str], str]:
@@ -117,7 +197,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # one number for the key, as there is a row a window: documents that share it only look
     # at each other's places too
     key = F.xxhash64(*names).alias("__k")
-    found = stored(keyed.select(key, F.explode(windows(text)).alias("w")).select("__k", "w.h", "w.at"), "line-windows")
+    found = stored(window_rows(keyed, key, text), "line-windows")
     # stored, here and below, so that both sides of the join are plain shuffles: AQE can
     # then split the rows of a passage that very many documents share
     again = stored(found.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "line-repeats")
@@ -132,7 +212,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # only documents with a suspect window read their text again
     placed = stored(
         keyed.select(key, *names, text.alias("__text")).join(suspects, "__k").select(
-            *names, F.explode(bind(_bare(units(F.col("__text"))), digests)).alias("w")).select(*names, "w.*"), "line-suspects")
+            *names, F.explode(bind(bare_units(F.col("__text")), digests)).alias("w")).select(*names, "w.*"), "line-suspects")
     place = F.struct(*names, "s")
     first = stored(placed.groupBy("digest").agg(F.min(place).alias("first")), "line-firsts")
     removals = placed.join(first, "digest").where(place != F.col("first")).groupBy(*names).agg(

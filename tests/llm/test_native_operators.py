@@ -253,3 +253,19 @@ def test_kept_documents_keep_columns_named_like_working_ones(docs):
     text = " ".join(f"Word{k} stands here." for k in range(30))
     got = quality_rules.keep_clean(docs([(1, text), (2, "short")], ["__line_rules"]).withColumn("__line_rules", F.lit("mine"))).collect()
     assert [(r["doc_id"], r["__line_rules"]) for r in got] == [(1, "mine")]
+
+
+def test_window_rows_are_the_windows_of_every_text(spark):
+    r = random.Random(11)
+    parts = ["a", "bcd efg", ". ", "! ", "? ", "\n", " ", "  ", "\t", "\r\n", "\x01", "é", "...", "x" * 30, "y" * 130, "long words of it " * 3, "q. ", "z\n" * 25, "m. " * 6]
+    texts = ["".join(r.choice(parts if j % 3 else parts[:7] + parts[-6:]) for _ in range(r.randint(0, 40))) for j in range(400)]
+    df = spark.createDataFrame(list(enumerate([*texts, None, "", "\n", " ", ". ", "\n\n", "z\n" * 70, "y" * 130 + "\nz"])), "id long, t string")
+    lists = df.select(F.col("id").alias("__k"), F.explode(line_dedup.windows(F.col("t"))).alias("w")).select("__k", "w.h", "w.at")
+    rows = line_dedup.window_rows(df, F.col("id"), F.col("t"))
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, lists.collect()))
+    # also windows of over NEAR units, which are told apart
+    assert rows.where(F.col("at") % line_dedup.PACK > line_dedup.NEAR).count() > 0
+    # and units are cut as the pattern cuts them
+    by_pattern = F.split("t", line_dedup._UNIT_ENDS)
+    trimmed = F.transform(by_pattern, lambda u: F.rtrim(u, F.lit(line_dedup.SPACE_CHARS)))
+    assert df.where(~line_dedup.units(F.col("t")).eqNullSafe(by_pattern) | ~line_dedup.bare_units(F.col("t")).eqNullSafe(trimmed)).count() == 0
