@@ -164,7 +164,8 @@ class SpacedWordIds:
         tok = _library(path)
         ids = _model_ids(tok)
         self.pieces = WordTable(lambda p: array.array("I", ids(p)).tobytes(), TABLE_ENTRIES // 4)
-        self.plain = WordTable(self._learn)
+        # words with their marks: there are more of them
+        self.plain = WordTable(self._learn, 2 * TABLE_ENTRIES)
         self.words = PieceTable(lambda batch: [e.ids for e in tok.encode_batch(batch, add_special_tokens=False)], TABLE_ENTRIES // 8)
 
     def _learn(self, word: str) -> bytes:

@@ -184,3 +184,14 @@ def test_encoders_pause_the_collector(side):
         encoder.odd_letter = lambda t: seen.append(gc.isenabled()) or keep(t)
     assert len(encoder(["some plain words", "others"])) == 2
     assert seen and not any(seen) and gc.isenabled()
+
+
+def test_term_weights_count_documents_once(docs):
+    rows = [(k, t) for k, t in enumerate([*texts(60, seed=9), "word word word", "", None])]
+    tokens = packing.tokenize(docs(rows), P.path("word_bpe_49k.json"))
+    weights = packing.term_weights(tokens)
+    held = [packing._ids(r["ids"])[:-1].tolist() for r in tokens.select("ids").collect()]
+    df = {t: sum(t in h for h in held) for t in set(sum(held, []))}
+    assert weights.mean == sum(map(len, held)) / len(held)
+    assert {t: w for t, w in enumerate(weights.idf.tolist()) if w} == {
+        t: pytest.approx(float(np.log1p((len(held) - n + 0.5) / (n + 0.5)))) for t, n in df.items()}
