@@ -49,49 +49,49 @@ _UNIT_ENDS = rf"(?:(?<=\n)|(?<=[.!?] ))(?=[\x20\x09\x0B-\x0D]*[^{SPACE}])"
 
 #: Stands for a unit's end while a text is cut; a text that holds it is cut by the pattern.
 _MARK = "\x01"
-_BLANKS = " \t\x0b\x0c\r"
 
 
 def _any(parts) -> Column:
     return reduce(lambda a, b: a | b, parts)
 
 
-def _cut(text: Column, drop_blanks: bool) -> Column:
-    """Units of a text, or units without trailing blanks. Plain replacements mark the ends,
-    several times as fast as the pattern's look-around; where a blank follows a mark, or
-    other blanks than one space or line feed come before it, the pattern decides."""
-    line_ends = F.replace(text, F.lit("\n"), F.lit("\n" + _MARK))
-    ends = reduce(lambda t, e: F.replace(t, F.lit(e), F.lit(e + _MARK)), [". ", "! ", "? "], line_ends)
-    # the ends before a blank line are none
-    marked = F.replace(ends, F.lit(_MARK + "\n"), F.lit("\n"))
+#: Blanks that send a text to the pattern.
+_ODD = [_MARK, "\t", "\x0b", "\x0c", "\r"]
+
+
+def _replaced(text: Column, by: dict[str, str]) -> Column:
+    return reduce(lambda t, e: F.replace(t, F.lit(e), F.lit(by[e])), by, text)
+
+
+def units(text: Column) -> Column:
+    """Lines and sentences with their separators. Plain replacements mark the ends, which
+    takes less time than the pattern's look-around; where a blank follows an end, or for
+    rare blanks, the pattern decides."""
     by_pattern = F.split(text, _UNIT_ENDS)
-    odd = _any([text.contains(c) for c in _MARK + _BLANKS[1:]])
+    # the ends before a blank line are none
+    ends = _replaced(text, {e: e + _MARK for e in ("\n", ". ", "! ", "? ")} | {_MARK + "\n": "\n"})
 
     def plain(m: Column) -> Column:
         # a text's end is no unit's
         return F.when(m.endswith(_MARK), bind(F.split(m, _MARK), lambda p: F.slice(p, 1, F.size(p) - 1))).otherwise(F.split(m, _MARK))
 
-    if not drop_blanks:
-        return F.when(odd, by_pattern).otherwise(bind(marked, lambda m: F.when(m.contains(_MARK + " "), by_pattern).otherwise(plain(m))))
+    return F.when(_any([text.contains(c) for c in _ODD]), by_pattern).otherwise(
+        bind(ends, lambda m: F.when(m.contains(_MARK + " "), by_pattern).otherwise(plain(m))))
 
-    def bare(m: Column) -> Column:
-        return F.replace(F.replace(m, F.lit(" " + _MARK), F.lit(_MARK)), F.lit("\n" + _MARK), F.lit(_MARK))
 
-    trimmed = F.transform(by_pattern, lambda u: F.rtrim(u, F.lit(SPACE_CHARS)))
-    return F.when(odd, trimmed).otherwise(bind(marked, lambda m: F.when(m.contains(_MARK + " "), trimmed).otherwise(
-        bind(bare(m), lambda b: F.when(_any([b.contains(c + _MARK) for c in " \n"]), trimmed).otherwise(plain(b))))))
-
-
-def units(text: Column) -> Column:
-    """Lines and sentences with their separators."""
-    return _cut(text, False)
+def bare_units(text: Column) -> Column:
+    """Units without their trailing blanks, likewise: marks take the place of one blank, and
+    where there are more the pattern decides."""
 
+    def cut(t: Column) -> Column:
+        by_pattern = F.transform(F.split(t, _UNIT_ENDS), lambda u: F.rtrim(u, F.lit(SPACE_CHARS)))
+        ends = _replaced(t, {e: e.strip() + _MARK for e in ("\n", ". ", "! ", "? ")})
+        return F.when(_any([t.contains(c) for c in _ODD]), by_pattern).otherwise(bind(ends, lambda m: F.when(
+            _any([m.contains(c) for c in (_MARK + _MARK, _MARK + " ", " " + _MARK)]), by_pattern).otherwise(F.split(m, _MARK))))
 
-def bare_units(text: Column) -> Column:
-    """Units without their trailing blanks."""
-    blank_end = _any([text.endswith(c) for c in SPACE_CHARS])
     # blanks at a text's end belong to its last unit
-    return bind(F.when(blank_end, F.rtrim(text, F.lit(SPACE_CHARS))).otherwise(text), lambda t: _cut(t, True))
+    blank_end = _any([text.endswith(c) for c in SPACE_CHARS])
+    return bind(F.when(blank_end, F.rtrim(text, F.lit(SPACE_CHARS))).otherwise(text), cut)
 
 
 def _marked(text: Column) -> Column:
